@@ -47,10 +47,24 @@ def _finish(df: DataFrame, keys: Sequence[str], how: Cleaning, distinct: bool =
 
 
 def extract_partial(df: DataFrame, column: str, keys: Sequence[str], n_steps: int,
-                    how: Cleaning) -> DataFrame:
-    """Keys + one container, ``n_steps`` flatten steps, names, prune."""
+                    how: Cleaning, stop_at: Sequence[str] = ()) -> DataFrame:
+    """Keys + one container, flatten steps, names, prune.
+
+    Without ``stop_at`` exactly ``n_steps`` steps are taken.  With it the
+    walk goes on (up to ``n_steps + 2``) until one of the named
+    sub-containers shows up as a cleaned column, which keeps the spec
+    independent of how a source nests single vs repeated elements.
+    """
     part = df.select(*[q(k) for k in keys], q(column))
-    return _tidy(flatten_steps(part, n_steps), column, how)
+    if not stop_at:
+        return _tidy(flatten_steps(part, n_steps), column, how)
+    targets = set(stop_at)
+    for _ in range(n_steps + 2):
+        part = flatten_steps(part, 1)
+        names = {how.names.clean(c, column) for c in part.columns}
+        if targets & names or all(not is_container(f.dataType) for f in part.schema.fields):
+            break
+    return _tidy(part, column, how)
 
 
 def finish_partial(df: DataFrame, name_table: str | None, keys: Sequence[str],
@@ -60,10 +74,10 @@ def finish_partial(df: DataFrame, name_table: str | None, keys: Sequence[str],
 
 
 def extract_subtree(df: DataFrame, column: str, keys: Sequence[str], how: Cleaning,
-                    null_except: Sequence[str] | None = None) -> DataFrame:
+                    null_except: Sequence[str] | None = None, strip_table: bool = True) -> DataFrame:
     """Keys + one container, fully flattened and finished."""
     part = df.select(*[q(k) for k in keys], q(column))
-    return _finish(_tidy(flatten_fully(part), column, how),
+    return _finish(_tidy(flatten_fully(part), column if strip_table else None, how),
                    keys if null_except is None else null_except, how)
 
 
@@ -82,6 +96,7 @@ class SuffixSeparation:
     suffix: str = "Details"
     table_prefix: str = ""
     strip_suffix_in_name: bool = True
+    strip_table_prefix: bool = True
     skip: tuple[str, ...] = ()
     flag: str | None = None
     delete_literal: str | None = None
@@ -106,7 +121,8 @@ def separate_by_suffix(df: DataFrame, spec: SuffixSeparation) -> dict[str, DataF
             out.update(handler(df, col, spec))
         else:
             name = col[: -len(spec.suffix)] if spec.strip_suffix_in_name else col
-            out[spec.table_prefix + name] = extract_subtree(df, col, spec.keys, spec.how)
+            out[spec.table_prefix + name] = extract_subtree(df, col, spec.keys, spec.how,
+                                                            strip_table=spec.strip_table_prefix)
         df = df.drop(col)
     out[spec.main_table] = finish_partial(df, None, spec.keys, spec.how)
     return out

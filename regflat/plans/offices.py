@@ -91,7 +91,7 @@ def _split_subtrees(part: DataFrame, prefix: str, subtrees, keys, out: dict) ->
 def _ca_proceedings(legal: DataFrame, column: str, table: str, extra_key: str, out: dict) -> None:
     if column not in legal.columns:
         return
-    part = extract_partial(legal, column, CA_KEYS, 1, CA_CLEAN)
+    part = extract_partial(legal, column, CA_KEYS, 1, CA_CLEAN, stop_at=CA_PROCEEDING_SUBTREES)
     keys = CA_KEYS + ((extra_key,) if extra_key in part.columns else ())
     part = _split_subtrees(part, table, CA_PROCEEDING_SUBTREES, keys, out)
     # each kind finishes from its own frame (the published code reused the
@@ -103,9 +103,11 @@ def normalise_ca_record(df: DataFrame) -> DataFrame:
     """Names on the record, then N3 + P11 on the application number."""
     from regflat.functions.names import clean_names, shorten_prefixes
     from regflat.operators.prune import drop_by_rules
+    raw_key = next((c for c in df.columns if CA_NAMES.clean(c) == "ApplicationNumber"), None)
+    if raw_key is not None:
+        df = normalise_struct(df, raw_key)
     df = clean_names(df, CA_NAMES)
     df = shorten_prefixes(drop_by_rules(df, CA_DROP), CA_NAMES)
-    df = normalise_struct(df, "ApplicationNumber") if "ApplicationNumber" in df.columns else df
     return rename_one(df, "ApplicationNumber|ST13ApplicationNumber", "ApplicationNumber")
 
 
@@ -118,11 +120,12 @@ def separate_ca(df: DataFrame) -> dict[str, DataFrame]:
         if table not in df.columns:
             continue
         if table == "GoodsServicesBag":
-            part = extract_partial(df, table, CA_KEYS, 2, CA_CLEAN)
+            part = extract_partial(df, table, CA_KEYS, 2, CA_CLEAN, stop_at=CA_GOODS_SUBTREES)
             part = _split_subtrees(part, "GoodsServices", CA_GOODS_SUBTREES, CA_KEYS, out)
             out["GoodsServices"] = finish_partial(part, table, CA_KEYS, CA_CLEAN)
         elif table == "LegalProceedingsBag":
-            legal = extract_partial(df, table, CA_KEYS, 3, CA_CLEAN)
+            legal = extract_partial(df, table, CA_KEYS, 3, CA_CLEAN,
+                                    stop_at=("OppositionProceedingBag", "CancellationProceedings"))
             _ca_proceedings(legal, "OppositionProceedingBag", "OppositionProceedings",
                             "OppositionIdentifier", out)
             _ca_proceedings(legal, "CancellationProceedings", "CancellationProceedings",
@@ -132,7 +135,7 @@ def separate_ca(df: DataFrame) -> dict[str, DataFrame]:
             part = drop_present(part, [CA_OTHER_LANGUAGE_BAG])
             out["MarkEvent"] = finish_partial(part, table, CA_KEYS, CA_CLEAN)
         elif table == "NationalTrademarkInformation":
-            part = extract_partial(df, table, CA_KEYS, 1, CA_CLEAN)
+            part = extract_partial(df, table, CA_KEYS, 1, CA_CLEAN, stop_at=CA_NATIONAL_SUBTREES)
             part = _split_subtrees(part, "NationalTrademark", CA_NATIONAL_SUBTREES, CA_KEYS, out)
             out["NationalTrademark"] = finish_partial(part, table, CA_KEYS, CA_CLEAN)
         else:
@@ -204,7 +207,8 @@ GB_KEYS = ("ApplicationNumber",)
 
 def separate_gb(df: DataFrame) -> dict[str, DataFrame]:
     spec = SuffixSeparation(keys=GB_KEYS, main_table="Application", how=GB_CLEAN,
-                            strip_suffix_in_name=False, skip=("MarkImageDetails",))
+                            strip_suffix_in_name=False, strip_table_prefix=False,
+                            skip=("MarkImageDetails",))
     from regflat.functions.names import clean_names
     df = clean_names(df, GB_NAMES)
     out = separate_by_suffix(df, spec)
