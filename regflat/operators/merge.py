@@ -159,20 +159,19 @@ def bulk_merge(current: DataFrame | None, deltas: DataFrame, deletes: DataFrame
     ``version_col``.  ``deletes``: keys + ``version_col``.  ``present``: the
     ranks in which the table is present (column ``version_col``).
 
-    A row of version v survives iff v is the largest version carrying its
-    key (current rows count as version -1) and no version d > v in which
-    the table is present deletes the key.  Computed as one aggregate over
-    ``(key, v)`` pairs (map-side combined, so a hot key is reduced before
-    the shuffle) and one equi-join back; AQE splits a skewed key on the
-    large side of that join.
+    A delta row of version v survives iff v is the largest version carrying
+    its key and no version d > v in which the table is present deletes the
+    key.  A current row survives iff no delta row and no live delete carries
+    its key.  So the (large) current table only meets an anti-join against
+    the delta key set, which AQE broadcasts when its measured size allows;
+    the deltas go through one aggregate over ``(key, version)`` pairs
+    (map-side combined, so a hot key is reduced before the shuffle) and one
+    equi-join back, whose skewed partitions AQE can split.  No window, so no
+    key's rows are ever forced into one task.
     """
-    rows = deltas
-    if current is not None:
-        rows = align_union(current.withColumn(version_col, F.lit(-1)), deltas)
-    rows = rows.withColumn(version_col, q(version_col).cast("int"))
     kcols = [q(k) for k in keys]
-    ups = rows.select(*kcols, q(version_col).alias("_up"), F.lit(None).cast("int").alias("_del"))
-    parts = [ups]
+    deltas = deltas.withColumn(version_col, q(version_col).cast("int"))
+    parts = [deltas.select(*kcols, q(version_col).alias("_up"), F.lit(None).cast("int").alias("_del"))]
     if deletes is not None:
         live_deletes = deletes.join(present.select(q(version_col)).distinct(), version_col, "left_semi")
         parts.append(live_deletes.select(*kcols, F.lit(None).cast("int").alias("_up"),
@@ -180,9 +179,12 @@ def bulk_merge(current: DataFrame | None, deltas: DataFrame, deletes: DataFrame
     marks = (reduce(DataFrame.unionByName, parts)
              .groupBy(*kcols)
              .agg(F.max("_up").alias("_mv"), F.max("_del").alias("_dv")))
-    r, m = rows.alias("r"), marks.alias("m")
+    r, m = deltas.alias("r"), marks.alias("m")
     cond = reduce(operator.and_, [r[f"`{k}`"].eqNullSafe(m[f"`{k}`"]) for k in keys])
     cond = cond & (r[f"`{version_col}`"] == m["_mv"])
-    joined = r.join(m, cond, "inner")
     keep = m["_dv"].isNull() | (m["_dv"] <= r[f"`{version_col}`"])
-    return joined.filter(keep).select(*[r[f"`{c}`"] for c in rows.columns])
+    survivors = r.join(m, cond, "inner").filter(keep).select(*[r[f"`{c}`"] for c in deltas.columns])
+    if current is None:
+        return survivors
+    kept = remove_keys(current, marks.select(*kcols), keys).withColumn(version_col, F.lit(-1))
+    return align_union(kept, survivors)

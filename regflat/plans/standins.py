@@ -37,7 +37,7 @@ from regflat.sources.codes import code_counts, read_codes, write_codes
 from regflat.sources.landing import (daily_versions, inventory, landed_tables, order_versions,
                                      unlanded)
 from regflat.sources.manifest import anchors, concat_parts, manifest_rows, sort_manifest
-from regflat.sources.xml_records import XML_OPTIONS, parse_records, read_xml, write_xml
+from regflat.sources.xml_records import as_text_schema, parse_records, read_xml, write_xml
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -224,9 +224,9 @@ def orders_versions(spark, sf):
     """Versions = order years; current = status P; upserts = status O (the
     table is absent from the newest year); deletes = urgent F customers."""
     o = t(spark, sf, "orders").withColumn(VERSION_COL, F.year("o_orderdate").cast("int"))
-    last = o.agg(F.max(VERSION_COL).alias("m"))
+    last = o.select(F.max(VERSION_COL)).scalar()  # scalar subquery, planned by Spark
     current = o.filter(q("o_orderstatus") == "P").drop(VERSION_COL)
-    ups = (o.filter(q("o_orderstatus") == "O").join(last, q(VERSION_COL) < F.col("m"), "left_semi"))
+    ups = o.filter((q("o_orderstatus") == "O") & (q(VERSION_COL) < last))
     present = ups.select(VERSION_COL).distinct()
     dels = (o.filter((q("o_orderstatus") == "F") & (q("o_orderpriority") == "1-URGENT"))
             .select("o_custkey", VERSION_COL))
@@ -269,10 +269,26 @@ def split_deletes_query(spark, sf):
 
 
 # ----------------------------------------------------------- XML ----------
-def _land_xml(spark, df: DataFrame, row_tag: str, purpose: str) -> str:
+_LANDED: dict[tuple, tuple[str, T.StructType]] = {}
+
+
+def _land_xml(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> tuple[str, T.StructType]:
+    """Land stand-in records as XML once per process (the "download"), and
+    keep their reading schema, as a pipeline stores it beside the ledger."""
+    import os
+    key = (purpose, sf, row_tag)
+    hit = _LANDED.get(key)
+    if hit and os.path.isdir(hit[0].removeprefix("file:")):
+        return hit
     path = work_dir(spark, purpose)
     write_xml(df, path, row_tag, row_tag + "s", mode="overwrite")
-    return path
+    _LANDED[key] = (path, as_text_schema(df.schema))
+    return _LANDED[key]
+
+
+def _read_landed(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> DataFrame:
+    path, schema = _land_xml(spark, df, row_tag, purpose, sf)
+    return read_xml(spark, path, row_tag, schema)
 
 
 @query("xml_scan_flatten", """
@@ -287,7 +303,7 @@ def xml_scan_flatten(spark, sf):
     recs = o.join(l, l.l_orderkey == o.o_orderkey).select(
         "o_orderkey", "o_custkey", "o_orderstatus", ymd(q("o_orderdate")).alias("o_orderdate"),
         F.array(F.struct("l_linenumber", "l_quantity", "l_returnflag")).alias("line"))
-    flat = flatten_fully(read_xml(spark, _land_xml(spark, recs, "order", "xml-scan"), "order"))
+    flat = flatten_fully(_read_landed(spark, recs, "order", "xml-scan", sf))
     return flat.select(q("o_orderkey").cast("bigint").alias("o_orderkey"),
                        q("o_custkey").cast("bigint").alias("o_custkey"), "o_orderstatus", "o_orderdate",
                        q("line|l_linenumber").cast("int").alias("line|l_linenumber"),
@@ -304,7 +320,7 @@ def xml_attribute_text(spark, sf):
     recs = p.select("p_partkey",
                     F.struct(q("p_name").alias("#text"), q("p_brand").alias("@brand")).alias("p_name"),
                     F.struct(q("p_type").alias("#text"), q("p_size").alias("@size")).alias("p_type"))
-    flat = flatten_fully(read_xml(spark, _land_xml(spark, recs, "part", "xml-attr"), "part"))
+    flat = flatten_fully(_read_landed(spark, recs, "part", "xml-attr", sf))
     flat = clean_names(flat, EM_NAMES)
     return flat.select(q("p_partkey").cast("bigint").alias("p_partkey"), q("p_name|text"),
                        q("p_name|brand"), q("p_type|text"),
@@ -321,7 +337,7 @@ def em_records(spark, sf) -> DataFrame:
         q("o_orderpriority").alias("MarkFeature"),
         F.struct(F.struct(q("l_linenumber").alias("LineNumber"),
                           q("l_quantity").alias("Quantity")).alias("Line")).alias("LineDetails"))
-    return read_xml(spark, _land_xml(spark, recs, "TradeMark", "xml-em"), "TradeMark")
+    return _read_landed(spark, recs, "TradeMark", "xml-em", sf)
 
 
 def em_tables(spark, sf) -> dict[str, DataFrame]:
@@ -370,7 +386,7 @@ def partial_subtree(spark, sf):
         F.struct(F.struct(q("l_returnflag").alias("StageCode"),
                           q("l_linestatus").alias("StageStatus")).alias("Stage")).alias("StageBag"))
         .alias("Proceeding")).alias("ProceedingBag"))
-    df = read_xml(spark, _land_xml(spark, recs, "Trademark", "xml-partial"), "Trademark")
+    df = _read_landed(spark, recs, "Trademark", "xml-partial", sf)
     how = Cleaning(CA_NAMES, CA_DROP, tuple(ISO_TYPE_RULES), rename_prefixes=True)
     keys = ["ApplicationNumber"]
     part = extract_partial(df, "ProceedingBag", keys, 2, how)            # N4
@@ -401,7 +417,7 @@ def us_records(spark, sf) -> DataFrame:
                  .alias("priority-in")).alias("case-file-header"),
         F.struct(F.filter(F.array(first, second), lambda x: x.isNotNull()).alias("classification"))
         .alias("classifications"))
-    return read_xml(spark, _land_xml(spark, recs, "case-file", "xml-us"), "case-file")
+    return _read_landed(spark, recs, "case-file", "xml-us", sf)
 
 
 @query("us_case_file_header", """

@@ -50,5 +50,26 @@ def parse_records(df: DataFrame, column: str, schema: T.StructType,
 
 
 def record_schema(spark: SparkSession, landed_path: str, row_tag: str) -> T.StructType:
-    """Infer the nesting of one landed version (strings at the leaves)."""
+    """Infer the nesting of one landed version (strings at the leaves).
+
+    A full pass over the input: do it once, store the result beside the
+    ledger and pass it to :func:`read_xml` from then on."""
     return read_xml(spark, landed_path, row_tag).schema
+
+
+def as_text_schema(dtype: T.DataType) -> T.DataType:
+    """The XML reading schema of a nested type: same nesting, string leaves."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, as_text_schema(f.dataType), True) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(as_text_schema(dtype.elementType), True)
+    return T.StringType()
+
+
+def schema_to_json(schema: T.StructType) -> str:
+    """Serialise a stored record schema (kept beside the ledger)."""
+    return schema.json()
+
+
+def schema_from_json(text: str) -> T.StructType:
+    return T.StructType.fromJson(__import__("json").loads(text))
