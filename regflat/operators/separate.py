@@ -29,6 +29,8 @@ class Cleaning:
     drop: DropRules | None = None
     types: tuple[TypeRule, ...] = ()
     rename_prefixes: bool = False
+    distinct: bool = True          # D1 on every separated table
+    null_rule: str = "nonkey"      # F5 "nonkey": all-null outside keys; F6 "all": all-null everywhere
 
 
 def _tidy(df: DataFrame, table: str | None, how: Cleaning) -> DataFrame:
@@ -40,10 +42,10 @@ def _tidy(df: DataFrame, table: str | None, how: Cleaning) -> DataFrame:
     return df
 
 
-def _finish(df: DataFrame, keys: Sequence[str], how: Cleaning, distinct: bool = True) -> DataFrame:
-    df = drop_null_rows(df, keys)
+def _finish(df: DataFrame, keys: Sequence[str], how: Cleaning) -> DataFrame:
+    df = drop_null_rows(df, keys if how.null_rule == "nonkey" else ())
     df = apply_type_rules(df, list(how.types))
-    return df.dropDuplicates() if distinct else df
+    return df.dropDuplicates() if how.distinct else df
 
 
 def extract_partial(df: DataFrame, column: str, keys: Sequence[str], n_steps: int,

@@ -32,7 +32,9 @@ class OfficeSpec:
     separate: Callable[[DataFrame], dict[str, DataFrame]]
     flag: str | None = None
     delete_literal: str | None = None
-    dedupe_new: bool = False
+    # D1 at merge time, after helper columns are dropped: True = every
+    # table, or a tuple of table names.
+    dedupe_at_merge: bool | tuple[str, ...] = False
     helper_columns: tuple[str, ...] = ()
     skip_tables: tuple[str, ...] = ()
     publish_folder: str = "open"
@@ -41,7 +43,7 @@ class OfficeSpec:
 
 
 # ------------------------------------------------------------------ US -----
-US_CLEAN = Cleaning(US_NAMES, None, tuple(US_TYPE_RULES))
+US_CLEAN = Cleaning(US_NAMES, None, tuple(US_TYPE_RULES), distinct=False)
 US_KEYS = ("serial-number",)
 
 
@@ -52,10 +54,9 @@ def separate_us(df: DataFrame) -> dict[str, DataFrame]:
 
 US = OfficeSpec(
     office="us", row_tag="case-file", keys=US_KEYS, separate=separate_us,
-    helper_columns=US_UNNECESSARY,
+    helper_columns=US_UNNECESSARY, dedupe_at_merge=("classifications",),
     # Fixed value: the event-statement table is left out of the merge (size).
     skip_tables=("case-file-event-statements",),
-    extra={"dedupe_tables": ("classifications",)},
 )
 
 # ------------------------------------------------------------------ CA -----
@@ -146,9 +147,10 @@ def separate_ca(df: DataFrame) -> dict[str, DataFrame]:
 
 
 CA = OfficeSpec(
-    office="ca", row_tag="tmk:Trademark", keys=CA_KEYS,
+    # tables carry CA_KEYS; the merge matches on the application number only
+    office="ca", row_tag="tmk:Trademark", keys=("ApplicationNumber",),
     separate=lambda df: separate_ca(normalise_ca_record(df)),
-    flag="operationCategory", delete_literal="delete", dedupe_new=True,
+    flag="operationCategory", delete_literal="delete", dedupe_at_merge=True,
     helper_columns=("operationCategory",),
 )
 
@@ -191,7 +193,7 @@ def separate_em(df: DataFrame, main: str = "TradeMark", key: str = "ApplicationN
 
 EM = OfficeSpec(
     office="em", row_tag="TradeMark", keys=("ApplicationNumber",), separate=separate_em,
-    flag="operationCode", delete_literal="Delete", dedupe_new=True,
+    flag="operationCode", delete_literal="Delete", dedupe_at_merge=True,
     helper_columns=("operationCode",),
     schemas=("TradeMark", "InternationalRegistration", "Applicant"),
     # Main table and key per EM schema.
@@ -201,7 +203,7 @@ EM = OfficeSpec(
 )
 
 # ------------------------------------------------------------------ GB -----
-GB_CLEAN = Cleaning(GB_NAMES, GB_DROP, tuple(GB_TYPE_RULES))
+GB_CLEAN = Cleaning(GB_NAMES, GB_DROP, tuple(GB_TYPE_RULES), distinct=False, null_rule="all")
 GB_KEYS = ("ApplicationNumber",)
 
 
@@ -224,7 +226,14 @@ OFFICES = {"us": US, "ca": CA, "em": EM, "gb": GB}
 
 def normalise(spec: OfficeSpec, records: DataFrame) -> dict[str, DataFrame]:
     """One version's nested records -> its table family (lazy)."""
-    tables = spec.separate(records)
-    if spec.dedupe_new:
-        tables = {k: v.dropDuplicates() for k, v in tables.items()}
-    return tables
+    return spec.separate(records)
+
+
+def prepare_new_rows(spec: OfficeSpec, table: str, new: DataFrame) -> DataFrame:
+    """P3 + D1 before a merge: drop helper columns, then dedupe where the
+    office does (CA/EM every table, US classifications only, GB never)."""
+    new = drop_present(new, spec.helper_columns)
+    dd = spec.dedupe_at_merge
+    if dd is True or (isinstance(dd, tuple) and table in dd):
+        new = new.dropDuplicates()
+    return new

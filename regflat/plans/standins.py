@@ -28,7 +28,7 @@ from regflat.operators.separate import Cleaning, extract_partial, extract_subtre
 from regflat.plans.applications import applications
 from regflat.plans.catalog import catalog
 from regflat.plans.ledger import latest, next_version as next_version_of, pending
-from regflat.plans.offices import separate_em, separate_us, US
+from regflat.plans.offices import prepare_new_rows, separate_em, separate_us, US
 from regflat.plans.publish import compact_table, save_table
 from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
@@ -442,7 +442,7 @@ SELECT o_orderkey, '0', o_orderstatus FROM orders WHERE o_orderstatus <> 'P'
 """)
 def us_classifications(spark, sf):
     c = separate_us(us_records(spark, sf))["classifications"]
-    c = drop_present(c, US.helper_columns, distinct=True)   # P3 as applied before merge
+    c = prepare_new_rows(US, "classifications", c)   # P3 + D1 as applied before merge
     return c.select(q("serial-number").cast("bigint").alias("serial-number"),
                     q("classification|international-code"), q("classification|status-code"))
 

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regflat.operators.merge import VERSION_COL, align_union, bulk_merge
-from regflat.plans.offices import OfficeSpec, normalise
+from regflat.plans.offices import OfficeSpec, normalise, prepare_new_rows
 from regflat.plans.publish import TARGET_FILE_BYTES, publish_all, save_family
 from regflat.plans.snapshot import SnapshotStore
 from regflat.sources.landing import inventory, table_folder
@@ -53,7 +53,7 @@ def apply_in_order(store: SnapshotStore, spec: OfficeSpec, landing: str,
         # an empty or missing version merges nothing but still advances
         tables = _read_family(spark, landed.get(name, {}))
         deletes = tables.pop("delete", None)
-        tables = {k: v for k, v in tables.items() if k not in spec.skip_tables}
+        tables = {k: prepare_new_rows(spec, k, v) for k, v in tables.items() if k not in spec.skip_tables}
         store.apply_version(name, rank, tables, spec.keys, deletes, spec.helper_columns)
         updated = True
     return updated
@@ -102,13 +102,13 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
     written = {}
     last_rank = todo[-1][1]
     for t in tables:
-        parts = [fam[t].withColumn(VERSION_COL, F.lit(r)) for r, fam in families.items() if t in fam]
+        parts = [prepare_new_rows(spec, t, fam[t]).withColumn(VERSION_COL, F.lit(r))
+                 for r, fam in families.items() if t in fam]
         present = spark.createDataFrame([(r,) for r, fam in families.items() if t in fam],
                                         f"{VERSION_COL} int")
         current = store.current(t)
         if current is not None:
             current = current.drop(*[c for c in spec.helper_columns if c in current.columns])
-        parts = [p.drop(*[c for c in spec.helper_columns if c in p.columns]) for p in parts]
         dels = None
         if deletes_df is not None:
             dels = deletes_df.select(*spec.keys, VERSION_COL)

@@ -65,25 +65,37 @@ def split_records(stream: io.BufferedIOBase, tag: str, encoding: str = "utf-8")
             return
 
 
-def _expander(tag: str, member_suffix: str):
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+MEMBER_SCHEMA = "archive string, member string, size long"
+
+
+def _member_lister(member_suffix: str):
+    """Central directory only: one row per XML member (no decompression)."""
+    def list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path in pdf["path"]:
                 with zipfile.ZipFile(_local(path)) as zf:
-                    for info in zf.infolist():
-                        if info.is_dir() or not info.filename.endswith(member_suffix):
-                            continue
-                        rows = []
-                        with zf.open(info) as fh:
-                            for rec in split_records(fh, tag):
-                                rows.append(rec)
-                                if len(rows) >= 4096:
-                                    yield pd.DataFrame({"archive": path, "member": info.filename,
-                                                        "record": rows})
-                                    rows = []
-                        if rows:
-                            yield pd.DataFrame({"archive": path, "member": info.filename,
-                                                "record": rows})
+                    infos = [i for i in zf.infolist()
+                             if not i.is_dir() and i.filename.endswith(member_suffix)]
+                yield pd.DataFrame({"archive": [path] * len(infos),
+                                    "member": [i.filename for i in infos],
+                                    "size": [i.file_size for i in infos]})
+    return list_members
+
+
+def _expander(tag: str, batch_rows: int = 4096):
+    """Stream each member once, in bounded chunks, one row per record."""
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, member in zip(pdf["archive"], pdf["member"]):
+                with zipfile.ZipFile(_local(path)) as zf, zf.open(member) as fh:
+                    rows = []
+                    for rec in split_records(fh, tag):
+                        rows.append(rec)
+                        if len(rows) >= batch_rows:
+                            yield pd.DataFrame({"archive": path, "member": member, "record": rows})
+                            rows = []
+                    if rows:
+                        yield pd.DataFrame({"archive": path, "member": member, "record": rows})
     return expand
 
 
@@ -96,10 +108,17 @@ def list_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFr
 
 def expand_archives(spark: SparkSession, root: str, row_tag: str, member_suffix: str = ".xml",
                     glob: str = "*.zip", partitions: int | None = None) -> DataFrame:
-    """One row ``(archive, member, record)`` per XML record in the archives."""
-    paths = list_archives(spark, root, glob).select("path")
-    # one archive per task: the listing is tiny, spread it before expanding
-    n = paths.count()
-    paths = paths.repartition(max(1, n), "path")
-    out = paths.mapInPandas(_expander(row_tag, member_suffix), RECORD_SCHEMA)
+    """One row ``(archive, member, record)`` per XML record in the archives.
+
+    Stage 1 reads only the archives' central directories; stage 2 gives each
+    member its own task (members are compressed independently, so one large
+    archive still spreads over many tasks; a single member's deflate stream is
+    the floor).  The listing is metadata (one row per member); the record rows
+    never pass through the driver.
+    """
+    members = (list_archives(spark, root, glob).select("path")
+               .mapInPandas(_member_lister(member_suffix), MEMBER_SCHEMA))
+    n = members.count()
+    members = members.repartition(max(1, n))  # round-robin: one member per task
+    out = members.mapInPandas(_expander(row_tag), RECORD_SCHEMA)
     return out.repartition(partitions) if partitions else out

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from regflat.operators.flatten import flatten_fully, flatten_once, normalise_struct
 from regflat.operators.rows import drop_all_null_rows, drop_null_rows, live_rows, split_deletes
-from regflat.plans.offices import CA, EM, GB, US, normalise
+from regflat.plans.offices import CA, EM, GB, US, normalise, prepare_new_rows
 from regflat.session import work_dir
 from regflat.sources.archive import split_records
 from regflat.sources.xml_records import read_xml
@@ -78,7 +78,11 @@ def test_us_family_from_xml(spark):
     assert got["1"]["mark-in"] is True and got["2"]["mark-in"] is False
     c = fam["classifications"]
     assert "classification|international-code" in c.columns
-    assert c.count() == 1  # duplicates dropped
+    assert c.count() == 2  # landed as sent
+    merged_in = prepare_new_rows(US, "classifications", c)
+    assert "classification|us-code" not in merged_in.columns and merged_in.count() == 1
+    owners = prepare_new_rows(US, "case-file-owners", fam["case-file-owners"])
+    assert owners.count() == 1
 
 
 CA_XML = """<tmk:TrademarkBag xmlns:tmk="t" xmlns:com="c">
@@ -152,6 +156,7 @@ def test_gb_family_from_xml(spark):
     df = read_xml(spark, _land(spark, GB_XML, "gb-xml"), GB.row_tag)
     fam = normalise(GB, df)
     assert set(fam) == {"MarkSeriesDetails", "Application"}
+    assert fam["Application"].count() == 1
     ms = fam["MarkSeriesDetails"]
     assert ms.columns == ["ApplicationNumber", "MarkSeriesDetails|MarkSeriesItem|MarkImageText"]
     app = fam["Application"].select(F.col("ApplicationDateTime").cast("timestamp_ntz")).first()[0]
