@@ -51,3 +51,9 @@ def applications(frames: Mapping[str, DataFrame],
         p = office_projection(df, office, columns[office])
         out = p if out is None else out.unionByName(p)
     return out
+
+
+def write_applications(frames: Mapping[str, DataFrame], path: str) -> None:
+    """Publish the unified table (INT96 timestamps, sized files)."""
+    from regflat.plans.publish import compact_table
+    compact_table(applications(frames), path, int96=True)

@@ -15,7 +15,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regflat.operators.merge import update_table
 from regflat.plans.ledger import append_ledger, read_ledger
-from regflat.plans.publish import TARGET_FILE_BYTES, save_table
+from regflat.plans.publish import TARGET_FILE_BYTES, save_table, session_conf
+
+# Runtime (AQE) broadcast limit for merge writes: a key set of this size is
+# ~10M keys, small enough to ship to every executor.
+MERGE_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 class SnapshotStore:
@@ -55,8 +59,15 @@ class SnapshotStore:
 
     def write_snapshot(self, table: str, rank: int, df: DataFrame,
                        target_bytes: int = TARGET_FILE_BYTES) -> str:
+        """Write a merged table.  During the write, AQE may broadcast a
+        join side whose *measured* size is under ``MERGE_BROADCAST_BYTES``
+        (the distinct delta keys of a daily version), so the large current
+        table is anti-joined map-side instead of shuffled; above it the
+        sort-merge join with skew splitting stays."""
         path = self.snapshot_path(table, rank)
-        save_table(df, path, target_bytes, mode="overwrite")
+        with session_conf(self.spark, {"spark.sql.adaptive.autoBroadcastJoinThreshold":
+                                       str(MERGE_BROADCAST_BYTES)}):
+            save_table(df, path, target_bytes, mode="overwrite")
         return path
 
     def commit(self, version: str, rank: int, written: Mapping[str, str]) -> None:

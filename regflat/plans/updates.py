@@ -126,3 +126,25 @@ def publish_if_updated(store: SnapshotStore, updated: bool, folder: str,
         return {}
     tables = {t: store.spark.read.parquet(p) for t, p in store.committed().items()}
     return publish_all(store.spark, tables, folder, target_bytes)
+
+
+def run_office(spark: SparkSession, spec: OfficeSpec, xml_versions: Sequence[tuple[str, int, str]],
+               landing: str, store_root: str, publish_folder: str | None = None,
+               single_pass: bool = True, schema=None) -> Mapping[str, str]:
+    """L1 -> L3 (fold or single pass) -> L6 for one office.
+
+    ``xml_versions``: ``[(version, rank, xml_path)]`` in any order; versions
+    already landed are not landed again (F8), versions already in the ledger
+    are not applied again.
+    """
+    store = SnapshotStore(spark, store_root, spec.office)
+    landed = landed_families(spark, landing, spec.office)
+    for version, _rank, path in xml_versions:
+        if version not in landed:
+            land_version(spark, spec, path, landing, version, schema)
+    order = [(v, r) for v, r, _ in xml_versions]
+    apply = apply_in_one_pass if single_pass else apply_in_order
+    updated = apply(store, spec, landing, order)
+    if publish_folder is None:
+        return {}
+    return publish_if_updated(store, updated, publish_folder)
