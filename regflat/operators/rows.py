@@ -27,8 +27,8 @@ def live_rows(df: DataFrame, flag: str, literal: str) -> DataFrame:
 
 def filter_equals(df: DataFrame, column: str, value: str) -> DataFrame:
     """rows whose column equals ``value`` (null never matches)."""
-    if column not in df.columns:
-        return df.limit(0)
+    if column not in df.columns:  # a missing column gives an empty table
+        return df.filter(F.lit(False))
     return df.filter(q(column) == F.lit(value))
 
 
@@ -39,7 +39,7 @@ def drop_null_rows(df: DataFrame, except_columns: Sequence[str] = ()) -> DataFra
     """
     subset = [c for c in df.columns if c not in set(except_columns)]
     if not subset:
-        return df.limit(0)
+        return df.filter(F.lit(False))
     return df.filter(reduce(operator.or_, [q(c).isNotNull() for c in subset]))
 
 

@@ -851,7 +851,7 @@ def int96_roundtrip(spark, sf):
 
 
 @query("catalog_columns", f"""
-SELECT 'testdata' AS folder, table_name AS file, CAST(ordinal_position AS INTEGER) AS position,
+SELECT DISTINCT 'testdata' AS folder, table_name AS file, CAST(ordinal_position AS INTEGER) AS position,
        column_name AS "column"
 FROM information_schema.columns WHERE table_name IN ({", ".join(f"'{x}'" for x in TABLES)})
 """)
