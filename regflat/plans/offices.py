@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from regflat.functions.names import CA_NAMES, EM_NAMES, GB_NAMES, US_NAMES, rename_one
+from regflat.functions.names import CA_NAMES, EM_NAMES, GB_NAMES, US_NAMES, clean_names, rename_one
 from regflat.functions.types import GB_TYPE_RULES, ISO_TYPE_RULES, US_TYPE_RULES
 from regflat.operators.flatten import flatten_once, normalise_struct
 from regflat.operators.prune import CA_DROP, GB_DROP, US_UNNECESSARY, drop_present
@@ -191,15 +191,25 @@ def separate_em(df: DataFrame, main: str = "TradeMark", key: str = "ApplicationN
     return separate_by_suffix(df, em_separation(main, key))
 
 
+def em_spec(schema: str = "TradeMark") -> OfficeSpec:
+    """One EM schema: its row element, main table and key (own ledger schema)."""
+    key = EM_SCHEMA_KEYS[schema]
+    return OfficeSpec(
+        office="em", row_tag=schema, keys=(key,),
+        separate=lambda df: separate_em(clean_names(df, EM_NAMES), main=schema, key=key),
+        flag="operationCode", delete_literal="Delete", dedupe_at_merge=True,
+        helper_columns=("operationCode",), schemas=(schema,))
+
+
+# Main table and key per EM schema.
+EM_SCHEMA_KEYS = {"TradeMark": "ApplicationNumber", "InternationalRegistration": "ApplicationNumber",
+                  "Applicant": "ApplicantIdentifier"}
+
 EM = OfficeSpec(
     office="em", row_tag="TradeMark", keys=("ApplicationNumber",), separate=separate_em,
     flag="operationCode", delete_literal="Delete", dedupe_at_merge=True,
     helper_columns=("operationCode",),
     schemas=("TradeMark", "InternationalRegistration", "Applicant"),
-    # Main table and key per EM schema.
-    extra={"schema_keys": {"TradeMark": "ApplicationNumber",
-                           "InternationalRegistration": "ApplicationNumber",
-                           "Applicant": "ApplicantIdentifier"}},
 )
 
 # ------------------------------------------------------------------ GB -----

@@ -35,6 +35,18 @@ def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing:
         records.unpersist()
 
 
+def land_archives(spark: SparkSession, spec: OfficeSpec, zip_root: str, landing: str, version: str,
+                  schema=None, member_suffix: str = ".xml") -> dict[str, str]:
+    """L1/L2 for zipped versions: expand every member into record rows (one
+    task per member), land them as plain XML text (splittable from then on)
+    and normalise that like any landed XML."""
+    from regflat.session import work_dir
+    from regflat.sources.archive import expand_archives, write_records_as_xml
+    xml_dir = work_dir(spark, f"expanded-{spec.office}-{version}")
+    write_records_as_xml(expand_archives(spark, zip_root, spec.row_tag, member_suffix), xml_dir)
+    return land_version(spark, spec, xml_dir, landing, version, schema)
+
+
 def apply_in_order(store: SnapshotStore, spec: OfficeSpec, landing: str,
                    versions: Sequence[tuple[str, int]]) -> bool:
     """L3/L4: fold versions after the ledger's latest, one commit each.
@@ -137,7 +149,7 @@ def run_office(spark: SparkSession, spec: OfficeSpec, xml_versions: Sequence[tup
     already landed are not landed again (F8), versions already in the ledger
     are not applied again.
     """
-    store = SnapshotStore(spark, store_root, spec.office)
+    store = SnapshotStore(spark, store_root, spec.office, spec.schemas[0])
     landed = landed_families(spark, landing, spec.office)
     for version, _rank, path in xml_versions:
         if version not in landed:

@@ -99,6 +99,34 @@ def _expander(tag: str, batch_rows: int = 4096):
     return expand
 
 
+ROOT_TAG = "regflat-records"
+
+
+def _framer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Wrap one partition's records in a single root element (holding one
+    batch back to know which record is last)."""
+    held = None
+    for pdf in batches:
+        if len(pdf) == 0:
+            continue
+        recs = pdf["record"].tolist()
+        if held is None:
+            recs[0] = f"<{ROOT_TAG}>" + recs[0]
+        else:
+            yield held
+        held = pd.DataFrame({"record": recs})
+    if held is not None:
+        held.iloc[-1, 0] = held.iloc[-1, 0] + f"</{ROOT_TAG}>"
+        yield held
+
+
+def write_records_as_xml(records: DataFrame, path: str, column: str = "record") -> None:
+    """Land record strings as XML text: one well-formed document per output
+    file (Spark's XML reader needs a root element around several records)."""
+    (records.select(column).toDF("record")
+     .mapInPandas(_framer, "record string").write.text(path))
+
+
 def list_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
     """Archive paths only; the binary content column is never materialised."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)

@@ -52,3 +52,37 @@ def test_us_office_end_to_end(spark):
     assert apps.filter(F.col("application_date").isNull()).count() == 0
     cat = catalog(spark, {"open/us": results[True], "dataset": {"applications": apps_path}})
     assert cat.filter("file = 'applications'").count() == 4
+
+
+def test_ca_versions_from_zip_archives(spark):
+    import zipfile
+    from regflat.plans.offices import CA
+    from regflat.plans.snapshot import SnapshotStore
+    from regflat.plans.updates import apply_in_order, land_archives
+
+    def trademark(num, op, name):
+        return (f'<tmk:Trademark com:operationCategory="{op}"><com:ApplicationNumber><com:ST13ApplicationNumber>'
+                f'{num}</com:ST13ApplicationNumber></com:ApplicationNumber><tmk:ApplicationDate>2019-10-0{num}'
+                f'</tmk:ApplicationDate><tmk:ApplicantBag><tmk:Applicant><com:LegalEntityName>{name}'
+                f'</com:LegalEntityName></tmk:Applicant></tmk:ApplicantBag></tmk:Trademark>')
+
+    landing = work_dir(spark, "ca-landing")
+    for version, body in (("v1", trademark(1, "create", "A") + trademark(2, "create", "B")),
+                          ("v2", trademark(1, "delete", "") + trademark(3, "create", "C"))):
+        root = work_dir(spark, f"ca-zip-{version}")
+        local = root.removeprefix("file:")
+        os.makedirs(local)
+        with zipfile.ZipFile(f"{local}/{version}.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("data.xml", f'<tmk:TrademarkBag xmlns:tmk="t" xmlns:com="c">{body}</tmk:TrademarkBag>')
+        land_archives(spark, CA, root, landing, version)
+    store = SnapshotStore(spark, work_dir(spark, "ca-store"), "ca")
+    assert apply_in_order(store, CA, landing, [("v1", 1), ("v2", 2)])
+    assert rows(store.current("Applicant"), "ApplicationNumber", "LegalEntityName") == [("2", "B"), ("3", "C")]
+    assert rows(store.current("Trademark"), "ApplicationNumber") == [("2",), ("3",)]
+    assert "operationCategory" not in store.current("Trademark").columns
+
+
+def test_em_schema_specs():
+    from regflat.plans.offices import em_spec
+    assert em_spec("Applicant").keys == ("ApplicantIdentifier",)
+    assert em_spec("InternationalRegistration").row_tag == "InternationalRegistration"
