@@ -93,3 +93,16 @@ def test_bulk_plan_has_no_window_and_no_forced_broadcast(spark):
     present = deltas.select(VERSION_COL).distinct()
     plan = bulk_merge(None, deltas, dels, present, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(current=st.lists(st.tuples(keys_st, st.integers(0, 9)), max_size=5),
+       new=st.lists(st.tuples(keys_st, st.integers(0, 9)), max_size=4),
+       dels=st.lists(keys_st, max_size=2))
+def test_reapplying_a_version_is_idempotent(spark, current, new, dels):
+    old = spark.createDataFrame(current, S)
+    n = spark.createDataFrame(new, S)
+    d = spark.createDataFrame([(k,) for k in dels], "k string")
+    once = delete_replace(old, n, d, ["k"])
+    twice = delete_replace(once, n, d, ["k"])
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(map(tuple, twice.collect()), key=repr)
