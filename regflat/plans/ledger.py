@@ -12,8 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# kind: "snapshot" (a full table), "delta" (one version's rows of a table,
+# merge-on-read) or "deletes" (one version's delete keys); null = snapshot.
 LEDGER_SCHEMA = ("office string, schema string, version string, rank int, "
-                 "table string, snapshot string, committed_at timestamp")
+                 "table string, snapshot string, committed_at timestamp, kind string")
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -29,15 +31,19 @@ def append_ledger(spark: SparkSession, path: str, office: str, schema: str,
                   entries: Sequence[tuple[str, int, dict[str, str]]]) -> None:
     """Commit versions by appending one row per touched table.
 
-    ``entries`` is ``[(version, rank, {table: snapshot})]``; all of them are
-    committed by one append, so a multi-version commit is all or nothing.
-    An empty version still advances the ledger (one row with no table).
+    ``entries`` is ``[(version, rank, {table: path})]`` where a path may be
+    given as ``(kind, path)``; all of them are committed by one append, so a
+    multi-version commit is all or nothing.  An empty version still advances
+    the ledger (one row with no table).
     """
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = []
     for version, rank, tables in entries:
-        got = [(office, schema, version, int(rank), t, snap, now) for t, snap in sorted(tables.items())]
-        rows.extend(got or [(office, schema, version, int(rank), None, None, now)])
+        got = []
+        for t, target in sorted(tables.items()):
+            kind, location = target if isinstance(target, tuple) else ("snapshot", target)
+            got.append((office, schema, version, int(rank), t, location, now, kind))
+        rows.extend(got or [(office, schema, version, int(rank), None, None, now, None)])
     spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 

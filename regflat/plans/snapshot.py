@@ -1,10 +1,20 @@
 """Versioned snapshots committed through the ledger.
 
-Each merged table is written to a *new* folder ``<root>/<office>/<table>/v=<rank>``;
-only then is the version appended to the ledger.  Readers resolve a table to
-the newest committed snapshot, so they see the old state until the ledger
-append, and a failure before it leaves nothing to roll back.  No folder is
-ever overwritten while it is read.
+Each written table goes to a *new* folder; only then is the version appended
+to the ledger.  Readers resolve a table through the ledger, so they see the
+old state until the ledger append, and a failure before it leaves nothing to
+roll back.  No folder is ever overwritten while it is read.
+
+Two modes:
+
+* ``rewrite`` (the published behaviour): every version merges into a full
+  new snapshot ``<table>/v=<rank>``.
+* ``merge_on_read``: a version writes only its own rows (``<table>/d=<rank>``)
+  and its delete keys; a reader resolves the table as the single-pass merge of
+  the newest full snapshot and the deltas after it (equal to the ordered fold,
+  see ``bulk_merge``).  Every ``compact_every`` deltas a table is compacted
+  into a new full snapshot.  At 100 TB this turns "rewrite every table for
+  every daily version" into "write the day's rows; rewrite once per k days".
 """
 
 from __future__ import annotations
@@ -13,7 +23,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regflat.operators.merge import update_table
+from regflat.operators.merge import VERSION_COL, align_union, bulk_merge, update_table
 from regflat.plans.ledger import append_ledger, read_ledger
 from regflat.plans.publish import TARGET_FILE_BYTES, save_table, session_conf
 
@@ -23,11 +33,19 @@ MERGE_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, office: str, schema: str = "default"):
+    def __init__(self, spark: SparkSession, root: str, office: str, schema: str = "default",
+                 mode: str = "rewrite", keys: Sequence[str] = (), compact_every: int = 16):
+        if mode not in ("rewrite", "merge_on_read"):
+            raise ValueError(f"unknown mode {mode!r}")
+        if mode == "merge_on_read" and not keys:
+            raise ValueError("merge_on_read needs the merge keys")
         self.spark = spark
         self.root = root.rstrip("/")
         self.office = office
         self.schema = schema
+        self.mode = mode
+        self.keys = tuple(keys)
+        self.compact_every = compact_every
 
     @property
     def ledger_path(self) -> str:
@@ -37,22 +55,64 @@ class SnapshotStore:
         return read_ledger(self.spark, self.ledger_path).filter(
             (F.col("office") == self.office) & (F.col("schema") == self.schema))
 
+    def _entries(self) -> list:
+        """Committed ledger rows of this office/schema (metadata: one row per
+        version and table)."""
+        return [r for r in self.ledger().filter(F.col("table").isNotNull())
+                .select("rank", "table", "snapshot", "kind").collect()]
+
     def committed(self) -> dict[str, str]:
-        """table -> snapshot path of its newest committed version.
+        """table -> path of its newest committed full snapshot."""
+        best: dict[str, tuple[int, str]] = {}
+        for r in self._entries():
+            if (r["kind"] or "snapshot") == "snapshot" and (r["table"] not in best or r["rank"] >= best[r["table"]][0]):
+                best[r["table"]] = (r["rank"], r["snapshot"])
+        return {t: p for t, (_, p) in best.items()}
 
-        The ledger holds one row per (version, table): small metadata."""
-        rows = (self.ledger().filter(F.col("table").isNotNull())
-                .groupBy("table").agg(F.max_by("snapshot", "rank").alias("snapshot"))
-                .collect())
-        return {r["table"]: r["snapshot"] for r in rows}
+    def tables(self) -> list[str]:
+        return sorted({r["table"] for r in self._entries() if (r["kind"] or "snapshot") != "deletes"})
 
     def latest_rank(self) -> int | None:
         r = self.ledger().agg(F.max("rank").alias("m")).collect()[0]["m"]
         return None if r is None else int(r)
 
+    def _layers(self, table: str):
+        entries = self._entries()
+        base_rank, base = -1, None
+        for r in entries:
+            if r["table"] == table and (r["kind"] or "snapshot") == "snapshot" and r["rank"] >= base_rank:
+                base_rank, base = r["rank"], r["snapshot"]
+        deltas = sorted((r["rank"], r["snapshot"]) for r in entries
+                        if r["table"] == table and r["kind"] == "delta" and r["rank"] > base_rank)
+        dels = sorted((r["rank"], r["snapshot"]) for r in entries
+                      if r["kind"] == "deletes" and r["rank"] > base_rank)
+        return base, deltas, dels
+
     def current(self, table: str) -> DataFrame | None:
-        snap = self.committed().get(table)
-        return None if snap is None else self.spark.read.parquet(snap)
+        """The table as of the ledger's latest commit."""
+        base, deltas, dels = self._layers(table)
+        base_df = None if base is None else self.spark.read.parquet(base)
+        if not deltas:
+            return base_df
+        read = self.spark.read.parquet
+        rows = align_union(*[read(p).withColumn(VERSION_COL, F.lit(r)) for r, p in deltas])
+        present_ranks = {r for r, _ in deltas}
+        del_parts = [read(p).select(*self.keys).withColumn(VERSION_COL, F.lit(r))
+                     for r, p in dels if r in present_ranks]
+        deletes = align_union(*del_parts) if del_parts else None
+        present = self.spark.createDataFrame([(r,) for r in sorted(present_ranks)], f"{VERSION_COL} int")
+        return bulk_merge(base_df, rows, deletes, present, self.keys).drop(VERSION_COL)
+
+    def compact(self, table: str, target_bytes: int = TARGET_FILE_BYTES) -> str | None:
+        """Fold the deltas of ``table`` into a new full snapshot (merge-on-read)."""
+        base, deltas, _ = self._layers(table)
+        if not deltas:
+            return base
+        rank = deltas[-1][0]
+        version = self.ledger().filter(F.col("rank") == rank).select("version").first()["version"]
+        path = self.write_snapshot(table, rank, self.current(table), target_bytes)
+        self.commit(version, rank, {table: ("snapshot", path)})
+        return path
 
     def snapshot_path(self, table: str, rank: int) -> str:
         return f"{self.root}/{self.office}/{self.schema}/{table}/v={rank}"
@@ -85,6 +145,8 @@ class SnapshotStore:
         ``fail_before_commit`` simulates a crash between the table writes and
         the ledger append (used by recovery tests).
         """
+        if self.mode == "merge_on_read":
+            return self._append_version(version, rank, tables, deletes, helper_columns, fail_before_commit)
         written = {}
         for name, new in tables.items():
             merged = update_table(self.current(name), new, keys, deletes, helper_columns)
@@ -93,3 +155,24 @@ class SnapshotStore:
             raise RuntimeError(f"simulated failure before committing version {version}")
         self.commit(version, rank, written)
         return written
+
+    def _append_version(self, version, rank, tables, deletes, helper_columns, fail_before_commit):
+        """merge_on_read: write the version's rows and delete keys only."""
+        base = f"{self.root}/{self.office}/{self.schema}"
+        written: dict[str, tuple[str, str]] = {}
+        for name, new in tables.items():
+            new = new.drop(*[c for c in helper_columns if c in new.columns])
+            path = f"{base}/{name}/d={rank}"
+            save_table(new, path, mode="overwrite")
+            written[name] = ("delta", path)
+        if deletes is not None and tables:
+            path = f"{base}/_deletes/d={rank}"
+            save_table(deletes.select(*self.keys), path, mode="overwrite")
+            written["delete"] = ("deletes", path)
+        if fail_before_commit:
+            raise RuntimeError(f"simulated failure before committing version {version}")
+        self.commit(version, rank, written)
+        for name in tables:
+            if len(self._layers(name)[1]) >= self.compact_every:
+                self.compact(name)
+        return {k: v[1] for k, v in written.items()}

@@ -880,6 +880,33 @@ def snapshot_commit(spark, sf):
     return store.current("customer")
 
 
+@query("merge_on_read_commit", """
+SELECT c_custkey, c_name, c_nationkey,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN c_acctbal + 2
+            WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+       c_mktsegment
+FROM customer WHERE c_mktsegment = 'AUTOMOBILE' OR c_nationkey NOT IN (1, 2)
+""")
+def merge_on_read_commit(spark, sf):
+    """Deltas only on write, single-pass merge on read, compaction every 2."""
+    c = t(spark, sf, "customer")
+    keys = ["c_custkey"]
+    store = SnapshotStore(spark, work_dir(spark, "mor"), "xx", mode="merge_on_read", keys=keys,
+                          compact_every=2)
+    store.apply_version("v1", 1, {"customer": c}, keys)
+    building = c.filter(q("c_mktsegment") == "BUILDING").withColumn("c_acctbal", q("c_acctbal") + 1)
+    store.apply_version("v2", 2, {"customer": building}, keys)          # compacts (2 deltas)
+    auto = c.filter(q("c_mktsegment") == "AUTOMOBILE").withColumn("c_acctbal", q("c_acctbal") + 2)
+    dels = c.filter(q("c_nationkey").isin(1, 2)).select("c_custkey")
+    store.apply_version("v3", 3, {"customer": auto}, keys, dels)        # delete + re-send
+    try:
+        store.apply_version("v4", 4, {"customer": c.filter(F.lit(False))}, keys, c.select("c_custkey"),
+                            fail_before_commit=True)
+    except RuntimeError:
+        pass  # v4 never committed: its delete-everything is invisible
+    return store.current("customer")
+
+
 # ----------------------------------------------------------- S6 F7 K3 -----
 @query("landing_inventory", """
 SELECT DISTINCT 'o' || substr(o_orderpriority, 1, 1) AS office, strftime(o_orderdate, '%Y') AS version,

@@ -136,20 +136,22 @@ def publish_if_updated(store: SnapshotStore, updated: bool, folder: str,
     """Publish only when something merged."""
     if not updated:
         return {}
-    tables = {t: store.spark.read.parquet(p) for t, p in store.committed().items()}
+    tables = {t: store.current(t) for t in store.tables()}
     return publish_all(store.spark, tables, folder, target_bytes)
 
 
 def run_office(spark: SparkSession, spec: OfficeSpec, xml_versions: Sequence[tuple[str, int, str]],
                landing: str, store_root: str, publish_folder: str | None = None,
-               single_pass: bool = True, schema=None) -> Mapping[str, str]:
+               single_pass: bool = True, schema=None, mode: str = "rewrite",
+               compact_every: int = 16) -> Mapping[str, str]:
     """L1 -> L3 (fold or single pass) -> L6 for one office.
 
     ``xml_versions``: ``[(version, rank, xml_path)]`` in any order; versions
     already landed are not landed again (F8), versions already in the ledger
     are not applied again.
     """
-    store = SnapshotStore(spark, store_root, spec.office, spec.schemas[0])
+    store = SnapshotStore(spark, store_root, spec.office, spec.schemas[0], mode=mode, keys=spec.keys,
+                          compact_every=compact_every)
     landed = landed_families(spark, landing, spec.office)
     for version, _rank, path in xml_versions:
         if version not in landed:

@@ -34,11 +34,11 @@ def test_us_office_end_to_end(spark):
     v2 = _xml(spark, "us2", _case(2, "20200102", "700", ["41"]) + _case(3, "20200103", "600"))
     versions = [("200101", 1, v1), ("200102", 2, v2)]
     results = {}
-    for single in (True, False):
+    for single, mode in ((True, "rewrite"), (False, "rewrite"), (False, "merge_on_read")):
         landing = work_dir(spark, "landing")
         out = run_office(spark, US, versions, landing, work_dir(spark, "store"), work_dir(spark, "up"),
-                         single_pass=single)
-        results[single] = out
+                         single_pass=single, mode=mode)
+        results.setdefault(single, out)
         header = spark.read.parquet(out["case-file-header"])
         assert rows(header, "serial-number", "status-code") == [("1", "600"), ("2", "700"), ("3", "600")]
         cls = spark.read.parquet(out["classifications"])
