@@ -34,8 +34,8 @@ from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives
 from regflat.sources.codes import code_counts, read_codes, write_codes
-from regflat.sources.landing import (daily_versions, inventory, landed_tables, order_versions,
-                                     unlanded)
+from regflat.sources.landing import (daily_versions, historical_versions, inventory, landed_tables,
+                                     order_versions, unlanded)
 from regflat.sources.manifest import anchors, concat_parts, manifest_rows, sort_manifest
 from regflat.sources.xml_records import as_text_schema, parse_records, read_xml, write_xml
 
@@ -711,6 +711,17 @@ def version_calendar(spark, sf):
         .select("version", (F.col("p") + 1).alias("rank"))
 
 
+@query("historical_versions", """
+SELECT lpad(CAST(i AS VARCHAR), 2, '0') AS version, CAST(i AS INTEGER) AS rank
+FROM (SELECT unnest(generate_series(1, (SELECT count(DISTINCT year(o_orderdate)) FROM orders))) AS i)
+""")
+def historical_versions_query(spark, sf):
+    """The historical series ``01``..``n``, n = the years present in orders."""
+    n = t(spark, sf, "orders").agg(F.countDistinct(F.year("o_orderdate")).cast("int").alias("n"))
+    return n.select(F.posexplode(historical_versions(F.col("n"))).alias("p", "version")) \
+        .select("version", (F.col("p") + 1).alias("rank"))
+
+
 def nation_versions(spark, sf) -> DataFrame:
     n = t(spark, sf, "nation")
     stage = F.when(q("n_regionkey") < 2, F.lit("Full")).otherwise(F.lit("Differential"))
