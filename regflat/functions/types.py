@@ -7,6 +7,7 @@ null; :func:`quality_counts` reports how many values each rule nulled.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -106,9 +107,16 @@ def quality_counts(df: DataFrame, rules: list[TypeRule], table: str) -> DataFram
         f"stack({len(touched)}, {stack}) AS (`column`, `rule`, `n_bad`)")
 
 
+def has_segment(name: str, word: str) -> bool:
+    """``word`` is a whole segment of a flattened, hyphenated name."""
+    return word in re.split(r"[|\-]", name)
+
+
 # Office rule sets (name predicates are the fixed parts of the rules).
+# US dates: the published rule matched the substring "date" (so "update-..."
+# columns were nulled too); we match "date" as a whole name segment.
 US_TYPE_RULES = [
-    TypeRule("us_date", lambda n: "date" in n, compact_date),
+    TypeRule("us_date", lambda n: has_segment(n, "date"), compact_date),
     TypeRule("us_indicator", lambda n: n.endswith("-in"), indicator_tf),
 ]
 ISO_TYPE_RULES = [  # CA and EM

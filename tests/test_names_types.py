@@ -84,3 +84,10 @@ def test_type_rules_leave_containers(spark):
     df = spark.createDataFrame([(("a",),)], "MarkDateDetails struct<x:string>")
     out = apply_type_rules(df, GB_TYPE_RULES)
     assert out.schema == df.schema
+
+
+def test_us_date_rule_is_segment_based(spark):
+    df = spark.createDataFrame([("20200131", "20200131", "x")],
+                               "`filing-date` string, `case-file-header|date-of-x` string, `update-note` string")
+    out = apply_type_rules(df, US_TYPE_RULES)
+    assert [f.dataType.typeName() for f in out.schema.fields] == ["timestamp", "timestamp", "string"]
