@@ -28,11 +28,11 @@ from regflat.operators.separate import Cleaning, extract_partial, extract_subtre
 from regflat.plans.applications import applications
 from regflat.plans.catalog import catalog
 from regflat.plans.ledger import latest, next_version as next_version_of, pending
-from regflat.plans.offices import prepare_new_rows, separate_em, separate_us, US
+from regflat.plans.offices import CA, GB, US, normalise, prepare_new_rows, separate_em, separate_us
 from regflat.plans.publish import compact_table, save_table
 from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
-from regflat.sources.archive import expand_archives
+from regflat.sources.archive import expand_archives, write_records_as_xml
 from regflat.sources.codes import code_counts, read_codes, write_codes
 from regflat.sources.landing import (daily_versions, historical_versions, inventory, landed_tables,
                                      order_versions, unlanded)
@@ -286,6 +286,36 @@ def _land_xml(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> tupl
     return _LANDED[key]
 
 
+def _prefixed(dtype: T.DataType) -> T.DataType:
+    """Schema with ``ns__name`` placeholders turned back into ``ns:name``."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name.replace("__", ":"), _prefixed(f.dataType), True)
+                             for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_prefixed(dtype.elementType), True)
+    return dtype
+
+
+def _read_landed_prefixed(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> DataFrame:
+    """Like :func:`_read_landed` for namespace-prefixed records: Spark's XML
+    writer refuses ``:`` in names, so records are rendered with ``ns__name``
+    placeholders by ``to_xml``, the prefixes restored by a regex, and landed
+    as rooted XML text."""
+    import os
+    key = (purpose, sf, row_tag)
+    hit = _LANDED.get(key)
+    if not (hit and os.path.isdir(hit[0].removeprefix("file:"))):
+        path = work_dir(spark, purpose)
+        xml = F.to_xml(F.struct(*[q(c) for c in df.columns]),
+                       {"rowTag": row_tag.replace(":", "__"), "attributePrefix": "@", "valueTag": "#text"})
+        xml = F.regexp_replace(xml, r"(</?)(tmk|com|cacom|catmk)__", "$1$2:")           # element names
+        xml = F.regexp_replace(xml, r"(\s)(tmk|com|cacom|catmk)__([A-Za-z0-9]+=)", "$1$2:$3")  # attributes
+        write_records_as_xml(df.select(xml.alias("record")), path)
+        _LANDED[key] = (path, _prefixed(as_text_schema(df.schema)))
+        hit = _LANDED[key]
+    return read_xml(spark, hit[0], row_tag, hit[1])
+
+
 def _read_landed(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> DataFrame:
     path, schema = _land_xml(spark, df, row_tag, purpose, sf)
     return read_xml(spark, path, row_tag, schema)
@@ -447,6 +477,126 @@ def us_classifications(spark, sf):
                     q("classification|international-code"), q("classification|status-code"))
 
 
+def ca_records(spark, sf) -> DataFrame:
+    """CA-shaped, namespace-prefixed Trademark records: one per order, the
+    customer as applicant; urgent F orders are deletions."""
+    o, c = t(spark, sf, "orders"), t(spark, sf, "customer")
+    n = lambda name: name.replace(":", "__")  # noqa: E731  placeholder names, see _read_landed_prefixed
+    recs = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.when((q("o_orderstatus") == "F") & (q("o_orderpriority") == "1-URGENT"), F.lit("delete"))
+        .otherwise(F.lit("create")).alias(n("@com:operationCategory")),
+        F.struct(q("o_orderkey").alias(n("com:ST13ApplicationNumber"))).alias(n("com:ApplicationNumber")),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias(n("tmk:ApplicationDate")),
+        F.struct(F.array(F.struct(q("c_name").alias(n("com:LegalEntityName")),
+                                  q("c_mktsegment").alias(n("com:EntitySegment")))).alias(n("tmk:Applicant")))
+        .alias(n("tmk:ApplicantBag")),
+        F.struct(F.struct(
+            F.struct(F.struct(F.substring("o_orderpriority", 1, 1).alias(n("tmk:ClassNumber")))
+                     .alias(n("tmk:ClassDescription"))).alias(n("tmk:ClassDescriptionBag")),
+            q("o_orderpriority").alias(n("tmk:Note"))).alias(n("tmk:GoodsServices"))).alias(n("tmk:GoodsServicesBag")),
+        F.struct(F.struct(F.struct(q("o_orderstatus").alias(n("tmk:MarkEventCategory")))
+                          .alias(n("tmk:NationalMarkEvent"))).alias(n("tmk:MarkEvent"))).alias(n("tmk:MarkEventBag")))
+    return _read_landed_prefixed(spark, recs, "tmk:Trademark", "xml-ca", sf)
+
+
+def ca_tables(spark, sf) -> dict[str, DataFrame]:
+    return normalise(CA, ca_records(spark, sf))
+
+
+CA_LIVE_SQL = """FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE NOT (o.o_orderstatus = 'F' AND o.o_orderpriority = '1-URGENT')"""
+
+
+@query("ca_trademark", f"""
+SELECT 'create' AS operationCategory, CAST(o_orderkey AS VARCHAR) AS ApplicationNumber,
+       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS ApplicationDate {CA_LIVE_SQL}
+""")
+def ca_trademark(spark, sf):
+    return naive(ca_tables(spark, sf)["Trademark"])
+
+
+@query("ca_applicant", f"""
+SELECT 'create' AS operationCategory, CAST(o_orderkey AS VARCHAR) AS ApplicationNumber,
+       c_name AS LegalEntityName, c_mktsegment AS EntitySegment {CA_LIVE_SQL}
+""")
+def ca_applicant(spark, sf):
+    return ca_tables(spark, sf)["Applicant"]
+
+
+@query("ca_goods_services", f"""
+SELECT 'create' AS operationCategory, CAST(o_orderkey AS VARCHAR) AS ApplicationNumber,
+       substr(o_orderpriority, 1, 1) AS ClassNumber, o_orderpriority AS Note {CA_LIVE_SQL}
+""")
+def ca_goods_services(spark, sf):
+    fam = ca_tables(spark, sf)
+    classes = fam["GoodsServices.ClassDescription"]
+    return classes.join(fam["GoodsServices"], ["operationCategory", "ApplicationNumber"])
+
+
+# The table prefix is stripped after the partial extract and again when the
+# tree is finished; the second pass removes the first "MarkEvent|" it finds,
+# inside "NationalMarkEvent|", as the published name rule does.
+@query("ca_mark_event", f"""
+SELECT 'create' AS operationCategory, CAST(o_orderkey AS VARCHAR) AS ApplicationNumber,
+       o_orderstatus AS NationalMarkEventCategory {CA_LIVE_SQL}
+""")
+def ca_mark_event(spark, sf):
+    return ca_tables(spark, sf)["MarkEvent"]
+
+
+@query("ca_delete", """
+SELECT 'delete' AS operationCategory, CAST(o_orderkey AS VARCHAR) AS ApplicationNumber
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE o.o_orderstatus = 'F' AND o.o_orderpriority = '1-URGENT'
+""")
+def ca_delete(spark, sf):
+    return ca_tables(spark, sf)["delete"]
+
+
+def gb_records(spark, sf) -> DataFrame:
+    """GB-shaped TradeMark records, one per event."""
+    e = t(spark, sf, "events")
+    offset = F.when(q("event_type") == "click", F.lit("+01:00")).otherwise(F.lit("Z"))
+    recs = e.select(
+        q("event_id").alias("ApplicationNumber"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), offset).alias("ApplicationDateTime"),
+        F.struct(F.struct(q("props").alias("Blob")).alias("MarkImage")).alias("MarkImageDetails"),
+        F.struct(F.struct(q("event_type").alias("Mark3DModelRef"), q("props").alias("MarkImageRef"),
+                          q("event_type").alias("MarkImageText")).alias("MarkSeriesItem"))
+        .alias("MarkSeriesDetails"),
+        F.struct(F.array(F.struct(q("user_id").alias("UserId"), q("value").alias("Value"))).alias("User"))
+        .alias("UserDetails"))
+    return _read_landed(spark, recs, "TradeMark", "xml-gb", sf)
+
+
+@query("gb_application", """
+SELECT CAST(event_id AS VARCHAR) AS ApplicationNumber,
+       date_trunc('second', ts) - CASE WHEN event_type = 'click' THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END
+         AS ApplicationDateTime
+FROM events
+""")
+def gb_application(spark, sf):
+    return naive(normalise(GB, gb_records(spark, sf))["Application"])
+
+
+@query("gb_mark_series", """
+SELECT CAST(event_id AS VARCHAR) AS ApplicationNumber, event_type AS "MarkSeriesDetails|MarkSeriesItem|MarkImageText"
+FROM events
+""")
+def gb_mark_series(spark, sf):
+    return normalise(GB, gb_records(spark, sf))["MarkSeriesDetails"]
+
+
+@query("gb_user_details", """
+SELECT CAST(event_id AS VARCHAR) AS ApplicationNumber, user_id AS "UserDetails|User|UserId",
+       value AS "UserDetails|User|Value" FROM events
+""")
+def gb_user_details(spark, sf):
+    u = normalise(GB, gb_records(spark, sf))["UserDetails"]
+    return u.select("ApplicationNumber", q("UserDetails|User|UserId").cast("bigint").alias("UserDetails|User|UserId"),
+                    q("UserDetails|User|Value").cast("double").alias("UserDetails|User|Value"))
+
+
 # ----------------------------------------------------------- N2 N3 JSON ---
 @query("flatten_cross_product", """
 SELECT c_custkey, n AS names, m AS codes
