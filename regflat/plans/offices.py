@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from regflat.functions.names import CA_NAMES, EM_NAMES, GB_NAMES, US_NAMES, clean_names, rename_one
 from regflat.functions.types import GB_TYPE_RULES, ISO_TYPE_RULES, US_TYPE_RULES
@@ -165,12 +165,23 @@ def _em_goods(main: str):
         from regflat.operators.prune import select_present
         from regflat.operators.rows import filter_equals
         flat = clean_names(flatten_fully(df.select(*[q(k) for k in spec.keys], q(col))), EM_NAMES, col)
-        out = {f"{main}.GoodsServices":
-               select_present(flat, spec.keys, ("ClassNumber", "ClassificationVersion")).dropDuplicates()}
+        keys = [q(k) for k in spec.keys]
+
+        def empty(*cols: str) -> DataFrame:  # R9: a missing column gives an empty table
+            return flat.select(*keys, *[F.lit(None).cast("string").alias(c) for c in cols]).filter(F.lit(False))
+
+        out = {}
+        if "ClassNumber" in flat.columns:
+            out[f"{main}.GoodsServices"] = select_present(
+                flat, spec.keys, ("ClassNumber", "ClassificationVersion")).dropDuplicates()
+        else:
+            out[f"{main}.GoodsServices"] = empty("ClassNumber")
         text, lang = "GoodsServicesDescription|text", "GoodsServicesDescription|languageCode"
-        english = filter_equals(flat, lang, "en")
-        out[f"{main}.GoodsServices.Description"] = select_present(
-            english, spec.keys, (text, lang)).dropDuplicates()
+        if text in flat.columns and lang in flat.columns:
+            out[f"{main}.GoodsServices.Description"] = filter_equals(flat, lang, "en").select(
+                *keys, q(text), q(lang)).dropDuplicates()
+        else:
+            out[f"{main}.GoodsServices.Description"] = empty(text, lang)
         return out
     return handler
 

@@ -405,6 +405,36 @@ def separate_tables_delete(spark, sf):
     return d.select(q("ApplicationNumber").cast("bigint").alias("ApplicationNumber"))
 
 
+def em_goods_records(spark, sf) -> DataFrame:
+    """EM TradeMark records with goods and services: one per part, class =
+    size, descriptions in two languages (name in en, type in fr)."""
+    p = t(spark, sf, "part")
+    desc = F.array(F.struct(q("p_name").alias("#text"), F.lit("en").alias("@languageCode")),
+                   F.struct(q("p_type").alias("#text"), F.lit("fr").alias("@languageCode")))
+    recs = p.select(q("p_partkey").alias("ApplicationNumber"), F.struct(F.array(F.struct(
+        q("p_size").alias("ClassNumber"), q("p_brand").alias("ClassificationVersion"),
+        F.struct(F.struct(desc.alias("GoodsServicesDescription")).alias("ClassDescription"))
+        .alias("ClassDescriptionDetails"))).alias("GoodsServices")).alias("GoodsServicesDetails"))
+    return _read_landed(spark, recs, "TradeMark", "xml-em-goods", sf)
+
+
+@query("em_goods_services", """
+SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS ApplicationNumber, CAST(p_size AS VARCHAR) AS ClassNumber,
+       p_brand AS ClassificationVersion FROM part
+""")
+def em_goods_services(spark, sf):
+    return separate_em(clean_names(em_goods_records(spark, sf), EM_NAMES))["TradeMark.GoodsServices"]
+
+
+@query("em_goods_description", """
+SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS ApplicationNumber, p_name AS "GoodsServicesDescription|text",
+       'en' AS "GoodsServicesDescription|languageCode" FROM part
+""")
+def em_goods_description(spark, sf):
+    fam = separate_em(clean_names(em_goods_records(spark, sf), EM_NAMES))
+    return fam["TradeMark.GoodsServices.Description"]
+
+
 @query("partial_subtree", """
 SELECT DISTINCT l_orderkey AS ApplicationNumber, l_linenumber AS ProceedingIdentifier,
        l_returnflag AS StageCode, l_linestatus AS StageStatus FROM lineitem

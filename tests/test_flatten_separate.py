@@ -174,3 +174,14 @@ def test_split_records_streams_across_chunks():
     finally:
         archive._CHUNK = old
     assert len(got) == 501 and got[0].startswith("<rec id='0'>") and got[-1] == "<rec/>"
+
+
+def test_em_missing_columns_give_empty_tables(spark):
+    from regflat.functions.names import EM_NAMES, clean_names
+    xml = ("<T><TradeMark><ApplicationNumber>1</ApplicationNumber><GoodsServicesDetails><GoodsServices>"
+           "<Other>x</Other></GoodsServices></GoodsServicesDetails></TradeMark></T>")
+    df = clean_names(read_xml(spark, _land(spark, xml, "em-r9"), EM.row_tag), EM_NAMES)
+    fam = normalise(EM, df)
+    assert fam["TradeMark.GoodsServices"].count() == 0
+    assert fam["TradeMark.GoodsServices.Description"].count() == 0
+    assert "ClassNumber" in fam["TradeMark.GoodsServices"].columns
