@@ -16,8 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from regflat.functions.names import CA_NAMES, EM_NAMES, clean_names, rename_one, shorten_prefixes
-from regflat.functions.types import (ISO_TYPE_RULES, US_TYPE_RULES, GB_TYPE_RULES, TypeRule,
-                                     apply_type_rules, quality_counts)
+from regflat.functions.types import (ISO_TYPE_RULES, US_TYPE_RULES, GB_TYPE_RULES, apply_type_rules,
+                                     quality_counts)
 from regflat.operators.flatten import flatten_fully, normalise_struct, q
 from regflat.operators.merge import (VERSION_COL, TableVersion, bulk_merge, delete_replace,
                                      fold_merge, replace_by_key, update_table, align_union)
@@ -435,28 +435,51 @@ def em_goods_description(spark, sf):
     return fam["TradeMark.GoodsServices.Description"]
 
 
-@query("partial_subtree", """
-SELECT DISTINCT l_orderkey AS ApplicationNumber, l_linenumber AS ProceedingIdentifier,
-       l_returnflag AS StageCode, l_linestatus AS StageStatus FROM lineitem
-""")
-def partial_subtree(spark, sf):
+def proceeding_records(spark, sf) -> DataFrame:
+    """Two-level CA-like record: proceedings with stages, one per line item."""
     l = t(spark, sf, "lineitem")
     recs = l.select(q("l_orderkey").alias("ApplicationNumber"), F.struct(F.struct(
         q("l_linenumber").alias("ProceedingIdentifier"),
         F.struct(F.struct(q("l_returnflag").alias("StageCode"),
                           q("l_linestatus").alias("StageStatus")).alias("Stage")).alias("StageBag"))
         .alias("Proceeding")).alias("ProceedingBag"))
-    df = _read_landed(spark, recs, "Trademark", "xml-partial", sf)
-    how = Cleaning(CA_NAMES, CA_DROP, tuple(ISO_TYPE_RULES), rename_prefixes=True)
+    return _read_landed(spark, recs, "Trademark", "xml-partial", sf)
+
+
+PROCEEDING_CLEAN = Cleaning(CA_NAMES, CA_DROP, tuple(ISO_TYPE_RULES), rename_prefixes=True)
+
+
+def proceedings_partial(spark, sf) -> DataFrame:
+    """The proceedings container flattened two steps, names cleaned."""
+    return extract_partial(proceeding_records(spark, sf), "ProceedingBag", ["ApplicationNumber"], 2,
+                           PROCEEDING_CLEAN)
+
+
+@query("partial_subtree", """
+SELECT DISTINCT l_orderkey AS ApplicationNumber, l_linenumber AS ProceedingIdentifier,
+       l_returnflag AS StageCode, l_linestatus AS StageStatus FROM lineitem
+""")
+def partial_subtree(spark, sf):
+    part = proceedings_partial(spark, sf)
     keys = ["ApplicationNumber"]
-    part = extract_partial(df, "ProceedingBag", keys, 2, how)            # N4
-    stages = extract_subtree(part, "StageBag", keys + ["ProceedingIdentifier"], how, null_except=keys)
-    _rest = finish_partial(part.drop("StageBag"), "ProceedingBag", keys, how)  # N6
+    stages = extract_subtree(part, "StageBag", keys + ["ProceedingIdentifier"], PROCEEDING_CLEAN,
+                             null_except=keys)
     return stages.select(q("ApplicationNumber").cast("bigint").alias("ApplicationNumber"),
                          q("ProceedingIdentifier").cast("int").alias("ProceedingIdentifier"),
                          "StageCode", "StageStatus")
 
 
+@query("partial_subtree_rest", """
+SELECT DISTINCT l_orderkey AS ApplicationNumber, l_linenumber AS ProceedingIdentifier FROM lineitem
+""")
+def partial_subtree_rest(spark, sf):
+    """What is left of the container once its sub-tree went to its own table."""
+    rest = finish_partial(proceedings_partial(spark, sf).drop("StageBag"), "ProceedingBag",
+                          ["ApplicationNumber"], PROCEEDING_CLEAN)
+    return rest.select(q("ApplicationNumber").cast("bigint").alias("ApplicationNumber"),
+                       q("ProceedingIdentifier").cast("int").alias("ProceedingIdentifier"))
+
+
 def us_records(spark, sf) -> DataFrame:
     """US-shaped case-file records, one per order, 1 or 2 classifications."""
     o = t(spark, sf, "orders")
