@@ -18,7 +18,7 @@ from regflat.functions.names import NameRules, clean_names, shorten_prefixes
 from regflat.functions.types import TypeRule, apply_type_rules
 from regflat.operators.flatten import flatten_fully, flatten_steps, q
 from regflat.operators.prune import DropRules, drop_by_rules
-from regflat.operators.rows import drop_null_rows
+from regflat.operators.rows import drop_null_rows, live_rows, split_deletes
 
 
 @dataclass(frozen=True)
@@ -106,8 +106,6 @@ class SuffixSeparation:
 
 
 def separate_by_suffix(df: DataFrame, spec: SuffixSeparation) -> dict[str, DataFrame]:
-    from regflat.operators.rows import live_rows, split_deletes
-
     out: dict[str, DataFrame] = {}
     if spec.flag and spec.flag in df.columns:
         out["delete"] = split_deletes(df, spec.flag, spec.delete_literal, spec.keys)

@@ -13,15 +13,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from regflat.functions.names import CA_NAMES, EM_NAMES, GB_NAMES, US_NAMES, clean_names, rename_one
+from regflat.functions.names import (CA_NAMES, EM_NAMES, GB_NAMES, US_NAMES, clean_names, rename_one,
+                                     shorten_prefixes)
 from regflat.functions.types import GB_TYPE_RULES, ISO_TYPE_RULES, US_TYPE_RULES
-from regflat.operators.flatten import flatten_once, normalise_struct
-from regflat.operators.prune import CA_DROP, GB_DROP, US_UNNECESSARY, drop_present
-from regflat.operators.rows import live_rows, split_deletes
+from regflat.operators.flatten import flatten_fully, flatten_once, normalise_struct, q
+from regflat.operators.prune import CA_DROP, GB_DROP, US_UNNECESSARY, drop_by_rules, drop_present, select_present
+from regflat.operators.rows import filter_equals, live_rows, split_deletes
 from regflat.operators.separate import (Cleaning, SuffixSeparation, extract_partial,
                                         extract_subtree, finish_partial, separate_auto,
                                         separate_by_suffix)
-from regflat.operators.flatten import q
 
 
 @dataclass(frozen=True)
@@ -102,8 +102,6 @@ def _ca_proceedings(legal: DataFrame, column: str, table: str, extra_key: str, o
 
 def normalise_ca_record(df: DataFrame) -> DataFrame:
     """Names on the record, then N3 + P11 on the application number."""
-    from regflat.functions.names import clean_names, shorten_prefixes
-    from regflat.operators.prune import drop_by_rules
     raw_key = next((c for c in df.columns if CA_NAMES.clean(c) == "ApplicationNumber"), None)
     if raw_key is not None:
         df = normalise_struct(df, raw_key)
@@ -160,10 +158,6 @@ EM_CLEAN = Cleaning(EM_NAMES, None, tuple(ISO_TYPE_RULES))
 
 def _em_goods(main: str):
     def handler(df: DataFrame, col: str, spec: SuffixSeparation) -> dict[str, DataFrame]:
-        from regflat.functions.names import clean_names
-        from regflat.operators.flatten import flatten_fully
-        from regflat.operators.prune import select_present
-        from regflat.operators.rows import filter_equals
         flat = clean_names(flatten_fully(df.select(*[q(k) for k in spec.keys], q(col))), EM_NAMES, col)
         keys = [q(k) for k in spec.keys]
 
@@ -196,7 +190,6 @@ def em_separation(main: str, key: str) -> SuffixSeparation:
 def separate_em(df: DataFrame, main: str = "TradeMark", key: str = "ApplicationNumber",
                 record_column: str | None = None) -> dict[str, DataFrame]:
     """Narrow to the main record, flatten once, clean names, split by suffix."""
-    from regflat.functions.names import clean_names
     if record_column is not None:  # P12
         df = clean_names(flatten_once(df.select(q(record_column))), EM_NAMES, record_column)
     return separate_by_suffix(df, em_separation(main, key))
@@ -232,7 +225,6 @@ def separate_gb(df: DataFrame) -> dict[str, DataFrame]:
     spec = SuffixSeparation(keys=GB_KEYS, main_table="Application", how=GB_CLEAN,
                             strip_suffix_in_name=False, strip_table_prefix=False,
                             skip=("MarkImageDetails",))
-    from regflat.functions.names import clean_names
     df = clean_names(df, GB_NAMES)
     out = separate_by_suffix(df, spec)
     # GB keeps rows that are non-null anywhere, keys included.

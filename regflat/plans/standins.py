@@ -313,12 +313,26 @@ def _read_landed_prefixed(spark, df: DataFrame, row_tag: str, purpose: str, sf:
         write_records_as_xml(df.select(xml.alias("record")), path)
         _LANDED[key] = (path, _prefixed(as_text_schema(df.schema)))
         hit = _LANDED[key]
-    return read_xml(spark, hit[0], row_tag, hit[1])
+    return _parent(spark, (hit[0],), lambda: read_xml(spark, hit[0], row_tag, hit[1]))
+
+
+_PARENTS: dict[tuple, DataFrame] = {}
+
+
+def _parent(spark, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """The parsed records of one landing, persisted once per session: every
+    table of a family is a projection of the same cached parent (as in
+    ``land_version``), so the XML is parsed once, not once per table."""
+    k = (spark.sparkContext.applicationId, id(spark)) + key
+    hit = _PARENTS.get(k)
+    if hit is None:
+        hit = _PARENTS[k] = build().persist()
+    return hit
 
 
 def _read_landed(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> DataFrame:
     path, schema = _land_xml(spark, df, row_tag, purpose, sf)
-    return read_xml(spark, path, row_tag, schema)
+    return _parent(spark, (path,), lambda: read_xml(spark, path, row_tag, schema))
 
 
 @query("xml_scan_flatten", """
