@@ -94,15 +94,19 @@ class SnapshotStore:
         base_df = None if base is None else self.spark.read.parquet(base)
         if not deltas:
             return base_df
-        read = self.spark.read.parquet
-        rows = align_union(*[read(p).withColumn(VERSION_COL, F.lit(r)) for r, p in deltas])
         present_ranks = {r for r, _ in deltas}
-        del_parts = [read(p).select(*self.keys).withColumn(VERSION_COL, F.lit(r))
-                     for r, p in dels if r in present_ranks]
-        deletes = align_union(*del_parts) if del_parts else None
+        # one read over all delta folders: the ``d=<rank>`` folder is the version
+        rows = self._read_layers([p for _, p in deltas])
+        live = [p for r, p in dels if r in present_ranks]
+        deletes = self._read_layers(live).select(*self.keys, VERSION_COL) if live else None
         present = self.spark.createDataFrame([(r,) for r in sorted(present_ranks)], f"{VERSION_COL} int")
         return bulk_merge(base_df, rows, deletes, present, self.keys).drop(VERSION_COL)
 
+    def _read_layers(self, paths: list[str]) -> DataFrame:
+        base = paths[0].rsplit("/", 1)[0]
+        df = (self.spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*paths))
+        return df.withColumn(VERSION_COL, F.col("d").cast("int")).drop("d")
+
     def compact(self, table: str, target_bytes: int = TARGET_FILE_BYTES) -> str | None:
         """Fold the deltas of ``table`` into a new full snapshot (merge-on-read)."""
         base, deltas, _ = self._layers(table)
