@@ -19,7 +19,7 @@ from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives, write_records_as_xml
 from regflat.sources.landing import inventory, table_folder
-from regflat.sources.xml_records import read_xml
+from regflat.sources.xml_records import load_schema, read_xml, record_schema, store_schema
 
 
 def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing: str,
@@ -27,7 +27,15 @@ def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing:
     """L1: XML records of one version -> its table family as Parquet.
 
     The nested parent is cached once; every table is a projection of it.
+    Without a given schema the version's schema is inferred once (a full
+    pass) and stored beside the landing, so a retry skips the inference.
     """
+    schema_path = f"{landing.rstrip('/')}/_schemas/office={spec.office}/version={version}"
+    if schema is None:
+        schema = load_schema(spark, schema_path)
+    if schema is None:
+        schema = record_schema(spark, xml_path, spec.row_tag)
+        store_schema(spark, schema_path, schema)
     records = read_xml(spark, xml_path, spec.row_tag, schema)
     records = records.persist()
     try:

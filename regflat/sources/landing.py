@@ -14,9 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from regflat.functions.strings import base_name, day_names, padded_numbers
 
-INVENTORY_SCHEMA = "path string, office string, version string, table string, length bigint"
-
-
 def _part(name: str) -> F.Column:
     return F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
 

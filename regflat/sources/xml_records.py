@@ -73,3 +73,20 @@ def schema_to_json(schema: T.StructType) -> str:
 
 def schema_from_json(text: str) -> T.StructType:
     return T.StructType.fromJson(__import__("json").loads(text))
+
+
+def store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep a version's reading schema beside the landing (one small text file,
+    written through Spark so any shared storage works)."""
+    spark.createDataFrame([(schema_to_json(schema),)], "s string").coalesce(1) \
+        .write.mode("overwrite").text(path)
+
+
+def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    try:
+        row = spark.read.text(path).first()
+    except Exception as exc:  # nothing stored yet
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            return None
+        raise
+    return None if row is None else schema_from_json(row[0])

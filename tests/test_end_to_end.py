@@ -39,6 +39,9 @@ def test_us_office_end_to_end(spark):
         out = run_office(spark, US, versions, landing, work_dir(spark, "store"), work_dir(spark, "up"),
                          single_pass=single, mode=mode)
         results.setdefault(single, out)
+        from regflat.sources.xml_records import load_schema
+        stored = load_schema(spark, f"{landing}/_schemas/office=us/version=200101")
+        assert stored is not None and "case-file-header" in stored.fieldNames()
         header = spark.read.parquet(out["case-file-header"])
         assert rows(header, "serial-number", "status-code") == [("1", "600"), ("2", "700"), ("3", "600")]
         cls = spark.read.parquet(out["classifications"])
