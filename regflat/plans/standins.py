@@ -32,12 +32,12 @@ from regflat.plans.offices import CA, GB, US, normalise, prepare_new_rows, separ
 from regflat.plans.publish import compact_table, save_table
 from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
-from regflat.sources.archive import expand_archives, write_records_as_xml
+from regflat.sources.archive import expand_archives
 from regflat.sources.codes import code_counts, read_codes, write_codes
 from regflat.sources.landing import (daily_versions, historical_versions, inventory, landed_tables,
                                      order_versions, unlanded)
 from regflat.sources.manifest import anchors, concat_parts, manifest_rows, sort_manifest
-from regflat.sources.xml_records import as_text_schema, parse_records, read_xml, write_xml
+from regflat.sources.xml_records import as_text_schema, parse_records, read_xml
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -274,14 +274,19 @@ _LANDED: dict[tuple, tuple[str, T.StructType]] = {}
 
 def _land_xml(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> tuple[str, T.StructType]:
     """Land stand-in records as XML once per process (the "download"), and
-    keep their reading schema, as a pipeline stores it beside the ledger."""
+    keep their reading schema, as a pipeline stores it beside the ledger.
+
+    Records are rendered by ``to_xml`` on one line each (the stand-in values
+    hold no line breaks) and read back with ``multiLine=false``."""
     import os
     key = (purpose, sf, row_tag)
     hit = _LANDED.get(key)
     if hit and os.path.isdir(hit[0].removeprefix("file:")):
         return hit
     path = work_dir(spark, purpose)
-    write_xml(df, path, row_tag, row_tag + "s", mode="overwrite")
+    xml = F.to_xml(F.struct(*[q(c) for c in df.columns]),
+                   {"rowTag": row_tag, "attributePrefix": "@", "valueTag": "#text", "indent": ""})
+    df.select(F.regexp_replace(xml, r"\n", "").alias("record")).write.text(path)
     _LANDED[key] = (path, as_text_schema(df.schema))
     return _LANDED[key]
 
@@ -299,21 +304,23 @@ def _prefixed(dtype: T.DataType) -> T.DataType:
 def _read_landed_prefixed(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> DataFrame:
     """Like :func:`_read_landed` for namespace-prefixed records: Spark's XML
     writer refuses ``:`` in names, so records are rendered with ``ns__name``
-    placeholders by ``to_xml``, the prefixes restored by a regex, and landed
-    as rooted XML text."""
+    placeholders by ``to_xml`` and the prefixes restored by a regex."""
     import os
     key = (purpose, sf, row_tag)
     hit = _LANDED.get(key)
     if not (hit and os.path.isdir(hit[0].removeprefix("file:"))):
         path = work_dir(spark, purpose)
+        # single-line records (the stand-in values hold no line breaks), one per
+        # text line, read back with multiLine=false: no Python in the path
         xml = F.to_xml(F.struct(*[q(c) for c in df.columns]),
-                       {"rowTag": row_tag.replace(":", "__"), "attributePrefix": "@", "valueTag": "#text"})
+                       {"rowTag": row_tag.replace(":", "__"), "attributePrefix": "@", "valueTag": "#text",
+                        "indent": ""})
         xml = F.regexp_replace(xml, r"(</?)(tmk|com|cacom|catmk)__", "$1$2:")           # element names
         xml = F.regexp_replace(xml, r"(\s)(tmk|com|cacom|catmk)__([A-Za-z0-9]+=)", "$1$2:$3")  # attributes
-        write_records_as_xml(df.select(xml.alias("record")), path)
+        df.select(F.regexp_replace(xml, r"\n", "").alias("record")).write.text(path)
         _LANDED[key] = (path, _prefixed(as_text_schema(df.schema)))
         hit = _LANDED[key]
-    return _parent(spark, (hit[0],), lambda: read_xml(spark, hit[0], row_tag, hit[1]))
+    return _parent(spark, (hit[0],), lambda: read_xml(spark, hit[0], row_tag, hit[1], multiLine="false"))
 
 
 _PARENTS: dict[tuple, DataFrame] = {}
@@ -332,7 +339,7 @@ def _parent(spark, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
 
 def _read_landed(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> DataFrame:
     path, schema = _land_xml(spark, df, row_tag, purpose, sf)
-    return _parent(spark, (path,), lambda: read_xml(spark, path, row_tag, schema))
+    return _parent(spark, (path,), lambda: read_xml(spark, path, row_tag, schema, multiLine="false"))
 
 
 @query("xml_scan_flatten", """
