@@ -28,16 +28,18 @@ from regflat.operators.separate import Cleaning, extract_partial, extract_subtre
 from regflat.plans.applications import applications
 from regflat.plans.catalog import catalog
 from regflat.plans.ledger import latest, next_version as next_version_of, pending
-from regflat.plans.offices import CA, GB, US, normalise, prepare_new_rows, separate_em, separate_us
+from regflat.plans.offices import (CA, GB, US, OfficeSpec, normalise, prepare_new_rows, separate_em,
+                                   separate_us)
 from regflat.plans.publish import compact_table, save_table
 from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives
 from regflat.sources.codes import code_counts, read_codes, write_codes
 from regflat.sources.landing import (daily_versions, historical_versions, inventory, landed_tables,
-                                     order_versions, unlanded)
+                                     order_versions, table_folder, unlanded)
 from regflat.sources.manifest import anchors, concat_parts, manifest_rows, sort_manifest
 from regflat.sources.xml_records import as_text_schema, parse_records, read_xml
+from regflat.streaming.landed_versions import mark_landed, start as start_stream
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -1142,6 +1144,32 @@ def merge_on_read_commit(spark, sf):
     return store.current("customer")
 
 
+@query("stream_landed_versions", """
+SELECT c_custkey, c_name, c_nationkey,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN c_acctbal + 2
+            WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+       c_mktsegment
+FROM customer
+""")
+def stream_landed_versions(spark, sf):
+    """Structured Streaming front: versions land out of order (v3 before v2);
+    each availableNow run applies only the ranks that continue the ledger."""
+    c = t(spark, sf, "customer")
+    spec = OfficeSpec(office="xx", row_tag="customer", keys=("c_custkey",), separate=lambda df: {})
+    landing, ckpt = work_dir(spark, "stream-landing"), work_dir(spark, "stream-ckpt")
+    store = SnapshotStore(spark, work_dir(spark, "stream-store"), "xx")
+
+    def land(version, rank, df):
+        df.write.parquet(table_folder(landing, "xx", version, "customer"))
+        mark_landed(spark, landing, "xx", version, rank)
+    land("v1", 1, c)
+    land("v3", 3, c.filter(q("c_mktsegment") == "AUTOMOBILE").withColumn("c_acctbal", q("c_acctbal") + 2))
+    start_stream(spark, spec, landing, store, ckpt).awaitTermination()  # applies v1; v3 waits
+    land("v2", 2, c.filter(q("c_mktsegment") == "BUILDING").withColumn("c_acctbal", q("c_acctbal") + 1))
+    start_stream(spark, spec, landing, store, ckpt).awaitTermination()  # applies v2 then v3
+    return store.current("customer")
+
+
 # ----------------------------------------------------------- S6 F7 K3 -----
 @query("landing_inventory", """
 SELECT DISTINCT 'o' || substr(o_orderpriority, 1, 1) AS office, strftime(o_orderdate, '%Y') AS version,
