@@ -673,6 +673,34 @@ def gb_user_details(spark, sf):
                     q("UserDetails|User|Value").cast("double").alias("UserDetails|User|Value"))
 
 
+@query("applications_from_offices", """
+SELECT 'us' AS ip_office, CAST(o_orderkey AS VARCHAR) AS application_number,
+       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS application_date,
+       CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) + INTERVAL 30 DAY AS TIMESTAMP) END
+         AS registration_date
+FROM orders
+UNION ALL
+SELECT 'ca', CAST(o_orderkey AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), NULL
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE NOT (o.o_orderstatus = 'F' AND o.o_orderpriority = '1-URGENT')
+UNION ALL
+SELECT DISTINCT 'em', CAST(o_orderkey AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), NULL
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus <> 'F'
+UNION ALL
+SELECT 'gb', CAST(event_id AS VARCHAR),
+       date_trunc('second', ts) - CASE WHEN event_type = 'click' THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END,
+       NULL
+FROM events
+""")
+def applications_from_offices(spark, sf):
+    """Flagship: four offices' records through their specs, unified."""
+    frames = {"us": separate_us(us_records(spark, sf))["case-file-header"],
+              "ca": ca_tables(spark, sf)["Trademark"],
+              "em": em_tables(spark, sf)["TradeMark"],
+              "gb": normalise(GB, gb_records(spark, sf))["Application"]}
+    return naive(applications(frames))
+
+
 # ----------------------------------------------------------- N2 N3 JSON ---
 @query("flatten_cross_product", """
 SELECT c_custkey, n AS names, m AS codes
