@@ -23,7 +23,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regflat.operators.merge import VERSION_COL, align_union, bulk_merge, update_table
+from regflat.operators.merge import (VERSION_COL, align_union, bulk_merge, key_set, remove_keys,
+                                     update_table)
 from regflat.plans.ledger import append_ledger, read_ledger
 from regflat.plans.publish import TARGET_FILE_BYTES, save_table, session_conf
 
@@ -142,19 +143,30 @@ class SnapshotStore:
 
     def apply_version(self, version: str, rank: int, tables: Mapping[str, DataFrame],
                       keys: Sequence[str], deletes: DataFrame | None = None,
-                      helper_columns: Sequence[str] = (), fail_before_commit: bool = False) -> dict[str, str]:
+                      helper_columns: Sequence[str] = (), fail_before_commit: bool = False,
+                      cascade: bool = False) -> dict[str, str]:
         """Merge one version's tables, write snapshots, then commit.
 
-        Only tables present in the version are touched (their deletes too).
-        ``fail_before_commit`` simulates a crash between the table writes and
-        the ledger append (used by recovery tests).
+        By default only tables present in the version are touched (their
+        deletes too), as published (R6).  With ``cascade`` the version's keys
+        (of any of its tables) and its deletes also remove the rows of tables
+        the version does not carry.  ``fail_before_commit`` simulates a crash
+        between the table writes and the ledger append (recovery tests).
         """
         if self.mode == "merge_on_read":
+            if cascade:
+                raise NotImplementedError("cascade is supported by the rewrite mode")
             return self._append_version(version, rank, tables, deletes, helper_columns, fail_before_commit)
         written = {}
         for name, new in tables.items():
             merged = update_table(self.current(name), new, keys, deletes, helper_columns)
             written[name] = self.write_snapshot(name, rank, merged)
+        if cascade:
+            reach = key_set(*tables.values(), deletes, keys=keys)
+            for name in self.tables():
+                if name not in tables and reach is not None:
+                    kept = remove_keys(self.current(name), reach, keys)
+                    written[name] = self.write_snapshot(name, rank, kept)
         if fail_before_commit:
             raise RuntimeError(f"simulated failure before committing version {version}")
         self.commit(version, rank, written)

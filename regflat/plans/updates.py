@@ -56,7 +56,7 @@ def land_archives(spark: SparkSession, spec: OfficeSpec, zip_root: str, landing:
 
 
 def apply_in_order(store: SnapshotStore, spec: OfficeSpec, landing: str,
-                   versions: Sequence[tuple[str, int]]) -> bool:
+                   versions: Sequence[tuple[str, int]], cascade: bool = False) -> bool:
     """L3/L4: fold versions after the ledger's latest, one commit each.
 
     ``versions`` is the ordered listing ``[(name, rank)]`` (for GB the rank
@@ -74,7 +74,7 @@ def apply_in_order(store: SnapshotStore, spec: OfficeSpec, landing: str,
         tables = _read_family(spark, landed.get(name, {}))
         deletes = tables.pop("delete", None)
         tables = {k: prepare_new_rows(spec, k, v) for k, v in tables.items() if k not in spec.skip_tables}
-        store.apply_version(name, rank, tables, spec.keys, deletes, spec.helper_columns)
+        store.apply_version(name, rank, tables, spec.keys, deletes, spec.helper_columns, cascade=cascade)
         updated = True
     return updated
 
@@ -101,11 +101,13 @@ def _read_family(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, Dat
 
 def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
                       versions: Sequence[tuple[str, int]],
-                      target_bytes: int = TARGET_FILE_BYTES) -> bool:
+                      target_bytes: int = TARGET_FILE_BYTES, cascade: bool = False) -> bool:
     """Single-pass merge of every pending version (equals :func:`apply_in_order`).
 
     Each table is read once over all pending versions, merged by
     ``bulk_merge`` and written once; the ledger then records every version.
+    With ``cascade`` every version reaches every table: for a table a version
+    does not carry, the version's keys count as deletes at that version.
     """
     spark = store.spark
     latest = store.latest_rank()
@@ -114,8 +116,8 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
         return False
     landed = landed_families(spark, landing, spec.office)
     families = {r: _read_family(spark, landed.get(n, {})) for n, r in todo}
-    tables = sorted({t for fam in families.values() for t in fam if t != "delete"}
-                    - set(spec.skip_tables))
+    tables = sorted(({t for fam in families.values() for t in fam if t != "delete"}
+                     | (set(store.tables()) if cascade else set())) - set(spec.skip_tables))
     deletes = [fam["delete"].withColumn(VERSION_COL, F.lit(r)) for r, fam in families.items()
                if "delete" in fam]
     deletes_df = align_union(*deletes) if deletes else None
@@ -124,14 +126,21 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
     for t in tables:
         parts = [prepare_new_rows(spec, t, fam[t]).withColumn(VERSION_COL, F.lit(r))
                  for r, fam in families.items() if t in fam]
-        present = spark.createDataFrame([(r,) for r, fam in families.items() if t in fam],
-                                        f"{VERSION_COL} int")
+        reached = [r for r, fam in families.items() if t in fam or cascade]
+        present = spark.createDataFrame([(r,) for r in reached], f"{VERSION_COL} int")
         current = store.current(t)
         if current is not None:
             current = current.drop(*[c for c in spec.helper_columns if c in current.columns])
-        dels = None
-        if deletes_df is not None:
-            dels = deletes_df.select(*spec.keys, VERSION_COL)
+        if not parts:  # only reached by cascade: no rows of its own
+            if current is None:
+                continue
+            parts = [current.withColumn(VERSION_COL, F.lit(None).cast("int")).filter(F.lit(False))]
+        del_parts = [] if deletes_df is None else [deletes_df.select(*spec.keys, VERSION_COL)]
+        if cascade:  # the keys a version carries in other tables reach this one
+            del_parts += [fam[o].select(*spec.keys).withColumn(VERSION_COL, F.lit(r))
+                          for r, fam in families.items() if t not in fam
+                          for o in fam if o != "delete"]
+        dels = align_union(*del_parts) if del_parts else None
         merged = bulk_merge(current, align_union(*parts), dels, present, spec.keys).drop(VERSION_COL)
         written[t] = store.write_snapshot(t, last_rank, merged, target_bytes)
     # one append commits every version at once
@@ -151,7 +160,7 @@ def publish_if_updated(store: SnapshotStore, updated: bool, folder: str,
 def run_office(spark: SparkSession, spec: OfficeSpec, xml_versions: Sequence[tuple[str, int, str]],
                landing: str, store_root: str, publish_folder: str | None = None,
                single_pass: bool = True, schema=None, mode: str = "rewrite",
-               compact_every: int = 16) -> Mapping[str, str]:
+               compact_every: int = 16, cascade: bool = False) -> Mapping[str, str]:
     """L1 -> L3 (fold or single pass) -> L6 for one office.
 
     ``xml_versions``: ``[(version, rank, xml_path)]`` in any order; versions
@@ -166,7 +175,7 @@ def run_office(spark: SparkSession, spec: OfficeSpec, xml_versions: Sequence[tup
             land_version(spark, spec, path, landing, version, schema)
     order = [(v, r) for v, r, _ in xml_versions]
     apply = apply_in_one_pass if single_pass else apply_in_order
-    updated = apply(store, spec, landing, order)
+    updated = apply(store, spec, landing, order, cascade=cascade)
     if publish_folder is None:
         return {}
     return publish_if_updated(store, updated, publish_folder)

@@ -55,6 +55,21 @@ def test_fold_and_single_pass_agree(spark):
     assert not apply_in_order(a, GB, landing, order)
 
 
+def test_cascade_fold_and_single_pass_agree(spark):
+    landing = work_dir(spark, "land")
+    order = _versions(spark, landing)
+    a = SnapshotStore(spark, work_dir(spark, "snapA"), "gb")
+    b = SnapshotStore(spark, work_dir(spark, "snapB"), "gb")
+    assert apply_in_order(a, GB, landing, order, cascade=True)
+    assert apply_in_one_pass(b, GB, landing, order, cascade=True)
+    for t in ("Application", "Line"):
+        assert rows(a.current(t)) == rows(b.current(t))
+    # v2 (no Line) re-sends a and deletes b: both reach Line; v3 (no Application) re-sends a
+    # and deletes c: both reach Application, so the record a keeps only its new Line row
+    assert rows(a.current("Application")) == []
+    assert rows(a.current("Line")) == [("a", 7)]
+
+
 def test_failure_keeps_previous_snapshot(spark):
     store = SnapshotStore(spark, work_dir(spark, "snap"), "xx")
     t1 = spark.createDataFrame([("a", 1)], "k string, p int")
