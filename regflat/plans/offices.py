@@ -63,41 +63,82 @@ US = OfficeSpec(
 CA_CLEAN = Cleaning(CA_NAMES, CA_DROP, tuple(ISO_TYPE_RULES), rename_prefixes=True)
 CA_KEYS = ("operationCategory", "ApplicationNumber")
 
+
+
+@dataclass(frozen=True)
+class Container:
+    """How one record container becomes tables (declarative CA spec).
+
+    column: the container (after record-level name cleaning).
+    table: output table name; default the column without ``Bag``.
+    steps: partial flatten steps before sub-trees are split off; 0 means the
+        whole container is one fully flattened table.
+    subtrees: sub-containers split into ``<table>.<sub without Bag>``.
+    extra_key: a key of the container carried into its sub-tree tables.
+    drop: columns dropped before the remainder is finished.
+    children: containers nested in this one, handled the same way.
+    emit: whether the remainder becomes a table itself.
+    name_table: the table name the name rule strips when finishing.
+    """
+
+    column: str
+    table: str | None = None
+    steps: int = 0
+    subtrees: tuple[str, ...] = ()
+    extra_key: str | None = None
+    drop: tuple[str, ...] = ()
+    children: tuple["Container", ...] = ()
+    emit: bool = True
+    name_table: str | None = None
+
+
 # ---------------------------------------------------------------------------
-# CA containers that become their own table, in order.
+# CA containers and how each becomes tables, in order.
+_PROCEEDING_PARTS = ("ProceedingStageBag", "DefendantBag", "PlaintiffBag")
 CA_CONTAINERS = (
-    "GoodsServicesBag", "LegalProceedingsBag", "MarkEventBag", "ApplicantBag", "PriorityBag",
-    "PublicationBag", "AssociatedMarkBag", "DivisionalApplicationBag", "MarkDisclaimerBag",
-    "InternationalMarkIdentifierBag", "MarkRepresentation", "CorrespondenceAddress",
-    "NationalRepresentative", "NationalCorrespondent", "Authorization", "UseRight",
-    "UseLimitationText", "NationalTrademarkInformation",
+    Container("GoodsServicesBag", "GoodsServices", steps=2,
+              subtrees=("ClassDescriptionBag", "GoodsServicesClassificationBag")),
+    Container("LegalProceedingsBag", steps=3, emit=False, children=(
+        Container("OppositionProceedingBag", "OppositionProceedings", steps=1, subtrees=_PROCEEDING_PARTS,
+                  extra_key="OppositionIdentifier", name_table="OppositionProceedings"),
+        Container("CancellationProceedings", "CancellationProceedings", steps=1, subtrees=_PROCEEDING_PARTS,
+                  extra_key="LegalProceedingIdentifier", name_table="CancellationProceedings"))),
+    Container("MarkEventBag", "MarkEvent", steps=4,
+              drop=("NationalMarkEvent|MarkEventOtherLanguageDescriptionTextBag",)),
+    Container("ApplicantBag"), Container("PriorityBag"), Container("PublicationBag"),
+    Container("AssociatedMarkBag"), Container("DivisionalApplicationBag"), Container("MarkDisclaimerBag"),
+    Container("InternationalMarkIdentifierBag"), Container("MarkRepresentation"),
+    Container("CorrespondenceAddress"), Container("NationalRepresentative"),
+    Container("NationalCorrespondent"), Container("Authorization"), Container("UseRight"),
+    Container("UseLimitationText"),
+    Container("NationalTrademarkInformation", "NationalTrademark", steps=1, subtrees=(
+        "CategorizedTextBag", "ClaimBag", "DoubtfulCaseBag", "FootnoteBag", "IndexHeadingBag",
+        "InterestedPartyBag", "TrademarkClass", "Legislation", "Section9", "GeographicalIndication")),
 )
-CA_GOODS_SUBTREES = ("ClassDescriptionBag", "GoodsServicesClassificationBag")
-CA_PROCEEDING_SUBTREES = ("ProceedingStageBag", "DefendantBag", "PlaintiffBag")
-CA_NATIONAL_SUBTREES = ("CategorizedTextBag", "ClaimBag", "DoubtfulCaseBag", "FootnoteBag",
-                        "IndexHeadingBag", "InterestedPartyBag", "TrademarkClass", "Legislation",
-                        "Section9", "GeographicalIndication")
-CA_OTHER_LANGUAGE_BAG = "NationalMarkEvent|MarkEventOtherLanguageDescriptionTextBag"
 # ---------------------------------------------------------------------------
 
 
-def _split_subtrees(part: DataFrame, prefix: str, subtrees, keys, out: dict) -> DataFrame:
-    for sub in subtrees:
+def split_container(df: DataFrame, c: Container, keys: tuple[str, ...], how: Cleaning,
+                    out: dict[str, DataFrame]) -> None:
+    """Interpret one :class:`Container` over ``df`` (keys + containers)."""
+    table = c.table or c.column.replace("Bag", "")
+    if not c.steps:
+        out[table] = extract_subtree(df, c.column, keys, how)
+        return
+    stop = c.subtrees + tuple(ch.column for ch in c.children)
+    part = extract_partial(df, c.column, keys, c.steps, how, stop_at=stop)
+    for ch in c.children:
+        if ch.column in part.columns:
+            split_container(part, ch, keys, how, out)
+    part = drop_present(part, c.drop + tuple(ch.column for ch in c.children))
+    sub_keys = keys + ((c.extra_key,) if c.extra_key and c.extra_key in part.columns else ())
+    for sub in c.subtrees:
         if sub in part.columns:
-            out[f"{prefix}.{sub.replace('Bag', '')}"] = extract_subtree(part, sub, keys, CA_CLEAN, null_except=keys)
+            # the extra key counts as data in the all-null test
+            out[f"{table}.{sub.replace('Bag', '')}"] = extract_subtree(part, sub, sub_keys, how, null_except=keys)
             part = part.drop(sub)
-    return part
-
-
-def _ca_proceedings(legal: DataFrame, column: str, table: str, extra_key: str, out: dict) -> None:
-    if column not in legal.columns:
-        return
-    part = extract_partial(legal, column, CA_KEYS, 1, CA_CLEAN, stop_at=CA_PROCEEDING_SUBTREES)
-    keys = CA_KEYS + ((extra_key,) if extra_key in part.columns else ())
-    part = _split_subtrees(part, table, CA_PROCEEDING_SUBTREES, keys, out)
-    # each kind finishes from its own frame (the published code reused the
-    # opposition frame for cancellations)
-    out[table] = finish_partial(part, table, CA_KEYS, CA_CLEAN)
+    if c.emit:
+        out[table] = finish_partial(part, c.name_table or c.column, keys, how)
 
 
 def normalise_ca_record(df: DataFrame) -> DataFrame:
@@ -111,35 +152,15 @@ def normalise_ca_record(df: DataFrame) -> DataFrame:
 
 
 def separate_ca(df: DataFrame) -> dict[str, DataFrame]:
+    """N7-CA: deletes, one pass of the container spec, leftovers -> Trademark."""
     out: dict[str, DataFrame] = {}
     if "operationCategory" in df.columns:
         out["delete"] = split_deletes(df, "operationCategory", "delete", CA_KEYS)
         df = live_rows(df, "operationCategory", "delete")
-    for table in CA_CONTAINERS:
-        if table not in df.columns:
-            continue
-        if table == "GoodsServicesBag":
-            part = extract_partial(df, table, CA_KEYS, 2, CA_CLEAN, stop_at=CA_GOODS_SUBTREES)
-            part = _split_subtrees(part, "GoodsServices", CA_GOODS_SUBTREES, CA_KEYS, out)
-            out["GoodsServices"] = finish_partial(part, table, CA_KEYS, CA_CLEAN)
-        elif table == "LegalProceedingsBag":
-            legal = extract_partial(df, table, CA_KEYS, 3, CA_CLEAN,
-                                    stop_at=("OppositionProceedingBag", "CancellationProceedings"))
-            _ca_proceedings(legal, "OppositionProceedingBag", "OppositionProceedings",
-                            "OppositionIdentifier", out)
-            _ca_proceedings(legal, "CancellationProceedings", "CancellationProceedings",
-                            "LegalProceedingIdentifier", out)
-        elif table == "MarkEventBag":
-            part = extract_partial(df, table, CA_KEYS, 4, CA_CLEAN)
-            part = drop_present(part, [CA_OTHER_LANGUAGE_BAG])
-            out["MarkEvent"] = finish_partial(part, table, CA_KEYS, CA_CLEAN)
-        elif table == "NationalTrademarkInformation":
-            part = extract_partial(df, table, CA_KEYS, 1, CA_CLEAN, stop_at=CA_NATIONAL_SUBTREES)
-            part = _split_subtrees(part, "NationalTrademark", CA_NATIONAL_SUBTREES, CA_KEYS, out)
-            out["NationalTrademark"] = finish_partial(part, table, CA_KEYS, CA_CLEAN)
-        else:
-            out[table.replace("Bag", "")] = extract_subtree(df, table, CA_KEYS, CA_CLEAN)
-        df = df.drop(table)
+    for c in CA_CONTAINERS:
+        if c.column in df.columns:  # a missing container yields no table
+            split_container(df, c, CA_KEYS, CA_CLEAN, out)
+            df = df.drop(c.column)
     out["Trademark"] = finish_partial(df, "TrademarkBag", CA_KEYS, CA_CLEAN)
     return out
 
