@@ -38,6 +38,7 @@ class OfficeSpec:
     helper_columns: tuple[str, ...] = ()
     skip_tables: tuple[str, ...] = ()
     publish_folder: str = "open"
+    always_publish: bool = False   # L6: GB publishes on every run, the others after a merge
     schemas: tuple[str, ...] = ("default",)
     extra: dict = field(default_factory=dict)
 
@@ -253,7 +254,7 @@ def separate_gb(df: DataFrame) -> dict[str, DataFrame]:
 
 
 GB = OfficeSpec(office="gb", row_tag="TradeMark", keys=GB_KEYS, separate=separate_gb,
-                publish_folder="closed")
+                publish_folder="closed", always_publish=True)
 
 OFFICES = {"us": US, "ca": CA, "em": EM, "gb": GB}
 

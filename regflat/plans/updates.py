@@ -178,4 +178,4 @@ def run_office(spark: SparkSession, spec: OfficeSpec, xml_versions: Sequence[tup
     updated = apply(store, spec, landing, order, cascade=cascade)
     if publish_folder is None:
         return {}
-    return publish_if_updated(store, updated, publish_folder)
+    return publish_if_updated(store, updated or spec.always_publish, publish_folder)
