@@ -1221,18 +1221,23 @@ ORDER_FIELDS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
 
 
 def _zip_writer(root: str, tag: str):
-    import uuid
+    """Each task packs its partition into ``part-<partition>.zip``.  The file
+    is written under an attempt-specific name and renamed into place, so a
+    retried task replaces, never duplicates, its archive."""
+    import os
     import zipfile
 
     import pandas as pd
+    from pyspark import TaskContext
 
     def write(batches):
-        import os
-        path = f"{root}/part-{uuid.uuid4().hex}.zip"
+        ctx = TaskContext.get()
+        path = f"{root}/part-{ctx.partitionId():05d}.zip"
         local = path.removeprefix("file:")
+        tmp = f"{os.path.dirname(local)}/.attempt-{ctx.partitionId():05d}-{ctx.attemptNumber()}.tmp"
         os.makedirs(os.path.dirname(local), exist_ok=True)
         n = 0
-        with zipfile.ZipFile(local, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+        with zipfile.ZipFile(tmp, "w", compression=zipfile.ZIP_DEFLATED) as zf:
             with zf.open("records.xml", "w") as fh:
                 fh.write(f"<?xml version=\"1.0\"?>\n<{tag}s>\n".encode())
                 for pdf in batches:
@@ -1241,6 +1246,7 @@ def _zip_writer(root: str, tag: str):
                         fh.write(b"\n")
                         n += 1
                 fh.write(f"</{tag}s>\n".encode())
+        os.replace(tmp, local)
         yield pd.DataFrame({"archive": [path], "records": [n]})
     return write
 
