@@ -976,34 +976,39 @@ def historical_versions_query(spark, sf):
         .select("version", (F.col("p") + 1).alias("rank"))
 
 
-def nation_versions(spark, sf) -> DataFrame:
-    n = t(spark, sf, "nation")
-    stage = F.when(q("n_regionkey") < 2, F.lit("Full")).otherwise(F.lit("Differential"))
-    listing = n.select(q("n_name").alias("version"), stage.alias("stage"),
-                       F.when(q("n_regionkey") < 2, 0).otherwise(1).alias("stage_rank"),
-                       (F.lit(2000) + q("n_regionkey")).alias("year"))
+def order_day_versions(spark, sf) -> DataFrame:
+    """S9 listing: one version per order day; days up to 1996 form the
+    'Full' stage, later days 'Differential'; order (stage, year, name)."""
+    o = t(spark, sf, "orders")
+    year = F.year("o_orderdate")
+    listing = o.select(F.date_format("o_orderdate", "yyMMdd").alias("version"),
+                       F.when(year <= 1996, F.lit("Full")).otherwise(F.lit("Differential")).alias("stage"),
+                       F.when(year <= 1996, 0).otherwise(1).alias("stage_rank"),
+                       year.alias("year")).distinct()
     return order_versions(listing, ["stage_rank", "year", "version"])
 
 
-NATION_VERSIONS_SQL = """
-v AS (SELECT n_name AS version, CASE WHEN n_regionkey < 2 THEN 'Full' ELSE 'Differential' END AS stage,
-             CASE WHEN n_regionkey < 2 THEN 0 ELSE 1 END AS stage_rank, 2000 + n_regionkey AS year FROM nation),
+ORDER_DAY_VERSIONS_SQL = """
+v AS (SELECT DISTINCT strftime(o_orderdate, '%y%m%d') AS version,
+             CASE WHEN year(o_orderdate) <= 1996 THEN 'Full' ELSE 'Differential' END AS stage,
+             CASE WHEN year(o_orderdate) <= 1996 THEN 0 ELSE 1 END AS stage_rank,
+             CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
 r AS (SELECT version, stage, year,
              CAST(row_number() OVER (ORDER BY stage_rank, year, version) AS INTEGER) AS rank FROM v)"""
 
 
-@query("version_order", f"WITH {NATION_VERSIONS_SQL} SELECT version, stage, year, rank FROM r")
+@query("version_order", f"WITH {ORDER_DAY_VERSIONS_SQL} SELECT version, stage, year, rank FROM r")
 def version_order(spark, sf):
-    return nation_versions(spark, sf).select("version", "stage", "year", "rank")
+    return order_day_versions(spark, sf).select("version", "stage", "year", "rank")
 
 
 @query("next_version", f"""
-WITH {NATION_VERSIONS_SQL}
+WITH {ORDER_DAY_VERSIONS_SQL}
 SELECT 'xx' AS office, 'default' AS "schema", version, rank FROM r WHERE stage = 'Differential' ORDER BY rank LIMIT 1
 """)
 def next_version_query(spark, sf):
-    v = nation_versions(spark, sf).select(F.lit("xx").alias("office"), F.lit("default").alias("schema"),
-                                         "version", "rank", "stage")
+    v = order_day_versions(spark, sf).select(F.lit("xx").alias("office"), F.lit("default").alias("schema"),
+                                            "version", "rank", "stage")
     ledger = v.filter(F.col("stage") == "Full").drop("stage")
     return next_version_of(v.drop("stage"), ledger)
 
