@@ -37,6 +37,8 @@ def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing:
         schema = record_schema(spark, xml_path, spec.row_tag)
         store_schema(spark, schema_path, schema)
     records = read_xml(spark, xml_path, spec.row_tag, schema)
+    if not records.columns:  # an empty version lands no table; applying it still advances the ledger
+        return {}
     records = records.persist()
     try:
         tables = {k: v for k, v in normalise(spec, records).items() if k not in spec.skip_tables}

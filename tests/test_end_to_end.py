@@ -89,3 +89,17 @@ def test_em_schema_specs():
     from regflat.plans.offices import em_spec
     assert em_spec("Applicant").keys == ("ApplicantIdentifier",)
     assert em_spec("InternationalRegistration").row_tag == "InternationalRegistration"
+
+
+def test_empty_version_lands_nothing_and_advances(spark):
+    from regflat.plans.snapshot import SnapshotStore
+    from regflat.plans.updates import apply_in_order, land_version
+    landing = work_dir(spark, "empty-landing")
+    v1 = _xml(spark, "e1", _case(1, "20200101", "600"))
+    empty = _xml(spark, "e2", "")
+    assert land_version(spark, US, v1, landing, "v1")
+    assert land_version(spark, US, empty, landing, "v2") == {}
+    store = SnapshotStore(spark, work_dir(spark, "empty-store"), "us")
+    assert apply_in_order(store, US, landing, [("v1", 1), ("v2", 2)])
+    assert store.latest_rank() == 2
+    assert rows(store.current("case-file-header"), "serial-number") == [("1",)]
