@@ -55,5 +55,6 @@ def applications(frames: Mapping[str, DataFrame],
 
 
 def write_applications(frames: Mapping[str, DataFrame], path: str) -> None:
-    """Publish the unified table (INT96 timestamps, sized files)."""
-    compact_table(applications(frames), path, int96=True)
+    """Publish the unified table (INT96 timestamps, sized files),
+    partitioned by ``ip_office`` so a filter on offices prunes folders."""
+    compact_table(applications(frames), path, int96=True, partition_by=("ip_office",))

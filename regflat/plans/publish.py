@@ -32,7 +32,8 @@ def session_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]
                 spark.conf.set(k, v)
 
 
-def _sized_write(df: DataFrame, path: str, target_bytes: int, mode: str, int96: bool) -> None:
+def _sized_write(df: DataFrame, path: str, target_bytes: int, mode: str, int96: bool,
+                 partition_by: tuple[str, ...] = ()) -> None:
     conf = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
@@ -40,8 +41,13 @@ def _sized_write(df: DataFrame, path: str, target_bytes: int, mode: str, int96:
     if int96:
         conf["spark.sql.parquet.outputTimestampType"] = "INT96"
     with session_conf(df.sparkSession, conf):
-        (df.hint("rebalance").write.mode(mode)
-         .option("compression", "snappy").parquet(path))
+        # rebalance by the partition columns keeps one writer per folder
+        # (sized by AQE), instead of every task writing into every folder
+        hinted = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+        writer = hinted.write.mode(mode).option("compression", "snappy")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
 
 
 def save_table(df: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTES,
@@ -51,9 +57,10 @@ def save_table(df: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTES,
 
 
 def compact_table(df: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTES,
-                  int96: bool = False) -> None:
-    """Publish compacted; a table below the target becomes one file."""
-    _sized_write(df, path, target_bytes, "overwrite", int96)
+                  int96: bool = False, partition_by: tuple[str, ...] = ()) -> None:
+    """Publish compacted; a table below the target becomes one file
+    (one per partition folder when ``partition_by`` is given)."""
+    _sized_write(df, path, target_bytes, "overwrite", int96, partition_by)
 
 
 def save_family(tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite") -> dict[str, str]:

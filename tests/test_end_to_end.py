@@ -51,7 +51,10 @@ def test_us_office_end_to_end(spark):
     apps_path = work_dir(spark, "apps")
     write_applications({"us": spark.read.parquet(results[True]["case-file-header"])}, apps_path)
     apps = spark.read.parquet(apps_path)
-    assert apps.columns == ["ip_office", "application_number", "application_date", "registration_date"]
+    assert sorted(apps.columns) == sorted(["ip_office", "application_number", "application_date",
+                                           "registration_date"])
+    plan = apps.filter(F.col("ip_office") == "us")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ip_office" in plan
     assert apps.filter(F.col("application_date").isNull()).count() == 0
     cat = catalog(spark, {"open/us": results[True], "dataset": {"applications": apps_path}})
     assert cat.filter("file = 'applications'").count() == 4
