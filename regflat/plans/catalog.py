@@ -7,9 +7,10 @@ columns published.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CATALOG_SCHEMA = "folder string, file string, position int, column string"
 
@@ -27,3 +28,19 @@ def catalog(spark: SparkSession, tables: Mapping[str, Mapping[str, str]]) -> Dat
             for i, col in enumerate(table_columns(spark, tables[folder][file]), start=1):
                 rows.append((folder, file, i, col))
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
+
+
+def published_tables(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Tables (Parquet folders or files) directly below ``folder``, found by
+    listing part files with the ``binaryFile`` source (content never read)."""
+    root = folder.rstrip("/")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(root).select("path"))
+    rel = F.regexp_extract("path", r"^(?:file:)?" + re.escape(root.removeprefix("file:")) + r"/([^/]+)", 1)
+    names = sorted(r[0] for r in files.select(rel.alias("t")).distinct().collect() if r[0])
+    return {n.removesuffix(".parquet"): f"{root}/{n}" for n in names}
+
+
+def catalog_folders(spark: SparkSession, folders: Mapping[str, str]) -> DataFrame:
+    """W8 over published folders: ``{label: folder path}`` -> catalog rows."""
+    return catalog(spark, {label: published_tables(spark, path) for label, path in folders.items()})

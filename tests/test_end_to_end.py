@@ -58,6 +58,10 @@ def test_us_office_end_to_end(spark):
     assert apps.filter(F.col("application_date").isNull()).count() == 0
     cat = catalog(spark, {"open/us": results[True], "dataset": {"applications": apps_path}})
     assert cat.filter("file = 'applications'").count() == 4
+    from regflat.plans.catalog import catalog_folders
+    published = os.path.dirname(results[True]["case-file-header"])
+    listed = catalog_folders(spark, {"open/us": published})
+    assert {r["file"] for r in listed.collect()} == set(results[True])
 
 
 def test_ca_versions_from_zip_archives(spark):
