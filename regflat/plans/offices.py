@@ -20,7 +20,7 @@ from regflat.operators.flatten import flatten_fully, flatten_once, normalise_str
 from regflat.operators.prune import CA_DROP, GB_DROP, US_UNNECESSARY, drop_by_rules, drop_present, select_present
 from regflat.operators.rows import filter_equals, live_rows, split_deletes
 from regflat.operators.separate import (Cleaning, SuffixSeparation, extract_partial,
-                                        extract_subtree, finish_partial, separate_auto,
+                                        extract_subtree, finish_partial, is_container, separate_auto,
                                         separate_by_suffix)
 
 
@@ -212,8 +212,11 @@ def em_separation(main: str, key: str) -> SuffixSeparation:
 def separate_em(df: DataFrame, main: str = "TradeMark", key: str = "ApplicationNumber",
                 record_column: str | None = None) -> dict[str, DataFrame]:
     """Narrow to the main record, flatten once, clean names, split by suffix."""
-    if record_column is not None:  # P12
-        df = clean_names(flatten_once(df.select(q(record_column))), EM_NAMES, record_column)
+    if record_column is not None:  # P12: narrow to the record container, walk down to the records
+        df = flatten_once(df.select(q(record_column)))
+        while len(df.columns) == 1 and is_container(df.schema.fields[0].dataType):
+            df = flatten_once(df)
+        df = clean_names(df, EM_NAMES, record_column)
     return separate_by_suffix(df, em_separation(main, key))
 
 

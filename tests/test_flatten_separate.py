@@ -185,3 +185,17 @@ def test_em_missing_columns_give_empty_tables(spark):
     assert fam["TradeMark.GoodsServices"].count() == 0
     assert fam["TradeMark.GoodsServices.Description"].count() == 0
     assert "ClassNumber" in fam["TradeMark.GoodsServices"].columns
+
+
+def test_em_narrowing_from_transaction_level(spark):
+    from regflat.plans.offices import separate_em
+    xml = ("<Transaction><TransactionData><TradeMarkDetails>"
+           "<TradeMark operationCode='Insert'><ApplicationNumber>1</ApplicationNumber>"
+           "<ApplicationDate>2019-10-05</ApplicationDate></TradeMark>"
+           "<TradeMark operationCode='Delete'><ApplicationNumber>2</ApplicationNumber></TradeMark>"
+           "</TradeMarkDetails></TransactionData></Transaction>")
+    df = read_xml(spark, _land(spark, xml, "em-p12"), "TransactionData")
+    fam = separate_em(df, record_column="TradeMarkDetails")
+    assert rows(fam["delete"]) == [("2",)]
+    main = fam["TradeMark"].collect()
+    assert len(main) == 1 and main[0]["ApplicationNumber"] == "1" and str(main[0]["ApplicationDate"])[:10] == "2019-10-05"
