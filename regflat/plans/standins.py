@@ -7,6 +7,17 @@ SQL statement of the expected result, run by DuckDB on the same Parquet.
 
 Timestamps leave the queries as ``timestamp_ntz`` (UTC wall clock) so they
 compare with DuckDB's naive ``TIMESTAMP``.
+
+Stand-in XML records are built row by row (one order, line, part or event
+per record) and never by grouping children under a key: a key holding a
+third of all rows would otherwise become one giant record built in one
+task.  Repeated elements come from a row's own columns (two descriptions,
+two classifications), so single-vs-repeated handling is still exercised.
+
+Sections: U1 applications, J1-J5 merges, bulk/fold, F1/F2 flags, XML records
+and the four office specs, N2/N3/JSON, P2-P6 names and pruning, K5-K9 types,
+F3/F5/F6/D rows, S3 manifest, S8/S9/O3/F8 version lists, S11 ledger, L2/L4,
+S4/W1-W5 Parquet, L5 snapshots and the stream, S6 landing, S2 archives, S10.
 """
 
 from __future__ import annotations
