@@ -8,7 +8,9 @@ null; :func:`quality_counts` reports how many values each rule nulled.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -81,8 +83,24 @@ def _apply(df: DataFrame, rules: list[TypeRule]) -> tuple[DataFrame, list[tuple[
     return (df.select(*exprs) if touched else df), touched
 
 
+_KEEP_TEXT: ContextVar[bool] = ContextVar("regflat_keep_text", default=False)
+
+
+@contextmanager
+def text_only() -> Iterator[None]:
+    """Plans built inside this block leave matched columns as text, so the
+    same table family can be built raw to count what the rules would null."""
+    token = _KEEP_TEXT.set(True)
+    try:
+        yield
+    finally:
+        _KEEP_TEXT.reset(token)
+
+
 def apply_type_rules(df: DataFrame, rules: list[TypeRule]) -> DataFrame:
     """Coerce every matching string leaf; the first matching rule wins."""
+    if _KEEP_TEXT.get():
+        return df
     return _apply(df, rules)[0]
 
 

@@ -39,6 +39,7 @@ class OfficeSpec:
     skip_tables: tuple[str, ...] = ()
     publish_folder: str = "open"
     always_publish: bool = False   # L6: GB publishes on every run, the others after a merge
+    type_rules: tuple = ()         # K5-K9 rules, for the landing quality table
     schemas: tuple[str, ...] = ("default",)
     extra: dict = field(default_factory=dict)
 
@@ -54,7 +55,7 @@ def separate_us(df: DataFrame) -> dict[str, DataFrame]:
 
 
 US = OfficeSpec(
-    office="us", row_tag="case-file", keys=US_KEYS, separate=separate_us,
+    office="us", row_tag="case-file", keys=US_KEYS, separate=separate_us, type_rules=tuple(US_TYPE_RULES),
     helper_columns=US_UNNECESSARY, dedupe_at_merge=("classifications",),
     # Fixed value: the event-statement table is left out of the merge (size).
     skip_tables=("case-file-event-statements",),
@@ -171,7 +172,7 @@ CA = OfficeSpec(
     office="ca", row_tag="tmk:Trademark", keys=("ApplicationNumber",),
     separate=lambda df: separate_ca(normalise_ca_record(df)),
     flag="operationCategory", delete_literal="delete", dedupe_at_merge=True,
-    helper_columns=("operationCategory",),
+    helper_columns=("operationCategory",), type_rules=tuple(ISO_TYPE_RULES),
 )
 
 # ------------------------------------------------------------------ EM -----
@@ -227,7 +228,7 @@ def em_spec(schema: str = "TradeMark") -> OfficeSpec:
         office="em", row_tag=schema, keys=(key,),
         separate=lambda df: separate_em(clean_names(df, EM_NAMES), main=schema, key=key),
         flag="operationCode", delete_literal="Delete", dedupe_at_merge=True,
-        helper_columns=("operationCode",), schemas=(schema,))
+        helper_columns=("operationCode",), schemas=(schema,), type_rules=tuple(ISO_TYPE_RULES))
 
 
 # Main table and key per EM schema.
@@ -237,7 +238,7 @@ EM_SCHEMA_KEYS = {"TradeMark": "ApplicationNumber", "InternationalRegistration":
 EM = OfficeSpec(
     office="em", row_tag="TradeMark", keys=("ApplicationNumber",), separate=separate_em,
     flag="operationCode", delete_literal="Delete", dedupe_at_merge=True,
-    helper_columns=("operationCode",),
+    helper_columns=("operationCode",), type_rules=tuple(ISO_TYPE_RULES),
     schemas=("TradeMark", "InternationalRegistration", "Applicant"),
 )
 
@@ -257,7 +258,7 @@ def separate_gb(df: DataFrame) -> dict[str, DataFrame]:
 
 
 GB = OfficeSpec(office="gb", row_tag="TradeMark", keys=GB_KEYS, separate=separate_gb,
-                publish_folder="closed", always_publish=True)
+                publish_folder="closed", always_publish=True, type_rules=tuple(GB_TYPE_RULES))
 
 OFFICES = {"us": US, "ca": CA, "em": EM, "gb": GB}
 

@@ -9,9 +9,11 @@ file-system or stream arrival order.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from regflat.functions.types import quality_counts, text_only
 from regflat.operators.merge import VERSION_COL, align_union, bulk_merge
 from regflat.plans.offices import OfficeSpec, normalise, prepare_new_rows
 from regflat.plans.publish import TARGET_FILE_BYTES, publish_all, save_family
@@ -42,11 +44,33 @@ def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing:
     records = records.persist()
     try:
         tables = {k: v for k, v in normalise(spec, records).items() if k not in spec.skip_tables}
-        return save_family(tables, table_folder(landing, spec.office, version))
+        written = save_family(tables, table_folder(landing, spec.office, version))
+        if spec.type_rules:
+            write_quality(spark, spec, records, tables, landing, version)
+        return written
     finally:
         records.unpersist()
 
 
+def quality_path(landing: str, office: str, version: str) -> str:
+    return f"{landing.rstrip('/')}/_quality/office={office}/version={version}"
+
+
+def write_quality(spark: SparkSession, spec: OfficeSpec, records: DataFrame,
+                  tables: Mapping[str, DataFrame], landing: str, version: str) -> None:
+    """K5-K9 quality table of one version: ``(table, column, rule, n_bad)``.
+
+    The family is built a second time with text left as text and each table
+    is reduced to one row of counts (map-side partial aggregates over the
+    persisted parent); all tables go out in one write."""
+    with text_only():
+        raw = {k: v for k, v in normalise(spec, records).items() if k in tables}
+    parts = [quality_counts(df, list(spec.type_rules), name) for name, df in sorted(raw.items())]
+    if parts:
+        reduce(DataFrame.unionByName, parts).coalesce(1).write.mode("overwrite") \
+            .parquet(quality_path(landing, spec.office, version))
+
+
 def land_archives(spark: SparkSession, spec: OfficeSpec, zip_root: str, landing: str, version: str,
                   schema=None, member_suffix: str = ".xml") -> dict[str, str]:
     """L1/L2 for zipped versions: expand every member into record rows (one

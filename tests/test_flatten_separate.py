@@ -199,3 +199,13 @@ def test_em_narrowing_from_transaction_level(spark):
     assert rows(fam["delete"]) == [("2",)]
     main = fam["TradeMark"].collect()
     assert len(main) == 1 and main[0]["ApplicationNumber"] == "1" and str(main[0]["ApplicationDate"])[:10] == "2019-10-05"
+
+
+def test_landing_writes_quality_table(spark):
+    from regflat.plans.updates import land_version, quality_path
+    landing = work_dir(spark, "quality-landing")
+    land_version(spark, US, _land(spark, US_XML, "us-quality"), landing, "v1")
+    q = {(r["table"], r["column"]): r["n_bad"] for r in spark.read.parquet(quality_path(landing, "us", "v1")).collect()}
+    # the bad registration date of record 1 is counted; good filing dates are not
+    assert q[("case-file-header", "registration-date")] == 1
+    assert q[("case-file-header", "filing-date")] == 0
