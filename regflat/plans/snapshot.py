@@ -78,42 +78,52 @@ class SnapshotStore:
         return None if r is None else int(r)
 
     def _layers(self, table: str):
+        """Newest full snapshot of ``table`` and the layers committed after it:
+        its deltas, the version-wide deletes, and cascade keys reaching it."""
         entries = self._entries()
         base_rank, base = -1, None
         for r in entries:
             if r["table"] == table and (r["kind"] or "snapshot") == "snapshot" and r["rank"] >= base_rank:
                 base_rank, base = r["rank"], r["snapshot"]
-        deltas = sorted((r["rank"], r["snapshot"]) for r in entries
-                        if r["table"] == table and r["kind"] == "delta" and r["rank"] > base_rank)
-        dels = sorted((r["rank"], r["snapshot"]) for r in entries
-                      if r["kind"] == "deletes" and r["rank"] > base_rank)
-        return base, deltas, dels
+
+        def after(kind, of_table=True):
+            return sorted((r["rank"], r["snapshot"]) for r in entries
+                          if r["kind"] == kind and r["rank"] > base_rank and (not of_table or r["table"] == table))
+        return base, after("delta"), after("deletes", of_table=False), after("cascade")
 
     def current(self, table: str) -> DataFrame | None:
         """The table as of the ledger's latest commit."""
-        base, deltas, dels = self._layers(table)
+        base, deltas, dels, cascades = self._layers(table)
         base_df = None if base is None else self.spark.read.parquet(base)
-        if not deltas:
+        if not deltas and not cascades:
             return base_df
-        present_ranks = {r for r, _ in deltas}
+        if base_df is None and not deltas:
+            return None
+        reached = {r for r, _ in deltas} | {r for r, _ in cascades}
         # one read over all delta folders: the ``d=<rank>`` folder is the version
-        rows = self._read_layers([p for _, p in deltas])
-        live = [p for r, p in dels if r in present_ranks]
-        deletes = self._read_layers(live).select(*self.keys, VERSION_COL) if live else None
-        present = self.spark.createDataFrame([(r,) for r in sorted(present_ranks)], f"{VERSION_COL} int")
+        rows = (self._read_layers([p for _, p in deltas]) if deltas
+                else base_df.withColumn(VERSION_COL, F.lit(None).cast("int")).filter(F.lit(False)))
+        parts = []
+        live = [p for r, p in dels if r in reached]
+        if live:
+            parts.append(self._read_layers(live).select(*self.keys, VERSION_COL))
+        if cascades:
+            parts.append(self._read_layers([p for _, p in cascades], "x").select(*self.keys, VERSION_COL))
+        deletes = align_union(*parts) if parts else None
+        present = self.spark.createDataFrame([(r,) for r in sorted(reached)], f"{VERSION_COL} int")
         return bulk_merge(base_df, rows, deletes, present, self.keys).drop(VERSION_COL)
 
-    def _read_layers(self, paths: list[str]) -> DataFrame:
+    def _read_layers(self, paths: list[str], column: str = "d") -> DataFrame:
         base = paths[0].rsplit("/", 1)[0]
         df = (self.spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*paths))
-        return df.withColumn(VERSION_COL, F.col("d").cast("int")).drop("d")
+        return df.withColumn(VERSION_COL, F.col(column).cast("int")).drop(column)
 
     def compact(self, table: str, target_bytes: int = TARGET_FILE_BYTES) -> str | None:
         """Fold the deltas of ``table`` into a new full snapshot (merge-on-read)."""
-        base, deltas, _ = self._layers(table)
-        if not deltas:
+        base, deltas, _, cascades = self._layers(table)
+        if not deltas and not cascades:
             return base
-        rank = deltas[-1][0]
+        rank = max(r for r, _ in deltas + cascades)
         version = self.ledger().filter(F.col("rank") == rank).select("version").first()["version"]
         path = self.write_snapshot(table, rank, self.current(table), target_bytes)
         self.commit(version, rank, {table: ("snapshot", path)})
@@ -154,9 +164,8 @@ class SnapshotStore:
         between the table writes and the ledger append (recovery tests).
         """
         if self.mode == "merge_on_read":
-            if cascade:
-                raise NotImplementedError("cascade is supported by the rewrite mode")
-            return self._append_version(version, rank, tables, deletes, helper_columns, fail_before_commit)
+            return self._append_version(version, rank, tables, deletes, helper_columns, fail_before_commit,
+                                        cascade)
         written = {}
         for name, new in tables.items():
             merged = update_table(self.current(name), new, keys, deletes, helper_columns)
@@ -172,8 +181,10 @@ class SnapshotStore:
         self.commit(version, rank, written)
         return written
 
-    def _append_version(self, version, rank, tables, deletes, helper_columns, fail_before_commit):
-        """merge_on_read: write the version's rows and delete keys only."""
+    def _append_version(self, version, rank, tables, deletes, helper_columns, fail_before_commit,
+                        cascade=False):
+        """merge_on_read: write the version's rows and delete keys only; with
+        ``cascade`` also the keys reaching each table the version lacks."""
         base = f"{self.root}/{self.office}/{self.schema}"
         written: dict[str, tuple[str, str]] = {}
         for name, new in tables.items():
@@ -181,14 +192,22 @@ class SnapshotStore:
             path = f"{base}/{name}/d={rank}"
             save_table(new, path, mode="overwrite")
             written[name] = ("delta", path)
-        if deletes is not None and tables:
+        if deletes is not None and (tables or cascade):
             path = f"{base}/_deletes/d={rank}"
             save_table(deletes.select(*self.keys), path, mode="overwrite")
             written["delete"] = ("deletes", path)
+        if cascade:
+            reach = key_set(*tables.values(), deletes, keys=self.keys)
+            for name in self.tables():
+                if name not in tables and reach is not None:
+                    path = f"{base}/{name}/x={rank}"
+                    save_table(reach, path, mode="overwrite")
+                    written[name] = ("cascade", path)
         if fail_before_commit:
             raise RuntimeError(f"simulated failure before committing version {version}")
         self.commit(version, rank, written)
-        for name in tables:
-            if len(self._layers(name)[1]) >= self.compact_every:
+        for name in [n for n, (kind, _) in written.items() if kind in ("delta", "cascade")]:
+            layers = self._layers(name)
+            if len(layers[1]) + len(layers[3]) >= self.compact_every:
                 self.compact(name)
         return {k: v[1] for k, v in written.items()}

@@ -21,12 +21,15 @@ version_st = st.fixed_dictionaries({
 })
 
 
-def model(versions):
+def model(versions, cascade=False):
     state = {t: [] for t in TABLES}
     for v in versions:
         dels = set(v["delete"] or [])
+        sent = {k for t in TABLES if v[t] is not None for k, _ in v[t]}
         for t in TABLES:
             if v[t] is None:
+                if cascade:  # the version's keys and deletes reach tables it lacks
+                    state[t] = [r for r in state[t] if r[0] not in dels | sent]
                 continue
             gone = dels | {k for k, _ in v[t]}
             state[t] = [r for r in state[t] if r[0] not in gone] + list(v[t])
@@ -48,9 +51,9 @@ def land(spark, landing, versions):
     return order
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(versions=st.lists(version_st, min_size=1, max_size=4))
-def test_all_update_paths_equal_the_model(spark, versions):
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(versions=st.lists(version_st, min_size=1, max_size=4), cascade=st.booleans())
+def test_all_update_paths_equal_the_model(spark, versions, cascade):
     landing = work_dir(spark, "prop-landing")
     order = land(spark, landing, versions)
     stores = {
@@ -59,12 +62,12 @@ def test_all_update_paths_equal_the_model(spark, versions):
         "mor": SnapshotStore(spark, work_dir(spark, "prop-mor"), "gb", mode="merge_on_read",
                              keys=GB.keys, compact_every=2),
     }
-    apply_in_order(stores["fold"], GB, landing, order)
-    apply_in_one_pass(stores["single"], GB, landing, order)
-    apply_in_order(stores["mor"], GB, landing, order)
-    expected = model(versions)
+    apply_in_order(stores["fold"], GB, landing, order, cascade=cascade)
+    apply_in_one_pass(stores["single"], GB, landing, order, cascade=cascade)
+    apply_in_order(stores["mor"], GB, landing, order, cascade=cascade)
+    expected = model(versions, cascade)
     for name, store in stores.items():
         for t in TABLES:
             cur = store.current(t)
             got = [] if cur is None else sorted((r[0], r[1]) for r in cur.select("ApplicationNumber", "x").collect())
-            assert got == expected[t], (name, t)
+            assert got == expected[t], (name, t, cascade)

@@ -60,10 +60,12 @@ def test_cascade_fold_and_single_pass_agree(spark):
     order = _versions(spark, landing)
     a = SnapshotStore(spark, work_dir(spark, "snapA"), "gb")
     b = SnapshotStore(spark, work_dir(spark, "snapB"), "gb")
+    c = SnapshotStore(spark, work_dir(spark, "snapC"), "gb", mode="merge_on_read", keys=GB.keys)
     assert apply_in_order(a, GB, landing, order, cascade=True)
     assert apply_in_one_pass(b, GB, landing, order, cascade=True)
+    assert apply_in_order(c, GB, landing, order, cascade=True)
     for t in ("Application", "Line"):
-        assert rows(a.current(t)) == rows(b.current(t))
+        assert rows(a.current(t)) == rows(b.current(t)) == rows(c.current(t))
     # v2 (no Line) re-sends a and deletes b: both reach Line; v3 (no Application) re-sends a
     # and deletes c: both reach Application, so the record a keeps only its new Line row
     assert rows(a.current("Application")) == []
