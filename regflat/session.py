@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 
@@ -43,6 +44,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -54,18 +56,19 @@ def ship_package(spark: SparkSession) -> None:
     """
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="regflat-pyfiles-"), "regflat.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
-        for base, _dirs, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(base, f)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(out)
-    _SHIPPED.add(app)
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="regflat-pyfiles-"), "regflat.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+            for base, _dirs, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(base, f)
+                        zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        sc.addPyFile(out)
+        _SHIPPED.add(app)
 
 
 def prepare(spark: SparkSession) -> str:
