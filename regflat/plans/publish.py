@@ -10,9 +10,10 @@ ever funnelled through a single task for a table larger than the target.
 from __future__ import annotations
 
 import contextlib
+import math
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
@@ -51,9 +52,39 @@ def _sized_write(df: DataFrame, path: str, target_bytes: int, mode: str, int96:
 
 
 def save_table(df: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTES,
-               mode: str = "overwrite", int96: bool = False) -> None:
-    """Write a current table with files near ``target_bytes``."""
-    _sized_write(df, path, target_bytes, mode, int96)
+               mode: str = "overwrite", int96: bool = False, rebalance: bool = True) -> None:
+    """Write a current table with files near ``target_bytes``.
+
+    ``rebalance=False`` writes the partitions as they come: right for a
+    table produced map-side from large inputs (a merged snapshot keeps the
+    input splits of the current table), where a rebalance would shuffle the
+    whole table only to size files."""
+    if rebalance:
+        _sized_write(df, path, target_bytes, mode, int96)
+        return
+    conf = {"spark.sql.parquet.outputTimestampType": "INT96"} if int96 else {}
+    with session_conf(df.sparkSession, conf):
+        df.write.mode(mode).option("compression", "snappy").parquet(path)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the Parquet files below ``path`` (a listing, no data read)."""
+    size = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").load(path).agg(F.sum("length")).first()[0])
+    return int(size or 0)
+
+
+def compact_files(spark: SparkSession, src: str, dst: str, target_bytes: int = TARGET_FILE_BYTES,
+                  int96: bool = False) -> None:
+    """W4 for a stored table without a shuffle: ``coalesce(n)`` with
+    n = stored bytes / target concatenates neighbouring files into ~target
+    sized ones (one file below the target).  Each of the n tasks streams its
+    share of the files; nothing is exchanged between executors."""
+    n = max(1, math.ceil(stored_bytes(spark, src) / target_bytes))
+    conf = {"spark.sql.parquet.outputTimestampType": "INT96"} if int96 else {}
+    with session_conf(spark, conf):
+        (spark.read.parquet(src).coalesce(n).write.mode("overwrite")
+         .option("compression", "snappy").parquet(dst))
 
 
 def compact_table(df: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTES,

@@ -142,7 +142,9 @@ class SnapshotStore:
         path = self.snapshot_path(table, rank)
         with session_conf(self.spark, {"spark.sql.adaptive.autoBroadcastJoinThreshold":
                                        str(MERGE_BROADCAST_BYTES)}):
-            save_table(df, path, target_bytes, mode="overwrite")
+            # no rebalance: the merged table keeps the current table's input
+            # splits (a map-side anti-join), so sizing would cost a full shuffle
+            save_table(df, path, target_bytes, mode="overwrite", rebalance=False)
         return path
 
     def commit(self, version: str, rank: int, written: Mapping[str, str]) -> None:

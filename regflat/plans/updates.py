@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regflat.functions.types import quality_counts, text_only
 from regflat.operators.merge import VERSION_COL, align_union, bulk_merge
 from regflat.plans.offices import OfficeSpec, normalise, prepare_new_rows
-from regflat.plans.publish import TARGET_FILE_BYTES, publish_all, save_family
+from regflat.plans.publish import TARGET_FILE_BYTES, compact_files, publish_all, save_family
 from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives, write_records_as_xml
@@ -179,8 +179,15 @@ def publish_if_updated(store: SnapshotStore, updated: bool, folder: str,
     """Publish only when something merged."""
     if not updated:
         return {}
+    spark = store.spark
+    if store.mode == "rewrite":  # full snapshots on disk: compact them without a shuffle
+        out = {}
+        for t, snap in store.committed().items():
+            out[t] = f"{folder}/{t}"
+            compact_files(spark, snap, out[t], target_bytes, int96=True)
+        return out
     tables = {t: store.current(t) for t in store.tables()}
-    return publish_all(store.spark, tables, folder, target_bytes)
+    return publish_all(spark, tables, folder, target_bytes)
 
 
 def run_office(spark: SparkSession, spec: OfficeSpec, xml_versions: Sequence[tuple[str, int, str]],

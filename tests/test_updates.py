@@ -113,3 +113,12 @@ def test_publish_only_if_updated(spark):
     store.apply_version("v1", 1, {"t": spark.createDataFrame([("a", 1)], "k string, p int")}, ["k"])
     out = publish_if_updated(store, True, work_dir(spark, "up"))
     assert set(out) == {"t"}
+
+
+def test_compact_files_without_shuffle(spark):
+    from regflat.plans.publish import compact_files
+    src, dst = work_dir(spark, "cf-src"), work_dir(spark, "cf-dst")
+    spark.range(50000).repartition(8).write.parquet(src)
+    compact_files(spark, src, dst)
+    files = [f for f in os.listdir(dst.removeprefix("file:")) if f.endswith(".parquet")]
+    assert len(files) == 1 and spark.read.parquet(dst).count() == 50000
