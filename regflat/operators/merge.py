@@ -78,11 +78,18 @@ def key_set(*frames: DataFrame | None, keys: Sequence[str]) -> DataFrame | None:
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
-def remove_keys(df: DataFrame, keys_df: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not among ``keys_df`` (null-safe)."""
+def remove_keys(df: DataFrame, keys_df: DataFrame | None, keys: Sequence[str],
+                broadcast: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key is not among ``keys_df`` (null-safe).
+
+    ``broadcast`` is for callers that have checked the key side's size
+    (e.g. from the listed bytes of the delta files); otherwise AQE decides
+    from the measured shuffle size."""
     if keys_df is None:
         return df
     right = keys_df.select(*[q(k) for k in keys]).distinct()
+    if broadcast:
+        right = F.broadcast(right)
     return df.join(right, _key_cond(df, right, keys), "left_anti")
 
 
@@ -152,7 +159,8 @@ def fold_merge(current: DataFrame | None, versions: Sequence[TableVersion], keys
 
 # ---------------------------------------------------------------- bulk ------
 def bulk_merge(current: DataFrame | None, deltas: DataFrame, deletes: DataFrame | None,
-               present: DataFrame, keys: Sequence[str], version_col: str = VERSION_COL) -> DataFrame:
+               present: DataFrame, keys: Sequence[str], version_col: str = VERSION_COL,
+               broadcast_keys: bool = False) -> DataFrame:
     """Single-pass merge of all versions at once; equals :func:`fold_merge`.
 
     ``deltas``: every landed row of the table, with its version rank in
@@ -186,5 +194,5 @@ def bulk_merge(current: DataFrame | None, deltas: DataFrame, deletes: DataFrame
     survivors = r.join(m, cond, "inner").filter(keep).select(*[r[f"`{c}`"] for c in deltas.columns])
     if current is None:
         return survivors
-    kept = remove_keys(current, marks.select(*kcols), keys).withColumn(version_col, F.lit(-1))
+    kept = remove_keys(current, marks.select(*kcols), keys, broadcast_keys).withColumn(version_col, F.lit(-1))
     return align_union(kept, survivors)

@@ -67,10 +67,13 @@ def save_table(df: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTES,
         df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
+def stored_bytes(spark: SparkSession, path: str | list[str]) -> int:
     """Bytes of the Parquet files below ``path`` (a listing, no data read)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    if not paths:
+        return 0
     size = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet").load(path).agg(F.sum("length")).first()[0])
+            .option("pathGlobFilter", "*.parquet").load(paths).agg(F.sum("length")).first()[0])
     return int(size or 0)
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regflat.operators.merge import (VERSION_COL, align_union, bulk_merge, key_set, remove_keys,
                                      update_table)
 from regflat.plans.ledger import append_ledger, read_ledger
-from regflat.plans.publish import TARGET_FILE_BYTES, save_table, session_conf
+from regflat.plans.publish import TARGET_FILE_BYTES, save_table, session_conf, stored_bytes
 
 # Runtime (AQE) broadcast limit for merge writes: a key set of this size is
 # ~10M keys, small enough to ship to every executor.
@@ -111,7 +111,12 @@ class SnapshotStore:
             parts.append(self._read_layers([p for _, p in cascades], "x").select(*self.keys, VERSION_COL))
         deletes = align_union(*parts) if parts else None
         present = self.spark.createDataFrame([(r,) for r in sorted(reached)], f"{VERSION_COL} int")
-        return bulk_merge(base_df, rows, deletes, present, self.keys).drop(VERSION_COL)
+        # the key side of the base's anti-join is at most the delta files: broadcast it
+        # only when their listed size is under the limit, else AQE/sort-merge decides
+        layer_paths = [p for _, p in deltas] + live + [p for _, p in cascades]
+        small = stored_bytes(self.spark, layer_paths) <= MERGE_BROADCAST_BYTES
+        return bulk_merge(base_df, rows, deletes, present, self.keys,
+                          broadcast_keys=small).drop(VERSION_COL)
 
     def _read_layers(self, paths: list[str], column: str = "d") -> DataFrame:
         base = paths[0].rsplit("/", 1)[0]

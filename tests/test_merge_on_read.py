@@ -46,3 +46,17 @@ def test_compaction_and_failure(spark):
     with pytest.raises(RuntimeError):
         b.apply_version("v3", 3, {"t": spark.createDataFrame([("c", 3)], S)}, ["k"], fail_before_commit=True)
     assert rows(b.current("t")) == before and b.latest_rank() == 2
+
+
+def test_small_deltas_broadcast_their_keys_after_a_size_check(spark):
+    from regflat.plans.publish import session_conf
+    b = SnapshotStore(spark, work_dir(spark, "mor-bc"), "xx", mode="merge_on_read", keys=["k"], compact_every=100)
+    b.apply_version("v1", 1, {"t": spark.createDataFrame([("a", 1), ("b", 1)], S)}, ["k"])
+    b.compact("t")
+    b.apply_version("v2", 2, {"t": spark.createDataFrame([("a", 2)], S)}, ["k"])
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    with session_conf(spark, off):
+        cur = b.current("t")
+        assert rows(cur) == [("a", 2), ("b", 1)]
+        plan = cur._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
