@@ -5,9 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from regflat.plans.ledger import latest, next_version, pending, read_ledger
+from regflat.plans.ledger import latest, next_version, pending
 from regflat.plans.offices import GB
-from regflat.plans.publish import compact_table, publish_all
+from regflat.plans.publish import compact_table
 from regflat.plans.snapshot import SnapshotStore
 from regflat.plans.updates import apply_in_one_pass, apply_in_order, landed_families, publish_if_updated
 from regflat.session import work_dir
