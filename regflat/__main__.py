@@ -62,7 +62,7 @@ def cmd_applications(spark: SparkSession, a: argparse.Namespace) -> None:
     frames = {}
     for item in a.office:
         office, path = item.split("=", 1)
-        frames[office] = spark.read.parquet(f"{path.rstrip('/')}/{MAIN_TABLES[office]}")
+        frames[office] = spark.read.parquet(f"{path.rstrip('/')}/{MAIN_TABLES[office]}.parquet")
     write_applications(frames, a.out)
 
 

@@ -112,7 +112,7 @@ def publish_all(spark: SparkSession, tables: Mapping[str, DataFrame], folder: st
     """W4/W5 for every table; INT96 timestamps as in the published files."""
     out = {}
     for name, df in tables.items():
-        path = f"{folder}/{name}"
+        path = f"{folder}/{name}.parquet"  # one Parquet output per table, as published
         compact_table(df, path, target_bytes, int96=int96)
         out[name] = path
     return out

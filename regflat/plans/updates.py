@@ -183,7 +183,7 @@ def publish_if_updated(store: SnapshotStore, updated: bool, folder: str,
     if store.mode == "rewrite":  # full snapshots on disk: compact them without a shuffle
         out = {}
         for t, snap in store.committed().items():
-            out[t] = f"{folder}/{t}"
+            out[t] = f"{folder}/{t}.parquet"
             compact_files(spark, snap, out[t], target_bytes, int96=True)
         return out
     tables = {t: store.current(t) for t in store.tables()}

@@ -21,7 +21,7 @@ def test_cli_office_applications_catalog(spark, capsys):
           "--publish", pub, "--single-pass"])
     out = capsys.readouterr().out
     assert "case-file-header" in out
-    header = spark.read.parquet(f"{pub}/case-file-header")
+    header = spark.read.parquet(f"{pub}/case-file-header.parquet")
     assert [str(r[0])[:10] for r in header.select("filing-date").collect()] == ["2002-02-02"]
     apps = work_dir(spark, "cli-apps")
     main(["applications", "--office", f"us={pub}", "--out", apps])
