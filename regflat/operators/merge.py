@@ -99,26 +99,28 @@ def replace_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def delete_replace(old: DataFrame, new: DataFrame | None, deletes: DataFrame | None,
-                   keys: Sequence[str]) -> DataFrame:
+                   keys: Sequence[str], broadcast_keys: bool = False) -> DataFrame:
     """``((old minus deletes) minus keys of new) union-all new``.
 
     Both anti-joins are folded into one against the union of the two key
-    sets, so the old table is shuffled once.
+    sets, so the old table is shuffled once (or not at all when the caller
+    has checked that the key set is small enough to broadcast).
     """
     doomed = key_set(new, deletes, keys=keys)
-    kept = remove_keys(old, doomed, keys)
+    kept = remove_keys(old, doomed, keys, broadcast_keys)
     return align_union(kept, new) if new is not None else kept
 
 
 def update_table(current: DataFrame | None, new: DataFrame, keys: Sequence[str],
-                 deletes: DataFrame | None = None, helper_columns: Iterable[str] = ()) -> DataFrame:
+                 deletes: DataFrame | None = None, helper_columns: Iterable[str] = (),
+                 broadcast_keys: bool = False) -> DataFrame:
     """Merge a landed table into the current one, or take it as is."""
     helpers = [c for c in helper_columns]
     new = new.drop(*[c for c in helpers if c in new.columns])
     if current is None:
         return new
     current = current.drop(*[c for c in helpers if c in current.columns])
-    return delete_replace(current, new, deletes, keys)
+    return delete_replace(current, new, deletes, keys, broadcast_keys)
 
 
 # ---------------------------------------------------------------- fold ------

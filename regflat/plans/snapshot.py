@@ -161,7 +161,7 @@ class SnapshotStore:
     def apply_version(self, version: str, rank: int, tables: Mapping[str, DataFrame],
                       keys: Sequence[str], deletes: DataFrame | None = None,
                       helper_columns: Sequence[str] = (), fail_before_commit: bool = False,
-                      cascade: bool = False) -> dict[str, str]:
+                      cascade: bool = False, landed_bytes: int | None = None) -> dict[str, str]:
         """Merge one version's tables, write snapshots, then commit.
 
         By default only tables present in the version are touched (their
@@ -169,19 +169,22 @@ class SnapshotStore:
         (of any of its tables) and its deletes also remove the rows of tables
         the version does not carry.  ``fail_before_commit`` simulates a crash
         between the table writes and the ledger append (recovery tests).
+        ``landed_bytes`` (the version's listed file size) lets the key set be
+        broadcast when it is under ``MERGE_BROADCAST_BYTES``.
         """
         if self.mode == "merge_on_read":
             return self._append_version(version, rank, tables, deletes, helper_columns, fail_before_commit,
                                         cascade)
+        small = landed_bytes is not None and landed_bytes <= MERGE_BROADCAST_BYTES
         written = {}
         for name, new in tables.items():
-            merged = update_table(self.current(name), new, keys, deletes, helper_columns)
+            merged = update_table(self.current(name), new, keys, deletes, helper_columns, small)
             written[name] = self.write_snapshot(name, rank, merged)
         if cascade:
             reach = key_set(*tables.values(), deletes, keys=keys)
             for name in self.tables():
                 if name not in tables and reach is not None:
-                    kept = remove_keys(self.current(name), reach, keys)
+                    kept = remove_keys(self.current(name), reach, keys, small)
                     written[name] = self.write_snapshot(name, rank, kept)
         if fail_before_commit:
             raise RuntimeError(f"simulated failure before committing version {version}")

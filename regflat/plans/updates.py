@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regflat.functions.types import quality_counts, text_only
 from regflat.operators.merge import VERSION_COL, align_union, bulk_merge
 from regflat.plans.offices import OfficeSpec, normalise, prepare_new_rows
-from regflat.plans.publish import TARGET_FILE_BYTES, compact_files, publish_all, save_family
+from regflat.plans.publish import TARGET_FILE_BYTES, compact_files, publish_all, save_family, stored_bytes
 from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives, write_records_as_xml
@@ -97,10 +97,12 @@ def apply_in_order(store: SnapshotStore, spec: OfficeSpec, landing: str,
         if latest is not None and rank <= latest:
             continue
         # an empty or missing version merges nothing but still advances
-        tables = _read_family(spark, landed.get(name, {}))
+        paths = landed.get(name, {})
+        tables = _read_family(spark, paths)
         deletes = tables.pop("delete", None)
         tables = {k: prepare_new_rows(spec, k, v) for k, v in tables.items() if k not in spec.skip_tables}
-        store.apply_version(name, rank, tables, spec.keys, deletes, spec.helper_columns, cascade=cascade)
+        store.apply_version(name, rank, tables, spec.keys, deletes, spec.helper_columns, cascade=cascade,
+                            landed_bytes=stored_bytes(spark, list(paths.values())))
         updated = True
     return updated
 

@@ -122,3 +122,19 @@ def test_compact_files_without_shuffle(spark):
     compact_files(spark, src, dst)
     files = [f for f in os.listdir(dst.removeprefix("file:")) if f.endswith(".parquet")]
     assert len(files) == 1 and spark.read.parquet(dst).count() == 50000
+
+
+def test_small_version_broadcasts_its_keys(spark):
+    from regflat.plans.publish import session_conf
+    landing = work_dir(spark, "land")
+    order = _versions(spark, landing)
+    store = SnapshotStore(spark, work_dir(spark, "snapBC"), "gb")
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    with session_conf(spark, off):
+        apply_in_order(store, GB, landing, order[:1])
+        # the merge plan of the next version, built the way apply_version builds it
+        from regflat.operators.merge import update_table
+        new = spark.read.parquet(table_folder(landing, "gb", "v2", "Application"))
+        merged = update_table(store.current("Application"), new, GB.keys, None, (), True)
+        p = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
