@@ -17,7 +17,7 @@ from regflat.functions.types import quality_counts, text_only
 from regflat.operators.merge import VERSION_COL, align_union, bulk_merge
 from regflat.plans.offices import OfficeSpec, normalise, prepare_new_rows
 from regflat.plans.publish import TARGET_FILE_BYTES, compact_files, publish_all, save_family, stored_bytes
-from regflat.plans.snapshot import SnapshotStore
+from regflat.plans.snapshot import MERGE_BROADCAST_BYTES, SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives, write_records_as_xml
 from regflat.sources.landing import inventory, table_folder
@@ -151,6 +151,9 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
     deletes_df = align_union(*deletes) if deletes else None
     written = {}
     last_rank = todo[-1][1]
+    # all pending versions' files: the key side of each current table's anti-join is within them
+    small = stored_bytes(spark, [p for n, _ in todo for p in landed.get(n, {}).values()]) \
+        <= MERGE_BROADCAST_BYTES
     for t in tables:
         parts = [prepare_new_rows(spec, t, fam[t]).withColumn(VERSION_COL, F.lit(r))
                  for r, fam in families.items() if t in fam]
@@ -169,7 +172,8 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
                           for r, fam in families.items() if t not in fam
                           for o in fam if o != "delete"]
         dels = align_union(*del_parts) if del_parts else None
-        merged = bulk_merge(current, align_union(*parts), dels, present, spec.keys).drop(VERSION_COL)
+        merged = bulk_merge(current, align_union(*parts), dels, present, spec.keys,
+                            broadcast_keys=small).drop(VERSION_COL)
         written[t] = store.write_snapshot(t, last_rank, merged, target_bytes)
     # one append commits every version at once
     store.commit_many([(n, r, {}) for n, r in todo[:-1]] + [(todo[-1][0], last_rank, written)])
