@@ -13,6 +13,7 @@ named by ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import argparse
+import re
 import sys
 
 from pyspark.sql import SparkSession, functions as F
@@ -31,15 +32,27 @@ SPECS = {"us": US, "ca": CA, "gb": GB, "em": em_spec("TradeMark"), "em-ir": em_s
 MAIN_TABLES = {"us": "case-file-header", "ca": "Trademark", "em": "TradeMark", "gb": "Application"}
 
 
+# GB feed phases in merge order (other feeds have no phase).
+PHASES = ("full", "rollup_old", "rollup")
+
+
 def _versions(spark: SparkSession, root: str) -> list[tuple[str, int, str, bool]]:
-    """Version folders below ``root`` in name order: (name, rank, path, zipped)."""
+    """Version folders below ``root``: (name, rank, path, zipped).
+
+    A version is the folder holding the files; when it sits in a phase folder
+    (``full/``, ``rollup_old/``, ``rollup/``) the rank follows (phase, name),
+    so phases apply in order whatever their names sort to."""
+    base = root.rstrip("/")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(root.rstrip("/")).select("path"))
-    rel = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("version")
-    listing = files.select(rel, F.col("path").endswith(".zip").alias("zipped")) \
-        .groupBy("version").agg(F.max("zipped").alias("zipped"))
-    ranked = order_versions(listing, ["version"]).collect()  # one row per version folder
-    return [(r["version"], r["rank"], f"{root.rstrip('/')}/{r['version']}", r["zipped"]) for r in ranked]
+             .load(base).select("path"))
+    folder = F.regexp_extract("path", "^(?:file:)?" + re.escape(base.removeprefix("file:")) + r"/(.+)/[^/]+$", 1)
+    phase = F.when(F.instr(folder, "/") > 0, F.substring_index(folder, "/", 1))
+    phase_rank = F.coalesce(*[F.when(phase == p, F.lit(i)) for i, p in enumerate(PHASES)], F.lit(0))
+    listing = (files.select(folder.alias("folder"), phase_rank.alias("phase_rank"),
+                            F.col("path").endswith(".zip").alias("zipped"))
+               .groupBy("folder", "phase_rank").agg(F.max("zipped").alias("zipped")))
+    ranked = order_versions(listing, ["phase_rank", "folder"]).collect()  # one row per version folder
+    return [(r["folder"].replace("/", "__"), r["rank"], f"{base}/{r['folder']}", r["zipped"]) for r in ranked]
 
 
 def cmd_office(spark: SparkSession, a: argparse.Namespace) -> None:

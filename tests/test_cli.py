@@ -28,3 +28,15 @@ def test_cli_office_applications_catalog(spark, capsys):
     assert spark.read.parquet(apps).count() == 1
     main(["catalog", "--folder", f"open/us={pub}"])
     assert "filing-date" in capsys.readouterr().out
+
+
+def test_cli_versions_follow_phases(spark):
+    from regflat.__main__ import _versions
+    root = work_dir(spark, "cli-phases")
+    for folder in ("rollup/a-new", "full/z-old", "full/y-old", "rollup_old/m"):
+        d = f"{root}/{folder}".removeprefix("file:")
+        os.makedirs(d)
+        with open(f"{d}/x.xml", "w") as fh:
+            fh.write("<r/>")
+    got = [(name, rank) for name, rank, _, _ in _versions(spark, root)]
+    assert got == [("full__y-old", 1), ("full__z-old", 2), ("rollup_old__m", 3), ("rollup__a-new", 4)]
