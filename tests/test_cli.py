@@ -40,3 +40,24 @@ def test_cli_versions_follow_phases(spark):
             fh.write("<r/>")
     got = [(name, rank) for name, rank, _, _ in _versions(spark, root)]
     assert got == [("full__y-old", 1), ("full__z-old", 2), ("rollup_old__m", 3), ("rollup__a-new", 4)]
+
+
+def test_cli_gb_zipped_phases(spark):
+    import zipfile
+    root = work_dir(spark, "cli-gb")
+
+    def feed(folder, records):
+        d = f"{root}/{folder}".removeprefix("file:")
+        os.makedirs(d)
+        body = "".join(f"<TradeMark><ApplicationNumber>{k}</ApplicationNumber>"
+                       f"<ApplicationDateTime>{ts}</ApplicationDateTime></TradeMark>" for k, ts in records)
+        with zipfile.ZipFile(f"{d}/part.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("export.xml", f"<MarkLicenceeExportList>{body}</MarkLicenceeExportList>")
+    feed("full/b", [("1", "2001-01-01T00:00:00Z"), ("2", "2001-01-02T00:00:00Z")])
+    feed("rollup/a", [("1", "2005-05-05T10:00:00+01:00")])   # sorts first by name, applies last by phase
+    landing, store, pub = work_dir(spark, "cli-gb-land"), work_dir(spark, "cli-gb-store"), work_dir(spark, "cli-gb-pub")
+    main(["office", "--office", "gb", "--versions", root, "--landing", landing, "--store", store, "--publish", pub])
+    app = spark.read.parquet(f"{pub}/Application.parquet")
+    got = sorted((r["ApplicationNumber"], str(r["ApplicationDateTime"])) for r in
+                 app.selectExpr("ApplicationNumber", "CAST(ApplicationDateTime AS timestamp_ntz) AS ApplicationDateTime").collect())
+    assert got == [("1", "2005-05-05 09:00:00"), ("2", "2001-01-02 00:00:00")]
