@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regflat.functions.types import quality_counts, text_only
 from regflat.operators.merge import VERSION_COL, align_union, bulk_merge
 from regflat.plans.offices import OfficeSpec, normalise, prepare_new_rows
-from regflat.plans.publish import TARGET_FILE_BYTES, compact_files, publish_all, save_family, stored_bytes
+from regflat.plans.publish import TARGET_FILE_BYTES, compact_files, save_family, stored_bytes
 from regflat.plans.snapshot import MERGE_BROADCAST_BYTES, SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives, write_records_as_xml
@@ -182,18 +182,23 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
 
 def publish_if_updated(store: SnapshotStore, updated: bool, folder: str,
                        target_bytes: int = TARGET_FILE_BYTES) -> Mapping[str, str]:
-    """Publish only when something merged."""
+    """Publish only when something merged.
+
+    Merge-on-read tables are compacted into full snapshots first (a lasting
+    gain for later reads); every table is then published from its snapshot
+    with ``coalesce(n)``, so publishing never shuffles."""
     if not updated:
         return {}
     spark = store.spark
-    if store.mode == "rewrite":  # full snapshots on disk: compact them without a shuffle
-        out = {}
-        for t, snap in store.committed().items():
-            out[t] = f"{folder}/{t}.parquet"
-            compact_files(spark, snap, out[t], target_bytes, int96=True)
-        return out
-    tables = {t: store.current(t) for t in store.tables()}
-    return publish_all(spark, tables, folder, target_bytes)
+    if store.mode == "merge_on_read":  # fold pending deltas into full snapshots first
+        for t in store.tables():
+            store.compact(t, target_bytes)
+    # full snapshots on disk: publish them by a shuffle-free coalesce copy
+    out = {}
+    for t, snap in store.committed().items():
+        out[t] = f"{folder}/{t}.parquet"
+        compact_files(spark, snap, out[t], target_bytes, int96=True)
+    return out
 
 
 def run_office(spark: SparkSession, spec: OfficeSpec, xml_versions: Sequence[tuple[str, int, str]],
