@@ -173,7 +173,8 @@ def bulk_merge(current: DataFrame | None, deltas: DataFrame, deletes: DataFrame
     its key and no version d > v in which the table is present deletes the
     key.  A current row survives iff no delta row and no live delete carries
     its key.  So the (large) current table only meets an anti-join against
-    the delta key set, which AQE broadcasts when its measured size allows;
+    the delta key set, broadcast when the caller has checked its size
+    (``broadcast_keys``) or when AQE's measured size allows, else sort-merge;
     the deltas go through one aggregate over ``(key, version)`` pairs
     (map-side combined, so a hot key is reduced before the shuffle) and one
     equi-join back, whose skewed partitions AQE can split.  No window, so no
