@@ -27,6 +27,22 @@ def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+def _tag_end(buf: str, pos: int) -> int:
+    """Index of the ``>`` closing the start tag begun before ``pos``; a ``>``
+    inside a quoted attribute value does not count.  -1 if not in ``buf`` yet."""
+    quote = None
+    for i in range(pos, len(buf)):
+        ch = buf[i]
+        if quote:
+            if ch == quote:
+                quote = None
+        elif ch in "\"'":
+            quote = ch
+        elif ch == ">":
+            return i
+    return -1
+
+
 def split_records(stream: io.BufferedIOBase, tag: str, encoding: str = "utf-8") -> Iterator[str]:
     """Yield each ``<tag ...>...</tag>`` (or ``<tag/>``) element of a stream.
 
@@ -47,7 +63,7 @@ def split_records(stream: io.BufferedIOBase, tag: str, encoding: str = "utf-8")
                 buf = buf[-(len(tag) + 2):] if chunk else ""
                 break
             s = m.start()
-            gt = buf.find(">", m.end())
+            gt = _tag_end(buf, m.end())
             if gt < 0:
                 buf = buf[s:]
                 break

@@ -209,3 +209,10 @@ def test_landing_writes_quality_table(spark):
     # the bad registration date of record 1 is counted; good filing dates are not
     assert q[("case-file-header", "registration-date")] == 1
     assert q[("case-file-header", "filing-date")] == 0
+
+
+def test_split_records_quote_aware_tag_end():
+    import io
+    body = '<r><rec a="x>y"/><rec b=\'1>2\'><v>1</v></rec><rec/></r>'
+    got = list(split_records(io.BytesIO(body.encode()), "rec"))
+    assert got == ['<rec a="x>y"/>', "<rec b='1>2'><v>1</v></rec>", "<rec/>"]
