@@ -163,6 +163,9 @@ def expand_archives(spark: SparkSession, root: str, row_tag: str, member_suffix:
     members = (list_archives(spark, root, glob).select("path")
                .mapInPandas(_member_lister(member_suffix), MEMBER_SCHEMA))
     n = members.count()
-    members = members.repartition(max(1, n))  # round-robin: one member per task
+    # round-robin over at most 4 tasks per core: one member per task while
+    # members are few, no flood of tiny tasks when an archive holds thousands
+    tasks = max(1, min(n, 4 * spark.sparkContext.defaultParallelism))
+    members = members.repartition(tasks)
     out = members.mapInPandas(_expander(row_tag), RECORD_SCHEMA)
     return out.repartition(partitions) if partitions else out
