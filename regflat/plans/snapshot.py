@@ -87,8 +87,9 @@ class SnapshotStore:
                 base_rank, base = r["rank"], r["snapshot"]
 
         def after(kind, of_table=True):
-            return sorted((r["rank"], r["snapshot"]) for r in entries
-                          if r["kind"] == kind and r["rank"] > base_rank and (not of_table or r["table"] == table))
+            # a set: a retried ledger append may repeat rows; a layer is read once
+            return sorted({(r["rank"], r["snapshot"]) for r in entries
+                           if r["kind"] == kind and r["rank"] > base_rank and (not of_table or r["table"] == table)})
         return base, after("delta"), after("deletes", of_table=False), after("cascade")
 
     def current(self, table: str) -> DataFrame | None:

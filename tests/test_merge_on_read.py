@@ -60,3 +60,13 @@ def test_small_deltas_broadcast_their_keys_after_a_size_check(spark):
         assert rows(cur) == [("a", 2), ("b", 1)]
         plan = cur._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_repeated_ledger_rows_do_not_duplicate_data(spark):
+    b = SnapshotStore(spark, work_dir(spark, "mor-dup"), "xx", mode="merge_on_read", keys=["k"], compact_every=100)
+    b.apply_version("v1", 1, {"t": spark.createDataFrame([("a", 1), ("b", 1)], S)}, ["k"])
+    entries = [(v, r, {t: (k, p)}) for v, r, t, k, p in
+               [(row["version"], row["rank"], row["table"], row["kind"], row["snapshot"])
+                for row in b.ledger().collect()]]
+    b.commit_many(entries)  # the same commit appended again (a retried write)
+    assert rows(b.current("t")) == [("a", 1), ("b", 1)]
