@@ -77,7 +77,8 @@ class Container:
         whole container is one fully flattened table.
     subtrees: sub-containers split into ``<table>.<sub without Bag>``.
     extra_key: a key of the container carried into its sub-tree tables.
-    drop: columns dropped before the remainder is finished.
+    drop: containers dropped (with everything below them) before the
+        remainder is finished.
     children: containers nested in this one, handled the same way.
     emit: whether the remainder becomes a table itself.
     name_table: the table name the name rule strips when finishing.
@@ -132,7 +133,10 @@ def split_container(df: DataFrame, c: Container, keys: tuple[str, ...], how: Cle
     for ch in c.children:
         if ch.column in part.columns:
             split_container(part, ch, keys, how, out)
-    part = drop_present(part, c.drop + tuple(ch.column for ch in c.children))
+    # a dropped container goes with everything flattened out of it
+    gone = c.drop + tuple(ch.column for ch in c.children)
+    part = drop_present(part, [col for col in part.columns
+                               if any(col == g or col.startswith(g + "|") for g in gone)])
     sub_keys = keys + ((c.extra_key,) if c.extra_key and c.extra_key in part.columns else ())
     for sub in c.subtrees:
         if sub in part.columns:

@@ -94,6 +94,9 @@ CA_XML = """<tmk:TrademarkBag xmlns:tmk="t" xmlns:com="c">
      <tmk:Applicant><com:LegalEntityName>Beta</com:LegalEntityName></tmk:Applicant></tmk:ApplicantBag>
   <tmk:GoodsServicesBag><tmk:GoodsServices><tmk:ClassDescriptionBag><tmk:ClassDescription><tmk:ClassNumber>9</tmk:ClassNumber></tmk:ClassDescription></tmk:ClassDescriptionBag>
      <tmk:Note>n</tmk:Note></tmk:GoodsServices></tmk:GoodsServicesBag>
+  <tmk:MarkEventBag><tmk:MarkEvent><tmk:NationalMarkEvent><tmk:MarkEventCategory>Filed</tmk:MarkEventCategory>
+     <tmk:MarkEventOtherLanguageDescriptionTextBag><tmk:Text>Deposee</tmk:Text></tmk:MarkEventOtherLanguageDescriptionTextBag>
+  </tmk:NationalMarkEvent></tmk:MarkEvent></tmk:MarkEventBag>
   <tmk:LegalProceedingsBag><tmk:LegalProceedings><tmk:CancellationProceedings>
      <tmk:LegalProceedingIdentifier>L1</tmk:LegalProceedingIdentifier>
      <tmk:DefendantBag><tmk:Defendant><com:Name>D</com:Name></tmk:Defendant></tmk:DefendantBag>
@@ -119,6 +122,9 @@ def test_ca_family_from_xml(spark):
     assert "LegalProceedingIdentifier" in fam["CancellationProceedings.Defendant"].columns
     assert rows(fam["OppositionProceedings.Plaintiff"], "OppositionIdentifier", "Name") == [("O1", "P")]
     assert rows(fam["CancellationProceedings.Defendant"], "LegalProceedingIdentifier", "Name") == [("L1", "D")]
+    me = fam["MarkEvent"]
+    assert not [c for c in me.columns if "OtherLanguage" in c]
+    assert rows(me, "ApplicationNumber") == [("1",)]
 
 
 EM_XML = """<Transaction><TradeMarkDetails>
