@@ -1161,6 +1161,23 @@ def snapshot_commit(spark, sf):
     return store.current("customer")
 
 
+@query("cascade_merge", """
+SELECT o_custkey AS c_custkey, o_orderkey FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+""")
+def cascade_merge(spark, sf):
+    """R6 option: v2 re-sends the BUILDING customers without their orders
+    table; with cascade the re-sent records lose their old orders too."""
+    c, o = t(spark, sf, "customer"), t(spark, sf, "orders")
+    keys = ["c_custkey"]
+    store = SnapshotStore(spark, work_dir(spark, "cascade"), "xx")
+    store.apply_version("v1", 1, {"customer": c.select("c_custkey", "c_name"),
+                                  "orders": o.select(q("o_custkey").alias("c_custkey"), "o_orderkey")}, keys)
+    resent = c.filter(q("c_mktsegment") == "BUILDING").select("c_custkey", F.upper("c_name").alias("c_name"))
+    store.apply_version("v2", 2, {"customer": resent}, keys, cascade=True)
+    return store.current("orders")
+
+
 @query("merge_on_read_commit", """
 SELECT c_custkey, c_name, c_nationkey,
        CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN c_acctbal + 2
