@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, quality_rules, url_filter
+from . import chat_format, jaccard_join, quality_rules, substring_dedup, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,17 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, listed)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a 35-word window found elsewhere too, removed."""
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False) \
+        .select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked at a Jaccard similarity of 0.9 on three-word shingles."""
+    return jaccard_join.similar_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 _W = r"[^\x20\x09-\x0D]+"
 
 
@@ -116,7 +127,40 @@ SELECT page_id, host, path, {case(1, "NULL")} AS rule,
   {case(0, "CASE WHEN listed THEN 'block' ELSE 'allow' END")} AS verdict, listed FROM j"""
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op6_url_filter)}
+def _sql_op3() -> str:
+    k = substring_dedup.WINDOW
+    return f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '{_W}') AS ws FROM documents),
+win AS (SELECT r, i, array_to_string(ws[i:i + {k - 1}], ' ') AS s
+        FROM (SELECT r, ws, unnest(range(1, len(ws) - {k - 2})) AS i FROM d WHERE len(ws) >= {k})),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS c FROM win) WHERE c > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + {k})) AS j FROM rep),
+w AS (SELECT r, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS j FROM d),
+kept AS (SELECT w.r, string_agg(w.w, ' ' ORDER BY w.j) AS t, count(*) AS n
+         FROM w LEFT JOIN gone ON gone.r = w.r AND gone.j = w.j WHERE gone.j IS NULL GROUP BY w.r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept ON kept.r = d.r"""
+
+
+def _sql_op8() -> str:
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '{_W}') AS ws FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) END AS g FROM d),
+t AS (SELECT r, unnest(g) AS tok FROM s),
+n AS (SELECT r, len(g) AS n FROM s),
+i AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM t a JOIN t b ON a.tok = b.tok AND a.r < b.r GROUP BY a.r, b.r),
+e AS (SELECT x, y FROM i JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+ties AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach AS (SELECT r AS x, r AS y FROM s UNION SELECT reach.x, ties.y FROM reach JOIN ties ON reach.y = ties.x)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, m.component_id
+FROM s JOIN (SELECT reach.x, min(o.doc_id) AS component_id FROM reach JOIN s o ON o.r = reach.y GROUP BY reach.x) m ON m.x = s.r"""
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_substring_dedup, op6_url_filter,
+                                op8_jaccard_join)}
 
 
 def queries():
@@ -126,4 +170,5 @@ def queries():
 
 def oracle_sql():
     """DuckDB SQL by registered name, for the queries that SQL can express."""
-    return {"op1_quality_rules": _sql_op1(), "op2_chat_format": _sql_op2(), "op6_url_filter": _sql_op6()}
+    return {"op1_quality_rules": _sql_op1(), "op2_chat_format": _sql_op2(), "op3_substring_dedup": _sql_op3(),
+            "op6_url_filter": _sql_op6(), "op8_jaccard_join": _sql_op8()}
