@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, jaccard_join, quality_rules, substring_dedup, url_filter
+from ..session import work_dir
+from . import chat_format, jaccard_join, quality_rules, substring_dedup, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +57,21 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to Arrow files and read back."""
+    docs = _table(spark, sf_dir, "documents")
+    folder = work_dir(spark, "token-files")
+    files = token_files.write_tokens(docs, folder, tokenizer_file("byte_bpe_50k.json"))
+    return token_files.read_tokens(spark, folder, files, docs.schema["doc_id"].dataType.simpleString())
+
+
 _W = r"[^\x20\x09-\x0D]+"
 
 
@@ -160,7 +176,7 @@ FROM s JOIN (SELECT reach.x, min(o.doc_id) AS component_id FROM reach JOIN s o O
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_substring_dedup, op6_url_filter,
-                                op8_jaccard_join)}
+                                op7_token_files, op8_jaccard_join)}
 
 
 def queries():
