@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat_format, jaccard_join, quality_rules, substring_dedup, token_files, url_filter
+from . import chat_format, html_text, jaccard_join, pu_classifier, quality_rules, substring_dedup, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,16 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op5_pu_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the marks outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    marks = _table(spark, sf_dir, "labels").where(~pu_classifier.held_out(F.col("doc_id")))
+    model = pu_classifier.train(docs, marks)
+    scored = docs.select("doc_id", pu_classifier.held_out(F.col("doc_id")).alias("held_out"),
+                         pu_classifier.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= pu_classifier.THRESHOLD).cast("int"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page URL; listed are the pages that some URL reaches with an affiliate mark (``ref=``)."""
     pages = _table(spark, sf_dir, "pages")
@@ -52,6 +62,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked at a Jaccard similarity of 0.9 on three-word shingles."""
     return jaccard_join.similar_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -175,8 +190,8 @@ SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, m.component_id
 FROM s JOIN (SELECT reach.x, min(o.doc_id) AS component_id FROM reach JOIN s o ON o.r = reach.y GROUP BY reach.x) m ON m.x = s.r"""
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_substring_dedup, op6_url_filter,
-                                op7_token_files, op8_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_substring_dedup, op5_pu_classifier,
+                                op6_url_filter, op7_token_files, op8_jaccard_join, op9_html_text)}
 
 
 def queries():
