@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat_format, html_text, jaccard_join, pu_classifier, quality_rules, substring_dedup, token_files, url_filter
+from . import (
+    chat_format,
+    decontaminate,
+    html_text,
+    jaccard_join,
+    merge_dropout,
+    pu_classifier,
+    quality_rules,
+    substring_dedup,
+    token_files,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +50,11 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark, with the item."""
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_pu_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from the marks outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -87,6 +103,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder, files, docs.schema["doc_id"].dataType.simpleString())
 
 
+def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with merge-dropout and decoded again."""
+    return merge_dropout.encode_documents(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"),
+                                          seed=20, with_ids=False).drop("ids")
+
+
 _W = r"[^\x20\x09-\x0D]+"
 
 
@@ -190,8 +212,9 @@ SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, m.component_id
 FROM s JOIN (SELECT reach.x, min(o.doc_id) AS component_id FROM reach JOIN s o ON o.r = reach.y GROUP BY reach.x) m ON m.x = s.r"""
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_substring_dedup, op5_pu_classifier,
-                                op6_url_filter, op7_token_files, op8_jaccard_join, op9_html_text)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_substring_dedup, op4_decontaminate,
+                                op5_pu_classifier, op6_url_filter, op7_token_files, op8_jaccard_join, op9_html_text,
+                                op10_merge_dropout)}
 
 
 def queries():
