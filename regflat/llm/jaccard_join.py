@@ -289,3 +289,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least = named.where("group is not null").groupBy("group").agg(F.min("id").alias("least"))
     return named.join(least, "group", "left").select(
         F.col("id").alias(id_col), "u", "n_shingles", "group", F.coalesce("least", "id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             num: int = NUM, den: int = DEN) -> DataFrame:
+    """``docs``, all columns, with one row of each group (least id); texts without words all stay."""
+    found = similar_groups(docs, id_col, text_col, shingle, num, den)
+    best = found.where("group is not null").groupBy("group").agg(F.min(F.struct(F.col(id_col), F.col("u"))).alias("_m")) \
+        .select(F.col("_m.u").alias("_u"), F.lit(True).alias("_one"))
+    plain = found.where("group is null").select(F.col("u").alias("_u"), F.lit(False).alias("_one")).distinct()
+    rows = docs.withColumn("_u", F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
+    kept = rows.join(best.unionByName(plain), "_u")
+    # a row that is repeated as a whole is one document of its group
+    nth = F.row_number().over(Window.partitionBy("_u").orderBy("_u"))
+    return kept.withColumn("_n", nth).where("not _one or _n = 1").select(*docs.columns)
