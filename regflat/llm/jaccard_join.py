@@ -7,16 +7,20 @@ tokens must, for any allocation v of -1, 0 or 1 to the segments with
 sum(v + 1) > d, differ by at most v in some segment.
 
 * Sets are put in size bands, each with as many segments as its largest
-  difference needs; a set is indexed in its own band and, where a larger
-  partner could stand there, in the next.
+  difference needs and some to spare; a set is indexed in its own band and,
+  where a larger partner could stand there, in the next.
 * The index holds the subset of every segment and, for one reserve segment,
-  its neighbourhood: the subset less one token.
-* A set looks up (as the larger of a pair) under the allocation of least cost:
-  -1 for segments with few tokens, which say little, 0 for the others, and 1
-  for the reserve segment where that costs less than another weak segment.
-
-Equal keys make candidates, which are never listed as pairs: a bucket ties its
-sets to its least one, components of these ties are the candidate groups, and
+  its neighbourhood: the subset less one token, so that a difference of one
+  token still meets there.
+* The allocation takes v = 0 for the plain segments and v = 1 for the reserve.
+  Its cost is what the lists of equal keys hold: a set whose segments without
+  company (cost nothing) already carry the sum over d has no partner, so it is
+  a candidate only if the segments it shares, the reserve counted twice, reach
+  what is left: sum(v + 1) - d.  Empty subsets, which say nothing, count as
+  shared without being listed, unless they alone could carry the rest.
+
+Candidates are never listed as pairs: a bucket of equal keys ties its
+candidates to the least one, components of these ties are the groups, and
 each group is verified on the sets themselves.  A group too large for a task
 is cut into blocks and verified block by block.  Within a task a set that is
 already tied to all others is not compared again, so a group of copies around
@@ -47,9 +51,10 @@ from .words import hash_words, mix, rolling, texts
 
 SHINGLE = 3
 NUM, DEN = 90, 100
-BAND_GROWTH = 1.4
+BAND_GROWTH = 1.5
+SPARE = 0.25          # segments to spare, as a share of the largest difference of a band
 BLOCK = 2_000_000     # tokens of a block: 16 MB
-WEAK = 4096.0         # cost of looking up an empty segment; each token more divides it by four
+RECENT = 200_000      # sets whose copies a task does not index again
 
 
 def _sets(data, offsets, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,11 +100,14 @@ class Bands:
             tops.append(max(tops[-1] + 1, int(tops[-1] * BAND_GROWTH)))
         self.top = np.array(tops, np.int64)
         self.low = np.concatenate([[1], self.top[:-1] + 1])
-        self.segments = self.apart(self.top) + 1
+        # sum(v + 1) over the segments: one by one but for the reserve, which has v = 1
+        most = self.apart(self.top, self.top)
+        self.units = np.maximum(2, most + 1 + (SPARE * most).astype(np.int64))
+        self.segments = self.units - 1
 
-    def apart(self, size):
-        """Most tokens in which a set of ``size`` can differ from a linked one that is no larger."""
-        return 2 * size * (self.den - self.num) // (self.den + self.num)
+    def apart(self, a, b):
+        """Most tokens in which linked sets of sizes ``a`` and ``b`` can differ."""
+        return (a + b) * (self.den - self.num) // (self.den + self.num)
 
     def memberships(self, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(set, band, is it the band of the set): where each set is indexed."""
@@ -116,63 +124,54 @@ class Bands:
         return np.concatenate(sets), np.concatenate(bands), np.concatenate(home)
 
 
-INDEX, PROBE = 1, 2
+HOME, NEAR = 2, 1  # bits of a row's mark below its band: the set's own band; a key of the reserve segment
 
 
-def keys(token: np.ndarray, at: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, set, role) rows for the sets ``token[at[i]:at[i+1]]``."""
+def keys(token: np.ndarray, at: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, set, mark, need) rows for the sets ``token[at[i]:at[i+1]]``; ``need``: units to share beside empty segments."""
     size = np.diff(at)
     sets, band, home = bands.memberships(size)
     # in band 0 no two different sets are linked, and nothing is looked up there
     use = band > 0
     sets, band, home = sets[use], band[use], home[use]
     if not len(sets):
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int8)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
     m = bands.segments[band]
     first = np.concatenate([[0], np.cumsum(m)])
+    cells = int(first[-1])
     n = size[sets]
     ends = np.cumsum(n)
     member = np.repeat(np.arange(len(sets)), n)
-    x = token[np.repeat(at[sets] - np.concatenate([[0], ends[:-1]]), n) + np.arange(ends[-1])]
+    x = token[np.repeat(at[sets] - (ends - n), n) + np.arange(ends[-1])]
     spread = mix(x + band[member].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     seg = ((spread >> np.uint64(32)) * m[member].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
     cell = first[member] + seg
     value = mix(x)
-    total = _sums(value, cell, int(first[-1]))
-    count = np.bincount(cell, minlength=int(first[-1]))
+    total = _sums(value, cell, cells)
+    count = np.bincount(cell, minlength=cells)
     cell_member = np.repeat(np.arange(len(sets)), m)
-    cell_seg = np.arange(int(first[-1])) - first[cell_member]
+    cell_seg = np.arange(cells) - first[cell_member]
     place = mix((band[cell_member] << 32 | cell_seg).astype(np.uint64) + np.uint64(1))
     exact = mix(total + place)
 
-    # allocation of each set in its own band: the cheapest d + 1 segments, or the reserve (segment 0) at 1 and d - 1 others
-    cost = 1 + WEAK / 4.0 ** np.minimum(count, 20)
-    need = np.where(home, bands.apart(n) + 1, 0)
-    order = np.lexsort((cost, cell_member))
-    rank = np.empty(len(cost), np.int64)
-    rank[order] = cell_seg  # cells of a member are contiguous, so sorted positions repeat their numbering
-    plain = rank < need[cell_member]
+    largest = np.minimum(bands.top[band], n * bands.den // bands.num)  # of a partner in this band
+    need = bands.units[band] - bands.apart(n, largest)
     zero = first[:-1]
-    rank0 = rank[zero]
-    others = rank - (rank > rank0[cell_member])  # rank among the segments other than the reserve
-    with_reserve = (cell_seg > 0) & (others < (need - 2)[cell_member])
-    reserve_cost = (count[zero] + 1) * (1 + WEAK / 4.0 ** np.clip(count[zero] - 1, 0, 20))
-    sum_plain = np.bincount(cell_member, weights=cost * plain, minlength=len(sets))
-    sum_reserve = np.bincount(cell_member, weights=cost * with_reserve, minlength=len(sets)) + reserve_cost + cost[zero]
-    raised = home & (need >= 2) & (sum_reserve < sum_plain)
-    probe = np.where(raised[cell_member], with_reserve | (cell_seg == 0), plain) & (need > 1)[cell_member]
-
-    # neighbourhoods of the reserve segment: its subset less one token
+    # segments that count as shared: empty ones, and the reserve with a token or none
+    given = np.bincount(cell_member, weights=(count == 0) & (cell_seg > 0), minlength=len(sets)).astype(np.int64)
+    need = need - given - 2 * (count[zero] < 2)
+    listed = need <= 0  # these could be all that a pair shares, so they are listed after all
+    mark = (band << 2 | np.where(home, HOME, 0)).astype(np.int32)
+
+    plain = np.flatnonzero((cell_seg > 0) & ((count > 0) | listed[cell_member]))
+    reserve = zero[(count[zero] > 0) | listed]
     in_zero = np.flatnonzero(seg == 0)
+    in_zero = in_zero[(count[zero[member[in_zero]]] > 1) | listed[member[in_zero]]]
     zm = member[in_zero]
     less = mix(total[zero[zm]] - value[in_zero] + place[zero[zm]])
-    near = np.uint64(0xA5A5A5A5A5A5A5A5)  # another key space: subsets less one token as indexed
-    looked = raised[zm]
-    r = np.flatnonzero(raised)
-    return (np.concatenate([exact, mix(less ^ near), less[looked], mix(exact[zero[r]] ^ near)]),
-            np.concatenate([sets[cell_member], sets[zm], sets[zm[looked]], sets[r]]),
-            np.concatenate([np.where(probe, INDEX | PROBE, INDEX), np.full(len(zm), INDEX),
-                            np.full(int(looked.sum()), PROBE), np.full(len(r), PROBE)]).astype(np.int8))
+    of = np.concatenate([cell_member[plain], cell_member[reserve], zm])
+    near = np.repeat(np.array([0, NEAR], np.int32), [len(plain), len(reserve) + len(zm)])
+    return (np.concatenate([exact[plain], exact[reserve], less]), sets[of], mark[of] | near, need[of].astype(np.int32))
 
 
 def _summary_rows(shingle: int):
@@ -188,13 +187,27 @@ def _summary_rows(shingle: int):
 
 def _key_rows(shingle: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(num, den)
+        bands, recent = Bands(num, den), set()
         for batch in batches:
             for lo, hi, data, offsets in texts(batch.column("text")):
                 token, owner, at = _sets(data, offsets, shingle)
                 _, sig = _signatures(token, owner, hi - lo)
-                key, which, role = keys(token, at, bands)
-                yield pa.record_batch({"key": key.view(np.int64), "sig": sig.view(np.int64)[which], "role": role})
+                # equal sets are indexed once by a task
+                new = []
+                for i, x in enumerate(sig.tolist()):
+                    if x not in recent:
+                        recent.add(x)
+                        new.append(i)
+                if len(recent) > RECENT:
+                    recent.clear()
+                size = np.diff(at)[new]
+                ends = np.cumsum(size)
+                if not len(new) or not ends[-1]:
+                    continue
+                mine = token[np.repeat(at[new] - (ends - size), size) + np.arange(ends[-1])]
+                key, which, mark, need = keys(mine, np.concatenate([[0], ends]), bands)
+                yield pa.record_batch({"key": key.view(np.int64), "sig": sig.view(np.int64)[new][which], "mark": mark,
+                                       "need": need})
     return run
 
 
@@ -269,9 +282,20 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sets = spark.read.parquet(f"{at}/sets")
 
     bucket = Window.partitionBy("key")
-    ties = rows.select("text").mapInArrow(_key_rows(shingle, num, den), "key long, sig long, role byte") \
-        .withColumn("first", F.min("sig").over(bucket)).withColumn("roles", F.bit_or("role").over(bucket)) \
-        .where(f"roles = {INDEX | PROBE} and first <> sig").select(F.col("sig").alias("a"), F.col("first").alias("b"))
+
+    def company(df: DataFrame) -> DataFrame:
+        """Rows whose bucket holds another set, and one in its own band."""
+        return df.withColumn("first", F.min("sig").over(bucket)).withColumn("last", F.max("sig").over(bucket)) \
+            .withColumn("homes", F.max(F.col("mark").bitwiseAND(HOME)).over(bucket)).where("first <> last and homes > 0")
+
+    index = rows.select("text").mapInArrow(_key_rows(shingle, num, den), "key long, sig long, mark int, need int")
+    # a set has at most as many keys as its band has segments, so its list is bounded by its text
+    candidates = company(index).groupBy("sig", F.shiftright("mark", 1).alias("place")).agg(
+        F.max("need").alias("need"), F.collect_set(F.when(F.col("mark").bitwiseAND(NEAR) == 0, F.col("key"))).alias("plain"),
+        F.collect_set(F.when(F.col("mark").bitwiseAND(NEAR) != 0, F.col("key"))).alias("near")) \
+        .where(F.size("plain") + F.when(F.size("near") > 0, 2).otherwise(0) >= F.col("need")) \
+        .select("sig", F.shiftleft("place", 1).alias("mark"), F.explode(F.concat("plain", "near")).alias("key"))
+    ties = company(candidates).where("first <> sig").select(F.col("sig").alias("a"), F.col("first").alias("b"))
     groups = components(ties)
     one = sets.groupBy("sig").agg(F.min("u").alias("u"), F.first("n_shingles").alias("n")) \
         .join(groups.withColumnsRenamed({"node": "sig", "root": "comp"}), "sig")
