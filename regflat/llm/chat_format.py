@@ -49,25 +49,28 @@ def paths(nodes: DataFrame, top_k: int = 1) -> DataFrame:
     """
     checkpoint_root(nodes.sparkSession)
     alive = nodes.select("tree", "node").withColumnsRenamed({"tree": "_pt", "node": "_pn"})
-    jump = nodes.join(alive, (nodes.tree == alive._pt) & (nodes.parent == alive._pn) & (nodes.parent != nodes.node), "left") \
-        .select("tree", "node", F.col("_pn").alias("up"), F.lit(1).cast("long").alias("steps"),
-                F.coalesce("score", F.lit(0.0)).cast("double").alias("total"))
-    jump = jump.withColumn("steps", F.when(F.col("up").isNotNull(), 1).otherwise(0).cast("long"))
-    levels = []
-    n = jump.count()
-    while True:
-        jump = jump.checkpoint()
-        levels.append(jump.where("up is not null").select("tree", "node", "up"))
-        if levels[-1].isEmpty() or 2 ** len(levels) > 2 * n + 2:
-            break
-        above = jump.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("up").alias("_up"),
-                            F.col("steps").alias("_steps"), F.col("total").alias("_total"))
+    moving = nodes.join(alive, (nodes.tree == alive._pt) & (nodes.parent == alive._pn) & (nodes.parent != nodes.node), "left") \
+        .select("tree", "node", F.col("_pn").alias("up"),
+                F.when(F.col("_pn").isNotNull(), 1).otherwise(0).cast("long").alias("steps"),
+                F.coalesce("score", F.lit(0.0)).cast("double").alias("total")).checkpoint()
+    limit = 2 * moving.count() + 2
+    # nodes whose jump leaves the tree are done; only the others are joined on
+    done = moving.where("up is null")
+    moving = moving.where("up is not null")
+    levels = [moving.select("tree", "node", "up")]
+    while not moving.isEmpty() and 2 ** len(levels) <= limit:
+        above = done.unionByName(moving).select(
+            F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("up").alias("_up"),
+            F.col("steps").alias("_steps"), F.col("total").alias("_total"))
         # the total of a node covers the nodes before ``up``; those from ``up`` on are added
-        jump = jump.join(above, (jump.tree == above._t) & (jump.up == above._n), "left").select(
-            "tree", "node", F.col("_up").alias("up"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"),
-            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"))
+        step = moving.join(above, (moving.tree == above._t) & (moving.up == above._n)).select(
+            "tree", "node", F.col("_up").alias("up"), (F.col("steps") + F.col("_steps")).alias("steps"),
+            (F.col("total") + F.col("_total")).alias("total")).checkpoint()
+        done = done.unionByName(step.where("up is null"))
+        moving = step.where("up is not null")
+        levels.append(moving.select("tree", "node", "up"))
     inner = levels[0].select("tree", F.col("up").alias("node")).distinct()
-    leaves = jump.where("up is null").join(inner, ["tree", "node"], "left_anti")
+    leaves = done.join(inner, ["tree", "node"], "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc("total"), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_k)
     on_path = chosen.select("tree", F.col("node").alias("leaf"), "rank", F.col("total").alias("score"), "node",
