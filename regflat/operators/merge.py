@@ -78,18 +78,13 @@ def key_set(*frames: DataFrame | None, keys: Sequence[str]) -> DataFrame | None:
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
-def remove_keys(df: DataFrame, keys_df: DataFrame | None, keys: Sequence[str],
-                broadcast: bool = False) -> DataFrame:
+def remove_keys(df: DataFrame, keys_df: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is not among ``keys_df`` (null-safe).
 
-    ``broadcast`` is for callers that have checked the key side's size
-    (e.g. from the listed bytes of the delta files); otherwise AQE decides
-    from the measured shuffle size."""
+    No broadcast is forced: AQE decides from the measured size of the keys."""
     if keys_df is None:
         return df
     right = keys_df.select(*[q(k) for k in keys]).distinct()
-    if broadcast:
-        right = F.broadcast(right)
     return df.join(right, _key_cond(df, right, keys), "left_anti")
 
 
@@ -99,28 +94,27 @@ def replace_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def delete_replace(old: DataFrame, new: DataFrame | None, deletes: DataFrame | None,
-                   keys: Sequence[str], broadcast_keys: bool = False) -> DataFrame:
+                   keys: Sequence[str]) -> DataFrame:
     """``((old minus deletes) minus keys of new) union-all new``.
 
     Both anti-joins are folded into one against the union of the two key
-    sets, so the old table is shuffled once (or not at all when the caller
-    has checked that the key set is small enough to broadcast).
+    sets, so the old table is shuffled once (or not at all when AQE measures
+    the key set small enough to broadcast).
     """
     doomed = key_set(new, deletes, keys=keys)
-    kept = remove_keys(old, doomed, keys, broadcast_keys)
+    kept = remove_keys(old, doomed, keys)
     return align_union(kept, new) if new is not None else kept
 
 
 def update_table(current: DataFrame | None, new: DataFrame, keys: Sequence[str],
-                 deletes: DataFrame | None = None, helper_columns: Iterable[str] = (),
-                 broadcast_keys: bool = False) -> DataFrame:
+                 deletes: DataFrame | None = None, helper_columns: Iterable[str] = ()) -> DataFrame:
     """Merge a landed table into the current one, or take it as is."""
     helpers = [c for c in helper_columns]
     new = new.drop(*[c for c in helpers if c in new.columns])
     if current is None:
         return new
     current = current.drop(*[c for c in helpers if c in current.columns])
-    return delete_replace(current, new, deletes, keys, broadcast_keys)
+    return delete_replace(current, new, deletes, keys)
 
 
 # ---------------------------------------------------------------- fold ------
@@ -161,8 +155,7 @@ def fold_merge(current: DataFrame | None, versions: Sequence[TableVersion], keys
 
 # ---------------------------------------------------------------- bulk ------
 def bulk_merge(current: DataFrame | None, deltas: DataFrame, deletes: DataFrame | None,
-               present: DataFrame, keys: Sequence[str], version_col: str = VERSION_COL,
-               broadcast_keys: bool = False) -> DataFrame:
+               present: DataFrame, keys: Sequence[str], version_col: str = VERSION_COL) -> DataFrame:
     """Single-pass merge of all versions at once; equals :func:`fold_merge`.
 
     ``deltas``: every landed row of the table, with its version rank in
@@ -173,8 +166,7 @@ def bulk_merge(current: DataFrame | None, deltas: DataFrame, deletes: DataFrame
     its key and no version d > v in which the table is present deletes the
     key.  A current row survives iff no delta row and no live delete carries
     its key.  So the (large) current table only meets an anti-join against
-    the delta key set, broadcast when the caller has checked its size
-    (``broadcast_keys``) or when AQE's measured size allows, else sort-merge;
+    the delta key set, broadcast when AQE's measured size allows, else sort-merge;
     the deltas go through one aggregate over ``(key, version)`` pairs
     (map-side combined, so a hot key is reduced before the shuffle) and one
     equi-join back, whose skewed partitions AQE can split.  No window, so no
@@ -184,7 +176,8 @@ def bulk_merge(current: DataFrame | None, deltas: DataFrame, deletes: DataFrame
     deltas = deltas.withColumn(version_col, q(version_col).cast("int"))
     parts = [deltas.select(*kcols, q(version_col).alias("_up"), F.lit(None).cast("int").alias("_del"))]
     if deletes is not None:
-        live_deletes = deletes.join(present.select(q(version_col)).distinct(), version_col, "left_semi")
+        # one row per pending version, so it is broadcast: deletes are not shuffled on a few version values
+        live_deletes = deletes.join(F.broadcast(present.select(q(version_col)).distinct()), version_col, "left_semi")
         parts.append(live_deletes.select(*kcols, F.lit(None).cast("int").alias("_up"),
                                          q(version_col).cast("int").alias("_del")))
     marks = (reduce(DataFrame.unionByName, parts)
@@ -197,5 +190,5 @@ def bulk_merge(current: DataFrame | None, deltas: DataFrame, deletes: DataFrame
     survivors = r.join(m, cond, "inner").filter(keep).select(*[r[f"`{c}`"] for c in deltas.columns])
     if current is None:
         return survivors
-    kept = remove_keys(current, marks.select(*kcols), keys, broadcast_keys).withColumn(version_col, F.lit(-1))
+    kept = remove_keys(current, marks.select(*kcols), keys).withColumn(version_col, F.lit(-1))
     return align_union(kept, survivors)

@@ -36,7 +36,7 @@ class OfficeSpec:
     # table, or a tuple of table names.
     dedupe_at_merge: bool | tuple[str, ...] = False
     helper_columns: tuple[str, ...] = ()
-    skip_tables: tuple[str, ...] = ()
+    skip_tables: tuple[str, ...] = ()   # landed but not merged; a caller's choice (``dataclasses.replace``), none by default
     publish_folder: str = "open"
     always_publish: bool = False   # L6: GB publishes on every run, the others after a merge
     type_rules: tuple = ()         # K5-K9 rules, for the landing quality table
@@ -57,8 +57,6 @@ def separate_us(df: DataFrame) -> dict[str, DataFrame]:
 US = OfficeSpec(
     office="us", row_tag="case-file", keys=US_KEYS, separate=separate_us, type_rules=tuple(US_TYPE_RULES),
     helper_columns=US_UNNECESSARY, dedupe_at_merge=("classifications",),
-    # Fixed value: the event-statement table is left out of the merge (size).
-    skip_tables=("case-file-event-statements",),
 )
 
 # ------------------------------------------------------------------ CA -----
@@ -208,8 +206,8 @@ def _em_goods(main: str):
 
 
 def em_separation(main: str, key: str) -> SuffixSeparation:
-    keys = (key,)
-    return SuffixSeparation(keys=keys, main_table=main, how=EM_CLEAN, table_prefix=f"{main}.",
+    # landed tables carry the operation code beside the key; the merge drops it and matches on the key
+    return SuffixSeparation(keys=("operationCode", key), main_table=main, how=EM_CLEAN, table_prefix=f"{main}.",
                             flag="operationCode", delete_literal="Delete",
                             special={"GoodsServicesDetails": _em_goods(main)})
 
@@ -222,6 +220,8 @@ def separate_em(df: DataFrame, main: str = "TradeMark", key: str = "ApplicationN
         while len(df.columns) == 1 and is_container(df.schema.fields[0].dataType):
             df = flatten_once(df)
         df = clean_names(df, EM_NAMES, record_column)
+    if "operationCode" not in df.columns:  # a version without any flagged record
+        df = df.withColumn("operationCode", F.lit(None).cast("string"))
     return separate_by_suffix(df, em_separation(main, key))
 
 
@@ -229,7 +229,7 @@ def em_spec(schema: str = "TradeMark") -> OfficeSpec:
     """One EM schema: its row element, main table and key (own ledger schema)."""
     key = EM_SCHEMA_KEYS[schema]
     return OfficeSpec(
-        office="em", row_tag=schema, keys=(key,),
+        office="em", row_tag=EM_ROW_TAGS[schema], keys=(key,),
         separate=lambda df: separate_em(clean_names(df, EM_NAMES), main=schema, key=key),
         flag="operationCode", delete_literal="Delete", dedupe_at_merge=True,
         helper_columns=("operationCode",), schemas=(schema,), type_rules=tuple(ISO_TYPE_RULES))
@@ -238,6 +238,8 @@ def em_spec(schema: str = "TradeMark") -> OfficeSpec:
 # Main table and key per EM schema.
 EM_SCHEMA_KEYS = {"TradeMark": "ApplicationNumber", "InternationalRegistration": "ApplicationNumber",
                   "Applicant": "ApplicantIdentifier"}
+# Record element per EM schema (international registrations come as trade marks).
+EM_ROW_TAGS = {"TradeMark": "TradeMark", "InternationalRegistration": "TradeMark", "Applicant": "Applicant"}
 
 EM = OfficeSpec(
     office="em", row_tag="TradeMark", keys=("ApplicationNumber",), separate=separate_em,

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regflat.operators.merge import (VERSION_COL, align_union, bulk_merge, key_set, remove_keys,
                                      update_table)
 from regflat.plans.ledger import append_ledger, read_ledger
-from regflat.plans.publish import TARGET_FILE_BYTES, save_table, session_conf, stored_bytes
+from regflat.plans.publish import TARGET_FILE_BYTES, save_table, session_conf
 
 # Runtime (AQE) broadcast limit for merge writes: a key set of this size is
 # ~10M keys, small enough to ship to every executor.
@@ -77,6 +77,10 @@ class SnapshotStore:
         r = self.ledger().agg(F.max("rank").alias("m")).collect()[0]["m"]
         return None if r is None else int(r)
 
+    def committed_versions(self) -> dict[str, int]:
+        """Committed version names and their ranks (metadata: one row per version)."""
+        return {r["version"]: int(r["rank"]) for r in self.ledger().select("version", "rank").distinct().collect()}
+
     def _layers(self, table: str):
         """Newest full snapshot of ``table`` and the layers committed after it:
         its deltas, the version-wide deletes, and cascade keys reaching it."""
@@ -112,12 +116,7 @@ class SnapshotStore:
             parts.append(self._read_layers([p for _, p in cascades], "x").select(*self.keys, VERSION_COL))
         deletes = align_union(*parts) if parts else None
         present = self.spark.createDataFrame([(r,) for r in sorted(reached)], f"{VERSION_COL} int")
-        # the key side of the base's anti-join is at most the delta files: broadcast it
-        # only when their listed size is under the limit, else AQE/sort-merge decides
-        layer_paths = [p for _, p in deltas] + live + [p for _, p in cascades]
-        small = stored_bytes(self.spark, layer_paths) <= MERGE_BROADCAST_BYTES
-        return bulk_merge(base_df, rows, deletes, present, self.keys,
-                          broadcast_keys=small).drop(VERSION_COL)
+        return bulk_merge(base_df, rows, deletes, present, self.keys).drop(VERSION_COL)
 
     def _read_layers(self, paths: list[str], column: str = "d") -> DataFrame:
         base = paths[0].rsplit("/", 1)[0]
@@ -162,7 +161,7 @@ class SnapshotStore:
     def apply_version(self, version: str, rank: int, tables: Mapping[str, DataFrame],
                       keys: Sequence[str], deletes: DataFrame | None = None,
                       helper_columns: Sequence[str] = (), fail_before_commit: bool = False,
-                      cascade: bool = False, landed_bytes: int | None = None) -> dict[str, str]:
+                      cascade: bool = False) -> dict[str, str]:
         """Merge one version's tables, write snapshots, then commit.
 
         By default only tables present in the version are touched (their
@@ -170,22 +169,24 @@ class SnapshotStore:
         (of any of its tables) and its deletes also remove the rows of tables
         the version does not carry.  ``fail_before_commit`` simulates a crash
         between the table writes and the ledger append (recovery tests).
-        ``landed_bytes`` (the version's listed file size) lets the key set be
-        broadcast when it is under ``MERGE_BROADCAST_BYTES``.
+        A version or rank that the ledger already has is refused, so a
+        committed folder is never written again.
         """
+        done = self.committed_versions()
+        if version in done or rank in done.values():
+            raise ValueError(f"version {version!r} or rank {rank} is already committed")
         if self.mode == "merge_on_read":
             return self._append_version(version, rank, tables, deletes, helper_columns, fail_before_commit,
                                         cascade)
-        small = landed_bytes is not None and landed_bytes <= MERGE_BROADCAST_BYTES
         written = {}
         for name, new in tables.items():
-            merged = update_table(self.current(name), new, keys, deletes, helper_columns, small)
+            merged = update_table(self.current(name), new, keys, deletes, helper_columns)
             written[name] = self.write_snapshot(name, rank, merged)
         if cascade:
             reach = key_set(*tables.values(), deletes, keys=keys)
             for name in self.tables():
                 if name not in tables and reach is not None:
-                    kept = remove_keys(self.current(name), reach, keys, small)
+                    kept = remove_keys(self.current(name), reach, keys)
                     written[name] = self.write_snapshot(name, rank, kept)
         if fail_before_commit:
             raise RuntimeError(f"simulated failure before committing version {version}")

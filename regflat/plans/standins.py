@@ -49,7 +49,7 @@ from regflat.sources.codes import code_counts, read_codes, write_codes
 from regflat.sources.landing import (daily_versions, historical_versions, inventory, landed_tables,
                                      order_versions, table_folder, unlanded)
 from regflat.sources.manifest import anchors, concat_parts, manifest_rows, sort_manifest
-from regflat.sources.xml_records import as_text_schema, parse_records, read_xml
+from regflat.sources.xml_records import as_text_schema, parse_records, read_records
 from regflat.streaming.landed_versions import mark_landed, start as start_stream
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -289,8 +289,7 @@ def _land_xml(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> tupl
     """Land stand-in records as XML once per process (the "download"), and
     keep their reading schema, as a pipeline stores it beside the ledger.
 
-    Records are rendered by ``to_xml`` on one line each (the stand-in values
-    hold no line breaks) and read back with ``multiLine=false``."""
+    Records are rendered by ``to_xml`` and read by the pipeline's own reader."""
     import os
     key = (purpose, sf, row_tag)
     hit = _LANDED.get(key)
@@ -323,8 +322,6 @@ def _read_landed_prefixed(spark, df: DataFrame, row_tag: str, purpose: str, sf:
     hit = _LANDED.get(key)
     if not (hit and os.path.isdir(hit[0].removeprefix("file:"))):
         path = work_dir(spark, purpose)
-        # single-line records (the stand-in values hold no line breaks), one per
-        # text line, read back with multiLine=false: no Python in the path
         xml = F.to_xml(F.struct(*[q(c) for c in df.columns]),
                        {"rowTag": row_tag.replace(":", "__"), "attributePrefix": "@", "valueTag": "#text",
                         "indent": ""})
@@ -333,7 +330,7 @@ def _read_landed_prefixed(spark, df: DataFrame, row_tag: str, purpose: str, sf:
         df.select(F.regexp_replace(xml, r"\n", "").alias("record")).write.text(path)
         _LANDED[key] = (path, _prefixed(as_text_schema(df.schema)))
         hit = _LANDED[key]
-    return _parent(spark, (hit[0],), lambda: read_xml(spark, hit[0], row_tag, hit[1], multiLine="false"))
+    return _parent(spark, (hit[0],), lambda: read_records(spark, hit[0], row_tag, hit[1]))
 
 
 _PARENTS: dict[tuple, DataFrame] = {}
@@ -352,7 +349,7 @@ def _parent(spark, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
 
 def _read_landed(spark, df: DataFrame, row_tag: str, purpose: str, sf: str) -> DataFrame:
     path, schema = _land_xml(spark, df, row_tag, purpose, sf)
-    return _parent(spark, (path,), lambda: read_xml(spark, path, row_tag, schema, multiLine="false"))
+    return _parent(spark, (path,), lambda: read_records(spark, path, row_tag, schema))
 
 
 @query("xml_scan_flatten", """
@@ -431,12 +428,12 @@ def separate_tables_line(spark, sf):
 
 
 @query("separate_tables_delete", """
-SELECT o_orderkey AS ApplicationNumber
+SELECT 'Delete' AS operationCode, o_orderkey AS ApplicationNumber
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus = 'F'
 """)
 def separate_tables_delete(spark, sf):
     d = em_tables(spark, sf)["delete"]
-    return d.select(q("ApplicationNumber").cast("bigint").alias("ApplicationNumber"))
+    return d.select("operationCode", q("ApplicationNumber").cast("bigint").alias("ApplicationNumber"))
 
 
 def em_goods_records(spark, sf) -> DataFrame:
@@ -453,7 +450,7 @@ def em_goods_records(spark, sf) -> DataFrame:
 
 
 @query("em_goods_services", """
-SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS ApplicationNumber, CAST(p_size AS VARCHAR) AS ClassNumber,
+SELECT DISTINCT CAST(NULL AS VARCHAR) AS operationCode, CAST(p_partkey AS VARCHAR) AS ApplicationNumber, CAST(p_size AS VARCHAR) AS ClassNumber,
        p_brand AS ClassificationVersion FROM part
 """)
 def em_goods_services(spark, sf):
@@ -461,7 +458,7 @@ def em_goods_services(spark, sf):
 
 
 @query("em_goods_description", """
-SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS ApplicationNumber, p_name AS "GoodsServicesDescription|text",
+SELECT DISTINCT CAST(NULL AS VARCHAR) AS operationCode, CAST(p_partkey AS VARCHAR) AS ApplicationNumber, p_name AS "GoodsServicesDescription|text",
        'en' AS "GoodsServicesDescription|languageCode" FROM part
 """)
 def em_goods_description(spark, sf):

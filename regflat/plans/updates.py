@@ -1,8 +1,7 @@
 """Incremental load: land versions, apply them in order or in one pass,
 publish (L1, L3, L4, L6).
 
-Landing layout: ``<landing>/<office>/<version>/<table>/part-*.parquet``.
-Version order is explicit (a ``rank`` from the version listing), never the
+Landing layout: see ``regflat.sources.landing``.  Version order is explicit (a ``rank`` from the version listing), never the
 file-system or stream arrival order.
 """
 
@@ -16,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regflat.functions.types import quality_counts, text_only
 from regflat.operators.merge import VERSION_COL, align_union, bulk_merge
 from regflat.plans.offices import OfficeSpec, normalise, prepare_new_rows
-from regflat.plans.publish import TARGET_FILE_BYTES, compact_files, save_family, stored_bytes
-from regflat.plans.snapshot import MERGE_BROADCAST_BYTES, SnapshotStore
+from regflat.plans.publish import TARGET_FILE_BYTES, compact_files, save_family
+from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives, write_records_as_xml
-from regflat.sources.landing import inventory, table_folder
-from regflat.sources.xml_records import load_schema, read_xml, record_schema, store_schema
+from regflat.sources.landing import area, complete_versions, mark_complete, table_folder
+from regflat.sources.xml_records import load_schema, read_records, record_schema, store_schema
 
 
 def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing: str,
@@ -31,29 +30,31 @@ def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing:
     The nested parent is cached once; every table is a projection of it.
     Without a given schema the version's schema is inferred once (a full
     pass) and stored beside the landing, so a retry skips the inference.
+    The completion marker is written last.
     """
-    schema_path = f"{landing.rstrip('/')}/_schemas/office={spec.office}/version={version}"
+    where = area(spec.office, spec.schemas[0])
+    schema_path = f"{landing.rstrip('/')}/_schemas/{where}/version={version}"
     if schema is None:
         schema = load_schema(spark, schema_path)
     if schema is None:
         schema = record_schema(spark, xml_path, spec.row_tag)
         store_schema(spark, schema_path, schema)
-    records = read_xml(spark, xml_path, spec.row_tag, schema)
-    if not records.columns:  # an empty version lands no table; applying it still advances the ledger
-        return {}
-    records = records.persist()
-    try:
-        tables = {k: v for k, v in normalise(spec, records).items() if k not in spec.skip_tables}
-        written = save_family(tables, table_folder(landing, spec.office, version))
-        if spec.type_rules:
-            write_quality(spark, spec, records, tables, landing, version)
-        return written
-    finally:
-        records.unpersist()
+    written: dict[str, str] = {}
+    if schema.fields:  # an empty version lands no table; applying it still advances the ledger
+        records = read_records(spark, xml_path, spec.row_tag, schema).persist()
+        try:
+            tables = normalise(spec, records)
+            written = save_family(tables, table_folder(landing, spec.office, version, schema=spec.schemas[0]))
+            if spec.type_rules:
+                write_quality(spark, spec, records, tables, landing, version)
+        finally:
+            records.unpersist()
+    mark_complete(spark, landing, spec.office, version, spec.schemas[0], list(written))
+    return written
 
 
-def quality_path(landing: str, office: str, version: str) -> str:
-    return f"{landing.rstrip('/')}/_quality/office={office}/version={version}"
+def quality_path(landing: str, office: str, version: str, schema: str = "default") -> str:
+    return f"{landing.rstrip('/')}/_quality/{area(office, schema)}/version={version}"
 
 
 def write_quality(spark: SparkSession, spec: OfficeSpec, records: DataFrame,
@@ -68,7 +69,7 @@ def write_quality(spark: SparkSession, spec: OfficeSpec, records: DataFrame,
     parts = [quality_counts(df, list(spec.type_rules), name) for name, df in sorted(raw.items())]
     if parts:
         reduce(DataFrame.unionByName, parts).coalesce(1).write.mode("overwrite") \
-            .parquet(quality_path(landing, spec.office, version))
+            .parquet(quality_path(landing, spec.office, version, spec.schemas[0]))
 
 
 def land_archives(spark: SparkSession, spec: OfficeSpec, zip_root: str, landing: str, version: str,
@@ -81,46 +82,55 @@ def land_archives(spark: SparkSession, spec: OfficeSpec, zip_root: str, landing:
     return land_version(spark, spec, xml_dir, landing, version, schema)
 
 
+class LateVersion(ValueError):
+    """A version was listed before one that is already merged."""
+
+
+def pending_versions(store: SnapshotStore, versions: Sequence[tuple[str, int]]) -> list[tuple[str, int]]:
+    """O3: the listed versions that the ledger does not have, in order, with the rank each will be committed under.
+
+    What is merged is decided by version *name*: ranks come from the current
+    listing and shift when it changes.  A version that sorts before the latest
+    merged one can no longer be merged in order, so it raises.
+    """
+    done = store.committed_versions()
+    todo = sorted(((n, r) for n, r in versions if n not in done), key=lambda x: x[1])
+    merged = [r for n, r in versions if n in done]
+    late = [n for n, r in todo if merged and r < max(merged)]
+    if late:
+        raise LateVersion(f"{', '.join(late)}: listed before a version that is already merged")
+    out, last = [], max(done.values(), default=0)
+    for n, r in todo:
+        last = max(r, last + 1)
+        out.append((n, last))
+    return out
+
+
 def apply_in_order(store: SnapshotStore, spec: OfficeSpec, landing: str,
                    versions: Sequence[tuple[str, int]], cascade: bool = False) -> bool:
-    """L3/L4: fold versions after the ledger's latest, one commit each.
+    """L3/L4: fold the versions that the ledger does not have, one commit each.
 
     ``versions`` is the ordered listing ``[(name, rank)]`` (for GB the rank
     follows ``(phase, name)``).  A failed version raises with the previous
     snapshot intact and the ledger at the last good version.
     """
     spark = store.spark
-    latest = store.latest_rank()
-    landed = landed_families(spark, landing, spec.office)
+    landed = landed_families(spark, landing, spec.office, spec.schemas[0])
     updated = False
-    for name, rank in sorted(versions, key=lambda x: x[1]):
-        if latest is not None and rank <= latest:
-            continue
+    for name, rank in pending_versions(store, versions):
         # an empty or missing version merges nothing but still advances
-        paths = landed.get(name, {})
-        tables = _read_family(spark, paths)
+        tables = _read_family(spark, landed.get(name, {}))
         deletes = tables.pop("delete", None)
         tables = {k: prepare_new_rows(spec, k, v) for k, v in tables.items() if k not in spec.skip_tables}
-        store.apply_version(name, rank, tables, spec.keys, deletes, spec.helper_columns, cascade=cascade,
-                            landed_bytes=stored_bytes(spark, list(paths.values())))
+        store.apply_version(name, rank, tables, spec.keys, deletes, spec.helper_columns, cascade=cascade)
         updated = True
     return updated
 
 
-def landed_families(spark: SparkSession, landing: str, office: str) -> dict[str, dict[str, str]]:
-    """version -> {table: folder}, from the landing inventory (file listing
-    only; one row per landed table, a few per version)."""
-    root = f"{landing.rstrip('/')}/office={office}"
-    try:
-        inv = inventory(spark, root)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return {}
-        raise
-    out: dict[str, dict[str, str]] = {}
-    for r in inv.select("version", "table").distinct().collect():
-        out.setdefault(r["version"], {})[r["table"]] = table_folder(landing, office, r["version"], r["table"])
-    return out
+def landed_families(spark: SparkSession, landing: str, office: str, schema: str = "default") -> dict[str, dict[str, str]]:
+    """version -> {table: folder} of the versions whose landing is complete."""
+    return {v: {t: table_folder(landing, office, v, t, schema) for t in tables}
+            for v, tables in complete_versions(spark, landing, office, schema).items()}
 
 
 def _read_family(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
@@ -138,11 +148,10 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
     does not carry, the version's keys count as deletes at that version.
     """
     spark = store.spark
-    latest = store.latest_rank()
-    todo = sorted([(n, r) for n, r in versions if latest is None or r > latest], key=lambda x: x[1])
+    todo = pending_versions(store, versions)
     if not todo:
         return False
-    landed = landed_families(spark, landing, spec.office)
+    landed = landed_families(spark, landing, spec.office, spec.schemas[0])
     families = {r: _read_family(spark, landed.get(n, {})) for n, r in todo}
     tables = sorted(({t for fam in families.values() for t in fam if t != "delete"}
                      | (set(store.tables()) if cascade else set())) - set(spec.skip_tables))
@@ -151,9 +160,6 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
     deletes_df = align_union(*deletes) if deletes else None
     written = {}
     last_rank = todo[-1][1]
-    # all pending versions' files: the key side of each current table's anti-join is within them
-    small = stored_bytes(spark, [p for n, _ in todo for p in landed.get(n, {}).values()]) \
-        <= MERGE_BROADCAST_BYTES
     for t in tables:
         parts = [prepare_new_rows(spec, t, fam[t]).withColumn(VERSION_COL, F.lit(r))
                  for r, fam in families.items() if t in fam]
@@ -172,8 +178,7 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
                           for r, fam in families.items() if t not in fam
                           for o in fam if o != "delete"]
         dels = align_union(*del_parts) if del_parts else None
-        merged = bulk_merge(current, align_union(*parts), dels, present, spec.keys,
-                            broadcast_keys=small).drop(VERSION_COL)
+        merged = bulk_merge(current, align_union(*parts), dels, present, spec.keys).drop(VERSION_COL)
         written[t] = store.write_snapshot(t, last_rank, merged, target_bytes)
     # one append commits every version at once
     store.commit_many([(n, r, {}) for n, r in todo[:-1]] + [(todo[-1][0], last_rank, written)])
@@ -213,7 +218,7 @@ def run_office(spark: SparkSession, spec: OfficeSpec, xml_versions: Sequence[tup
     """
     store = SnapshotStore(spark, store_root, spec.office, spec.schemas[0], mode=mode, keys=spec.keys,
                           compact_every=compact_every)
-    landed = landed_families(spark, landing, spec.office)
+    landed = landed_families(spark, landing, spec.office, spec.schemas[0])
     for version, _rank, path in xml_versions:
         if version not in landed:
             land_version(spark, spec, path, landing, version, schema)

@@ -80,12 +80,14 @@ def prepare(spark: SparkSession) -> str:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when unset is a private folder created and
-    registered (never the case on a configured cluster).
+    Read from the session.  Where it is unset a local master gets a private
+    folder; any other master raises, because executors would not share it.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="regflat-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():

@@ -3,7 +3,7 @@
 The built-in XML reader does not open ``.zip``.  We list archives with the
 ``binaryFile`` source selecting only ``path`` (the content column is
 pruned, so no archive is loaded into a row), then expand each archive inside
-``mapInPandas``: the member is read as a stream and split on the row tag,
+``mapInPandas``: the member is read as a stream in its declared encoding and split on the row tag,
 emitting one row per record.  One task per archive is the floor for a
 compressed stream; callers ``repartition`` afterwards so that parsing and
 everything downstream is spread over the cluster.
@@ -11,6 +11,7 @@ everything downstream is spread over the cluster.
 
 from __future__ import annotations
 
+import codecs
 import io
 import re
 import zipfile
@@ -27,57 +28,77 @@ def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def _tag_end(buf: str, pos: int) -> int:
-    """Index of the ``>`` closing the start tag begun before ``pos``; a ``>``
-    inside a quoted attribute value does not count.  -1 if not in ``buf`` yet."""
-    quote = None
-    for i in range(pos, len(buf)):
-        ch = buf[i]
-        if quote:
-            if ch == quote:
-                quote = None
-        elif ch in "\"'":
-            quote = ch
-        elif ch == ">":
-            return i
-    return -1
+class UnfinishedRecord(ValueError):
+    """A member ends inside a record."""
 
 
-def split_records(stream: io.BufferedIOBase, tag: str, encoding: str = "utf-8") -> Iterator[str]:
+_DECLARED = re.compile(rb"""^\s*<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._-]+)["']""")
+
+
+def declared_encoding(head: bytes) -> str:
+    """The encoding that a document names in its byte-order mark or XML declaration; UTF-8 if none."""
+    for mark, name in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
+        if head.startswith(mark):
+            return name
+    m = _DECLARED.match(head)
+    return m.group(1).decode() if m else "utf-8"
+
+
+def split_records(stream: io.BufferedIOBase, tag: str, encoding: str | None = None) -> Iterator[str]:
     """Yield each ``<tag ...>...</tag>`` (or ``<tag/>``) element of a stream.
 
-    Works on bounded chunks, so a member of any size streams through.
-    Elements of the row tag are assumed not to nest inside each other.
+    Works on bounded chunks, so a member of any size streams through; the
+    buffer is cut once per chunk.  Tags inside comments and CDATA sections do
+    not count.  Text that does not decode, and a record that the stream ends
+    in, raise.  Elements of the row tag are assumed not to nest.
     """
-    start = re.compile(r"<" + re.escape(tag) + r"(?=[\s>/])")
-    end_tag = f"</{tag}>"
-    buf = ""
-    decoder = io.TextIOWrapper(stream, encoding=encoding, errors="replace")
+    name = re.escape(tag)
+    opening = re.compile(rf"<{name}(?=[\s>/])|<!--|<!\[CDATA\[")
+    rest_of_tag = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*>""")
+    closing = re.compile(rf"</{name}\s*>|<!--|<!\[CDATA\[")
+    ends = {"<!--": "-->", "<![CDATA[": "]]>"}
+    keep = max(len(tag) + 2, 9)  # a tail that may hold the start of a split token
+    head = stream.read(512) if encoding is None else b""
+    if encoding is None:
+        encoding = declared_encoding(head)
+    decode = codecs.getincrementaldecoder(encoding)(errors="strict").decode
+    buf, pos, start, done = "", 0, -1, False  # ``start``: of the open record, -1 between records
     while True:
-        chunk = decoder.read(_CHUNK)
-        buf += chunk
+        chunk = head or stream.read(_CHUNK)
+        head = b""
+        done = not chunk
+        cut = start if start >= 0 else pos
+        buf = buf[cut:] + decode(chunk, final=done)
+        pos -= cut
+        start = 0 if start >= 0 else -1
         while True:
-            m = start.search(buf)
+            m = (closing if start >= 0 else opening).search(buf, pos)
             if not m:
-                # keep a tail that may hold the start of a split tag
-                buf = buf[-(len(tag) + 2):] if chunk else ""
-                break
-            s = m.start()
-            gt = _tag_end(buf, m.end())
-            if gt < 0:
-                buf = buf[s:]
-                break
-            if buf[gt - 1] == "/":
-                yield buf[s:gt + 1]
-                buf = buf[gt + 1:]
-                continue
-            e = buf.find(end_tag, gt)
-            if e < 0:
-                buf = buf[s:]
+                pos = max(pos, len(buf) - keep)
                 break
-            yield buf[s:e + len(end_tag)]
-            buf = buf[e + len(end_tag):]
-        if not chunk:
+            token = m.group()
+            if token in ends:
+                e = buf.find(ends[token], m.end())
+                if e < 0:
+                    pos = m.start()
+                    break
+                pos = e + 3
+            elif start >= 0:
+                yield buf[start:m.end()]
+                pos, start = m.end(), -1
+            else:
+                t = rest_of_tag.match(buf, m.end())
+                if not t:
+                    pos = m.start()
+                    break
+                pos = t.end()
+                if buf[pos - 2] == "/":
+                    yield buf[m.start():pos]
+                else:
+                    start = m.start()
+        if done:
+            if start >= 0 or re.compile(rf"<{name}(?=[\s>/])").match(buf, pos):
+                raise UnfinishedRecord(f"the stream ends inside a <{tag}> record")
             return
 
 

@@ -1,7 +1,10 @@
 """Landing inventory and version lists.
 
-Landed layout: ``<root>/<office>/<version>/<table>/part-*.parquet`` (one
-folder per table per version).  The inventory is a DataFrame built by the
+Landed layout: ``<root>/office=<o>[/schema=<s>]/version=<v>/table=<t>/part-*.parquet``
+(one folder per table per version; the schema level is there for offices with
+several schemas).  A version counts as landed once its marker below
+``<root>/_complete`` is written, which is the last step of landing it: a crash
+before leaves files that the next attempt overwrites.  The inventory is a DataFrame built by the
 ``binaryFile`` source with only path/size/time selected, so listing never
 reads file content.
 """
@@ -30,6 +33,7 @@ def inventory(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFr
     return files.select(
         "path",
         _part("office").alias("office"),
+        F.coalesce(F.nullif(_part("schema"), F.lit("")), F.lit("default")).alias("schema"),
         _part("version").alias("version"),
         _part("table").alias("table"),
         base_name(F.col("path")).alias("file"),
@@ -38,11 +42,45 @@ def inventory(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFr
     )
 
 
-def table_folder(landing: str, office: str, version: str, table: str | None = None) -> str:
-    base = f"{landing.rstrip('/')}/office={office}/version={version}"
+def area(office: str, schema: str = "default") -> str:
+    """Path level of an office, and of its schema where it has several."""
+    return f"office={office}" if schema == "default" else f"office={office}/schema={schema}"
+
+
+def table_folder(landing: str, office: str, version: str, table: str | None = None, schema: str = "default") -> str:
+    base = f"{landing.rstrip('/')}/{area(office, schema)}/version={version}"
     return base if table is None else f"{base}/table={table}"
 
 
+COMPLETE_SCHEMA = "version string, table string"
+
+
+def mark_complete(spark: SparkSession, landing: str, office: str, version: str, schema: str = "default",
+                  tables: Sequence[str] | None = None) -> None:
+    """Close the landing of one version: write its marker with the tables it holds (all found, if not given)."""
+    if tables is None:
+        found = inventory(spark, table_folder(landing, office, version, schema=schema))
+        tables = [r["table"] for r in found.select("table").distinct().collect()]
+    rows = [(version, t) for t in sorted(tables)] or [(version, None)]
+    spark.createDataFrame(rows, COMPLETE_SCHEMA).coalesce(1).write.mode("overwrite") \
+        .parquet(f"{landing.rstrip('/')}/_complete/{area(office, schema)}/version={version}")
+
+
+def complete_versions(spark: SparkSession, landing: str, office: str, schema: str = "default") -> dict[str, list[str]]:
+    """Landed versions and their tables, from the markers (a few rows per version)."""
+    try:
+        marks = spark.read.schema(COMPLETE_SCHEMA).option("recursiveFileLookup", "true") \
+            .parquet(f"{landing.rstrip('/')}/_complete/{area(office, schema)}").collect()
+    except Exception as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            return {}
+        raise
+    out: dict[str, list[str]] = {}
+    for r in marks:
+        out.setdefault(r["version"], []).extend([r["table"]] if r["table"] is not None else [])
+    return out
+
+
 def landed_tables(inv: DataFrame, exclude: Sequence[str] = ("delete",)) -> DataFrame:
     """distinct (office, version, table) without the delete table."""
     return (inv.filter(~F.col("table").isin(*exclude))

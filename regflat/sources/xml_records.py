@@ -12,6 +12,7 @@ inference is a full extra pass over the input.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -35,6 +36,61 @@ def read_xml(spark: SparkSession, paths: str | Sequence[str], row_tag: str,
     return reader.load(paths if isinstance(paths, str) else list(paths))
 
 
+class BadRecords(ValueError):
+    """Records that do not parse."""
+
+
+def record_strings(spark: SparkSession, paths: str | Sequence[str], row_tag: str, encoding: str = "utf-8") -> DataFrame:
+    """One row ``(record)`` per ``row_tag`` element, as text, from splits of any file.
+
+    The closing row tag is the line separator of the text source, which splits
+    plain files at block boundaries, so one large file is read by as many tasks
+    as it has blocks.  Comments are taken out; what follows the last closing
+    tag holds no start tag in a whole file, so a record cut off at the end is
+    kept and fails to parse.  Elements of the row tag do not nest; empty ones
+    (``<tag/>``) hold no data and give no row.
+    """
+    raw = spark.read.option("lineSep", f"</{row_tag}>").text(paths if isinstance(paths, str) else list(paths))
+    text = F.decode(F.col("value").cast("binary"), encoding)
+    text = F.when(F.contains(text, F.lit("<!--")), F.regexp_replace(text, r"(?s)<!--.*?-->", "")).otherwise(text)
+    start = rf"(?s)<{re.escape(row_tag)}(?=[\s>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*"
+    record = F.regexp_extract(text, start, 0)
+    return raw.select(record.alias("record")).where(F.col("record") != "") \
+        .select(F.concat("record", F.lit(f"</{row_tag}>")).alias("record"))
+
+
+def parse_strings(records: DataFrame, schema: T.StructType, column: str = "record", on_bad: str = "raise",
+                  quarantine: str | None = None) -> DataFrame:
+    """Record strings -> nested rows with a given schema.
+
+    A record that does not parse raises (``on_bad="raise"``, when the row is
+    read), or goes to the table ``quarantine`` and is left out
+    (``on_bad="quarantine"``); it never takes its neighbours with it.
+    """
+    bad = "_corrupt_record"
+    options = {k: v for k, v in XML_OPTIONS.items() if k != "inferSchema"} | {"columnNameOfCorruptRecord": bad}
+    full = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    parsed = records.select(F.from_xml(F.col(column), full, options).alias("_rec")).select("_rec.*")
+    if on_bad == "raise":
+        check = F.when(F.col(bad).isNotNull(), F.raise_error(F.concat(F.lit("BadRecords: "), F.substring(bad, 1, 200))))
+        first = schema.fields[0].name
+        return parsed.select(*[F.coalesce(check.cast(f.dataType), F.col(f"`{f.name}`")).alias(f.name) if f.name == first
+                               else F.col(f"`{f.name}`") for f in schema.fields])
+    if quarantine is not None:
+        parsed.where(F.col(bad).isNotNull()).select(F.col(bad).alias("record")).write.mode("overwrite").parquet(quarantine)
+    return parsed.where(F.col(bad).isNull()).drop(bad)
+
+
+def read_records(spark: SparkSession, paths: str | Sequence[str], row_tag: str, schema: T.StructType | None = None,
+                 on_bad: str = "raise", quarantine: str | None = None) -> DataFrame:
+    """S1 as the pipeline does it: splittable record strings, parsed with the stored (or inferred) schema."""
+    if schema is None:
+        schema = record_schema(spark, paths, row_tag)
+    if not schema.fields:
+        return spark.createDataFrame([], T.StructType([]))
+    return parse_strings(record_strings(spark, paths, row_tag), schema, on_bad=on_bad, quarantine=quarantine)
+
+
 def write_xml(df: DataFrame, path: str, row_tag: str, root_tag: str, mode: str = "error") -> None:
     """Write nested rows as XML records (used to land test versions)."""
     (df.write.format("xml").options(**XML_OPTIONS).option("rowTag", row_tag)
@@ -49,12 +105,16 @@ def parse_records(df: DataFrame, column: str, schema: T.StructType,
     return df.select(*keep, parsed).select(*keep, "_rec.*")
 
 
-def record_schema(spark: SparkSession, landed_path: str, row_tag: str) -> T.StructType:
-    """Infer the nesting of one landed version (strings at the leaves).
+def record_schema(spark: SparkSession, landed_path: str | Sequence[str], row_tag: str) -> T.StructType:
+    """Infer the nesting of one landed version (strings at the leaves) from its record strings.
 
-    A full pass over the input: do it once, store the result beside the
-    ledger and pass it to :func:`read_xml` from then on."""
-    return read_xml(spark, landed_path, row_tag).schema
+    A full, split pass over the input: do it once, store the result beside the
+    ledger and pass it to :func:`read_records` from then on."""
+    strings = record_strings(spark, landed_path, row_tag)
+    reader = spark.read.options(**XML_OPTIONS).option("rowTag", row_tag)._jreader
+    encoder = spark._jvm.org.apache.spark.sql.Encoders.STRING()
+    found = DataFrame(reader.xml(getattr(strings._jdf, "as")(encoder)), spark).schema
+    return T.StructType([f for f in found.fields if f.name != "_corrupt_record"])
 
 
 def as_text_schema(dtype: T.DataType) -> T.DataType:

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from regflat.plans.offices import OfficeSpec
 from regflat.plans.snapshot import SnapshotStore
 from regflat.plans.updates import apply_in_order
+from regflat.sources.landing import mark_complete
 
 MARKER_SCHEMA = "office string, version string, rank int"
 
@@ -28,14 +29,18 @@ def marker_path(landing: str) -> str:
 
 
 def mark_landed(spark: SparkSession, landing: str, office: str, version: str, rank: int) -> None:
-    """Append the marker that closes the landing of one version."""
+    """Close the landing of one version and append the marker that wakes the stream."""
+    mark_complete(spark, landing, office, version)
     (spark.createDataFrame([(office, version, int(rank))], MARKER_SCHEMA)
      .coalesce(1).write.mode("append").parquet(marker_path(landing)))
 
 
 def contiguous_after(markers: DataFrame, latest: int | None) -> list[tuple[str, int]]:
     """Versions whose ranks continue the ledger without a gap."""
-    ranks = {int(r["rank"]): r["version"] for r in markers.select("version", "rank").distinct().collect()}
+    rows = markers.select("version", "rank").distinct().collect()
+    ranks = {int(r["rank"]): r["version"] for r in rows}
+    if len(ranks) < len(rows):
+        raise ValueError("two landed versions share a rank")
     out, nxt = [], (latest or 0) + 1
     while nxt in ranks:
         out.append((ranks[nxt], nxt))

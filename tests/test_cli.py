@@ -42,6 +42,28 @@ def test_cli_versions_follow_phases(spark):
     assert got == [("full__y-old", 1), ("full__z-old", 2), ("rollup_old__m", 3), ("rollup__a-new", 4)]
 
 
+def test_cli_versions_of_the_published_layout(spark):
+    import pytest
+
+    from regflat.__main__ import _versions
+    root = work_dir(spark, "cli-published")
+    names = ["full/2.zip", "full/1.zip", "rollup/rollup.zip", "rollup/rollup_old.zip", "new/rollup.zip"]
+    for name in names:
+        f = f"{root}/{name}".removeprefix("file:")
+        os.makedirs(os.path.dirname(f), exist_ok=True)
+        with open(f, "wb") as fh:
+            fh.write(b"x")
+    got = [(name, path.removeprefix(root + "/"), zipped) for name, _, path, zipped in _versions(spark, root)]
+    assert got == [("full__1", "full/1.zip", True), ("full__2", "full/2.zip", True),
+                   ("rollup__rollup_old", "rollup/rollup_old.zip", True), ("rollup__rollup", "rollup/rollup.zip", True),
+                   ("new__rollup", "new/rollup.zip", True)]
+    os.makedirs(f"{root}/other".removeprefix("file:"))
+    with open(f"{root}/other/x.zip".removeprefix("file:"), "wb") as fh:
+        fh.write(b"x")
+    with pytest.raises(Exception, match="unknown phase"):
+        _versions(spark, root)
+
+
 def test_cli_gb_zipped_phases(spark):
     import zipfile
     root = work_dir(spark, "cli-gb")

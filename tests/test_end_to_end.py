@@ -95,7 +95,7 @@ def test_ca_versions_from_zip_archives(spark):
 def test_em_schema_specs():
     from regflat.plans.offices import em_spec
     assert em_spec("Applicant").keys == ("ApplicantIdentifier",)
-    assert em_spec("InternationalRegistration").row_tag == "InternationalRegistration"
+    assert em_spec("InternationalRegistration").row_tag == "TradeMark"
 
 
 def test_empty_version_lands_nothing_and_advances(spark):

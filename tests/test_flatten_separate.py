@@ -143,8 +143,9 @@ def test_em_family_from_xml(spark):
     from regflat.functions.names import EM_NAMES, clean_names
     df = clean_names(read_xml(spark, _land(spark, EM_XML, "em-xml"), EM.row_tag), EM_NAMES)
     fam = normalise(EM, df)
-    assert rows(fam["delete"]) == [("7",)]
-    assert rows(fam["TradeMark.GoodsServices"]) == [("1", "9")]
+    assert rows(fam["delete"]) == [("Delete", "7")]  # landed tables carry the operation code beside the key
+    assert rows(fam["TradeMark.GoodsServices"], "ApplicationNumber", "ClassNumber") == [("1", "9")]
+    assert fam["TradeMark.GoodsServices"].columns[0] == "operationCode"
     d = fam["TradeMark.GoodsServices.Description"]
     assert rows(d, "GoodsServicesDescription|text") == [("Software",)]
     assert rows(fam["TradeMark.Priority"], "ApplicationNumber", "PriorityNumber") == [("1", "P1")]
@@ -202,7 +203,7 @@ def test_em_narrowing_from_transaction_level(spark):
            "</TradeMarkDetails></TransactionData></Transaction>")
     df = read_xml(spark, _land(spark, xml, "em-p12"), "TransactionData")
     fam = separate_em(df, record_column="TradeMarkDetails")
-    assert rows(fam["delete"]) == [("2",)]
+    assert rows(fam["delete"]) == [("Delete", "2")]
     main = fam["TradeMark"].collect()
     assert len(main) == 1 and main[0]["ApplicationNumber"] == "1" and str(main[0]["ApplicationDate"])[:10] == "2019-10-05"
 
@@ -222,3 +223,50 @@ def test_split_records_quote_aware_tag_end():
     body = '<r><rec a="x>y"/><rec b=\'1>2\'><v>1</v></rec><rec/></r>'
     got = list(split_records(io.BytesIO(body.encode()), "rec"))
     assert got == ['<rec a="x>y"/>', "<rec b='1>2'><v>1</v></rec>", "<rec/>"]
+
+
+def test_split_records_comments_encoding_and_truncation():
+    import io
+    import zipfile  # noqa: F401
+
+    import pytest
+
+    from regflat.sources import archive
+    body = "<r><!-- <rec>no</rec> --><rec><v>a<!-- </rec> --><![CDATA[</rec>]]></v></rec><rec>é</rec></r>"
+    for chunk in (7, 1 << 20):
+        old, archive._CHUNK = archive._CHUNK, chunk
+        try:
+            got = list(split_records(io.BytesIO(body.encode()), "rec"))
+            assert got == ["<rec><v>a<!-- </rec> --><![CDATA[</rec>]]></v></rec>", "<rec>é</rec>"]
+            latin = '<?xml version="1.0" encoding="ISO-8859-1"?><r><rec>Café</rec></r>'.encode("latin-1")
+            assert list(split_records(io.BytesIO(latin), "rec")) == ["<rec>Café</rec>"]
+            for cut in ("<r><rec>a</rec><rec>b", "<r><rec>a</rec><rec a='1", "<r><rec>a</rec><rec>b</re"):
+                with pytest.raises(archive.UnfinishedRecord):
+                    list(split_records(io.BytesIO(cut.encode()), "rec"))
+            with pytest.raises(UnicodeDecodeError):
+                list(split_records(io.BytesIO(b"<r><rec>\xe9</rec></r>"), "rec"))
+        finally:
+            archive._CHUNK = old
+
+
+def test_record_strings_split_and_isolate(spark):
+    """One pretty-printed file is read by several tasks, with the same records as its source."""
+    from regflat.plans.publish import session_conf
+    from regflat.sources.xml_records import BadRecords, parse_strings, read_records, record_schema, record_strings  # noqa: F401
+
+    body = "<r>\n" + "".join(f"  <rec id='{i}'>\n    <v>\n{'x' * 40}</v>\n  </rec>\n" for i in range(20000)) + "</r>"
+    path = _land(spark, body, "split-one")
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "1k"}):
+        strings = record_strings(spark, path, "rec")
+        assert strings.rdd.getNumPartitions() >= 4
+        df = read_records(spark, path, "rec", record_schema(spark, path, "rec"))
+        assert df.count() == 20000 and df.select("`@id`").distinct().count() == 20000
+    bad = _land(spark, "<r><rec><v>1</v></rec><rec><v>2</rec><rec><v>3</v></rec><rec><v>4</v>", "split-bad")
+    schema = record_schema(spark, _land(spark, "<r><rec><v>1</v></rec></r>", "split-ok"), "rec")
+    q1 = work_dir(spark, "split-q")
+    kept = read_records(spark, bad, "rec", schema, on_bad="quarantine", quarantine=q1)
+    # the record cut off at the end has a matching closing tag put back only if all inside it is whole
+    assert {r["v"] for r in kept.collect()} >= {"1", "3"} and spark.read.parquet(q1).count() == 1
+    import pytest
+    with pytest.raises(Exception, match="BadRecords"):
+        read_records(spark, bad, "rec", schema).collect()

@@ -48,7 +48,7 @@ def test_compaction_and_failure(spark):
     assert rows(b.current("t")) == before and b.latest_rank() == 2
 
 
-def test_small_deltas_broadcast_their_keys_after_a_size_check(spark):
+def test_no_broadcast_is_forced_on_delta_keys(spark):
     from regflat.plans.publish import session_conf
     b = SnapshotStore(spark, work_dir(spark, "mor-bc"), "xx", mode="merge_on_read", keys=["k"], compact_every=100)
     b.apply_version("v1", 1, {"t": spark.createDataFrame([("a", 1), ("b", 1)], S)}, ["k"])
@@ -59,7 +59,7 @@ def test_small_deltas_broadcast_their_keys_after_a_size_check(spark):
         cur = b.current("t")
         assert rows(cur) == [("a", 2), ("b", 1)]
         plan = cur._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert "BroadcastHashJoin" not in plan and "LeftAnti" in plan
 
 
 def test_repeated_ledger_rows_do_not_duplicate_data(spark):

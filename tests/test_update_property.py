@@ -9,7 +9,7 @@ from regflat.plans.offices import GB
 from regflat.plans.snapshot import SnapshotStore
 from regflat.plans.updates import apply_in_one_pass, apply_in_order
 from regflat.session import work_dir
-from regflat.sources.landing import table_folder
+from regflat.sources.landing import mark_complete, table_folder
 
 TABLES = ("Application", "Line")
 keys_st = st.sampled_from(["a", "b", "c"])
@@ -47,6 +47,7 @@ def land(spark, landing, versions):
         if v["delete"] is not None:
             spark.createDataFrame([(k,) for k in v["delete"]], "ApplicationNumber string").write.parquet(
                 table_folder(landing, "gb", name, "delete"))
+        mark_complete(spark, landing, "gb", name, tables=[k for k in (*TABLES, "delete") if v[k] is not None])
         order.append((name, i))
     return order
 

@@ -9,15 +9,16 @@ from regflat.plans.ledger import latest, next_version, pending
 from regflat.plans.offices import GB
 from regflat.plans.publish import compact_table
 from regflat.plans.snapshot import SnapshotStore
-from regflat.plans.updates import apply_in_one_pass, apply_in_order, landed_families, publish_if_updated
+from regflat.plans.updates import LateVersion, apply_in_one_pass, apply_in_order, landed_families, publish_if_updated
 from regflat.session import work_dir
-from regflat.sources.landing import table_folder
+from regflat.sources.landing import mark_complete, table_folder
 from tests.conftest import rows
 
 
 def land(spark, landing, office, version, tables):
     for name, data in tables.items():
         spark.createDataFrame(data[1], data[0]).write.parquet(table_folder(landing, office, version, name))
+    mark_complete(spark, landing, office, version, tables=list(tables))
 
 
 def _versions(spark, landing):
@@ -124,7 +125,8 @@ def test_compact_files_without_shuffle(spark):
     assert len(files) == 1 and spark.read.parquet(dst).count() == 50000
 
 
-def test_small_version_broadcasts_its_keys(spark):
+def test_no_broadcast_is_forced_in_a_merge(spark):
+    from regflat.operators.merge import update_table
     from regflat.plans.publish import session_conf
     landing = work_dir(spark, "land")
     order = _versions(spark, landing)
@@ -132,9 +134,34 @@ def test_small_version_broadcasts_its_keys(spark):
     off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     with session_conf(spark, off):
         apply_in_order(store, GB, landing, order[:1])
-        # the merge plan of the next version, built the way apply_version builds it
-        from regflat.operators.merge import update_table
         new = spark.read.parquet(table_folder(landing, "gb", "v2", "Application"))
-        merged = update_table(store.current("Application"), new, GB.keys, None, (), True)
-        p = merged._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+        merged = update_table(store.current("Application"), new, GB.keys)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "LeftAnti" in plan
+
+
+def test_late_version_raises_and_shifted_ranks_do_not_matter(spark):
+    landing = work_dir(spark, "land")
+    _versions(spark, landing)
+    store = SnapshotStore(spark, work_dir(spark, "snapL"), "gb")
+    assert apply_in_order(store, GB, landing, [("v1", 1), ("v3", 2)])
+    # v2 arrives: its rank is now v3's old one, and v3's rank has moved
+    with pytest.raises(LateVersion):
+        apply_in_order(store, GB, landing, [("v1", 1), ("v2", 2), ("v3", 3)])
+    with pytest.raises(LateVersion):
+        apply_in_one_pass(store, GB, landing, [("v1", 1), ("v2", 2), ("v3", 3)])
+    # a listing that lost its oldest folder goes on after the ledger
+    land(spark, landing, "gb", "v4", {"Line": ("ApplicationNumber string, n int", [("d", 9)])})
+    assert apply_in_order(store, GB, landing, [("v3", 1), ("v4", 2)])
+    assert store.committed_versions() == {"v1": 1, "v3": 2, "v4": 3}
+    with pytest.raises(ValueError):
+        store.apply_version("v4", 9, {}, GB.keys)
+
+
+def test_unmarked_landing_is_not_landed(spark):
+    landing = work_dir(spark, "land")
+    spark.createDataFrame([("a", 1)], "ApplicationNumber string, x int").write.parquet(
+        table_folder(landing, "gb", "v1", "Application"))
+    assert landed_families(spark, landing, "gb") == {}
+    mark_complete(spark, landing, "gb", "v1")
+    assert set(landed_families(spark, landing, "gb")["v1"]) == {"Application"}
