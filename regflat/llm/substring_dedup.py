@@ -99,8 +99,15 @@ def _anchor_rows(window: int, gram: int):
             for lo, hi, data, offsets in texts(batch.column("text")):
                 lay = _Layout(data, offsets, window, gram)
                 p = lay.anchors()
-                yield pa.record_batch({"h": lay.prefix[p].view(np.int64), "u": ids[lo:hi][lay.doc[p]],
-                                       "place": lay.place[p].astype(np.int32)})
+                # one row per prefix and text, so that a text of one word over and over is no hot key
+                p = p[np.lexsort((p, lay.prefix[p], lay.doc[p]))]
+                new = np.ones(len(p), bool)
+                new[1:] = (lay.prefix[p[1:]] != lay.prefix[p[:-1]]) | (lay.doc[p[1:]] != lay.doc[p[:-1]])
+                at = np.flatnonzero(new)
+                places = pa.ListArray.from_arrays(pa.array(np.append(at, len(p)).astype(np.int32)),
+                                                  pa.array(lay.place[p].astype(np.int32)))
+                yield pa.record_batch({"h": lay.prefix[p[at]].view(np.int64), "u": ids[lo:hi][lay.doc[p[at]]],
+                                       "places": places})
     return run
 
 
@@ -295,11 +302,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     known = spread.join(copies, "u", "left")
     lead = known.where("leads is null or leads").select("u", "id", "text")
 
-    anchors = lead.mapInArrow(_anchor_rows(window, gram), "h long, u long, place int")
-    counted = anchors.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("c > 1")
+    anchors = lead.mapInArrow(_anchor_rows(window, gram), "h long, u long, places array<int>")
+    counted = anchors.withColumn("c", F.sum(F.size("places")).over(Window.partitionBy("h"))).where("c > 1")
 
     def with_places(part: DataFrame) -> DataFrame:
-        per_text = part.groupBy("u").agg(F.sort_array(F.collect_list("place")).alias("places"))
+        per_text = part.groupBy("u").agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("places"))
         return spread.join(per_text, "u")
 
     suffixes = with_places(counted.where(F.col("c") <= group)).mapInArrow(
