@@ -85,6 +85,8 @@ def cmd_office(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.publish:
         out = publish_if_updated(store, updated or spec.always_publish, a.publish)
         print("\n".join(f"{t}\t{p}" for t, p in sorted(out.items())))
+    if a.keep:
+        store.expire(a.keep)
 
 
 def cmd_applications(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -120,6 +122,7 @@ def main(argv: list[str] | None = None) -> None:
     o.add_argument("--single-pass", action="store_true", help="the default")
     o.add_argument("--skip-table", action="append", help="land this table but do not merge it")
     o.add_argument("--cascade", action="store_true")
+    o.add_argument("--keep", type=int, default=2, help="snapshots to keep per table (0: all)")
     ap = sub.add_parser("applications")
     ap.add_argument("--office", action="append", required=True, help="office=published folder")
     ap.add_argument("--out", required=True)

@@ -77,6 +77,36 @@ def stored_bytes(spark: SparkSession, path: str | list[str]) -> int:
     return int(size or 0)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def swap_folder(spark: SparkSession, new: str, live: str) -> None:
+    """Put a folder that is written in whole in the place of the live one, by renames.
+
+    Until then readers see the old table; a failure while the new one is
+    written leaves it untouched.  A crash between the two renames is mended by
+    the next swap, which finds the old table beside the live name."""
+    fs, target = _file_system(spark, live)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    old = path(f"{live}._old")
+    if fs.exists(old) and not fs.exists(target):
+        fs.rename(old, target)
+    fs.delete(old, True)
+    if fs.exists(target):
+        fs.rename(target, old)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(path(new), target):
+        raise OSError(f"cannot rename {new} to {live}")
+    fs.delete(old, True)
+
+
 def compact_files(spark: SparkSession, src: str, dst: str, target_bytes: int = TARGET_FILE_BYTES,
                   int96: bool = False) -> None:
     """W4 for a stored table without a shuffle: ``coalesce(n)`` with
@@ -87,7 +117,8 @@ def compact_files(spark: SparkSession, src: str, dst: str, target_bytes: int = T
     conf = {"spark.sql.parquet.outputTimestampType": "INT96"} if int96 else {}
     with session_conf(spark, conf):
         (spark.read.parquet(src).coalesce(n).write.mode("overwrite")
-         .option("compression", "snappy").parquet(dst))
+         .option("compression", "snappy").parquet(f"{dst}._new"))
+    swap_folder(spark, f"{dst}._new", dst)
 
 
 def compact_table(df: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTES,

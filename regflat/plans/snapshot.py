@@ -19,6 +19,7 @@ Two modes:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regflat.operators.merge import (VERSION_COL, align_union, bulk_merge, key_set, remove_keys,
                                      update_table)
 from regflat.plans.ledger import append_ledger, read_ledger
-from regflat.plans.publish import TARGET_FILE_BYTES, save_table, session_conf
+from regflat.plans.publish import TARGET_FILE_BYTES, remove_folder, save_table, session_conf, stored_bytes
 
 # Runtime (AQE) broadcast limit for merge writes: a key set of this size is
 # ~10M keys, small enough to ship to every executor.
@@ -147,11 +148,36 @@ class SnapshotStore:
         path = self.snapshot_path(table, rank)
         with session_conf(self.spark, {"spark.sql.adaptive.autoBroadcastJoinThreshold":
                                        str(MERGE_BROADCAST_BYTES)}):
-            # no rebalance: the merged table keeps the current table's input
-            # splits (a map-side anti-join), so sizing would cost a full shuffle
+            # files near the target without a shuffle: as many write tasks as the
+            # table's last snapshot has target sizes (the first one as it comes)
+            last = self.committed().get(table)
+            if last is not None:
+                df = df.coalesce(max(1, math.ceil(stored_bytes(self.spark, last) / target_bytes)))
             save_table(df, path, target_bytes, mode="overwrite", rebalance=False)
         return path
 
+    def expire(self, keep: int = 2) -> list[str]:
+        """Delete the folders that no reader resolves any more: per table all but the newest ``keep``
+        snapshots, and the layers that the oldest of those already holds.  Returns the deleted folders."""
+        entries = self._entries()
+        gone, floors = [], []
+        for table in self.tables():
+            full = sorted({(r["rank"], r["snapshot"]) for r in entries
+                           if r["table"] == table and (r["kind"] or "snapshot") == "snapshot"})
+            kept = full[-max(1, keep):]
+            floor = kept[0][0] if kept else -1
+            floors.append(floor)
+            live = {p for _, p in kept}
+            gone += [p for _, p in full if p not in live]
+            gone += [r["snapshot"] for r in entries
+                     if r["table"] == table and r["kind"] in ("delta", "cascade") and r["rank"] <= floor]
+        # delete keys reach every table: they go once all tables have passed them
+        gone += [r["snapshot"] for r in entries if r["kind"] == "deletes" and floors and r["rank"] <= min(floors)]
+        gone = sorted(set(gone))
+        for path in gone:
+            remove_folder(self.spark, path)
+        return gone
+
     def commit(self, version: str, rank: int, written: Mapping[str, str]) -> None:
         self.commit_many([(version, rank, dict(written))])
 

@@ -165,3 +165,31 @@ def test_unmarked_landing_is_not_landed(spark):
     assert landed_families(spark, landing, "gb") == {}
     mark_complete(spark, landing, "gb", "v1")
     assert set(landed_families(spark, landing, "gb")["v1"]) == {"Application"}
+
+
+def test_expired_snapshots_go_and_readers_keep_theirs(spark):
+    landing = work_dir(spark, "land")
+    order = _versions(spark, landing)
+    for mode in ("rewrite", "merge_on_read"):
+        store = SnapshotStore(spark, work_dir(spark, f"snapE-{mode}"), "gb", mode=mode, keys=GB.keys, compact_every=2)
+        apply_in_order(store, GB, landing, order)
+        before = {t: rows(store.current(t)) for t in store.tables()}
+        gone = store.expire(1)
+        assert {t: rows(store.current(t)) for t in store.tables()} == before
+        assert all(not os.path.exists(p.removeprefix("file:")) for p in gone)
+        if mode == "rewrite":
+            assert gone and store.expire(1) == gone  # nothing else goes later
+
+
+def test_failed_publish_leaves_the_live_table(spark):
+    from regflat.plans.publish import compact_files
+    src, dst = work_dir(spark, "pub-src"), work_dir(spark, "pub-live") + "/t.parquet"
+    spark.range(10).write.parquet(src)
+    compact_files(spark, src, dst)
+    with pytest.raises(Exception):
+        compact_files(spark, src + "-missing", dst)
+    assert spark.read.parquet(dst).count() == 10
+    spark.range(20).write.mode("overwrite").parquet(src)
+    compact_files(spark, src, dst)
+    assert spark.read.parquet(dst).count() == 20
+    assert [f for f in os.listdir(os.path.dirname(dst).removeprefix("file:")) if "._" in f] == []
