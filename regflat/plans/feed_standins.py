@@ -15,6 +15,7 @@ from regflat.plans.updates import LateVersion, apply_in_order, land_version, lan
 from regflat.operators.flatten import q
 from regflat.session import work_dir
 from regflat.sources.landing import table_folder
+from regflat.sources.manifest import file_list, sort_manifest
 from regflat.sources.xml_records import parse_strings, record_strings
 
 
@@ -158,3 +159,32 @@ def malformed_records(spark, sf):
     lost = spark.read.parquet(quarantine).select(F.regexp_extract("record", r"<serial-number>(\d+)", 1).cast("bigint").alias("serial"))
     return kept.select(q("serial-number").cast("bigint").alias("serial"), F.lit(True).alias("good")) \
         .unionByName(lost.withColumn("good", F.lit(False)))
+
+
+@query("manifest_tables", """
+SELECT c_nationkey AS page, right(lpad(CAST(c_custkey AS VARCHAR), 9, '0'), 3) AS volume,
+       'HIST_' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '.zip' AS file_name, 0 AS part_rank FROM customer
+UNION ALL
+SELECT s_nationkey, CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey = 1 THEN 'WEEKLY_1_fixed.zip'
+       ELSE 'WEEKLY_' || CAST(s_suppkey AS VARCHAR) || '.zip' END, 1 FROM supplier
+""")
+def manifest_tables(spark, sf):
+    """Listing pages (one per nation) with a weekly table (file, volume) and a historical one (file, date),
+    the latter with an index and a schema file that do not count."""
+    def table(rows: DataFrame, *head: str) -> F.Column:
+        titles = "".join(f"<th>{h}</th>" for h in head)
+        return F.concat(F.lit(f"<table class='t'>\n<thead><tr>{titles}</tr></thead>"), rows, F.lit("</table>"))
+
+    def row(a: F.Column, b: F.Column) -> F.Column:
+        return F.concat(F.lit("<tr>\n <td><a href='x'>"), a, F.lit("</a></td><td>"), b.cast("string"), F.lit("</td></tr>\n"))
+
+    weekly = t(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("page")).agg(F.array_join(F.collect_list(
+        row(F.concat(F.lit("WEEKLY_"), F.col("s_suppkey").cast("string"), F.lit(".zip")), F.col("s_suppkey"))), "").alias("w"))
+    number = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
+    old = t(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("page")).agg(F.array_join(F.collect_list(
+        row(F.concat(F.lit("HIST_"), number, F.lit(".zip")), F.lit("2019 &amp; before"))), "").alias("h"))
+    other = row(F.lit("Schema_1.zip"), F.lit("")), row(F.lit("index.zip"), F.lit(""))
+    pages = weekly.join(old, "page", "full").select("page", F.concat(
+        table(F.coalesce("w", F.lit("")), "File", "Volume"),
+        table(F.concat(F.coalesce("h", F.lit("")), *other), "File", "Date and volume")).alias("html"))
+    return sort_manifest(file_list(pages, keep=("page",), corrections={"WEEKLY_1.zip": "WEEKLY_1_fixed.zip"}))

@@ -1,6 +1,9 @@
 """Feed manifest scan (S3): HTML listing pages -> ``(file_name, volume)``.
 
-Rows come from ``regexp_extract_all`` over the page text and ``explode``,
+The files are the rows of two HTML tables (``file_list``): weekly files with
+their volume, and historical files whose name ends in it.  Listings of anchors
+are read by ``anchors`` and ``manifest_rows``.  Rows come from
+``regexp_extract_all`` over the page text and ``explode``,
 all JVM-side; each page is one row, so pages parse in parallel.
 """
 
@@ -25,6 +28,49 @@ def anchors(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ()
             .select(*keep, "_a.href", "_a.text"))
 
 
+def table_rows(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Explode the HTML tables of listing pages into ``(table_no, row_no, cells)``: data rows only, cells as plain text."""
+    def parts(text: Column, pattern: str) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), 1)
+
+    def plain(cell: Column) -> Column:
+        text = F.regexp_replace(cell, r"(?s)<[^>]*>", " ")
+        for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+            text = F.replace(text, F.lit(entity), F.lit(char))
+        return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+    tables = pages.select(*keep, F.posexplode(parts(F.col(html_col), r"(?is)<table\b[^>]*>(.*?)</table>")).alias("table_no", "_t"))
+    rows = tables.select(*keep, "table_no", F.posexplode(parts(F.col("_t"), r"(?is)<tr\b[^>]*>(.*?)</tr>")).alias("row_no", "_r"))
+    cells = F.transform(parts(F.col("_r"), r"(?is)<td\b[^>]*>(.*?)</td>"), plain)
+    return rows.select(*keep, "table_no", "row_no", cells.alias("cells")).where(F.size("cells") > 0)
+
+
+def weekly_files(rows: DataFrame, corrections: Mapping[str, str] | None = None) -> DataFrame:
+    """P9/P10 for the first table of a listing: file name and volume are its first two columns."""
+    df = rows.where("table_no = 0").select(
+        *[c for c in rows.columns if c not in ("table_no", "row_no", "cells")],
+        F.get("cells", F.lit(1)).alias("volume"), F.get("cells", F.lit(0)).alias("file_name"))
+    return df.replace(dict(corrections), subset=["file_name"]) if corrections else df
+
+
+def historical_files(rows: DataFrame, excluded_substrings: tuple[str, ...] = ("index", "Schema")) -> DataFrame:
+    """K1/K2/F4 for the second table: the volume is the end of the file name; index and schema files are left out."""
+    name = F.get("cells", F.lit(0))
+    df = rows.where("table_no = 1").select(
+        *[c for c in rows.columns if c not in ("table_no", "row_no", "cells")],
+        last_chars(strip_zip(name), 3).alias("volume"), name.alias("file_name"))
+    for part in excluded_substrings:
+        df = df.where(~F.col("file_name").contains(part))
+    return df
+
+
+def file_list(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = (),
+              corrections: Mapping[str, str] | None = None) -> DataFrame:
+    """The historical files, then the weekly ones (``part_rank``), of listing pages with both tables."""
+    rows = table_rows(pages, html_col, keep)
+    return concat_parts(historical_files(rows), weekly_files(rows, corrections))
+
+
 def manifest_rows(links: DataFrame, name_col: str, target_col: str,
                   corrections: Mapping[str, str] | None = None,
                   excluded_substrings: tuple[str, ...] = ("index", "Schema")) -> DataFrame:
