@@ -14,6 +14,7 @@ an array of structs; after a full flatten both give the same column names.
 from __future__ import annotations
 
 import logging
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -58,6 +59,21 @@ def _explode_arrays(df: DataFrame) -> DataFrame:
     return df
 
 
+def flatten_columns(df: DataFrame, names: Collection[str]) -> DataFrame:
+    """N1 on some columns only: each struct one level, or each array one level."""
+    exprs: list[Column] = []
+    for f in df.schema.fields:
+        if f.name in names and isinstance(f.dataType, T.StructType):
+            exprs += [q(f.name).getField(child.name).alias(f"{f.name}{SEP}{child.name}") for child in f.dataType.fields]
+        else:
+            exprs.append(q(f.name))
+    out = df.select(*exprs)
+    for f in df.schema.fields:
+        if f.name in names and isinstance(f.dataType, T.ArrayType):
+            out = out.select(*[F.explode_outer(q(c)).alias(c) if c == f.name else q(c) for c in out.columns])
+    return out
+
+
 def flatten_once(df: DataFrame) -> DataFrame:
     """Expand every struct one level, then explode every array one level."""
     return _explode_arrays(_expand_structs(df))

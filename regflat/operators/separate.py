@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, types as T
 
 from regflat.functions.names import NameRules, clean_names, shorten_prefixes
 from regflat.functions.types import TypeRule, apply_type_rules
-from regflat.operators.flatten import flatten_fully, flatten_steps, q
+from regflat.operators.flatten import SEP, flatten_columns, flatten_fully, flatten_steps, q
 from regflat.operators.prune import DropRules, drop_by_rules
 from regflat.operators.rows import drop_null_rows, live_rows, split_deletes
 
@@ -52,21 +52,30 @@ def extract_partial(df: DataFrame, column: str, keys: Sequence[str], n_steps: in
                     how: Cleaning, stop_at: Sequence[str] = ()) -> DataFrame:
     """Keys + one container, flatten steps, names, prune.
 
-    Without ``stop_at`` exactly ``n_steps`` steps are taken.  With it the
-    walk goes on (up to ``n_steps + 2``) until one of the named
-    sub-containers shows up as a cleaned column, which keeps the spec
-    independent of how a source nests single vs repeated elements.
+    Without ``stop_at`` exactly ``n_steps`` steps are taken.  With it the walk
+    opens just the columns that hold one of the named sub-containers, as deep
+    as it takes, until every one that the schema has is a column of its own;
+    so neither the depth nor single versus repeated elements matter.
     """
     part = df.select(*[q(k) for k in keys], q(column))
     if not stop_at:
         return _tidy(flatten_steps(part, n_steps), column, how)
     targets = set(stop_at)
-    for _ in range(n_steps + 2):
-        part = flatten_steps(part, 1)
-        names = {how.names.clean(c, column) for c in part.columns}
-        if targets & names or all(not is_container(f.dataType) for f in part.schema.fields):
-            break
-    return _tidy(part, column, how)
+
+    def holds(name: str, dtype: T.DataType) -> bool:
+        """Is there a target somewhere below a column (the column itself not counted)?"""
+        if isinstance(dtype, T.ArrayType):
+            return holds(name, dtype.elementType)
+        return isinstance(dtype, T.StructType) and any(
+            how.names.clean(f"{name}{SEP}{f.name}", column) in targets or holds(f"{name}{SEP}{f.name}", f.dataType)
+            for f in dtype.fields)
+
+    while True:
+        closed = [f.name for f in part.schema.fields
+                  if f.name not in keys and how.names.clean(f.name, column) not in targets and holds(f.name, f.dataType)]
+        if not closed:
+            return _tidy(part, column, how)
+        part = flatten_columns(part, closed)
 
 
 def finish_partial(df: DataFrame, name_table: str | None, keys: Sequence[str],

@@ -270,3 +270,14 @@ def test_record_strings_split_and_isolate(spark):
     import pytest
     with pytest.raises(Exception, match="BadRecords"):
         read_records(spark, bad, "rec", schema).collect()
+
+
+def test_partial_walk_finds_siblings_at_any_depth(spark):
+    from regflat.operators.separate import extract_partial
+    from regflat.plans.offices import CA_CLEAN
+    df = spark.createDataFrame([(1, ([("k1", [("s1",)], (([("d1",)],),))],))],
+                               "key int, TopBag struct<Top:array<struct<Id:string,StageBag:array<struct<S:string>>,"
+                               "Deep:struct<More:struct<PartyBag:array<struct<P:string>>>>>>>")
+    part = extract_partial(df, "TopBag", ["key"], 1, CA_CLEAN, stop_at=("StageBag", "Deep|More|PartyBag"))
+    assert {"StageBag", "Deep|More|PartyBag", "Id"} <= set(part.columns)
+    assert part.select("`Deep|More|PartyBag`.P").first()[0] == ["d1"]
