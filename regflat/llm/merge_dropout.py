@@ -37,12 +37,15 @@ from pyspark.sql import functions as F
 SPACE = "▁"  # the mark of a space in pieces
 DROPOUT = 0.1
 VARIANTS = 4
-CACHE = 120_000   # units that a worker remembers, per variant
+CACHE = 280_000   # units that a worker remembers, per variant
 CYCLE = 1024      # a document walks this cycle of variants from a place of its own
-LONG = 64         # longer units are not remembered
+LONG = 64         # longer units are not remembered, and take a priority queue
 
 _codecs: dict[tuple, "Codec"] = {}
 _MASK = (1 << 64) - 1
+_A, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+_FIRST, _LAST = [i * _A for i in range(LONG + 1)], [i * _B for i in range(LONG + 1)]
+_NEVER = 1 << 30
 
 
 class _Units(dict):
@@ -72,9 +75,8 @@ class Codec:
         self.seed, self.variants = seed, variants
         self.skip_below = int(dropout * 2**32)
         self.ids: dict[str, int] = {}
-        self.rank: dict[str, float] = {}
         self.bytes = [0] * 256
-        raw = []
+        raw, scores = [], {}
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -84,8 +86,10 @@ class Codec:
                 raw.append(b"")
             else:
                 self.ids[piece] = i
-                self.rank[piece] = -sp.get_score(i)
+                scores[piece] = sp.get_score(i)
                 raw.append(piece.replace(SPACE, " ").encode())
+        place = {x: i for i, x in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.rank = {piece: place[x] for piece, x in scores.items()}  # 0 is the best
         # a unit ends before a space mark that follows something else, and around line feeds,
         # as long as no piece reaches across
         if any(SPACE in p.lstrip(SPACE) or ("\n" in p and p != "\n") for p in self.ids):
@@ -101,7 +105,7 @@ class Codec:
 
     def skipped(self, key: int, start: int, end: int) -> bool:
         """Keyed hash of a candidate merge: is it skipped?"""
-        x = (key ^ (start * 0x9E3779B97F4A7C15 + end * 0xC2B2AE3D27D4EB4F)) & _MASK
+        x = (key ^ (start * _A + end * _B)) & _MASK
         x = (x ^ (x >> 31)) * 0xFF51AFD7ED558CCD & _MASK
         return (x >> 32) < self.skip_below
 
@@ -110,6 +114,35 @@ class Codec:
 
     def segment(self, unit: str, variant: int) -> list[int]:
         """Ids of one unit (space marks instead of spaces) by the agenda."""
+        if len(unit) > LONG:
+            return self._segment_long(unit, variant)
+        below = self.skip_below
+        key = self.key(unit, variant) if below else 0
+        rank, never, first, last = self.rank.get, _NEVER, _FIRST, _LAST
+        parts = list(unit)
+        starts = list(range(len(parts) + 1))
+        # the agenda of a short unit: the rank of every pair of neighbours, the best and leftmost next
+        agenda = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == never:
+                break
+            i = agenda.index(best)
+            if below:  # as ``skipped`` says
+                x = (key ^ (first[starts[i]] + last[starts[i + 2]])) & _MASK
+                if ((x ^ (x >> 31)) * 0xFF51AFD7ED558CCD & _MASK) >> 32 < below:
+                    agenda[i] = never
+                    continue
+            parts[i] += parts.pop(i + 1)
+            del starts[i + 1], agenda[i]
+            if i:
+                agenda[i - 1] = rank(parts[i - 1] + parts[i], never)
+            if i < len(agenda):
+                agenda[i] = rank(parts[i] + parts[i + 1], never)
+        return self._ids(parts)
+
+    def _segment_long(self, unit: str, variant: int) -> list[int]:
+        """The same with a priority queue, for units of any length."""
         n, rank, below = len(unit), self.rank.get, self.skip_below
         key = self.key(unit, variant) if below else 0
         end = list(range(1, n + 1))       # of the symbol that starts here; 0 where none starts
@@ -120,10 +153,8 @@ class Codec:
             _, i, j, k = heappop(agenda)
             if end[i] != j or end[j] != k:
                 continue  # one of the two was merged meanwhile
-            if below:  # as ``skipped`` says
-                x = (key ^ (i * 0x9E3779B97F4A7C15 + k * 0xC2B2AE3D27D4EB4F)) & _MASK
-                if ((x ^ (x >> 31)) * 0xFF51AFD7ED558CCD & _MASK) >> 32 < below:
-                    continue
+            if below and self.skipped(key, i, k):
+                continue
             end[i], end[j] = k, 0
             if k < n:
                 before[k] = i
@@ -135,15 +166,20 @@ class Codec:
                 r = rank(unit[h:k])
                 if r is not None:
                     heappush(agenda, (r, h, i, k))
-        out, i = [], 0
+        parts, i = [], 0
         while i < n:
-            piece = unit[i:end[i]]
+            parts.append(unit[i:end[i]])
+            i = end[i]
+        return self._ids(parts)
+
+    def _ids(self, parts: list[str]) -> list[int]:
+        out: list[int] = []
+        for piece in parts:
             found = self.ids.get(piece)
             if found is None:
                 out.extend(self.bytes[b] for b in piece.encode("utf-8", "surrogatepass"))
             else:
                 out.append(found)
-            i = end[i]
         return out
 
     def encode(self, text: str, document: str = "") -> np.ndarray:
