@@ -205,3 +205,31 @@ def test_merge_dropout_varies_and_is_lossless():
     assert len({tuple(codec.encode(t, str(i)).tolist()) for i in range(20)}) > 3
     assert codec.encode(t, "1").tolist() == merge_dropout.Codec(queries.tokenizer_file("piece_bpe_32k.model"), 3, 0.3, 4) \
         .encode(t, "1").tolist()
+
+
+def test_merge_dropout_decides_anew_at_each_occurrence():
+    codec = merge_dropout.Codec(queries.tokenizer_file("piece_bpe_32k.model"), 3, 0.3)
+    # one word at many places of a document, and one text in many documents
+    word, n = "▁responsibilities", 300
+    cuts = [tuple(codec.segment(word, codec.occurrence("d", len(word) * i))) for i in range(n)]
+    assert codec.encode(" ".join([word[1:]] * n), "d").tolist() == [x for cut in cuts for x in cut]
+    assert len(set(cuts)) > 20
+    text = "These responsibilities are understood everywhere in the organisation"
+    ids, at = codec.encode_all([text] * 3000, [str(i) for i in range(3000)])
+    assert len({ids[lo:hi].tobytes() for lo, hi in zip(at, at[1:])}) > 2000
+    # the first candidate is skipped at the share of occurrences that was asked for
+    _, at = codec.encode_all(["t"] * 20_000, [str(i) for i in range(20_000)])
+    assert abs(np.mean(np.diff(at) == 2) - 0.3) < 0.02
+
+
+def test_merge_dropout_texts_together():
+    """Texts encoded together, unit by unit and each by itself give the same ids."""
+    codec = merge_dropout.Codec(queries.tokenizer_file("piece_bpe_32k.model"), 5, 0.2)
+    texts = ["", "a  b ", "x\n\ny ▁c ▁▁ \n d", "日本語 é\t🙂 word", "", "b" * 90 + " " + "the end " * 40]
+    ids, at = codec.encode_all(texts, [str(i) for i in range(len(texts))])
+    for i, t in enumerate(texts):
+        got = ids[at[i]:at[i + 1]]
+        assert got.tolist() == codec.encode(t, str(i)).tolist() and codec.decode(got).decode() == t
+    units = merge_dropout._units(" " + texts[5])
+    places = np.cumsum([0, *map(len, units)])
+    assert ids[at[5]:].tolist() == [x for u, p in zip(units, places) for x in codec.segment(u, codec.occurrence("5", int(p)))]
