@@ -17,6 +17,9 @@ A retrieved item is then verified: at least ``OVERLAP`` of the five-word
 shingles of its question (the text but its last quarter) and of the words of
 its answer (the last quarter, five words at least) must occur in the passage.
 
+Items and texts are compared in lower case, by the full Unicode rule on both
+sides (Spark's ``lower``).
+
 The index is broadcast with the tasks.  It is built of at most ``SHARD`` items
 at a time; more items are taken in several passes over the documents.  Documents
 are mapped where they lie, without a shuffle.
@@ -51,11 +54,11 @@ SHARD = 20_000   # items of one index
 def _hash_texts(items: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     raw = [(x or "").encode() for x in items]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
-    return hash_words(np.frombuffer(b"".join(raw), np.uint8), offsets, fold=True)
+    return hash_words(np.frombuffer(b"".join(raw), np.uint8), offsets)
 
 
 class Index:
-    """Blocks, impacts and the words to verify of a list of items."""
+    """Blocks, impacts and the words to verify of a list of items in lower case."""
 
     def __init__(self, items: list[str | None], share: float = SHARE, block: int = BLOCK):
         h, at = _hash_texts(items)
@@ -195,7 +198,7 @@ def _match_rows(index: Index, item_ids: pa.Array):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in texts(batch.column("text")):
-                found = search(index, *hash_words(data, offsets, fold=True))
+                found = search(index, *hash_words(data, offsets))
                 if found:
                     d, item, score, asked, told = map(list, zip(*found))
                     yield pa.record_batch({
@@ -206,20 +209,20 @@ def _match_rows(index: Index, item_ids: pa.Array):
     return run
 
 
-def _clean_rows(index: Index, text_col: str):
+def _clean_rows(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
-            for lo, _, data, offsets in texts(batch.column(text_col)):
-                for d, *_ in search(index, *hash_words(data, offsets, fold=True)):
+            for lo, _, data, offsets in texts(batch.column("text")):
+                for d, *_ in search(index, *hash_words(data, offsets)):
                     keep[lo + d] = False
-            yield batch.filter(pa.array(keep))
+            yield batch.filter(pa.array(keep))  # with the lower-case text, for the next index
     return run
 
 
 def _shards(items: DataFrame, id_col: str, text_col: str, shard: int) -> Iterator[tuple[pa.Array, Index]]:
     """Indexes of at most about ``shard`` items each: the test set comes to the driver a shard at a time."""
-    one = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    one = items.select(F.col(id_col).alias("id"), F.lower(F.col(text_col)).alias("text"))
     n = one.count()
     parts = max(1, -(-n // shard))
     for k in range(parts):
@@ -233,7 +236,7 @@ def _shards(items: DataFrame, id_col: str, text_col: str, shard: int) -> Iterato
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
             item_text_col: str = "text", shard: int = SHARD) -> DataFrame:
     """One row per document and test item found in it: both ids, ``score`` (share of the item's own), ``question_overlap``, ``answer_overlap``."""
-    one = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    one = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     kind, item_kind = (x.schema[c].dataType.simpleString() for x, c in ((docs, id_col), (items, item_id_col)))
     schema = f"id {kind}, item {item_kind}, score double, asked double, told double"
     out = None
@@ -249,6 +252,8 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text", shard: int = SHARD) -> DataFrame:
     """``docs``, all columns, without the documents that hold a test item."""
+    # the columns ride along as one beside the text in lower case
+    both = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.lower(F.col(text_col)).alias("text"))
     for _, index in _shards(items, item_id_col, item_text_col, shard):
-        docs = docs.mapInArrow(_clean_rows(index, text_col), docs.schema)
-    return docs
+        both = both.mapInArrow(_clean_rows(index), both.schema)
+    return both.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

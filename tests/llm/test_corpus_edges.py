@@ -245,6 +245,17 @@ def test_decontaminate_edges(spark, docs):
     assert decontaminate.matches(docs.limit(0), bench).count() == 0
 
 
+def test_decontaminate_folds_accented_capitals(spark):
+    item = "où se trouve la forêt près de l'étang à côté du château où naît à l'été la rivière dorée émeraude"
+    bench = spark.createDataFrame([(1, item), (2, item.upper())], "item_id int, text string")
+    docs = spark.createDataFrame([(1, f"one two {item.upper()} three"), (2, f"one two {item} three"), (3, "one two three")],
+                                 "doc_id long, text string")
+    rows = decontaminate.matches(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.question_overlap, r.answer_overlap) for r in rows) == \
+        [(d, i, 1.0, 1.0) for d in (1, 2) for i in (1, 2)]
+    assert [tuple(r) for r in decontaminate.clean(docs, bench, shard=1).collect()] == [(3, "one two three")]
+
+
 def test_classifier_edges(spark, docs):
     marks = spark.createDataFrame([(5, 1), (5, 0), (6, 1), (None, 1), (7, None), (99, 1)], "doc_id long, quality int")
     model = pu_classifier.train(docs, marks)
