@@ -13,8 +13,10 @@ what is left.
 
 Pages are rows of a narrow map: nothing is shuffled or gathered.  Defined
 results: null or empty html, or a page without text: the empty text; broken
-markup is read as far as it goes (an unclosed script or comment hides the rest
-of the page); repeated rows give repeated rows; an empty table gives no rows.
+markup is read as far as it goes (an unclosed script, style or comment hides
+the rest of the page, any other unclosed element that is not shown only its
+own start tag; a head ends at its end tag or at the first element or text that
+may not stand in it); repeated rows give repeated rows; an empty table gives no rows.
 Only the named columns are read.
 """
 
@@ -31,18 +33,20 @@ from pyspark.sql import functions as F
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|object|textarea|select|title|head)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>"
-    r"(?:.*?</\1\s*>|(?=.).*\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _NAME = re.compile(r"[a-z]+")
 
 # fixed sets of element and attribute names
+# elements whose content is not shown, with their end tags; RAW has none but text until there
+UNSEEN = {x: re.compile(rf"</{x}\s*>", re.I) for x in "script style noscript template svg iframe object textarea select title".split()}
+RAW = frozenset("script style".split())
+HEAD = frozenset("base basefont bgsound link meta noscript script style template title head".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub "
                    "sup time tt u var wbr label img picture source acronym".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-AWAY = frozenset("nav aside footer form menu dialog button fieldset".split())
+AWAY = frozenset("nav aside footer menu dialog button head".split())
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion nav navigation navbar menu "
     "breadcrumb breadcrumbs pagination pager sidebar widget footer masthead cookie cookies consent notice notices gdpr banner "
@@ -73,6 +77,7 @@ def blocks(page: str) -> tuple[list[_Block], bool]:
     linked = 0
     links = 0
     marked = False
+    unclosed: set[str] = set()
 
     def flush():
         nonlocal linked
@@ -86,8 +91,14 @@ def blocks(page: str) -> tuple[list[_Block], bool]:
             parts.clear()
         linked = 0
 
+    def end_head():
+        flush()
+        stack.pop()
+
     def text_of(raw):
         nonlocal linked
+        if stack[-1][0] == "head" and raw.strip():
+            end_head()
         if raw:
             raw = html.unescape(raw) if "&" in raw else raw
             parts.append(raw)
@@ -95,18 +106,30 @@ def blocks(page: str) -> tuple[list[_Block], bool]:
                 linked += len(raw.strip())
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             text_of(page[at:m.start()])
         at = m.end()
-        name = m.group(3)
+        name = m.group(2)
         if name is None:
             continue
         name = name.lower()
+        if stack[-1][0] == "head" and name not in HEAD and not m.group(1):
+            end_head()
+        if name in UNSEEN and not m.group(1):
+            # once an element has no end tag, none that follows has
+            end = None if name in unclosed or m.group(3).endswith("/") and name == "svg" else UNSEEN[name].search(page, at)
+            if end:
+                at = end.end()
+            elif name in RAW:
+                at = len(page)
+            elif not m.group(3).endswith("/"):
+                unclosed.add(name)
+            continue
         if name == "br":
             parts.append(" ")
             continue
-        if m.group(2):
+        if m.group(1):
             if name == "a":
                 links = max(0, links - 1)
             if any(x[0] == name for x in stack):
@@ -134,7 +157,7 @@ def blocks(page: str) -> tuple[list[_Block], bool]:
         if name in MAIN:
             main, marked = True, True
         away = away or name in AWAY or (name == "header" and not main)
-        attributes = m.group(4)
+        attributes = m.group(3)
         if "=" in attributes and not away:
             for key, value in _ATTRIBUTE.findall(attributes):
                 value = value.strip("\"'").lower()

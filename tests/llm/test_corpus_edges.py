@@ -325,6 +325,20 @@ def test_html_edges(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+STORY = "<p>The first paragraph of the story tells, in one sentence, what it is about.</p><p>The second one ends it, as it should.</p>"
+TOLD = "The first paragraph of the story tells, in one sentence, what it is about.\n\nThe second one ends it, as it should."
+
+
+@pytest.mark.parametrize("page", [
+    "<head><meta charset=utf-8><title>t</title><body><article>{}</article>", "<head><meta charset=utf-8><article>{}</article>",
+    "<head><link rel=x><title>t</title><script>var a</script><style>p {{}}</style></head><body><article>{}</article>",
+    "<head><title><body><article>{}</article>", "<article><select>{}</article>", "<article><object data=x>{}</article>",
+    "<article><svg>{}</article>", "<article><svg/>{}<svg>no</svg></article>", "<article><iframe src=x>{}</article>",
+    "<article><select><option>no</select><select>{}</article>", "<article>{}</article><script>var a = '<p>no</p>'"])
+def test_html_without_end_tags(page):
+    assert html_text.main_text(page.format(STORY)) == TOLD
+
+
 def test_merge_dropout_edges(docs):
     out = merge_dropout.encode_documents(docs, queries.tokenizer_file("piece_bpe_32k.model"))
     rows = out.collect()
