@@ -7,6 +7,12 @@ blocks under the same element are joined by smoothness edges, stronger the
 closer they are in the tree.  The minimum cut between the terminals labels all
 blocks at once; content blocks in page order are the text.
 
+Names of classes and roles that hint at boilerplate, and forms, are evidence
+like any other, against all blocks below; they are none on an element that
+holds most of the page's text, and none below an article or main that begins
+inside the element.  Navigation, asides, footers and hidden elements are
+boilerplate for sure.
+
 Blocks whose own evidence outweighs all their edges have that label in every
 minimum cut; they are folded into the terminals first, and max-flow runs on
 what is left.
@@ -35,7 +41,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?][^>]*>", re.S | re.I)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _NAME = re.compile(r"[a-z]+")
 
 # fixed sets of element and attribute names
@@ -46,32 +52,40 @@ HEAD = frozenset("base basefont bgsound link meta noscript script style template
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub "
                    "sup time tt u var wbr label img picture source acronym".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+FORM = frozenset("form fieldset".split())
 AWAY = frozenset("nav aside footer menu dialog button head".split())
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion nav navigation navbar menu "
     "breadcrumb breadcrumbs pagination pager sidebar widget footer masthead cookie cookies consent notice notices gdpr banner "
     "alert newsletter subscribe subscription signup login popup modal overlay comment comments disqus respond reply replies "
-    "related share sharing social toolbar copyright legal complementary contentinfo search toc skip".split())
+    "related share sharing social toolbar copyright legal complementary contentinfo search toc skip "
+    "ad-banner ad-container ad-slot ad-unit comment-body comment-form comment-list comments-area cookie-banner cookie-consent "
+    "cookie-notice main-menu main-nav main-navigation nav-menu page-footer related-posts search-form share-buttons site-footer "
+    "site-header skip-link social-links social-share table-of-contents widget-area".split())
 MAIN = frozenset("article main".split())
 BODY = frozenset("content post entry story article main".split())
 
 FAR = 40.0     # evidence that no neighbourhood outweighs
 NEXT = 0.8     # edge between neighbours in page order
 SAME = 0.8     # further edge between neighbours under the same element
+HINT = 6.0     # evidence of a hint or a form
+MOST = 0.5     # share of the page's text from which on an element is its frame, and a hint on it says nothing
 
 
 class _Block:
-    __slots__ = ("text", "path", "linked", "tag", "away", "main", "body", "parent")
+    __slots__ = ("text", "path", "linked", "tag", "away", "main", "body", "hints", "parent", "hinted")
 
-    def __init__(self, text, linked, tag, away, main, body, parent):
+    def __init__(self, text, linked, tag, away, main, body, hints, parent):
         self.text, self.linked, self.tag = text, linked, tag
-        self.away, self.main, self.body, self.parent = away, main, body, parent
+        self.away, self.main, self.body, self.hints, self.parent = away, main, body, hints, parent
+        self.hinted = False
 
 
 def blocks(page: str) -> tuple[list[_Block], bool]:
     """Text blocks in page order; whether the page marks its main part."""
     found: list[_Block] = []
-    stack = [("", False, False, False, 0)]  # tag, away, main, body, number
+    # tag, boilerplate for sure (2: hidden), main, body, elements with hints, number
+    stack: list[tuple] = [("", 0, False, False, (), 0)]
     numbers = 0
     parts: list[str] = []
     linked = 0
@@ -84,10 +98,10 @@ def blocks(page: str) -> tuple[list[_Block], bool]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                for tag, away, main, body, number in reversed(stack):
+                for tag, *_, number in reversed(stack):
                     if tag not in INLINE:
                         break
-                found.append(_Block(text, min(1.0, linked / len(text)), tag, stack[-1][1], stack[-1][2], stack[-1][3], number))
+                found.append(_Block(text, min(1.0, linked / len(text)), tag, *stack[-1][1:5], number))
             parts.clear()
         linked = 0
 
@@ -153,30 +167,44 @@ def blocks(page: str) -> tuple[list[_Block], bool]:
                     break
                 if stack[k][0] not in INLINE:
                     break
-        _, away, main, body, _ = stack[-1]
+        _, away, main, body, hints, _ = stack[-1]
         if name in MAIN:
+            # the first article or main starts afresh; main also where nothing hides it
+            if not main:
+                hints = ()
+            if name == "main" and away < 2:
+                away = 0
             main, marked = True, True
-        away = away or name in AWAY or (name == "header" and not main)
+        if not away and (name in AWAY or (name == "header" and not main)):
+            away = 1
+        hint = name in FORM
         attributes = m.group(3)
-        if "=" in attributes and not away:
+        if away < 2 and ("=" in attributes or "hidden" in attributes.lower()):
             for key, value in _ATTRIBUTE.findall(attributes):
-                value = value.strip("\"'").lower()
-                words = set(_NAME.findall(value))
-                if key.lower() in ("class", "id", "role", "aria-label") and name not in ("body", "html"):
-                    away = away or (bool(words & HINTS) and name not in MAIN)
-                    body = body or bool(words & BODY)
-                    if key.lower() == "role" and value == "main":
+                key, value = key.lower(), value.strip("\"'").lower()
+                if key in ("class", "id", "role", "aria-label") and name not in ("body", "html"):
+                    hint = hint or (name not in MAIN and not HINTS.isdisjoint(value.split()))
+                    body = body or not BODY.isdisjoint(_NAME.findall(value))
+                    if key == "role" and value == "main":
                         main, marked = True, True
-                elif key.lower() == "style" and "display:none" in value.replace(" ", ""):
-                    away = True
-        if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes):
-            away = True
+                elif key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "")):
+                    away = 2
         if name not in VOID and not attributes.endswith("/"):
             numbers += 1
-            stack.append((name, away, main, body, numbers))
+            stack.append((name, away, main, body, (*hints, numbers) if hint else hints, numbers))
     if at < len(page):
         text_of(page[at:])
     flush()
+    # a hint on the frame of the page says nothing
+    held: dict[int, int] = {}
+    shown = 0
+    for b in found:
+        if not b.away:
+            shown += len(b.text)
+            for x in b.hints:
+                held[x] = held.get(x, 0) + len(b.text)
+    for b in found:
+        b.hinted = any(held.get(x, 0) < MOST * shown for x in b.hints)
     return found, marked
 
 
@@ -186,8 +214,10 @@ def costs(block: _Block, marked: bool) -> tuple[float, float]:
         return 0.0, FAR
     words = block.text.count(" ") + 1
     score = -0.5
-    score += 6.0 if block.main else (-5.0 if marked else 0.0)
-    score += 1.5 if block.body else 0.0
+    # a hint inside the main part ends it
+    score += 6.0 if block.main and not block.hinted else (-5.0 if marked else 0.0)
+    score += 1.5 if block.body and not block.hinted else 0.0
+    score -= HINT if block.hinted else 0.0
     score += {"p": 1.5, "pre": 1.5, "blockquote": 1.5, "h": 1.0, "li": -0.5, "td": -0.3}.get(
         "h" if block.tag[:1] == "h" and block.tag[1:].isdigit() else block.tag, 0.0)
     score += min(words, 40) / 20.0

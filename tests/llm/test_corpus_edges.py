@@ -339,6 +339,21 @@ def test_html_without_end_tags(page):
     assert html_text.main_text(page.format(STORY)) == TOLD
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='site has-sidebar'><article>{}</article></div>", "<div class=no-sidebar><article>{}</article></div>",
+    "<div class='content with-nav'><article>{}</article></div>", "<div class='search-page'>{}</div>", "<div class=search>{}</div>",
+    "<div class='sidebar'><article>{}</article></div><p>More here.</p>", "<div id=comments><main>{}</main></div>",
+    "<form id=aspnetForm><div>{}</div></form>", "<form><fieldset><article>{}</article></fieldset></form>",
+    "<main><div class='widget'>{}</div></main>", "<article title='the hidden cost'>{}</article>",
+    "<article class='md:block hidden lg:flex'>{}</article>", "<article data-class=ad>{}</article>",
+    "<article>{}<div class=ad><p>Buy it now, as all others do.</p></div></article>", "<article>{}</article><p hidden>Not shown, this one.</p>",
+    "<article>{}</article><p HIDDEN=''>Not shown, this one.</p>",
+    "<article>{}<form><p>Your mail address, please.</p></form></article>", "<div class=sidebar><p>Read this too.</p></div><div>{}</div>"])
+def test_html_frames_with_hints(page):
+    got = html_text.main_text(page.format(STORY))
+    assert got in (TOLD, TOLD + "\n\nMore here.")
+
+
 def test_merge_dropout_edges(docs):
     out = merge_dropout.encode_documents(docs, queries.tokenizer_file("piece_bpe_32k.model"))
     rows = out.collect()
