@@ -20,8 +20,10 @@ its answer (the last quarter, five words at least) must occur in the passage.
 Items and texts are compared in lower case, by the full Unicode rule on both
 sides (Spark's ``lower``).
 
-The index is broadcast with the tasks.  It is built of at most ``SHARD`` items
-at a time; more items are taken in several passes over the documents.  Documents
+The index travels with the tasks.  More than ``SHARD`` items are cut by hash
+into shards, whose indexes are built by tasks from statistics over all items,
+lie below the shared folder and are loaded by the tasks of one pass over the
+documents each; scores and passages are those of a single index.  Documents
 are mapped where they lie, without a shuffle.
 
 Defined results: null and empty texts or items match nothing; an item shorter
@@ -32,13 +34,18 @@ give no rows.  Only the named columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+import uuid
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import work_dir
 from .words import hash_words, mix, rolling, texts
 
 K1, B = 1.2, 0.75
@@ -57,10 +64,20 @@ def _hash_texts(items: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return hash_words(np.frombuffer(b"".join(raw), np.uint8), offsets)
 
 
+class Statistics(NamedTuple):
+    """Of all items with words: their number, mean and greatest length; of terms (in order), the items that have them."""
+    n: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
 class Index:
     """Blocks, impacts and the words to verify of a list of items in lower case."""
 
-    def __init__(self, items: list[str | None], share: float = SHARE, block: int = BLOCK):
+    def __init__(self, items: list[str | None], share: float = SHARE, block: int = BLOCK,
+                 over_all: Statistics | None = None):
         h, at = _hash_texts(items)
         size = np.diff(at)
         live = np.flatnonzero(size)
@@ -69,15 +86,18 @@ class Index:
         self.block = block
         n = len(self.order)
         self.items = [h[at[i]:at[i + 1]] for i in self.order]
-        self.half = max(LEAST, int(size.max()) if n else 0)
         self.terms, term = np.unique(np.concatenate([*self.items, np.empty(0, np.uint64)]), return_inverse=True)
         owner = np.repeat(np.arange(n), [len(x) for x in self.items])
         pair, tf = np.unique(term * np.int64(max(n, 1)) + owner, return_counts=True)
         term, owner = pair // max(n, 1), pair % max(n, 1)
-        df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
         length = np.array([len(x) for x in self.items], float)
-        norm = K1 * (1 - B + B * length / length.mean()) if n else length
+        if over_all is None:
+            over_all = Statistics(n, length.mean() if n else 1.0, int(size.max()) if n else 0, self.terms,
+                                  np.bincount(term, minlength=len(self.terms)))
+        self.half = max(LEAST, over_all.longest)
+        df = over_all.df[np.searchsorted(over_all.terms, self.terms)]
+        idf = np.log1p((over_all.n - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * length / over_all.mean)
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[owner])
         own = np.bincount(owner, weights=weight, minlength=n)
         self.impact = weight / (share * own[owner])
@@ -91,7 +111,7 @@ class Index:
         self.top_block = cell % max(self.blocks, 1)
         cell_term = cell // max(self.blocks, 1)
         self.tops = np.searchsorted(cell_term, np.arange(len(self.terms) + 1))
-        self.common = df > max(8, COMMON * n)
+        self.common = df > max(8, COMMON * over_all.n)
         rare = ~self.common[cell_term]
         self.constant = np.bincount(self.top_block[~rare], weights=self.top[~rare], minlength=max(self.blocks, 1))
         self.table = np.zeros(1 << 16, bool)
@@ -194,8 +214,9 @@ def search(index: Index, h: np.ndarray, at: np.ndarray) -> list[tuple[int, int,
     return [(d, item, *v[1:]) for (d, item), v in sorted(best.items())]
 
 
-def _match_rows(index: Index, item_ids: pa.Array):
+def _match_rows(load: Callable[[], tuple[pa.Array, Index]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        item_ids, index = load()
         for batch in batches:
             for lo, hi, data, offsets in texts(batch.column("text")):
                 found = search(index, *hash_words(data, offsets))
@@ -209,8 +230,9 @@ def _match_rows(index: Index, item_ids: pa.Array):
     return run
 
 
-def _clean_rows(index: Index):
+def _clean_rows(load: Callable[[], tuple[pa.Array, Index]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, index = load()
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
             for lo, _, data, offsets in texts(batch.column("text")):
@@ -220,17 +242,67 @@ def _clean_rows(index: Index):
     return run
 
 
-def _shards(items: DataFrame, id_col: str, text_col: str, shard: int) -> Iterator[tuple[pa.Array, Index]]:
-    """Indexes of at most about ``shard`` items each: the test set comes to the driver a shard at a time."""
+def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, term, items that have it) of each batch of items, and a row without a term per item: its length."""
+    for batch in batches:
+        h, at = _hash_texts(batch.column("text").to_pylist())
+        size, k = np.diff(at), batch.column("k").to_numpy()
+        pairs = np.unique(np.stack([np.repeat(np.arange(len(size)), size), h.view(np.int64)], 1), axis=0)
+        live = np.flatnonzero(size)
+        yield pa.record_batch({
+            "k": pa.array(np.concatenate([k[pairs[:, 0]], k[live]]), pa.int32()),
+            "h": pa.array([*pairs[:, 1].tolist(), *[None] * len(live)], pa.int64()),
+            "n": pa.array(np.concatenate([np.ones(len(pairs), np.int64), size[live]]), pa.int64())})
+
+
+def _write_shard(folder: str, n: int, mean: float, longest: int):
+    def run(key: tuple, items: pa.Table, counts: pa.Table) -> pa.Table:
+        items = items.sort_by([("id", "ascending"), ("text", "ascending")])
+        terms = counts.column("h").to_numpy().view(np.uint64)
+        order = np.argsort(terms)
+        index = Index(items.column("text").to_pylist(),
+                      over_all=Statistics(n, mean, longest, terms[order], counts.column("df").to_numpy()[order]))
+        where, root = fs.FileSystem.from_uri(folder)
+        where.create_dir(root)
+        # a name of its own for every attempt; the row returned says which one counts
+        name = f"{uuid.uuid4().hex}.index"
+        with where.open_output_stream(f"{root}/{name}") as out:
+            pickle.dump((items.column("id").combine_chunks(), index), out, protocol=5)
+        return pa.table({"name": [name]})
+    return run
+
+
+def _loader(folder: str, name: str) -> Callable[[], tuple[pa.Array, Index]]:
+    def load():
+        where, root = fs.FileSystem.from_uri(folder)
+        with where.open_input_stream(f"{root}/{name}") as file:
+            return pickle.loads(file.readall())
+    return load
+
+
+def _shards(items: DataFrame, id_col: str, text_col: str, shard: int) -> list[Callable[[], tuple[pa.Array, Index]]]:
+    """What tasks call for ids and index of at most about ``shard`` items each."""
     one = items.select(F.col(id_col).alias("id"), F.lower(F.col(text_col)).alias("text"))
     n = one.count()
-    parts = max(1, -(-n // shard))
-    for k in range(parts):
-        part = one if parts == 1 else one.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == k)
-        table = part.orderBy("id", "text").toArrow()
-        if table.num_rows:
-            ids = table.column("id").combine_chunks()
-            yield ids, Index(table.column("text").to_pylist())
+    if not n:
+        return []
+    if n <= shard:
+        table = one.orderBy("id", "text").toArrow()
+        held = table.column("id").combine_chunks(), Index(table.column("text").to_pylist())
+        return [lambda: held]
+    spark = items.sparkSession
+    at = work_dir(spark, "decontaminate")
+    cut = one.withColumn("k", F.pmod(F.xxhash64("id", "text"), F.lit(-(-n // shard))).cast("int"))
+    cut.select("k", "text").mapInArrow(_term_rows, "k int, h long, n long").write.parquet(f"{at}/terms")
+    terms = spark.read.parquet(f"{at}/terms")
+    live, total, longest = terms.where("h is null").agg(F.count("n"), F.sum("n"), F.max("n")).first()
+    if not live:
+        return []
+    df = terms.where("h is not null").groupBy("h").agg(F.sum("n").alias("df"))
+    counts = terms.where("h is not null").select("k", "h").distinct().join(df, "h").select("k", "h", "df")
+    made = cut.where(F.col("text").isNotNull()).groupBy("k").cogroup(counts.groupBy("k")).applyInArrow(
+        _write_shard(f"{at}/shards", live, total / live, longest), "name string")
+    return [_loader(f"{at}/shards", r.name) for r in made.collect()]
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
@@ -240,8 +312,8 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     kind, item_kind = (x.schema[c].dataType.simpleString() for x, c in ((docs, id_col), (items, item_id_col)))
     schema = f"id {kind}, item {item_kind}, score double, asked double, told double"
     out = None
-    for ids, index in _shards(items, item_id_col, item_text_col, shard):
-        part = one.mapInArrow(_match_rows(index, ids), schema)
+    for load in _shards(items, item_id_col, item_text_col, shard):
+        part = one.mapInArrow(_match_rows(load), schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = docs.sparkSession.createDataFrame([], schema)
@@ -254,6 +326,6 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col
     """``docs``, all columns, without the documents that hold a test item."""
     # the columns ride along as one beside the text in lower case
     both = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.lower(F.col(text_col)).alias("text"))
-    for _, index in _shards(items, item_id_col, item_text_col, shard):
-        both = both.mapInArrow(_clean_rows(index), both.schema)
+    for load in _shards(items, item_id_col, item_text_col, shard):
+        both = both.mapInArrow(_clean_rows(load), both.schema)
     return both.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -83,6 +83,15 @@ def test_decontaminate_brute_force(spark, con):
     assert found == expected and found
 
 
+def test_decontaminate_shards_score_as_one_index(spark):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    one = decontaminate.matches(docs, bench).collect()
+    many = decontaminate.matches(docs, bench, shard=-(-bench.count() // 3)).collect()
+    by = [{(r.doc_id, r.item_id): (r.score, r.question_overlap, r.answer_overlap) for r in x} for x in (one, many)]
+    assert len(one) == len(many) > 0 and by[0].keys() == by[1].keys()
+    assert all(by[1][k] == pytest.approx(v) for k, v in by[0].items())
+
+
 def test_block_max_retrieval_equals_full_scoring():
     rng = np.random.default_rng(5)
     vocabulary = [f"w{i}" for i in range(120)]
