@@ -106,7 +106,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with merge-dropout and decoded again."""
     return merge_dropout.encode_documents(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"),
-                                          seed=20, with_ids=False).drop("ids")
+                                          seed=20)
 
 
 _W = r"[^\x20\x09-\x0D]+"

@@ -242,3 +242,11 @@ def test_merge_dropout_texts_together():
     units = merge_dropout._units(" " + texts[5])
     places = np.cumsum([0, *map(len, units)])
     assert ids[at[5]:].tolist() == [x for u, p in zip(units, places) for x in codec.segment(u, codec.occurrence("5", int(p)))]
+
+
+def test_merge_dropout_query_returns_the_ids(spark):
+    codec = merge_dropout.Codec(queries.tokenizer_file("piece_bpe_32k.model"), 20)
+    rows = queries.op10_merge_dropout(spark, SF).limit(5).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert rows and all(codec.decode(np.array(r.ids, np.int32)).decode() == texts[r.doc_id] for r in rows)
+    assert all(r.ids == codec.encode(texts[r.doc_id], str(r.doc_id)).tolist() for r in rows)
