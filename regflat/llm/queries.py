@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 from . import (
     chat_format,
+    conversation_repair,
     decontaminate,
     html_text,
     jaccard_join,
@@ -109,6 +110,12 @@ def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           seed=20)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by rule, with its faults and the cheapest repair."""
+    out = conversation_repair.repair(conversation_repair.damage(_table(spark, sf_dir, "conversations")))
+    return out.withColumnsRenamed({"conv": "conv_id", "sha": "repaired_sha256"})
+
+
 _W = r"[^\x20\x09-\x0D]+"
 
 
@@ -212,9 +219,64 @@ SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, m.component_id
 FROM s JOIN (SELECT reach.x, min(o.doc_id) AS component_id FROM reach JOIN s o ON o.r = reach.y GROUP BY reach.x) m ON m.x = s.r"""
 
 
+def _sql_op13() -> str:
+    c = conversation_repair
+    # CRC-32 bit by bit: a byte enters at the first of eight steps
+    crc = ("xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(k, ''), "
+           "lambda x: [ascii(x), 0, 0, 0, 0, 0, 0, 0]))), lambda r, b: "
+           "xor(xor(r, b) >> 1, CASE WHEN xor(r, b) % 2 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)")
+    space = "\\x20\\x09-\\x0D"
+    way = lambda w, ch, line, f, ok="true": (
+        f"{{'c': {f}.c + {w} + CASE WHEN {ok} THEN 0 ELSE 1000000000 END, 'a': '{ch}' || {f}.a, 'b': {line} || {f}.b}}")
+    line = lambda role: f"{role} || ':' || text || chr(10)"
+    put = lambda role, f: way(c.INSERT, "I", f"'{role}:' || chr(10)", f)
+    stay = f"NOT gone AND init = '{{}}'"
+    late = f"CASE WHEN cut THEN {c.UNFINISHED} ELSE 0 END"
+
+    def base(f: str, role: str, to: str, *kept: tuple) -> str:
+        ways = [way(c.DELETE, "D", "''", f), way(f"{c.RENAME} + {late}", "R", line(f"'{role}'"), to, "NOT gone"),
+                *(way(late, "K", line("role"), g, stay.format(x)) for x, g in kept)]
+        return f"list_min([{', '.join(ways)}])"
+    return f"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (SELECT conv_id, turn, role, text, {crc} % 20 AS kind FROM k),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM h, (SELECT unnest([1, 2]) AS copy) WHERE kind <> 0 AND (copy = 1 OR kind = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+e AS (SELECT *, regexp_extract(text, '(?s)([^{space}])[{space}]*\\z', 1) AS bare, left(role, 1) AS init,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS was FROM o),
+r AS (SELECT *, bare = '' OR again AS gone, NOT again AND bare NOT IN ('', '.', '!', '?') AS cut FROM e),
+s AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (bare = '') AS blank, count(*) FILTER (bare <> '' AND again) AS duplicate,
+    count(*) FILTER (cut) AS truncated, count(*) FILTER (was || init NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM r GROUP BY conv_id),
+f AS (
+  SELECT conv_id, n AS i, {{'c': CAST(0 AS BIGINT), 'a': '', 'b': ''}} AS f0,
+    {{'c': CAST({2 * c.INSERT} AS BIGINT), 'a': 'II', 'b': 'user:' || chr(10) || 'assistant:' || chr(10)}} AS fs,
+    {{'c': CAST({c.INSERT} AS BIGINT), 'a': 'I', 'b': 'assistant:' || chr(10)}} AS fu,
+    {{'c': CAST(0 AS BIGINT), 'a': '', 'b': ''}} AS fa FROM s
+  UNION ALL
+  SELECT conv_id, i, list_min([b0, {put('user', 'fu')}]), list_min([bs, {put('user', 'fu')}]), fu, fa FROM (
+    SELECT conv_id, i, b0, bs, list_min([bu, {put('assistant', 'ba')}]) AS fu, list_min([ba, {put('user', 'bu')}]) AS fa
+    FROM (
+      SELECT f.conv_id, f.i - 1 AS i, {base('f0', 'user', 'fu', ('s', 'fs'), ('u', 'fu'))} AS b0,
+        {base('fs', 'user', 'fu', ('u', 'fu'))} AS bs, {base('fu', 'assistant', 'fa', ('a', 'fa'))} AS bu,
+        {base('fa', 'user', 'fu', ('u', 'fu'))} AS ba
+      FROM f JOIN r ON r.conv_id IS NOT DISTINCT FROM f.conv_id AND r.i = f.i)))
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(f0.c, 0) AS cost, coalesce(f0.a, '') AS audit,
+  sha256(coalesce(left(f0.b, -1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM a.conv_id AND f.i = 0"""
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_substring_dedup, op4_decontaminate,
                                 op5_pu_classifier, op6_url_filter, op7_token_files, op8_jaccard_join, op9_html_text,
-                                op10_merge_dropout)}
+                                op10_merge_dropout, op13_conversation_repair)}
 
 
 def queries():
@@ -225,4 +287,5 @@ def queries():
 def oracle_sql():
     """DuckDB SQL by registered name, for the queries that SQL can express."""
     return {"op1_quality_rules": _sql_op1(), "op2_chat_format": _sql_op2(), "op3_substring_dedup": _sql_op3(),
-            "op6_url_filter": _sql_op6(), "op8_jaccard_join": _sql_op8()}
+            "op6_url_filter": _sql_op6(), "op8_jaccard_join": _sql_op8(),
+            "op13_conversation_repair": _sql_op13()}
