@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 from . import (
     chat_format,
+    collocations,
     conversation_repair,
     decontaminate,
     html_text,
@@ -110,6 +111,11 @@ def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           seed=20)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of every language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged by rule, with its faults and the cheapest repair."""
     out = conversation_repair.repair(conversation_repair.damage(_table(spark, sf_dir, "conversations")))
@@ -219,6 +225,31 @@ SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, m.component_id
 FROM s JOIN (SELECT reach.x, min(o.doc_id) AS component_id FROM reach JOIN s o ON o.r = reach.y GROUP BY reach.x) m ON m.x = s.r"""
 
 
+def _sql_op11() -> str:
+    c = collocations
+    return f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest(range(1, {c.LONGEST + 1})) AS m) WHERE len(ws) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS n FROM g GROUP BY ALL),
+b AS (SELECT lang, m, phrase, n, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND n >= {c.LEAST}),
+k AS (SELECT *, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y
+  FROM b, (SELECT unnest(range(1, {c.LONGEST})) AS k) WHERE k < m),
+s AS (SELECT k.lang, k.m, k.phrase, k.n AS a, min({{'score': CAST({c.SCALE}::HUGEINT * k.n // (l.n + r.n) AS BIGINT), 'k': k.k,
+    'l': l.n, 'r': r.n}}) AS cut
+  FROM k JOIN f l ON l.lang = k.lang AND l.phrase = k.x JOIN f r ON r.lang = k.lang AND r.phrase = k.y GROUP BY ALL),
+held AS (SELECT lang, part, max(n) AS n FROM (
+    SELECT lang, n, unnest([array_to_string(ws[1:m - 1], ' '), array_to_string(ws[2:], ' ')]) AS part FROM b WHERE m > 2)
+  GROUP BY ALL),
+o AS (SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY cut.score DESC, a DESC, phrase) AS rank
+  FROM s LEFT JOIN held ON held.lang = s.lang AND held.part = s.phrase
+  WHERE held.n IS NULL OR 100 * held.n < {c.SHARE} * a)
+SELECT o.lang, rank, phrase, a, cut.l AS l, cut.r AS r, CAST(t.n AS BIGINT) AS n, cut.score AS score
+FROM o JOIN (SELECT lang, sum(n) AS n FROM f WHERE m = 1 GROUP BY lang) t ON t.lang = o.lang WHERE rank <= {c.TOP}"""
+
+
 def _sql_op13() -> str:
     c = conversation_repair
     # CRC-32 bit by bit: a byte enters at the first of eight steps
@@ -276,7 +307,7 @@ LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM a.conv_id AND f.i = 0"""
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_substring_dedup, op4_decontaminate,
                                 op5_pu_classifier, op6_url_filter, op7_token_files, op8_jaccard_join, op9_html_text,
-                                op10_merge_dropout, op13_conversation_repair)}
+                                op10_merge_dropout, op11_collocations, op13_conversation_repair)}
 
 
 def queries():
@@ -288,4 +319,4 @@ def oracle_sql():
     """DuckDB SQL by registered name, for the queries that SQL can express."""
     return {"op1_quality_rules": _sql_op1(), "op2_chat_format": _sql_op2(), "op3_substring_dedup": _sql_op3(),
             "op6_url_filter": _sql_op6(), "op8_jaccard_join": _sql_op8(),
-            "op13_conversation_repair": _sql_op13()}
+            "op11_collocations": _sql_op11(), "op13_conversation_repair": _sql_op13()}
