@@ -11,6 +11,7 @@ from . import (
     collocations,
     conversation_repair,
     decontaminate,
+    hash_forest,
     html_text,
     jaccard_join,
     merge_dropout,
@@ -116,6 +117,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th vector."""
+    return hash_forest.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged by rule, with its faults and the cheapest repair."""
     out = conversation_repair.repair(conversation_repair.damage(_table(spark, sf_dir, "conversations")))
@@ -307,7 +313,8 @@ LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM a.conv_id AND f.i = 0"""
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_substring_dedup, op4_decontaminate,
                                 op5_pu_classifier, op6_url_filter, op7_token_files, op8_jaccard_join, op9_html_text,
-                                op10_merge_dropout, op11_collocations, op13_conversation_repair)}
+                                op10_merge_dropout, op11_collocations, op12_hash_forest,
+                                op13_conversation_repair)}
 
 
 def queries():
