@@ -161,6 +161,32 @@ def malformed_records(spark, sf):
         .unionByName(lost.withColumn("good", F.lit(False)))
 
 
+@query("xml_split_states", """
+SELECT CAST(o_orderkey AS VARCHAR) AS serial, o_orderkey % 5 AS kind,
+       CASE o_orderkey % 5 WHEN 0 THEN 'x' || o_orderstatus || 'y' WHEN 1 THEN '</case-file><case-file> <!-- ' || o_orderstatus || ' -->'
+            WHEN 3 THEN o_orderstatus END AS note,
+       CASE o_orderkey % 5 WHEN 2 THEN 'a>' || o_orderstatus || '<case-file>' WHEN 4 THEN '/' END AS mark
+FROM orders
+""")
+def xml_split_states(spark, sf):
+    """Records read from byte ranges that begin anywhere: inside comments, CDATA sections, quoted values and end tags."""
+    o, status = t(spark, sf, "orders"), q("o_orderstatus")
+    kind = q("o_orderkey") % 5
+    key = q("o_orderkey").cast("string")
+    # one way to hide or to write a record's end for each kind
+    body = F.when(kind == 0, F.concat(F.lit("<case-file id='"), key, F.lit("'><note>x"), status, F.lit("<!-- </case-file> \" -->y</note></case-file>"))) \
+        .when(kind == 1, F.concat(F.lit("<case-file id='"), key, F.lit("'><note><![CDATA[</case-file><case-file> <!-- "), status, F.lit(" -->]]></note></case-file>"))) \
+        .when(kind == 2, F.concat(F.lit("<case-file id='"), key, F.lit("' mark='a>"), status, F.lit("&lt;case-file>'/>"))) \
+        .when(kind == 3, F.concat(F.lit("<case-file\n id=\""), key, F.lit("\"><note>"), status, F.lit("</note></case-file \n>"))) \
+        .otherwise(F.concat(F.lit("<!-- <case-file id='no'> --><case-file mark=\"/\" id='"), key, F.lit("'></case-file>")))
+    feed = _feed(o, body, "split-states")
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("@id", "@mark", "note")])
+    # ranges far smaller than a block, and prime, so that they begin in every place
+    found = parse_strings(record_strings(spark, feed, "case-file", range_bytes=10_007), schema)
+    return found.select(q("@id").alias("serial"), (q("@id").cast("bigint") % 5).alias("kind"), q("note"), q("@mark").alias("mark"))
+
+
 @query("manifest_tables", """
 SELECT c_nationkey AS page, right(lpad(CAST(c_custkey AS VARCHAR), 9, '0'), 3) AS volume,
        'HIST_' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '.zip' AS file_name, 0 AS part_rank FROM customer

@@ -20,6 +20,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from regflat.sources import xml_lexer
+
 RECORD_SCHEMA = "archive string, member string, record string"
 _CHUNK = 1 << 20
 
@@ -44,62 +46,33 @@ def declared_encoding(head: bytes) -> str:
     return m.group(1).decode() if m else "utf-8"
 
 
-def split_records(stream: io.BufferedIOBase, tag: str, encoding: str | None = None) -> Iterator[str]:
+def split_records(stream: io.BufferedIOBase, tag: str, encoding: str | None = None, keep_unfinished: bool = False) -> Iterator[str]:
     """Yield each ``<tag ...>...</tag>`` (or ``<tag/>``) element of a stream.
 
-    Works on bounded chunks, so a member of any size streams through; the
-    buffer is cut once per chunk.  Tags inside comments and CDATA sections do
-    not count.  Text that does not decode, and a record that the stream ends
-    in, raise.  Elements of the row tag are assumed not to nest.
+    Works on bounded chunks, so a member of any size streams through.  Tags
+    inside comments and CDATA sections do not count (see ``xml_lexer``).  Text
+    that does not decode, and a record that the stream ends in, raise (with
+    ``keep_unfinished`` the latter is closed and kept).
     """
-    name = re.escape(tag)
-    opening = re.compile(rf"<{name}(?=[\s>/])|<!--|<!\[CDATA\[")
-    rest_of_tag = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*>""")
-    closing = re.compile(rf"</{name}\s*>|<!--|<!\[CDATA\[")
-    ends = {"<!--": "-->", "<![CDATA[": "]]>"}
-    keep = max(len(tag) + 2, 9)  # a tail that may hold the start of a split token
-    head = stream.read(512) if encoding is None else b""
-    if encoding is None:
-        encoding = declared_encoding(head)
+    head = stream.read(512)
+    encoding = encoding or declared_encoding(head)
+    # bytes are lexed in UTF-8
     decode = codecs.getincrementaldecoder(encoding)(errors="strict").decode
-    buf, pos, start, done = "", 0, -1, False  # ``start``: of the open record, -1 between records
-    while True:
-        chunk = head or stream.read(_CHUNK)
-        head = b""
-        done = not chunk
-        cut = start if start >= 0 else pos
-        buf = buf[cut:] + decode(chunk, final=done)
-        pos -= cut
-        start = 0 if start >= 0 else -1
-        while True:
-            m = (closing if start >= 0 else opening).search(buf, pos)
-            if not m:
-                pos = max(pos, len(buf) - keep)
-                break
-            token = m.group()
-            if token in ends:
-                e = buf.find(ends[token], m.end())
-                if e < 0:
-                    pos = m.start()
-                    break
-                pos = e + 3
-            elif start >= 0:
-                yield buf[start:m.end()]
-                pos, start = m.end(), -1
-            else:
-                t = rest_of_tag.match(buf, m.end())
-                if not t:
-                    pos = m.start()
-                    break
-                pos = t.end()
-                if buf[pos - 2] == "/":
-                    yield buf[m.start():pos]
-                else:
-                    start = m.start()
-        if done:
-            if start >= 0 or re.compile(rf"<{name}(?=[\s>/])").match(buf, pos):
-                raise UnfinishedRecord(f"the stream ends inside a <{tag}> record")
-            return
+    records = xml_lexer.Records(tag)
+
+    def chunks() -> Iterator[bytes]:
+        chunk = head
+        while chunk:
+            yield decode(chunk).encode()
+            chunk = stream.read(_CHUNK)
+        yield decode(b"", final=True).encode()
+
+    for piece in xml_lexer.pieces(chunks()):
+        yield from (x.decode() for x in records.feed(piece))
+    if records.parts is not None:
+        if not keep_unfinished:
+            raise UnfinishedRecord(f"the stream ends inside a <{tag}> record")
+        yield b"".join(records.parts).decode() + f"</{tag}>"
 
 
 MEMBER_SCHEMA = "archive string, member string, size long"

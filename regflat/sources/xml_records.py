@@ -13,10 +13,15 @@ inference is a full extra pass over the input.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from regflat.sources import xml_lexer
+from regflat.sources.archive import declared_encoding, split_records
+from regflat.sources.stores import open_file, open_stream
+
 XML_OPTIONS = {
     "attributePrefix": "@",
     "valueTag": "#text",
@@ -40,23 +45,134 @@ class BadRecords(ValueError):
     """Records that do not parse."""
 
 
-def record_strings(spark: SparkSession, paths: str | Sequence[str], row_tag: str, encoding: str = "utf-8") -> DataFrame:
-    """One row ``(record)`` per ``row_tag`` element, as text, from splits of any file.
-
-    The closing row tag is the line separator of the text source, which splits
-    plain files at block boundaries, so one large file is read by as many tasks
-    as it has blocks.  Comments are taken out; what follows the last closing
-    tag holds no start tag in a whole file, so a record cut off at the end is
-    kept and fails to parse.  Elements of the row tag do not nest; empty ones
-    (``<tag/>``) hold no data and give no row.
+PIECE = 1 << 20  # bytes lexed at once
+MOST = 64 << 20  # bytes of a range, at most
+
+# encodings whose bytes below 128 are ASCII wherever they stand, so that byte ranges can be lexed undecoded
+_ASCII_SAFE = re.compile(r"(utf-8(-sig)?|us-ascii|ascii|latin-?1|iso-8859-\d+|windows-125\d|cp125\d|koi8-[ru])$", re.I)
+
+
+def _pieces(file, size: int, lo: int, hi: int):
+    """Bytes ``lo`` .. ``hi`` of a file, both moved on to the next ``<``, as pieces cut before a ``<``; (place, piece)."""
+    def aligned(at: int) -> int:
+        while 0 < at < size:
+            data = file.read_at(min(1 << 16, size - at), at)
+            i = data.find(b"<")
+            if i >= 0:
+                return at + i
+            at += len(data)
+        return min(at, size)
+
+    at, end = aligned(lo), aligned(hi)
+    while at < end:
+        stop = min(end, aligned(min(end, at + PIECE)))
+        yield at, file.read_at(stop - at, at)
+        at = stop
+
+
+def _encoding(path: str, given: str | None) -> str | None:
+    """The file's encoding, None where its bytes cannot be lexed in ranges."""
+    if path.endswith((".gz", ".bz2", ".zst", ".lz4", ".snappy")):
+        return None
+    with open_file(path) as file:
+        name = given or declared_encoding(file.read(512))
+    return name if _ASCII_SAFE.match(name) else None
+
+
+def _range_maps(tag: str, given: str | None):
+    """First pass: what each range does to every state that it may begin in."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                now = list(xml_lexer.STATES)
+                if _encoding(r["path"], given) is not None:
+                    with open_file(r["path"]) as file:
+                        for _, piece in _pieces(file, r["size"], r["lo"], r["hi"]):
+                            does = xml_lexer.piece_map(tag, piece)
+                            now = [does[s] for s in now]
+                out.append(bytes(now))
+            yield pa.record_batch({"path": batch.column("path"), "lo": batch.column("lo"), "does": pa.array(out, pa.binary())})
+    return run
+
+
+def _chained(table: pa.Table) -> pa.Table:
+    """The state before each range of one file: nine bytes a range."""
+    table = table.sort_by("lo")
+    state, out = xml_lexer.OUT, []
+    for does in table.column("does").to_pylist():
+        out.append(state)
+        state = does[state]
+    return pa.table({"path": table.column("path"), "lo": table.column("lo"), "state": pa.array(out, pa.int32())})
+
+
+def _range_records(tag: str, given: str | None):
+    """Second pass: the records that begin in each range, read on to their end."""
+    def of_range(r: dict, encoding: str) -> Iterator[str]:
+        records = xml_lexer.Records(tag, r["state"])
+        with open_file(r["path"]) as file:
+            for _, piece in _pieces(file, r["size"], r["lo"], r["hi"]):
+                yield from (x.decode(encoding) for x in records.feed(piece))
+            if records.parts is not None:
+                for _, piece in _pieces(file, r["size"], r["hi"], r["size"]):
+                    yield from (x.decode(encoding) for x in records.feed(piece, only_open=True))
+                    if records.parts is None:
+                        return
+                # cut off by the end of the file: closed, so that parsing finds what is not whole in it
+                yield b"".join(records.parts).decode(encoding, "replace") + f"</{tag}>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                encoding = _encoding(r["path"], given)
+                if encoding is not None:
+                    found = of_range(r, encoding)
+                elif r["lo"] == 0:  # one stream
+                    found = split_records(open_stream(r["path"]), tag, given, keep_unfinished=True)
+                else:
+                    continue
+                held, size = [], 0
+                for x in found:
+                    held.append(x)
+                    size += len(x)
+                    if size >= 4 * PIECE:
+                        yield pa.record_batch({"record": pa.array(held, pa.string())})
+                        held, size = [], 0
+                if held:
+                    yield pa.record_batch({"record": pa.array(held, pa.string())})
+    return run
+
+
+def record_strings(spark: SparkSession, paths: str | Sequence[str], row_tag: str, encoding: str | None = None,
+                   range_bytes: int | None = None) -> DataFrame:
+    """One row ``(record)`` per ``row_tag`` element, as text, from byte ranges of any file.
+
+    Ranges (``spark.sql.files.maxPartitionBytes`` unless given) begin anywhere, inside a comment, a CDATA section or a
+    quoted value too.  Files of several ranges are read twice: the first pass lexes each range from every state that it
+    may begin in, the maps are chained per file, and the second pass takes the records that begin in each range, read on
+    to their end.  The records are those that :func:`split_records` finds in the whole file, ``<tag a="1"/>`` included.
+    A record cut off by the end of the file gets its end tag and fails to parse if anything in it is not whole.  Files
+    are read in the encoding that they declare (or the given one); compressed ones and UTF-16 are one range.
+    Elements of the row tag do not nest.
     """
-    raw = spark.read.option("lineSep", f"</{row_tag}>").text(paths if isinstance(paths, str) else list(paths))
-    text = F.decode(F.col("value").cast("binary"), encoding)
-    text = F.when(F.contains(text, F.lit("<!--")), F.regexp_replace(text, r"(?s)<!--.*?-->", "")).otherwise(text)
-    start = rf"(?s)<{re.escape(row_tag)}(?=[\s>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*"
-    record = F.regexp_extract(text, start, 0)
-    return raw.select(record.alias("record")).where(F.col("record") != "") \
-        .select(F.concat("record", F.lit(f"</{row_tag}>")).alias("record"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false") \
+        .load(paths if isinstance(paths, str) else list(paths)).select("path", F.col("length").alias("size")).where("size > 0")
+    told = files.agg(F.sum("size"), F.max("size")).first()
+    if range_bytes is None:
+        said = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        range_bytes = min(MOST, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said))
+    ranges = files.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long")))) \
+        .withColumn("hi", F.least(F.col("lo") + range_bytes, F.col("size")))
+    tasks = max(1, -(-(told[0] or 0) // range_bytes))
+    if (told[1] or 0) > range_bytes:
+        several = ranges.where(F.col("size") > range_bytes).repartition(tasks)
+        state = several.mapInArrow(_range_maps(row_tag, encoding), "path string, lo long, does binary") \
+            .groupBy("path").applyInArrow(_chained, "path string, lo long, state int")
+        ranges = ranges.join(state, ["path", "lo"], "left")
+    else:
+        ranges = ranges.withColumn("state", F.lit(None).cast("int"))
+    ranges = ranges.select("path", "size", "lo", "hi", F.coalesce("state", F.lit(xml_lexer.OUT)).alias("state"))
+    return ranges.repartition(tasks).mapInArrow(_range_records(row_tag, encoding), "record string")
 
 
 def parse_strings(records: DataFrame, schema: T.StructType, column: str = "record", on_bad: str = "raise",
@@ -70,12 +186,12 @@ def parse_strings(records: DataFrame, schema: T.StructType, column: str = "recor
     bad = "_corrupt_record"
     options = {k: v for k, v in XML_OPTIONS.items() if k != "inferSchema"} | {"columnNameOfCorruptRecord": bad}
     full = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
-    parsed = records.select(F.from_xml(F.col(column), full, options).alias("_rec")).select("_rec.*")
+    # a generator: the check below stays behind it, so a record is parsed once
+    parsed = records.select(F.inline(F.array(F.from_xml(F.col(column), full, options))))
     if on_bad == "raise":
-        check = F.when(F.col(bad).isNotNull(), F.raise_error(F.concat(F.lit("BadRecords: "), F.substring(bad, 1, 200))))
-        first = schema.fields[0].name
-        return parsed.select(*[F.coalesce(check.cast(f.dataType), F.col(f"`{f.name}`")).alias(f.name) if f.name == first
-                               else F.col(f"`{f.name}`") for f in schema.fields])
+        # a filter, so that no projection and no count goes without it
+        wrong = F.raise_error(F.concat(F.lit("BadRecords: "), F.substring(bad, 1, 200))).cast("boolean")
+        return parsed.where(F.when(F.col(bad).isNotNull(), wrong).otherwise(True)).drop(bad)
     if quarantine is not None:
         parsed.where(F.col(bad).isNotNull()).select(F.col(bad).alias("record")).write.mode("overwrite").parquet(quarantine)
     return parsed.where(F.col(bad).isNull()).drop(bad)
