@@ -14,10 +14,12 @@ A task writes under a name of its own and renames when done, so a lost or
 repeated task leaves no partial file.  Only one row per file (counts) goes
 through the driver.
 
-Encoding uses the tokenizers library on units cut at single spaces between
-other characters (a byte-level pre-tokenizer never joins across such a
-space), kept in a bounded cache of each worker; a text with other runs of
-white space around a space is encoded as a whole.
+Encoding uses the tokenizers library, with its defaults, on units cut at
+single spaces between other characters (a byte-level pre-tokenizer never joins
+across such a space), kept in a bounded cache of each worker in two
+generations; a text with other runs of white space around a space, or with a
+control string of the vocabulary (which is its one id, as by default), is
+encoded as a whole.
 
 Defined results: a null text is empty and has the end id only; rows with equal
 ids keep the order of their text's hash; null ids come first; an empty table
@@ -40,9 +42,10 @@ from pyspark.sql import functions as F
 
 LENGTH = 2048    # ids of a sequence
 BATCH = 64       # sequences of a record batch
-CACHE = 400_000  # units that a worker remembers
+CACHE = 400_000  # units of a generation; a worker remembers two
+GROUP = 64       # units encoded as one string
 
-_ODD = re.compile(r" \s|\s ")
+_ODD = r" \s|\s "
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -54,9 +57,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a control string inside a text is text
+        control = [re.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([_ODD, *control]))
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         mark = self._ids("\n")
         # the line feed must be one id of its own between units
         self.mark = mark[0] if len(mark) == 1 and self._ids("a\n b").count(mark[0]) == 1 else None
@@ -66,27 +71,35 @@ class Encoder:
 
     def _learn(self, units: set[str]) -> None:
         plain = [u for u in units if self.mark is not None and "\n" not in u]
-        if plain:
-            ids = np.array(self._ids("\n ".join(["", *plain])), self.dtype)
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) == len(plain):
-                for u, a, b in zip(plain, cuts + 1, [*cuts[1:], len(ids)]):
-                    self.units[u] = ids[a:b].tobytes()
-                units = units.difference(plain)
-        rest = list(units)
-        for u, e in zip(rest, self.tokenizer.encode_batch([" " + u for u in rest], add_special_tokens=False)):
+        rest = [] if len(plain) == len(units) else list(units.difference(plain))
+        groups = [plain[i:i + GROUP] for i in range(0, len(plain), GROUP)]
+        joined = self.tokenizer.encode_batch_fast(["\n ".join(["", *g]) for g in groups], add_special_tokens=False)
+        size = self.dtype.itemsize
+        for group, e in zip(groups, joined):
+            ids = np.array(e.ids, self.dtype)
+            cuts = np.flatnonzero(ids == self.mark).tolist()
+            if len(cuts) != len(group):
+                rest += group
+                continue
+            data = ids.tobytes()
+            for u, a, b in zip(group, cuts, [*cuts[1:], len(ids)]):
+                self.units[u] = data[size * (a + 1):size * b]
+        for u, e in zip(rest, self.tokenizer.encode_batch_fast([" " + u for u in rest], add_special_tokens=False)):
             self.units[u] = np.array(e.ids, self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if _ODD.search(t) or t[:1].isspace() or t[-1:].isspace() else t.split(" ") for t in texts]
+        cut = [None if self.odd.search(t) or t[:1].isspace() or t[-1:].isspace() else t.split(" ") for t in texts]
         if len(self.units) > CACHE:
-            self.units.clear()
+            self.units, self.older = {}, self.units
         known = self.units
         wanted: set[str] = set()
         for parts in cut:
             if parts:
                 wanted.update(parts[1:])
-        missing = {u for u in wanted if u not in known}
+        missing = wanted.difference(known)
+        if missing and self.older:
+            known.update((u, self.older[u]) for u in missing.intersection(self.older))
+            missing = missing.difference(known)
         if missing:
             self._learn(missing)
         out = []

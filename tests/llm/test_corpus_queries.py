@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from regflat.llm import decontaminate, html_text, merge_dropout, pu_classifier, queries
+from regflat.llm import decontaminate, html_text, merge_dropout, pu_classifier, queries, token_files
 from tools.check_oracle import digest
 
 SF = "/root/testdata/sf0.001"
@@ -27,7 +27,7 @@ def con():
 def test_registered():
     names = E.queries()
     assert "pipeline" in names
-    assert [n for n in range(1, 11) if not any(k.startswith(f"op{n}_") for k in names)] == []
+    assert [n for n in range(1, 14) if not any(k.startswith(f"op{n}_") for k in names)] == []
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -138,6 +138,24 @@ def test_token_files_equal_direct_encoding(spark, con):
     assert [tuple(r) for r in rows] == expected
 
 
+def test_tokens_of_control_strings_and_two_generations(monkeypatch):
+    """The library's defaults hold for control strings; what a worker forgets and learns again stays the same."""
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    monkeypatch.setattr(token_files, "CACHE", 40)
+    monkeypatch.setattr(token_files, "GROUP", 7)
+    encoder = token_files.Encoder(path)
+    rng = np.random.default_rng(3)
+    for k in range(30):
+        texts = [" ".join(f"wo{x}rd{'é' * (x % 3)}\n"[:rng.integers(1, 9)] for x in rng.integers(0, 90, 25)) for _ in range(5)]
+        texts += ["a <|endoftext|> b<|endoftext|>c", "", "<|endoftext|>", "a\n b  c \n", "\n"]
+        got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+        assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encoder.units) <= 40 + 150
+
+
 def test_pages_of_the_given_template(spark, con):
     import html
 
