@@ -1270,6 +1270,20 @@ def archive_expand(spark, sf):
                          q("o_custkey").cast("bigint").alias("o_custkey"), "o_orderstatus", "o_orderpriority")
 
 
+@query("archive_member_spans", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
+def archive_member_spans(spark, sf):
+    """Members far larger than a span: each is indexed once and read by several tasks from its access points."""
+    o = t(spark, sf, "orders")
+    root = work_dir(spark, "archive-spans")
+    xml = o.select(F.to_xml(F.struct(*[q(c).cast("string").alias(c) for c in ORDER_FIELDS]),
+                            {"rowTag": "order"}).alias("xml"))
+    xml.mapInPandas(_zip_writer(root, "order"), "archive string, records long").count()
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ORDER_FIELDS])
+    parsed = parse_records(expand_archives(spark, root, "order", span=1 << 16), "record", schema)
+    return parsed.select(q("o_orderkey").cast("bigint").alias("o_orderkey"),
+                         q("o_custkey").cast("bigint").alias("o_custkey"), "o_orderstatus", "o_orderpriority")
+
+
 # ----------------------------------------------------------- S10 ----------
 CODE_COLUMNS = (("orders", "o_orderstatus"), ("orders", "o_orderpriority"), ("lineitem", "l_returnflag"),
                 ("lineitem", "l_linestatus"), ("customer", "c_mktsegment"), ("events", "event_type"))

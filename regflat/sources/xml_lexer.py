@@ -86,6 +86,15 @@ def piece_map(tag: str, piece: bytes) -> list[int]:
     return out
 
 
+def chain(maps: list[bytes]) -> list[int]:
+    """State before each of the maps that follow one another from the start of a file on."""
+    state, out = OUT, []
+    for does in maps:
+        out.append(state)
+        state = does[state]
+    return out
+
+
 class Records:
     """Puts records together from pieces fed in order, from a given state; a record begun before the first piece is left out."""
 

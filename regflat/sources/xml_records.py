@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from regflat.sources import xml_lexer
-from regflat.sources.archive import declared_encoding, split_records
+from regflat.sources.archive import ascii_safe, declared_encoding, split_records
 from regflat.sources.stores import open_file, open_stream
 
 XML_OPTIONS = {
@@ -48,10 +48,6 @@ class BadRecords(ValueError):
 PIECE = 1 << 20  # bytes lexed at once
 MOST = 64 << 20  # bytes of a range, at most
 
-# encodings whose bytes below 128 are ASCII wherever they stand, so that byte ranges can be lexed undecoded
-_ASCII_SAFE = re.compile(r"(utf-8(-sig)?|us-ascii|ascii|latin-?1|iso-8859-\d+|windows-125\d|cp125\d|koi8-[ru])$", re.I)
-
-
 def _pieces(file, size: int, lo: int, hi: int):
     """Bytes ``lo`` .. ``hi`` of a file, both moved on to the next ``<``, as pieces cut before a ``<``; (place, piece)."""
     def aligned(at: int) -> int:
@@ -76,7 +72,7 @@ def _encoding(path: str, given: str | None) -> str | None:
         return None
     with open_file(path) as file:
         name = given or declared_encoding(file.read(512))
-    return name if _ASCII_SAFE.match(name) else None
+    return name if ascii_safe(name) else None
 
 
 def _range_maps(tag: str, given: str | None):
@@ -99,11 +95,8 @@ def _range_maps(tag: str, given: str | None):
 def _chained(table: pa.Table) -> pa.Table:
     """The state before each range of one file: nine bytes a range."""
     table = table.sort_by("lo")
-    state, out = xml_lexer.OUT, []
-    for does in table.column("does").to_pylist():
-        out.append(state)
-        state = does[state]
-    return pa.table({"path": table.column("path"), "lo": table.column("lo"), "state": pa.array(out, pa.int32())})
+    states = xml_lexer.chain(table.column("does").to_pylist())
+    return table.drop_columns(["does"]).append_column("state", pa.array(states, pa.int32()))
 
 
 def _range_records(tag: str, given: str | None):
