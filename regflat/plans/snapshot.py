@@ -15,17 +15,25 @@ Two modes:
   see ``bulk_merge``).  Every ``compact_every`` deltas a table is compacted
   into a new full snapshot.  At 100 TB this turns "rewrite every table for
   every daily version" into "write the day's rows; rewrite once per k days".
+
+Two writers: a rank is claimed before any of its folders is written (see
+``claims``) and committed by one file created only if absent; the loser
+raises.  A rewriting version also raises if the state that it merged into has
+moved on meanwhile.  Folders of a repeated attempt have names of their own
+(``v=<rank>.<attempt>``), so a committed folder is never written again.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regflat.operators.merge import (VERSION_COL, align_union, bulk_merge, key_set, remove_keys,
                                      update_table)
+from regflat.plans import claims
 from regflat.plans.ledger import append_ledger, read_ledger
 from regflat.plans.publish import TARGET_FILE_BYTES, remove_folder, save_table, session_conf, stored_bytes
 
@@ -36,7 +44,8 @@ MERGE_BROADCAST_BYTES = 256 * 1024 * 1024
 
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, office: str, schema: str = "default",
-                 mode: str = "rewrite", keys: Sequence[str] = (), compact_every: int = 16):
+                 mode: str = "rewrite", keys: Sequence[str] = (), compact_every: int = 16,
+                 lease: float = claims.LEASE):
         if mode not in ("rewrite", "merge_on_read"):
             raise ValueError(f"unknown mode {mode!r}")
         if mode == "merge_on_read" and not keys:
@@ -48,6 +57,8 @@ class SnapshotStore:
         self.mode = mode
         self.keys = tuple(keys)
         self.compact_every = compact_every
+        self.lease = lease
+        self._attempt: dict[int, int] = {}  # of the ranks that this store has claimed
 
     @property
     def ledger_path(self) -> str:
@@ -124,6 +135,35 @@ class SnapshotStore:
         df = (self.spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*paths))
         return df.withColumn(VERSION_COL, F.col(column).cast("int")).drop(column)
 
+    @property
+    def _claims(self) -> str:
+        return f"{self.root}/_claims/{self.office}/{self.schema}"
+
+    def _name(self, rank: int) -> str:
+        """Folder name of a rank; a repeated attempt has one of its own (still read as the rank)."""
+        attempt = self._attempt.get(rank, 0)
+        return f"{rank}.{attempt}" if attempt else str(rank)
+
+    @contextmanager
+    def claimed(self, *ranks: int):
+        """Hold ranks while they are written; given back on a failure.  What a dead writer committed without its ledger
+        rows is completed, and the rank refused."""
+        held = []
+        try:
+            for rank in ranks:
+                entries = claims.committed(self.spark, self._claims, rank)
+                if entries is not None:
+                    if rank not in self.committed_versions().values():
+                        self._append(entries)
+                    raise ValueError(f"rank {rank} is already committed")
+                held.append(claims.claim(self.spark, self._claims, rank, self.lease))
+                self._attempt[rank] = held[-1].attempt
+            yield held
+        except BaseException:
+            for h in held:
+                claims.release(self.spark, h)
+            raise
+
     def compact(self, table: str, target_bytes: int = TARGET_FILE_BYTES) -> str | None:
         """Fold the deltas of ``table`` into a new full snapshot (merge-on-read)."""
         base, deltas, _, cascades = self._layers(table)
@@ -131,12 +171,23 @@ class SnapshotStore:
             return base
         rank = max(r for r, _ in deltas + cascades)
         version = self.ledger().filter(F.col("rank") == rank).select("version").first()["version"]
-        path = self.write_snapshot(table, rank, self.current(table), target_bytes)
-        self.commit(version, rank, {table: ("snapshot", path)})
+        # a claim of its own: the rank itself is committed, its snapshot is what is new
+        held = claims.claim(self.spark, f"{self._claims}/compact/{table}", rank, self.lease)
+        before, self._attempt[rank] = self._attempt.get(rank, 0), held.attempt
+        try:
+            path = self.write_snapshot(table, rank, self.current(table), target_bytes)
+            entries = [(version, rank, {table: ("snapshot", path)})]
+            claims.commit(self.spark, held, entries)
+        except BaseException:
+            claims.release(self.spark, held)
+            raise
+        finally:
+            self._attempt[rank] = before
+        self._append(entries)
         return path
 
     def snapshot_path(self, table: str, rank: int) -> str:
-        return f"{self.root}/{self.office}/{self.schema}/{table}/v={rank}"
+        return f"{self.root}/{self.office}/{self.schema}/{table}/v={self._name(rank)}"
 
     def write_snapshot(self, table: str, rank: int, df: DataFrame,
                        target_bytes: int = TARGET_FILE_BYTES) -> str:
@@ -178,11 +229,18 @@ class SnapshotStore:
             remove_folder(self.spark, path)
         return gone
 
-    def commit(self, version: str, rank: int, written: Mapping[str, str]) -> None:
-        self.commit_many([(version, rank, dict(written))])
+    def commit_many(self, entries, held: Sequence[claims.Claim] = (), since: int | None = None) -> None:
+        """Commit versions; with claims, the file of the last one is what counts, and ``since`` is the rank that the
+        state merged into had (None: no version)."""
+        if held:
+            if self.mode == "rewrite" and self.latest_rank() != since:
+                raise claims.Conflict(f"rank {self.latest_rank()} was committed meanwhile")
+            claims.commit(self.spark, held[-1], list(entries))
+        self._append(entries)
 
-    def commit_many(self, entries) -> None:
-        append_ledger(self.spark, self.ledger_path, self.office, self.schema, entries)
+    def _append(self, entries) -> None:
+        append_ledger(self.spark, self.ledger_path, self.office, self.schema,
+                      [(v, r, {t: tuple(x) if isinstance(x, list) else x for t, x in w.items()}) for v, r, w in entries])
 
     def apply_version(self, version: str, rank: int, tables: Mapping[str, DataFrame],
                       keys: Sequence[str], deletes: DataFrame | None = None,
@@ -201,9 +259,22 @@ class SnapshotStore:
         done = self.committed_versions()
         if version in done or rank in done.values():
             raise ValueError(f"version {version!r} or rank {rank} is already committed")
-        if self.mode == "merge_on_read":
-            return self._append_version(version, rank, tables, deletes, helper_columns, fail_before_commit,
-                                        cascade)
+        since = max(done.values(), default=None)
+        with self.claimed(rank) as held:
+            if self.mode == "merge_on_read":
+                written = self._append_version(rank, tables, deletes, helper_columns, cascade)
+            else:
+                written = self._rewrite_version(rank, tables, keys, deletes, helper_columns, cascade)
+            if fail_before_commit:
+                raise RuntimeError(f"simulated failure before committing version {version}")
+            self.commit_many([(version, rank, written)], held, since)
+        for name in [n for n, x in written.items() if x[0] in ("delta", "cascade")]:
+            layers = self._layers(name)
+            if len(layers[1]) + len(layers[3]) >= self.compact_every:
+                self.compact(name)
+        return {k: x[1] if isinstance(x, tuple) else x for k, x in written.items()}
+
+    def _rewrite_version(self, rank, tables, keys, deletes, helper_columns, cascade) -> dict:
         written = {}
         for name, new in tables.items():
             merged = update_table(self.current(name), new, keys, deletes, helper_columns)
@@ -214,38 +285,27 @@ class SnapshotStore:
                 if name not in tables and reach is not None:
                     kept = remove_keys(self.current(name), reach, keys)
                     written[name] = self.write_snapshot(name, rank, kept)
-        if fail_before_commit:
-            raise RuntimeError(f"simulated failure before committing version {version}")
-        self.commit(version, rank, written)
         return written
 
-    def _append_version(self, version, rank, tables, deletes, helper_columns, fail_before_commit,
-                        cascade=False):
+    def _append_version(self, rank, tables, deletes, helper_columns, cascade=False) -> dict:
         """merge_on_read: write the version's rows and delete keys only; with
         ``cascade`` also the keys reaching each table the version lacks."""
         base = f"{self.root}/{self.office}/{self.schema}"
         written: dict[str, tuple[str, str]] = {}
         for name, new in tables.items():
             new = new.drop(*[c for c in helper_columns if c in new.columns])
-            path = f"{base}/{name}/d={rank}"
+            path = f"{base}/{name}/d={self._name(rank)}"
             save_table(new, path, mode="overwrite")
             written[name] = ("delta", path)
         if deletes is not None and (tables or cascade):
-            path = f"{base}/_deletes/d={rank}"
+            path = f"{base}/_deletes/d={self._name(rank)}"
             save_table(deletes.select(*self.keys), path, mode="overwrite")
             written["delete"] = ("deletes", path)
         if cascade:
             reach = key_set(*tables.values(), deletes, keys=self.keys)
             for name in self.tables():
                 if name not in tables and reach is not None:
-                    path = f"{base}/{name}/x={rank}"
+                    path = f"{base}/{name}/x={self._name(rank)}"
                     save_table(reach, path, mode="overwrite")
                     written[name] = ("cascade", path)
-        if fail_before_commit:
-            raise RuntimeError(f"simulated failure before committing version {version}")
-        self.commit(version, rank, written)
-        for name in [n for n, (kind, _) in written.items() if kind in ("delta", "cascade")]:
-            layers = self._layers(name)
-            if len(layers[1]) + len(layers[3]) >= self.compact_every:
-                self.compact(name)
-        return {k: v[1] for k, v in written.items()}
+        return written

@@ -42,6 +42,7 @@ from regflat.plans.ledger import latest, next_version as next_version_of, pendin
 from regflat.plans.offices import (CA, GB, US, OfficeSpec, normalise, prepare_new_rows, separate_em,
                                    separate_us)
 from regflat.plans.publish import compact_files, compact_table, save_table
+from regflat.plans import claims
 from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives
@@ -1132,6 +1133,31 @@ def snapshot_commit(spark, sf):
     return store.current("customer")
 
 
+@query("conflicting_writers", """
+SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, 2 AS refused FROM customer
+""")
+def conflicting_writers(spark, sf):
+    """Two writers of one rank: the one that comes second is refused before it writes a folder, and so is one whose
+    rank was committed by a writer that died before its ledger rows, which the next writer adds."""
+    c = t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    root, keys, refused = work_dir(spark, "conflict"), ["c_custkey"], 0
+    a, b = SnapshotStore(spark, root, "xx"), SnapshotStore(spark, root, "xx")
+    a.apply_version("v1", 1, {"customer": c}, keys)
+    building = c.filter(q("c_mktsegment") == "BUILDING").withColumn("c_acctbal", q("c_acctbal") + 1)
+    with a.claimed(2) as held:
+        path = a.write_snapshot("customer", 2, update_table(a.current("customer"), building, keys))
+        try:
+            b.apply_version("v2", 2, {"customer": c.limit(0)}, keys)
+        except claims.Conflict:
+            refused += 1
+        claims.commit(spark, held[0], [("v2", 2, {"customer": path})])  # and dies here
+    try:
+        b.apply_version("v2", 2, {"customer": c.limit(0)}, keys)
+    except ValueError:
+        refused += 1
+    return b.current("customer").select(*c.columns[:3]).withColumn("refused", F.lit(refused))
+
+
 @query("cascade_merge", """
 SELECT o_custkey AS c_custkey, o_orderkey FROM orders
 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')

@@ -151,37 +151,40 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
     todo = pending_versions(store, versions)
     if not todo:
         return False
-    landed = landed_families(spark, landing, spec.office, spec.schemas[0])
-    families = {r: _read_family(spark, landed.get(n, {})) for n, r in todo}
-    tables = sorted(({t for fam in families.values() for t in fam if t != "delete"}
-                     | (set(store.tables()) if cascade else set())) - set(spec.skip_tables))
-    deletes = [fam["delete"].withColumn(VERSION_COL, F.lit(r)) for r, fam in families.items()
-               if "delete" in fam]
-    deletes_df = align_union(*deletes) if deletes else None
-    written = {}
-    last_rank = todo[-1][1]
-    for t in tables:
-        parts = [prepare_new_rows(spec, t, fam[t]).withColumn(VERSION_COL, F.lit(r))
-                 for r, fam in families.items() if t in fam]
-        reached = [r for r, fam in families.items() if t in fam or cascade]
-        present = spark.createDataFrame([(r,) for r in reached], f"{VERSION_COL} int")
-        current = store.current(t)
-        if current is not None:
-            current = current.drop(*[c for c in spec.helper_columns if c in current.columns])
-        if not parts:  # only reached by cascade: no rows of its own
-            if current is None:
-                continue
-            parts = [current.withColumn(VERSION_COL, F.lit(None).cast("int")).filter(F.lit(False))]
-        del_parts = [] if deletes_df is None else [deletes_df.select(*spec.keys, VERSION_COL)]
-        if cascade:  # the keys a version carries in other tables reach this one
-            del_parts += [fam[o].select(*spec.keys).withColumn(VERSION_COL, F.lit(r))
-                          for r, fam in families.items() if t not in fam
-                          for o in fam if o != "delete"]
-        dels = align_union(*del_parts) if del_parts else None
-        merged = bulk_merge(current, align_union(*parts), dels, present, spec.keys).drop(VERSION_COL)
-        written[t] = store.write_snapshot(t, last_rank, merged, target_bytes)
-    # one append commits every version at once
-    store.commit_many([(n, r, {}) for n, r in todo[:-1]] + [(todo[-1][0], last_rank, written)])
+    since = store.latest_rank()
+    # all ranks are held while they are merged
+    with store.claimed(*(r for _, r in todo)) as held:
+        landed = landed_families(spark, landing, spec.office, spec.schemas[0])
+        families = {r: _read_family(spark, landed.get(n, {})) for n, r in todo}
+        tables = sorted(({t for fam in families.values() for t in fam if t != "delete"}
+                         | (set(store.tables()) if cascade else set())) - set(spec.skip_tables))
+        deletes = [fam["delete"].withColumn(VERSION_COL, F.lit(r)) for r, fam in families.items()
+                   if "delete" in fam]
+        deletes_df = align_union(*deletes) if deletes else None
+        written = {}
+        last_rank = todo[-1][1]
+        for t in tables:
+            parts = [prepare_new_rows(spec, t, fam[t]).withColumn(VERSION_COL, F.lit(r))
+                     for r, fam in families.items() if t in fam]
+            reached = [r for r, fam in families.items() if t in fam or cascade]
+            present = spark.createDataFrame([(r,) for r in reached], f"{VERSION_COL} int")
+            current = store.current(t)
+            if current is not None:
+                current = current.drop(*[c for c in spec.helper_columns if c in current.columns])
+            if not parts:  # only reached by cascade: no rows of its own
+                if current is None:
+                    continue
+                parts = [current.withColumn(VERSION_COL, F.lit(None).cast("int")).filter(F.lit(False))]
+            del_parts = [] if deletes_df is None else [deletes_df.select(*spec.keys, VERSION_COL)]
+            if cascade:  # the keys a version carries in other tables reach this one
+                del_parts += [fam[o].select(*spec.keys).withColumn(VERSION_COL, F.lit(r))
+                              for r, fam in families.items() if t not in fam
+                              for o in fam if o != "delete"]
+            dels = align_union(*del_parts) if del_parts else None
+            merged = bulk_merge(current, align_union(*parts), dels, present, spec.keys).drop(VERSION_COL)
+            written[t] = store.write_snapshot(t, last_rank, merged, target_bytes)
+        # one commit for every version
+        store.commit_many([(n, r, {}) for n, r in todo[:-1]] + [(todo[-1][0], last_rank, written)], held, since)
     return True
 
 
