@@ -57,76 +57,85 @@ def _times(text: Column, part: str) -> Column:
     return (F.char_length(text) - F.char_length(F.replace(text, F.lit(part), F.lit("")))) / len(part)
 
 
-def line_kept(line: Column) -> Column:
+def _any(text: Column, parts) -> Column:
+    found = F.lit(False)
+    for part in parts:
+        found = found | F.contains(text, F.lit(part))
+    return found
+
+
+def holds(text: Column) -> Column:
+    """What the lines of a text can fail by: whether it holds a bar, a stock phrase, a mark, a double exclamation mark, and
+    whether words are parted by more than single spaces."""
+    return F.struct(_any(text, BARS).alias("bar"), _let(F.lower(text), lambda low: _any(low, BOILERPLATE)).alias("stock"),
+                    _any(text, MARKS).alias("mark"), F.contains(text, F.lit("!!")).alias("shout"),
+                    _any(text, ("  ", *TRIM.replace(" ", "").replace("\n", ""))).alias("gaps"))
+
+
+def line_kept(line: Column, screen: Column | None = None) -> Column:
     """True for a line that passes every rule; a line without words passes.
 
     A line fails as navigation (fewer than four words without a closing mark,
     or three and more items between bars), as boilerplate (a stock phrase, in
     any case), as symbols (over three marks to ten words) or as shouting (a
     double exclamation mark to every second word, or capitals throughout).
+    ``screen`` is what the whole text ``holds``: rules that no line can fail
+    are left out.
     """
-    def verdict(x):
-        n, low = x["n"], x["low"]
-        stock = F.lit(False)
-        for phrase in BOILERPLATE:
-            stock = stock | F.contains(low, F.lit(phrase))
+    def may(what: str, rule: Column) -> Column:
+        return rule if screen is None else F.when(screen[what], rule).otherwise(F.lit(False))
+
+    def verdict(n):
         bars = sum((_times(line, bar) for bar in BARS), F.lit(0))
         marks = sum((_times(line, mark) for mark in MARKS), F.lit(0))
         closed = F.right(F.btrim(line, F.lit(TRIM)), F.lit(1)).isin(*CLOSING)
         return (n == 0) | ~(
-            (~closed & (n < 4))
-            | (bars >= 2)
-            | stock
-            | (marks * 10 > n * 3)
-            | (_times(line, "!!") * 2 > n)
-            | ((n >= 4) & (F.upper(line) == line) & (low != line)))
+            ((n < 4) & ~closed)
+            | may("bar", bars >= 2)
+            | may("stock", _let(F.lower(line), lambda low: _any(low, BOILERPLATE)))
+            | may("mark", marks * 10 > n * 3)
+            | may("shout", _times(line, "!!") * 2 > n)
+            # most lines hold a small letter of ASCII, which settles it
+            | ((n >= 4) & ~F.rlike(line, F.lit("[a-z]")) & (F.upper(line) == line) & (F.lower(line) != line)))
 
-    return _let(F.struct(count_words(spaced(line)).alias("n"), F.lower(line).alias("low")), verdict)
+    words = count_words(spaced(line))
+    return _let(words if screen is None else F.when(screen["gaps"], words).otherwise(count_words(F.btrim(line, F.lit(" ")))), verdict)
 
 
 def clean_lines(text: Column) -> Column:
     """The text without its failing lines."""
-    return F.array_join(F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), line_kept), "\n")
-
-
-def has_repeat(spaced_text: Column, width: int = WINDOW) -> Column:
-    """Does any ``width``-word window occur twice?  ``spaced_text`` as from ``spaced``.
-
-    Cutting the text into runs of ``width`` words from each of the first
-    ``width`` words on yields every window once, as a plain string.
-    """
-    run = r"(?:[^ ]++ ){%d}[^ ]++" % (width - 1)
-    cuts = [F.regexp_extract_all(
-        spaced_text if s == 0 else F.regexp_replace(spaced_text, r"^(?:[^ ]++ ?){%d}" % s, ""), F.lit(run), F.lit(0))
-        for s in range(width)]
-    return _let(F.concat(*cuts), lambda ws: F.size(F.array_distinct(ws)) < F.size(ws))
+    whole = F.coalesce(text, F.lit(""))
+    return _let(holds(whole), lambda screen: F.array_join(
+        F.filter(F.split(whole, "\n"), lambda line: line_kept(line, screen)), "\n"))
 
 
 def repeated_words(spaced_text: Column, width: int = WINDOW) -> Column:
     """Words lying in ``width``-word windows that occur twice or more, first occurrences included.
 
-    Only a text with a repeated window, found by ``has_repeat`` on the windows
-    as strings, goes on to place them: its windows are sorted by 64-bit hash.
+    ``spaced_text`` as from ``spaced``.  Words and windows are told apart by
+    64-bit hash; only a text in which two windows agree goes on to place them.
     """
-    def covered(word_list):
-        ws = F.transform(F.sequence(F.lit(1), F.size(word_list) - width + 1),
-                         lambda i: F.struct(F.xxhash64(F.slice(word_list, i, width)).alias("h"), i.alias("i")))
-
-        def positions(p):
-            m = F.size(p)
-            kept = F.filter(p, lambda x, k: (
-                ((k > 0) & (F.get(p, k - 1)["h"] == x["h"])) | ((k < m - 1) & (F.get(p, k + 1)["h"] == x["h"]))))
-            return F.sort_array(F.transform(kept, lambda x: x["i"]))
-
-        def total(at):
-            k = F.size(at)
-            gaps = F.zip_with(F.slice(at, 1, k - 1), F.slice(at, 2, k - 1), lambda a, b: F.least(b - a, F.lit(width)))
-            return F.aggregate(gaps, F.lit(width), lambda s, g: s + g)
-
-        return _let(_let(F.sort_array(ws), positions), total)
-
-    return F.when(has_repeat(spaced_text, width), _let(F.split(spaced_text, " "), covered)) \
-        .otherwise(F.lit(0)).cast("long")
+    def windows(h):
+        return F.transform(F.slice(h, 1, F.size(h) - width + 1),
+                           lambda x, i: F.xxhash64(x, *(F.get(h, i + k) for k in range(1, width))))
+
+    def positions(p):
+        m = F.size(p)
+        kept = F.filter(p, lambda x, k: (
+            ((k > 0) & (F.get(p, k - 1)["h"] == x["h"])) | ((k < m - 1) & (F.get(p, k + 1)["h"] == x["h"]))))
+        return F.sort_array(F.transform(kept, lambda x: x["i"]))
+
+    def total(at):
+        k = F.size(at)
+        gaps = F.zip_with(F.slice(at, 1, k - 1), F.slice(at, 2, k - 1), lambda a, b: F.least(b - a, F.lit(width)))
+        return F.aggregate(gaps, F.lit(width), lambda s, g: s + g)
+
+    def covered(ws):
+        placed = F.sort_array(F.transform(ws, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(ws)) < F.size(ws), _let(_let(placed, positions), total)).otherwise(F.lit(0))
+
+    hashes = F.transform(F.split(spaced_text, " "), lambda w: F.xxhash64(w))
+    return _let(hashes, lambda h: F.when(F.size(h) >= width, _let(windows(h), covered)).otherwise(F.lit(0))).cast("long")
 
 
 def _let(value: Column, body) -> Column:
