@@ -11,8 +11,8 @@ drop it).  A language is settled when its ``top``-th surviving score is no lower
 expanded scores less, so ties are complete too.  Others go on at a lower level, the last one being zero.
 Only the phrase one word longer needs a look for the drop: counts never rise as phrases grow.
 
-Scale.  Texts become rows of 64-bit word hashes once (cut at piece ends, so a long text is many rows) in the shared folder;
-each expansion is a pass over them that counts in the tasks before it shuffles.  What travels to the tasks are Bloom
+Scale.  Texts become rows of 64-bit word hashes once (cut at piece ends, so a long text is many small rows) in the shared
+folder; each expansion is a pass over them that counts in the tasks before it shuffles.  What travels to the tasks are Bloom
 filters of a fixed size (``SLOTS`` words of 64 bits): a false hit costs a count, never changes one, and a set that
 outgrows them only prunes less.  Per-language work is grouping and limited windows, so one large language is no hot group.
 
@@ -44,7 +44,9 @@ SHARE = 80  # percent of a phrase's count at which a longer one drops it
 LONGEST = 4
 SCALE = 2_000_000
 SLOTS = 1 << 20  # 64-bit words of a Bloom filter
-HELD = 1 << 20  # rows of counts that a task holds
+HELD = 1 << 19  # rows of counts that a task holds
+ROW = 512  # tokens of a stored row, about: readers hold thousands of rows at once
+STEP = 1 << 17  # tokens worked on at once
 WIDER = (2, 16)  # levels are the scores of the pairs of these ranks, times TOP; then zero
 
 _rng = np.random.default_rng(20251111)
@@ -112,6 +114,28 @@ def _slices(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[np.ndarray, n
         yield data[lo:], np.concatenate([[lo], inside, [len(data)]]) - lo
 
 
+def _cuts(toks: np.ndarray) -> np.ndarray:
+    """Places to cut tokens into rows of about ``ROW``, each after the end of a piece."""
+    ends = np.flatnonzero(toks == 0) + 1
+    return np.unique(ends[np.searchsorted(ends, np.arange(ROW, ends[-1], ROW))]) if ends[-1] > ROW else ends[:0]
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    """The tokens of consecutive rows of one language, about ``STEP`` at once."""
+    column = batch.column("toks")
+    if not len(column):
+        return
+    _, at, body = column.buffers()
+    places = np.frombuffer(at, np.int32)[column.offset:column.offset + len(column) + 1] // 8
+    data = np.frombuffer(body, np.uint64, count=int(places[-1]))
+    langs = batch.column("lang").to_pylist()
+    lo = 0
+    for k in range(1, len(langs) + 1):
+        if k == len(langs) or langs[k] != langs[lo] or places[k] - places[lo] >= STEP:
+            yield langs[lo], data[places[lo]:places[k]]
+            lo = k
+
+
 _TOKEN_SCHEMA = "lang string, toks binary, h long, n long, word string"
 _TOKEN_ARROW = pa.schema([("lang", pa.string()), ("toks", pa.binary()), ("h", pa.int64()), ("n", pa.int64()),
                           ("word", pa.string())])
@@ -134,8 +158,10 @@ def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 toks, h, start, end = tokens(data, offsets)
                 if not len(h):
                     continue
-                yield pa.record_batch([pa.array([lang]), pa.array([toks.tobytes()], pa.binary()), pa.nulls(1, pa.int64()),
-                                       pa.nulls(1, pa.int64()), pa.nulls(1, pa.string())], schema=_TOKEN_ARROW)
+                rows = [x.tobytes() for x in np.split(toks, _cuts(toks))]
+                none = pa.nulls(len(rows), pa.int64())
+                yield pa.record_batch([pa.array([lang] * len(rows)), pa.array(rows, pa.binary()), none, none,
+                                       pa.nulls(len(rows), pa.string())], schema=_TOKEN_ARROW)
                 seen, first, count = np.unique(h, return_index=True, return_counts=True)
                 low = _LOWER[data].tobytes()
                 if lang in held:
@@ -152,7 +178,7 @@ def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                   pa.concat_arrays([word, names]).take(pa.array(order))]
                 else:
                     held[lang] = [seen, count.astype(np.int64), names]
-                if sum(len(x[0]) for x in held.values()) > HELD // 4:
+                if sum(len(x[0]) for x in held.values()) > HELD // 2:
                     for x in list(held):
                         yield words_of(x)
     for lang in list(held):
@@ -234,8 +260,7 @@ def _grams(m: int, choose):
                                    | {f"w{i + 1}": pa.array(words[i].view(np.int64)) for i in range(m)} | {"n": pa.array(n)})
 
         for batch in batches:
-            for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("toks").to_pylist()):
-                t = np.frombuffer(raw, np.uint64)
+            for lang, t in _runs(batch):
                 if len(t) < m:
                     continue
                 word = t != 0
