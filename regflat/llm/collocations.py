@@ -44,7 +44,7 @@ SHARE = 80  # percent of a phrase's count at which a longer one drops it
 LONGEST = 4
 SCALE = 2_000_000
 SLOTS = 1 << 20  # 64-bit words of a Bloom filter
-HELD = 1 << 19  # rows of counts that a task holds
+HELD = 1 << 18  # rows of counts that a task holds
 ROW = 512  # tokens of a stored row, about: readers hold thousands of rows at once
 STEP = 1 << 17  # tokens worked on at once
 WIDER = (2, 16)  # levels are the scores of the pairs of these ranks, times TOP; then zero
@@ -256,6 +256,7 @@ def _grams(m: int, choose):
         def out(lang: str) -> pa.RecordBatch:
             _, words, n = counted(lang)
             held.pop(lang)
+            pa.default_memory_pool().release_unused()
             return pa.record_batch({"lang": pa.array([lang] * len(n), pa.string())}
                                    | {f"w{i + 1}": pa.array(words[i].view(np.int64)) for i in range(m)} | {"n": pa.array(n)})
 
