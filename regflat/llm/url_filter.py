@@ -78,26 +78,31 @@ def bloom_blocks(listed: DataFrame, key: str, blocks: int) -> DataFrame:
     return listed.groupBy(_block(F.col(key), blocks).alias("_block")).agg(F.bit_or(_mask(F.col(key))).alias("_word"))
 
 
+def probe(pages: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``pages`` with ``_possible``: does the filter of the distinct keys ``_k`` pass ``key``?  A null passes never."""
+    blocks = max(1, -(-keys.count() * BITS_PER_KEY // 64))
+    table = bloom_blocks(keys, "_k", blocks)
+    if blocks <= MAX_BROADCAST_BLOCKS:
+        table = F.broadcast(table)
+    passes = F.col("_word").bitwiseAND(_mask(F.col(key))) == _mask(F.col(key))
+    return pages.withColumn("_block", F.when(F.col(key).isNotNull(), _block(F.col(key), blocks))) \
+        .join(table, "_block", "left") \
+        .withColumn("_possible", F.col(key).isNotNull() & F.coalesce(passes, F.lit(False))).drop("_block", "_word")
+
+
 def on_list(pages: DataFrame, listed: DataFrame, key: str, listed_key: str) -> DataFrame:
     """``pages`` with ``_listed``: is ``key`` among the distinct values of ``listed_key``?
 
-    The hot part of ``pages`` stays where it is: probing is a join with one
-    row per block, and only possible hits meet the list itself.
+    Probing is a join with one row per block.  Only the rows that the filter
+    passes are joined with the list itself; those that it stops go into no
+    exchange of that join.
     """
     keys = listed.select(F.col(listed_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    n = keys.count()
-    blocks = max(1, -(-n * BITS_PER_KEY // 64))
-    table = bloom_blocks(keys, "_k", blocks)
-    if blocks <= MAX_BROADCAST_BLOCKS:
-        table = F.broadcast(table)
-    probed = pages.withColumn("_block", _block(F.col(key), blocks)).join(table, "_block", "left")
-    possible = F.col("_word").isNotNull() & F.col(key).isNotNull() & (
-        F.col("_word").bitwiseAND(_mask(F.col(key))) == _mask(F.col(key)))
-    # rows that the filter passes carry their key to the exact join, the others a null, which joins nothing
-    sure = probed.withColumn("_probe", F.when(possible, F.col(key)))
-    return sure.join(keys.withColumn("_hit", F.lit(True)), sure["_probe"] == keys["_k"], "left") \
-        .withColumn("_listed", F.coalesce("_hit", F.lit(False))) \
-        .drop("_block", "_word", "_probe", "_k", "_hit")
+    probed = probe(pages, keys, key)
+    hits = probed.where("_possible").drop("_possible")
+    exact = hits.join(keys.withColumn("_hit", F.lit(True)), hits[key] == keys["_k"], "left") \
+        .withColumn("_listed", F.coalesce("_hit", F.lit(False))).drop("_k", "_hit")
+    return exact.unionByName(probed.where("not _possible").withColumn("_listed", F.lit(False)).drop("_possible"))
 
 
 def filter_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -287,6 +287,24 @@ def test_bloom_has_no_false_negatives(spark):
     assert all(r["_listed"] == (r.id < 3000) for r in rows) and len(rows) == 6000
 
 
+def test_only_possible_hits_meet_the_list(spark):
+    """The rows that the exact join moves are those that the filter passes; a null key is none of them."""
+    keys = spark.range(500).select(F.concat(F.lit("u"), F.col("id")).alias("k"))
+    probe = spark.range(40000).select(F.when(F.col("id") % 3 > 0, F.concat(F.lit("u"), F.col("id"))).alias("k"), "id")
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = url_filter.on_list(probe, keys, "k", "k")
+        rows = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+    assert len(rows) == 40000 and sum(r["_listed"] for r in rows) == sum(x % 3 > 0 for x in range(500))
+    assert "Union" in plan
+    passed = url_filter.probe(probe, keys.select(F.col("k").alias("_k")), "k").where("_possible")
+    assert 333 <= passed.count() < 1500 and passed.where("k is null").count() == 0
+
+
 def test_token_files_edges(spark, docs):
     folder = work_dir(spark, "test-tokens")
     files = token_files.write_tokens(docs, folder, queries.tokenizer_file("byte_bpe_50k.json"), length=64)
