@@ -37,6 +37,7 @@ from regflat.operators.rows import (distinct_keys, distinct_rows, drop_all_null_
                                     filter_equals, live_rows, split_deletes)
 from regflat.operators.separate import Cleaning, extract_partial, extract_subtree, finish_partial
 from regflat.plans.applications import applications
+from regflat.plans.buckets import bucket_count, merge_bucketed, write_bucketed
 from regflat.plans.catalog import catalog
 from regflat.plans.ledger import latest, next_version as next_version_of, pending
 from regflat.plans.offices import (CA, GB, US, OfficeSpec, normalise, prepare_new_rows, separate_em,
@@ -179,6 +180,26 @@ def merge_multi_row_key(spark, sf):
     return update_table(l, delta, ["l_orderkey"])
 
 
+@query("merge_bucketed", """
+WITH delta AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity + 1 AS l_quantity, l_extendedprice,
+         l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+  FROM lineitem WHERE l_returnflag = 'R'),
+dels AS (SELECT l_orderkey FROM lineitem WHERE l_linenumber >= 5)
+SELECT * FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM dels x WHERE x.l_orderkey = l.l_orderkey)
+  AND NOT EXISTS (SELECT 1 FROM delta d WHERE d.l_orderkey = l.l_orderkey)
+UNION ALL SELECT * FROM delta
+""")
+def merge_bucketed_query(spark, sf):
+    l = t(spark, sf, "lineitem")
+    delta = l.filter(q("l_returnflag") == "R").withColumn("l_quantity", q("l_quantity") + 1)
+    deletes = l.filter(q("l_linenumber") >= 5).select("l_orderkey")
+    at = work_dir(spark, "bucketed")
+    current = write_bucketed(l, f"{at}/0", ["l_orderkey"], bucket_count(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
+    return merge_bucketed(current, f"{at}/1", delta, deletes).rows()
+
+
 @query("merge_schema_evolution", """
 WITH delta AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate,
