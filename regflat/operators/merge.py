@@ -19,7 +19,7 @@ and otherwise keeps a sort-merge join whose skewed partitions it splits.
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -88,33 +88,38 @@ def remove_keys(df: DataFrame, keys_df: DataFrame | None, keys: Sequence[str]) -
     return df.join(right, _key_cond(df, right, keys), "left_anti")
 
 
+Remover = Callable[[DataFrame, "DataFrame | None", Sequence[str]], DataFrame]
+
+
 def replace_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(old minus keys of new) union-all new``."""
     return delete_replace(old, new, None, keys)
 
 
 def delete_replace(old: DataFrame, new: DataFrame | None, deletes: DataFrame | None,
-                   keys: Sequence[str]) -> DataFrame:
+                   keys: Sequence[str], remove: Remover = remove_keys) -> DataFrame:
     """``((old minus deletes) minus keys of new) union-all new``.
 
     Both anti-joins are folded into one against the union of the two key
     sets, so the old table is shuffled once (or not at all when AQE measures
-    the key set small enough to broadcast).
+    the key set small enough to broadcast).  ``remove`` is the anti-join (see
+    ``key_screen`` for one behind a filter).
     """
     doomed = key_set(new, deletes, keys=keys)
-    kept = remove_keys(old, doomed, keys)
+    kept = remove(old, doomed, keys)
     return align_union(kept, new) if new is not None else kept
 
 
 def update_table(current: DataFrame | None, new: DataFrame, keys: Sequence[str],
-                 deletes: DataFrame | None = None, helper_columns: Iterable[str] = ()) -> DataFrame:
+                 deletes: DataFrame | None = None, helper_columns: Iterable[str] = (),
+                 remove: Remover = remove_keys) -> DataFrame:
     """Merge a landed table into the current one, or take it as is."""
     helpers = [c for c in helper_columns]
     new = new.drop(*[c for c in helpers if c in new.columns])
     if current is None:
         return new
     current = current.drop(*[c for c in helpers if c in current.columns])
-    return delete_replace(current, new, deletes, keys)
+    return delete_replace(current, new, deletes, keys, remove)
 
 
 # ---------------------------------------------------------------- fold ------

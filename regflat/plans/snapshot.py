@@ -31,6 +31,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from regflat.operators.key_screen import remove_keys_screened
 from regflat.operators.merge import (VERSION_COL, align_union, bulk_merge, key_set, remove_keys,
                                      update_table)
 from regflat.plans import claims
@@ -45,7 +46,7 @@ MERGE_BROADCAST_BYTES = 256 * 1024 * 1024
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, office: str, schema: str = "default",
                  mode: str = "rewrite", keys: Sequence[str] = (), compact_every: int = 16,
-                 lease: float = claims.LEASE):
+                 lease: float = claims.LEASE, screen: bool = False):
         if mode not in ("rewrite", "merge_on_read"):
             raise ValueError(f"unknown mode {mode!r}")
         if mode == "merge_on_read" and not keys:
@@ -58,6 +59,8 @@ class SnapshotStore:
         self.keys = tuple(keys)
         self.compact_every = compact_every
         self.lease = lease
+        # rewrite mode: rows without a key of the version stay out of the anti-join's exchange
+        self._remove = remove_keys_screened if screen else remove_keys
         self._attempt: dict[int, int] = {}  # of the ranks that this store has claimed
 
     @property
@@ -277,13 +280,13 @@ class SnapshotStore:
     def _rewrite_version(self, rank, tables, keys, deletes, helper_columns, cascade) -> dict:
         written = {}
         for name, new in tables.items():
-            merged = update_table(self.current(name), new, keys, deletes, helper_columns)
+            merged = update_table(self.current(name), new, keys, deletes, helper_columns, self._remove)
             written[name] = self.write_snapshot(name, rank, merged)
         if cascade:
             reach = key_set(*tables.values(), deletes, keys=keys)
             for name in self.tables():
                 if name not in tables and reach is not None:
-                    kept = remove_keys(self.current(name), reach, keys)
+                    kept = self._remove(self.current(name), reach, keys)
                     written[name] = self.write_snapshot(name, rank, kept)
         return written
 

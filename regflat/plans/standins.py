@@ -30,6 +30,7 @@ from regflat.functions.names import CA_NAMES, EM_NAMES, clean_names, rename_one,
 from regflat.functions.types import (ISO_TYPE_RULES, US_TYPE_RULES, GB_TYPE_RULES, apply_type_rules,
                                      quality_counts)
 from regflat.operators.flatten import flatten_fully, normalise_struct, q
+from regflat.operators.key_screen import remove_keys_screened
 from regflat.operators.merge import (VERSION_COL, TableVersion, bulk_merge, delete_replace,
                                      fold_merge, replace_by_key, update_table, align_union)
 from regflat.operators.prune import CA_DROP, GB_DROP, US_UNNECESSARY, drop_by_rules, drop_present, select_present
@@ -180,6 +181,25 @@ def merge_multi_row_key(spark, sf):
     return update_table(l, delta, ["l_orderkey"])
 
 
+@query("merge_screened", """
+WITH delta AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'),
+dels AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'F')
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM dels x WHERE x.o_orderkey = o.o_orderkey)
+  AND NOT EXISTS (SELECT 1 FROM delta d WHERE d.o_orderkey = o.o_orderkey)
+UNION ALL SELECT * FROM delta
+""")
+def merge_screened(spark, sf):
+    o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                                      "o_orderpriority")
+    delta = (o.filter((q("o_orderpriority") == "1-URGENT") & (q("o_orderstatus") == "P"))
+             .withColumn("o_totalprice", q("o_totalprice") + 1))
+    deletes = o.filter((q("o_orderpriority") == "2-HIGH") & (q("o_orderstatus") == "F")).select("o_orderkey")
+    return delete_replace(o, delta, deletes, ["o_orderkey"], remove_keys_screened)
+
+
 @query("merge_bucketed", """
 WITH delta AS (
   SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity + 1 AS l_quantity, l_extendedprice,
