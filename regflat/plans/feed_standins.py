@@ -17,6 +17,7 @@ from regflat.session import work_dir
 from regflat.sources.landing import table_folder
 from regflat.sources.manifest import file_list, sort_manifest
 from regflat.sources.xml_records import parse_strings, record_strings
+from regflat.streaming.landed_versions import mark_landed, start as start_stream
 
 
 def _element(tag: str, *parts: F.Column | str) -> F.Column:
@@ -130,6 +131,37 @@ def em_schemas_apart(spark, sf):
     return out
 
 
+@query("stream_em_schemas", """
+SELECT 'TradeMark' AS "schema", CAST(p_partkey AS VARCHAR) AS key, p_brand AS feature FROM part
+UNION ALL
+SELECT 'Applicant', CAST(c_custkey AS VARCHAR),
+       CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(c_nationkey AS VARCHAR) ELSE c_mktsegment END FROM customer
+""")
+def stream_em_schemas(spark, sf):
+    """Two EM schemas with the same ranks stream side by side; the second version of one lands before its first."""
+    landing, root = work_dir(spark, "em-stream-land"), work_dir(spark, "em-stream-store")
+    part, customer = t(spark, sf, "part"), t(spark, sf, "customer")
+    changed = customer.where(q("c_mktsegment") == "BUILDING").withColumn("c_mktsegment", q("c_nationkey").cast("string"))
+
+    def feed(df, tag, key_tag, key, extra, version):
+        return _feed(df, _element(tag, _value(key_tag, q(key)), _value("Feature", q(extra))), f"em-{tag}-{version}")
+
+    feeds = {("TradeMark", "v1", 1): feed(part, "TradeMark", "ApplicationNumber", "p_partkey", "p_brand", "v1"),
+             ("Applicant", "v2", 2): feed(changed, "Applicant", "ApplicantIdentifier", "c_custkey", "c_mktsegment", "v2"),
+             ("Applicant", "v1", 1): feed(customer, "Applicant", "ApplicantIdentifier", "c_custkey", "c_mktsegment", "v1")}
+    stores = {}
+    for (schema, version, rank), xml in feeds.items():
+        spec = em_spec(schema)
+        land_version(spark, spec, xml, landing, version)
+        mark_landed(spark, landing, "em", version, rank, schema)
+        store = stores.setdefault(schema, SnapshotStore(spark, root, "em", schema, keys=spec.keys))
+        # a stream that starts again goes on from its own checkpoint
+        start_stream(spark, spec, landing, store, f"{root}/_stream/{schema}").awaitTermination()
+    parts = [stores[schema].current(schema).select(F.lit(schema).alias("schema"), q(key).alias("key"), q("Feature").alias("feature"))
+             for schema, key in (("TradeMark", "ApplicationNumber"), ("Applicant", "ApplicantIdentifier"))]
+    return parts[0].unionByName(parts[1])
+
+
 @query("em_ir_main", """
 SELECT CAST(s_suppkey AS VARCHAR) AS ApplicationNumber, CAST(s_nationkey AS VARCHAR) AS Feature FROM supplier
 """)

@@ -1,12 +1,14 @@
 """Apply landed versions as they arrive, with Structured Streaming.
 
-Landing a version ends with one marker row ``(office, version, rank)``
+Landing a version ends with one marker row ``(office, schema, version, rank)``
 appended to ``<landing>/_landed``.  A file stream over that folder triggers
 ``foreachBatch``; the batch only signals that something landed.  The
 version *order* never comes from arrival order (file streams order by
-modification time): each trigger reads the full marker table and applies
-the contiguous run of ranks right after the ledger's latest, so a version
-that lands early waits for its predecessor.  The ledger makes replays after
+modification time): each trigger reads the markers of its office and schema
+above the ledger's latest rank and applies the contiguous run right after it,
+so a version that lands early waits for its predecessor, and what reaches the
+driver is one row per version not applied yet.  The schemas of one office are
+streams of their own with one marker folder: their ranks do not meet.  The ledger makes replays after
 a restart no-ops, which gives exactly-once effects on top of the stream's
 at-least-once batches.
 """
@@ -21,23 +23,25 @@ from regflat.plans.snapshot import SnapshotStore
 from regflat.plans.updates import apply_in_order
 from regflat.sources.landing import mark_complete
 
-MARKER_SCHEMA = "office string, version string, rank int"
+# markers written without a schema belong to the default one
+MARKER_SCHEMA = "office string, schema string, version string, rank int"
 
 
 def marker_path(landing: str) -> str:
     return f"{landing.rstrip('/')}/_landed"
 
 
-def mark_landed(spark: SparkSession, landing: str, office: str, version: str, rank: int) -> None:
+def mark_landed(spark: SparkSession, landing: str, office: str, version: str, rank: int,
+                schema: str = "default") -> None:
     """Close the landing of one version and append the marker that wakes the stream."""
-    mark_complete(spark, landing, office, version)
-    (spark.createDataFrame([(office, version, int(rank))], MARKER_SCHEMA)
+    mark_complete(spark, landing, office, version, schema)
+    (spark.createDataFrame([(office, schema, version, int(rank))], MARKER_SCHEMA)
      .coalesce(1).write.mode("append").parquet(marker_path(landing)))
 
 
 def contiguous_after(markers: DataFrame, latest: int | None) -> list[tuple[str, int]]:
     """Versions whose ranks continue the ledger without a gap."""
-    rows = markers.select("version", "rank").distinct().collect()
+    rows = markers.where(F.col("rank") > (latest or 0)).select("version", "rank").distinct().collect()
     ranks = {int(r["rank"]): r["version"] for r in rows}
     if len(ranks) < len(rows):
         raise ValueError("two landed versions share a rank")
@@ -48,18 +52,24 @@ def contiguous_after(markers: DataFrame, latest: int | None) -> list[tuple[str,
     return out
 
 
+def markers_of(markers: DataFrame, office: str, schema: str = "default") -> DataFrame:
+    """The markers of one office and schema."""
+    return markers.filter((F.col("office") == office) & (F.coalesce("schema", F.lit("default")) == schema))
+
+
 def start(spark: SparkSession, spec: OfficeSpec, landing: str, store: SnapshotStore,
           checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains what landed and stops."""
+    schema = spec.schemas[0]
+    if store.schema != schema:
+        raise ValueError(f"the store is of schema {store.schema!r}, the stream of {schema!r}")
     stream = spark.readStream.schema(MARKER_SCHEMA).parquet(marker_path(landing))
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.filter(F.col("office") == spec.office).isEmpty():
+        if markers_of(batch, spec.office, schema).isEmpty():
             return
-        # marker table: one row per landed version (metadata, not data)
-        markers = spark.read.schema(MARKER_SCHEMA).parquet(marker_path(landing)) \
-            .filter(F.col("office") == spec.office)
-        todo = contiguous_after(markers, store.latest_rank())
+        markers = spark.read.schema(MARKER_SCHEMA).parquet(marker_path(landing))
+        todo = contiguous_after(markers_of(markers, spec.office, schema), store.latest_rank())
         if todo:
             apply_in_order(store, spec, landing, todo)
 
