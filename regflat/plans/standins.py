@@ -37,7 +37,7 @@ from regflat.operators.prune import CA_DROP, GB_DROP, US_UNNECESSARY, drop_by_ru
 from regflat.operators.rows import (distinct_keys, distinct_rows, drop_all_null_rows, drop_null_rows,
                                     filter_equals, live_rows, split_deletes)
 from regflat.operators.separate import Cleaning, extract_partial, extract_subtree, finish_partial
-from regflat.plans.applications import applications
+from regflat.plans.applications import applications, write_applications
 from regflat.plans.buckets import bucket_count, merge_bucketed, write_bucketed
 from regflat.plans.catalog import catalog
 from regflat.plans.ledger import latest, next_version as next_version_of, pending
@@ -117,6 +117,14 @@ def applications_union(spark, sf):
     return naive(applications(office_frames(spark, sf)))
 
 
+@query("applications_published", REGISTRY["applications_union"][1])
+def applications_published(spark, sf):
+    """The unified table written by office folder and read back."""
+    path = work_dir(spark, "unified")
+    write_applications(office_frames(spark, sf), path)
+    return naive(spark.read.parquet(path)).select("ip_office", "application_number", "application_date", "registration_date")
+
+
 # ----------------------------------------------------------- J1-J5 U2 -----
 def customer_delta(c: DataFrame) -> DataFrame:
     changed = c.filter(q("c_mktsegment") == "BUILDING").withColumn("c_acctbal", q("c_acctbal") + 1)
