@@ -70,38 +70,57 @@ def _leaf(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
 
 
-def _apply(df: DataFrame, rules: list[TypeRule]) -> tuple[DataFrame, list[tuple[str, str]]]:
-    exprs, touched = [], []
+def _nulled(rule: TypeRule, text: Column) -> Column:
+    """A value that is there as text and that the rule turns into null."""
+    return text.isNotNull() & rule.convert(text).isNull()
+
+
+def _apply(df: DataFrame, rules: list[TypeRule], flags: bool = False) -> tuple[DataFrame, list[tuple[str, str]]]:
+    exprs, touched, bad = [], [], []
     for f in df.schema.fields:
         rule = next((r for r in rules if r.matches(f.name)), None)
         if rule is not None and (_leaf(f.dataType) or not rule.leaves_only) \
                 and isinstance(f.dataType, T.StringType):
             exprs.append(rule.convert(F.col(f"`{f.name}`")).alias(f.name))
             touched.append((f.name, rule.name))
+            if flags:
+                bad.append(_nulled(rule, F.col(f"`{f.name}`")).alias(f"{BAD_FLAG}{rule.name}|{f.name}"))
         else:
             exprs.append(F.col(f"`{f.name}`"))
-    return (df.select(*exprs) if touched else df), touched
+    return (df.select(*exprs, *bad) if touched else df), touched
 
 
-_KEEP_TEXT: ContextVar[bool] = ContextVar("regflat_keep_text", default=False)
+BAD_FLAG = "?bad|"  # no XML name begins so
+_FLAGGING: ContextVar[bool] = ContextVar("regflat_flag_bad_values", default=False)
 
 
 @contextmanager
-def text_only() -> Iterator[None]:
-    """Plans built inside this block leave matched columns as text, so the
-    same table family can be built raw to count what the rules would null."""
-    token = _KEEP_TEXT.set(True)
+def bad_value_flags() -> Iterator[None]:
+    """Plans built inside this block carry, behind the columns of a table, one
+    boolean ``?bad|<rule>|<column>`` per coerced column: the value was text
+    that the rule could not read.  ``split_flags`` parts them again."""
+    token = _FLAGGING.set(True)
     try:
         yield
     finally:
-        _KEEP_TEXT.reset(token)
+        _FLAGGING.reset(token)
+
+
+def split_flags(df: DataFrame) -> tuple[list[str], list[str]]:
+    """Column names of a table, and of the flags behind them."""
+    flags = [c for c in df.columns if c.startswith(BAD_FLAG)]
+    return [c for c in df.columns if not c.startswith(BAD_FLAG)], flags
+
+
+def flagged(flag: str) -> tuple[str, str]:
+    """(column, rule) of a flag."""
+    rule, column = flag.removeprefix(BAD_FLAG).split("|", 1)
+    return column, rule
 
 
 def apply_type_rules(df: DataFrame, rules: list[TypeRule]) -> DataFrame:
     """Coerce every matching string leaf; the first matching rule wins."""
-    if _KEEP_TEXT.get():
-        return df
-    return _apply(df, rules)[0]
+    return _apply(df, rules, _FLAGGING.get())[0]
 
 
 def quality_counts(df: DataFrame, rules: list[TypeRule], table: str) -> DataFrame:
@@ -114,9 +133,7 @@ def quality_counts(df: DataFrame, rules: list[TypeRule], table: str) -> DataFram
     by_name = {r.name: r for r in rules}
     aggs = []
     for col_name, rule_name in touched:
-        src = F.col(f"`{col_name}`")
-        bad = src.isNotNull() & by_name[rule_name].convert(src).isNull()
-        aggs.append(F.count_if(bad).alias(f"n{len(aggs)}"))
+        aggs.append(F.count_if(_nulled(by_name[rule_name], F.col(f"`{col_name}`"))).alias(f"n{len(aggs)}"))
     counts = df.agg(*aggs)
     stack = ", ".join(
         f"'{c.replace(chr(39), chr(39) * 2)}', '{r}', n{i}" for i, (c, r) in enumerate(touched))

@@ -12,10 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from regflat.functions.names import NameRules, clean_names, shorten_prefixes
-from regflat.functions.types import TypeRule, apply_type_rules
+from regflat.functions.types import TypeRule, apply_type_rules, split_flags
 from regflat.operators.flatten import SEP, flatten_columns, flatten_fully, flatten_steps, q
 from regflat.operators.prune import DropRules, drop_by_rules
 from regflat.operators.rows import drop_null_rows, live_rows, split_deletes
@@ -42,10 +42,18 @@ def _tidy(df: DataFrame, table: str | None, how: Cleaning) -> DataFrame:
     return df
 
 
+def _distinct(df: DataFrame) -> DataFrame:
+    """D1 on the columns of the table; a row was bad if any of its copies was."""
+    columns, flags = split_flags(df)
+    if not flags:
+        return df.dropDuplicates()
+    return df.groupBy(*[q(c) for c in columns]).agg(*[F.max(q(c)).alias(c) for c in flags])
+
+
 def _finish(df: DataFrame, keys: Sequence[str], how: Cleaning) -> DataFrame:
     df = drop_null_rows(df, keys if how.null_rule == "nonkey" else ())
     df = apply_type_rules(df, list(how.types))
-    return df.dropDuplicates() if how.distinct else df
+    return _distinct(df) if how.distinct else df
 
 
 def extract_partial(df: DataFrame, column: str, keys: Sequence[str], n_steps: int,

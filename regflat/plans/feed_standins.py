@@ -6,12 +6,14 @@ query goes through ``land_version`` / ``run_office`` as the command line does.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
-from regflat.plans.offices import US, em_spec
+from regflat.plans.offices import GB, US, em_spec, separate_em
 from regflat.plans.snapshot import SnapshotStore
 from regflat.plans.standins import naive, query, t, ymd
-from regflat.plans.updates import LateVersion, apply_in_order, land_version, landed_families, run_office
+from regflat.plans.updates import LateVersion, apply_in_order, land_version, landed_families, quality_path, read_family, run_office
 from regflat.operators.flatten import q
 from regflat.session import work_dir
 from regflat.sources.landing import table_folder
@@ -246,3 +248,91 @@ def manifest_tables(spark, sf):
         table(F.coalesce("w", F.lit("")), "File", "Volume"),
         table(F.concat(F.coalesce("h", F.lit("")), *other), "File", "Date and volume")).alias("html"))
     return sort_manifest(file_list(pages, keep=("page",), corrections={"WEEKLY_1.zip": "WEEKLY_1_fixed.zip"}))
+
+
+def _gb_mark(number: F.Column, day: F.Column, text: F.Column) -> F.Column:
+    return _element("TradeMark", _value("ApplicationNumber", number), _value("ApplicationDateTime", day),
+                    _element("MarkSeriesDetails", _element("MarkSeriesItem", _value("MarkImageText", text))))
+
+
+def _at_one_utc(day: F.Column) -> F.Column:
+    """One o'clock UTC of a day, written with an offset of two hours."""
+    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T03:00:00+02:00"))
+
+
+@query("gb_family_landed", """
+SELECT 'Application' AS "table", CAST(o_orderkey AS VARCHAR) AS key, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 HOUR AS at, NULL AS text FROM orders
+UNION ALL SELECT 'MarkSeriesDetails', CAST(o_orderkey AS VARCHAR), NULL, o_orderstatus FROM orders
+""")
+def gb_family_landed(spark, sf):
+    """A GB version separated and written by one job, read back from the landing."""
+    o = t(spark, sf, "orders")
+    landing = work_dir(spark, "gb-family")
+    land_version(spark, GB, _feed(o, _gb_mark(q("o_orderkey"), _at_one_utc(q("o_orderdate")), q("o_orderstatus")), "gb-family"), landing, "v1")
+    family = read_family(spark, landed_families(spark, landing, "gb")["v1"])
+    main = naive(family["Application"]).select(F.lit("Application").alias("table"), q("ApplicationNumber").alias("key"),
+                                               q("ApplicationDateTime").alias("at"), F.lit(None).cast("string").alias("text"))
+    series = family["MarkSeriesDetails"]
+    text = next(c for c in series.columns if c.endswith("MarkImageText"))
+    return main.unionByName(series.select(F.lit("MarkSeriesDetails").alias("table"), q("ApplicationNumber").alias("key"),
+                                          q(text).alias("text")), allowMissingColumns=True)
+
+
+@query("landing_quality", """
+SELECT 'us' AS office, 'case-file-header' AS "table", 'filing-date' AS "column", 'us_date' AS rule,
+       count(*) FILTER (WHERE o_orderstatus = 'P') AS n_bad FROM orders
+UNION ALL
+SELECT 'em', 'TradeMark', 'ApplicationDate', 'iso_date', count(*) FILTER (WHERE p_size % 4 = 0) FROM part
+""")
+def landing_quality(spark, sf):
+    """Values that the type rules cannot read, counted by the job that lands the rows; records that come twice count once."""
+    o, p = t(spark, sf, "orders"), t(spark, sf, "part")
+    landing = work_dir(spark, "quality-land")
+    day = F.when(q("o_orderstatus") == "P", F.lit("unknown")).otherwise(ymd(q("o_orderdate")))
+    land_version(spark, US, _feed(o, _case(q("o_orderkey"), day), "quality-us"), landing, "v1")
+    mark = _element("TradeMark", _value("ApplicationNumber", q("p_partkey")), _value("ApplicationDate", F.when(
+        q("p_size") % 4 == 0, F.lit("20-1-1")).otherwise(F.lit("2020-01-01"))))
+    land_version(spark, em_spec("TradeMark"), _feed(p, F.concat(mark, mark), "quality-em"), landing, "v1")
+    parts = [spark.read.parquet(quality_path(landing, office, "v1", schema)).select(F.lit(office).alias("office"), "table", "column", "rule", "n_bad")
+             for office, schema in (("us", "default"), ("em", "TradeMark"))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("gb_phases_published", """
+SELECT CAST(o_orderkey AS VARCHAR) AS key, CAST(o_orderdate AS TIMESTAMP) + CASE WHEN o_orderstatus = 'F' THEN INTERVAL 25 HOUR
+       ELSE INTERVAL 1 HOUR END AS at, 2 AS merged FROM orders
+""")
+def gb_phases_published(spark, sf):
+    """GB from landing to published files: a bulk version, then a daily one with changed marks.  The second run finds
+    nothing to land or merge and, as GB does, publishes all the same."""
+    o = t(spark, sf, "orders")
+    landing, root, folder = work_dir(spark, "phases-land"), work_dir(spark, "phases-store"), work_dir(spark, "phases-out")
+    bulk = _feed(o, _gb_mark(q("o_orderkey"), _at_one_utc(q("o_orderdate")), q("o_orderstatus")), "phases-bulk")
+    daily = _feed(o.where("o_orderstatus = 'F'"), _gb_mark(
+        q("o_orderkey"), _at_one_utc(q("o_orderdate") + F.expr("INTERVAL 1 DAY")), q("o_orderstatus")), "phases-daily")
+    versions = [("daily__01", 2, daily), ("bulk__01", 1, bulk)]
+    run_office(spark, GB, versions, landing, root)
+    published = run_office(spark, GB, versions, landing, root, publish_folder=folder)
+    merged = len(SnapshotStore(spark, root, "gb", keys=GB.keys).committed_versions())
+    return naive(spark.read.parquet(published["Application"])).select(
+        q("ApplicationNumber").alias("key"), q("ApplicationDateTime").alias("at"), F.lit(merged).alias("merged"))
+
+
+@query("em_record_column", """
+SELECT 'TradeMark' AS "table", CAST(p_partkey AS VARCHAR) AS key, p_brand AS feature FROM part
+UNION ALL SELECT 'delete', 'gone-' || CAST(p_partkey AS VARCHAR), NULL FROM part WHERE p_size % 2 = 0
+""")
+def em_record_column(spark, sf):
+    """Records inside a wrapping element: the separation is narrowed to their column and walks down to them."""
+    p = t(spark, sf, "part")
+    kept = _element("TradeMark operationCode='Insert'", _value("ApplicationNumber", q("p_partkey")), _value("Feature", q("p_brand")))
+    gone = _element("TradeMark operationCode='Delete'", _value("ApplicationNumber", F.concat(F.lit("gone-"), q("p_partkey").cast("string"))))
+    both = F.when(q("p_size") % 2 == 0, F.concat(gone, kept)).otherwise(kept)
+    wrapped = F.regexp_replace(_element("TransactionData", _element("TradeMarkDetails", both)), "</TradeMark [^>]*>", "</TradeMark>")
+    spec = replace(em_spec("TradeMark"), row_tag="TransactionData",
+                   separate=lambda df: separate_em(df, record_column="TradeMarkDetails"))
+    landing = work_dir(spark, "wrapped-land")
+    land_version(spark, spec, _feed(p, wrapped, "wrapped"), landing, "v1")
+    family = read_family(spark, landed_families(spark, landing, "em", "TradeMark")["v1"])
+    return family["TradeMark"].select(F.lit("TradeMark").alias("table"), q("ApplicationNumber").alias("key"), q("Feature").alias("feature")) \
+        .unionByName(family["delete"].select(F.lit("delete").alias("table"), q("ApplicationNumber").alias("key")), allowMissingColumns=True)

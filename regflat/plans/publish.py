@@ -10,10 +10,12 @@ ever funnelled through a single task for a table larger than the target.
 from __future__ import annotations
 
 import contextlib
+import json
 import math
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
@@ -128,14 +130,57 @@ def compact_table(df: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTE
     _sized_write(df, path, target_bytes, "overwrite", int96, partition_by)
 
 
-def save_family(tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite") -> dict[str, str]:
-    """Write every table of a version's family; returns name -> path."""
-    out = {}
-    for name, df in tables.items():
-        path = f"{folder}/table={name}"
-        df.write.mode(mode).parquet(path)
-        out[name] = path
-    return out
+@dataclass(frozen=True)
+class SavedTable:
+    """One table of a family: its folder, and where its rows are in it.
+
+    ``payload`` is the struct column that holds the row, ``schema`` its type as
+    JSON; both are None for a folder of plain files."""
+
+    path: str
+    payload: str | None = None
+    schema: str | None = None
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        if self.payload is None:
+            return spark.read.parquet(self.path)
+        row = T.StructType.fromJson(json.loads(self.schema))
+        fs, target = _file_system(spark, self.path)
+        if not fs.exists(target):  # a table without rows has no folder
+            return spark.createDataFrame([], row)
+        return spark.read.schema(T.StructType([T.StructField(self.payload, row)])).parquet(self.path).select(f"{self.payload}.*")
+
+
+def save_family(tables: Mapping[str, DataFrame], folder: str) -> dict[str, SavedTable]:
+    """Write every table of a version's family below ``folder`` in one job.
+
+    The tables become one stream of tagged rows: the name of the table, and one
+    struct column per table that is null but in the rows of its own, so equal
+    column names with unlike types do not meet.  One write, partitioned by the
+    name, puts each row in its folder ``table=<name>``; what the folder holds
+    before goes.  Rows stay in the partition that made them (a task writes one
+    table, so no sort by folder is needed): the fixed cost of a version is one
+    job, however many tables it has.
+    """
+    names = sorted(tables)
+    if not names:
+        return {}
+    payload = {name: f"t{i}" for i, name in enumerate(names)}
+    types = {name: tables[name].schema for name in names}
+
+    def tagged(name: str) -> DataFrame:
+        row = F.struct(*[f"`{c}`" for c in types[name].names])
+        return tables[name].select(F.lit(name).alias("table"), *[
+            (row if other == name else F.lit(None).cast(types[other])).alias(payload[other]) for other in names])
+
+    rows = [tagged(name) for name in names]
+    while len(rows) > 1:  # pairwise, so that the plan is not as deep as the family is long
+        rows = [rows[i].union(rows[i + 1]) if i + 1 < len(rows) else rows[i] for i in range(0, len(rows), 2)]
+    spark = rows[0].sparkSession
+    with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
+        # static: the whole folder is replaced, tables that are not written again go too
+        rows[0].write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("table").parquet(folder)
+    return {name: SavedTable(f"{folder}/table={name}", payload[name], types[name].json()) for name in names}
 
 
 def publish_all(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str,

@@ -8,14 +8,14 @@ file-system or stream arrival order.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from regflat.functions.types import quality_counts, text_only
+from regflat.functions.types import bad_value_flags, flagged, split_flags
+from regflat.operators.flatten import q
 from regflat.operators.merge import VERSION_COL, align_union, bulk_merge
 from regflat.plans.offices import OfficeSpec, normalise, prepare_new_rows
-from regflat.plans.publish import TARGET_FILE_BYTES, compact_files, save_family
+from regflat.plans.publish import SavedTable, TARGET_FILE_BYTES, compact_files, save_family
 from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives, write_records_as_xml
@@ -27,7 +27,8 @@ def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing:
                  version: str, schema=None) -> dict[str, str]:
     """L1: XML records of one version -> its table family as Parquet.
 
-    The nested parent is cached once; every table is a projection of it.
+    The nested parent is cached once; every table is a projection of it, and
+    one job writes them all and counts the values that the type rules null.
     Without a given schema the version's schema is inferred once (a full
     pass) and stored beside the landing, so a retry skips the inference.
     The completion marker is written last.
@@ -39,37 +40,51 @@ def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing:
     if schema is None:
         schema = record_schema(spark, xml_path, spec.row_tag)
         store_schema(spark, schema_path, schema)
-    written: dict[str, str] = {}
+    written: dict[str, SavedTable] = {}
     if schema.fields:  # an empty version lands no table; applying it still advances the ledger
         records = read_records(spark, xml_path, spec.row_tag, schema).persist()
         try:
-            tables = normalise(spec, records)
+            with bad_value_flags():
+                tables, counts = observe_quality(normalise(spec, records))
             written = save_family(tables, table_folder(landing, spec.office, version, schema=spec.schemas[0]))
             if spec.type_rules:
-                write_quality(spark, spec, records, tables, landing, version)
+                write_quality(spark, counts, quality_path(landing, spec.office, version, spec.schemas[0]))
         finally:
             records.unpersist()
-    mark_complete(spark, landing, spec.office, version, spec.schemas[0], list(written))
-    return written
+    mark_complete(spark, landing, spec.office, version, spec.schemas[0],
+                  {name: (saved.payload, saved.schema) for name, saved in written.items()})
+    return {name: saved.path for name, saved in written.items()}
 
 
 def quality_path(landing: str, office: str, version: str, schema: str = "default") -> str:
     return f"{landing.rstrip('/')}/_quality/{area(office, schema)}/version={version}"
 
 
-def write_quality(spark: SparkSession, spec: OfficeSpec, records: DataFrame,
-                  tables: Mapping[str, DataFrame], landing: str, version: str) -> None:
-    """K5-K9 quality table of one version: ``(table, column, rule, n_bad)``.
+def observe_quality(tables: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, tuple[list[str], Observation]]]:
+    """Tables without the flags of ``bad_value_flags``, and table -> (flags, counts to come).
 
-    The family is built a second time with text left as text and each table
-    is reduced to one row of counts (map-side partial aggregates over the
-    persisted parent); all tables go out in one write."""
-    with text_only():
-        raw = {k: v for k, v in normalise(spec, records).items() if k in tables}
-    parts = [quality_counts(df, list(spec.type_rules), name) for name, df in sorted(raw.items())]
-    if parts:
-        reduce(DataFrame.unionByName, parts).coalesce(1).write.mode("overwrite") \
-            .parquet(quality_path(landing, spec.office, version, spec.schemas[0]))
+    The counts are taken by the job that writes the tables: rows of the landed
+    table (after D1) whose value was bad.  The observation sits above a table's
+    last shuffle, so it runs in the tasks that write; Spark counts such a task
+    once, also when an executor is lost and the shuffle below is repeated."""
+    out, counts = {}, {}
+    for name, df in tables.items():
+        columns, flags = split_flags(df)
+        if flags:
+            seen = Observation()
+            df = df.observe(seen, *[F.count_if(q(c)).alias(f"n{i}") for i, c in enumerate(flags)])
+            counts[name] = (flags, seen)
+            df = df.select(*[q(c) for c in columns])
+        out[name] = df
+    return out, counts
+
+
+def write_quality(spark: SparkSession, counts: Mapping[str, tuple[list[str], Observation]], path: str) -> None:
+    """K5-K9 quality table of one version: ``(table, column, rule, n_bad)``, from the counts of its landing."""
+    rows = [(name, *flagged(flag), int(seen.get[f"n{i}"])) for name, (flags, seen) in sorted(counts.items())
+            for i, flag in enumerate(flags)]
+    spark.createDataFrame(rows, "table string, column string, rule string, n_bad bigint") \
+        .coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def land_archives(spark: SparkSession, spec: OfficeSpec, zip_root: str, landing: str, version: str,
@@ -119,7 +134,7 @@ def apply_in_order(store: SnapshotStore, spec: OfficeSpec, landing: str,
     updated = False
     for name, rank in pending_versions(store, versions):
         # an empty or missing version merges nothing but still advances
-        tables = _read_family(spark, landed.get(name, {}))
+        tables = read_family(spark, landed.get(name, {}))
         deletes = tables.pop("delete", None)
         tables = {k: prepare_new_rows(spec, k, v) for k, v in tables.items() if k not in spec.skip_tables}
         store.apply_version(name, rank, tables, spec.keys, deletes, spec.helper_columns, cascade=cascade)
@@ -127,14 +142,15 @@ def apply_in_order(store: SnapshotStore, spec: OfficeSpec, landing: str,
     return updated
 
 
-def landed_families(spark: SparkSession, landing: str, office: str, schema: str = "default") -> dict[str, dict[str, str]]:
-    """version -> {table: folder} of the versions whose landing is complete."""
-    return {v: {t: table_folder(landing, office, v, t, schema) for t in tables}
+def landed_families(spark: SparkSession, landing: str, office: str, schema: str = "default") -> dict[str, dict[str, SavedTable]]:
+    """version -> {table: where it is} of the versions whose landing is complete."""
+    return {v: {t: SavedTable(table_folder(landing, office, v, t, schema), *place) for t, place in tables.items()}
             for v, tables in complete_versions(spark, landing, office, schema).items()}
 
 
-def _read_family(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(p) for name, p in sorted(paths.items())}
+def read_family(spark: SparkSession, saved: Mapping[str, SavedTable]) -> dict[str, DataFrame]:
+    """The landed tables of one version."""
+    return {name: place.read(spark) for name, place in sorted(saved.items())}
 
 
 def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
@@ -155,7 +171,7 @@ def apply_in_one_pass(store: SnapshotStore, spec: OfficeSpec, landing: str,
     # all ranks are held while they are merged
     with store.claimed(*(r for _, r in todo)) as held:
         landed = landed_families(spark, landing, spec.office, spec.schemas[0])
-        families = {r: _read_family(spark, landed.get(n, {})) for n, r in todo}
+        families = {r: read_family(spark, landed.get(n, {})) for n, r in todo}
         tables = sorted(({t for fam in families.values() for t in fam if t != "delete"}
                          | (set(store.tables()) if cascade else set())) - set(spec.skip_tables))
         deletes = [fam["delete"].withColumn(VERSION_COL, F.lit(r)) for r, fam in families.items()

@@ -1,8 +1,8 @@
 """Landing inventory and version lists.
 
 Landed layout: ``<root>/office=<o>[/schema=<s>]/version=<v>/table=<t>/part-*.parquet``
-(one folder per table per version; the schema level is there for offices with
-several schemas).  A version counts as landed once its marker below
+(one folder per table per version that has rows; the schema level is there for
+offices with several schemas).  A version counts as landed once its marker below
 ``<root>/_complete`` is written, which is the last step of landing it: a crash
 before leaves files that the next attempt overwrites.  The inventory is a DataFrame built by the
 ``binaryFile`` source with only path/size/time selected, so listing never
@@ -11,7 +11,7 @@ reads file content.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -52,22 +52,30 @@ def table_folder(landing: str, office: str, version: str, table: str | None = No
     return base if table is None else f"{base}/table={table}"
 
 
-COMPLETE_SCHEMA = "version string, table string"
+# payload and schema say where a table's rows are in its files (null: the files are the table)
+COMPLETE_SCHEMA = "version string, table string, payload string, schema string"
 
 
 def mark_complete(spark: SparkSession, landing: str, office: str, version: str, schema: str = "default",
-                  tables: Sequence[str] | None = None) -> None:
-    """Close the landing of one version: write its marker with the tables it holds (all found, if not given)."""
+                  tables: Sequence[str] | Mapping[str, tuple[str | None, str | None]] | None = None) -> None:
+    """Close the landing of one version: write its marker with the tables it holds.
+
+    ``tables`` are names, or name -> (payload, schema).  Not given, a marker
+    that is there stays; without one all tables found below the version count."""
     if tables is None:
+        if version in complete_versions(spark, landing, office, schema):
+            return
         found = inventory(spark, table_folder(landing, office, version, schema=schema))
         tables = [r["table"] for r in found.select("table").distinct().collect()]
-    rows = [(version, t) for t in sorted(tables)] or [(version, None)]
+    places = tables if isinstance(tables, Mapping) else dict.fromkeys(tables, (None, None))
+    rows = [(version, t, *places[t]) for t in sorted(places)] or [(version, None, None, None)]
     spark.createDataFrame(rows, COMPLETE_SCHEMA).coalesce(1).write.mode("overwrite") \
         .parquet(f"{landing.rstrip('/')}/_complete/{area(office, schema)}/version={version}")
 
 
-def complete_versions(spark: SparkSession, landing: str, office: str, schema: str = "default") -> dict[str, list[str]]:
-    """Landed versions and their tables, from the markers (a few rows per version)."""
+def complete_versions(spark: SparkSession, landing: str, office: str,
+                      schema: str = "default") -> dict[str, dict[str, tuple[str | None, str | None]]]:
+    """Landed versions and their tables with (payload, schema), from the markers (a few rows per version)."""
     try:
         marks = spark.read.schema(COMPLETE_SCHEMA).option("recursiveFileLookup", "true") \
             .parquet(f"{landing.rstrip('/')}/_complete/{area(office, schema)}").collect()
@@ -75,9 +83,11 @@ def complete_versions(spark: SparkSession, landing: str, office: str, schema: st
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return {}
         raise
-    out: dict[str, list[str]] = {}
+    out: dict[str, dict[str, tuple[str | None, str | None]]] = {}
     for r in marks:
-        out.setdefault(r["version"], []).extend([r["table"]] if r["table"] is not None else [])
+        found = out.setdefault(r["version"], {})
+        if r["table"] is not None:
+            found[r["table"]] = (r["payload"], r["schema"])
     return out
 
 
