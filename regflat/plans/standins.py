@@ -39,7 +39,7 @@ from regflat.operators.rows import (distinct_keys, distinct_rows, drop_all_null_
 from regflat.operators.separate import Cleaning, extract_partial, extract_subtree, finish_partial
 from regflat.plans.applications import applications, write_applications
 from regflat.plans.buckets import bucket_count, merge_bucketed, write_bucketed
-from regflat.plans.catalog import catalog
+from regflat.plans.catalog import catalog, column_statistics
 from regflat.plans.ledger import latest, next_version as next_version_of, pending
 from regflat.plans.offices import (CA, GB, US, OfficeSpec, normalise, prepare_new_rows, separate_em,
                                    separate_us)
@@ -1161,6 +1161,35 @@ def catalog_columns(spark, sf):
     return catalog(spark, {"testdata": {name: f"{sf.rstrip('/')}/{name}.parquet" for name in TABLES}})
 
 
+# Columns of the driver tables and the kind of their bounds.
+STATISTICS = {
+    "customer": {"c_custkey": "long", "c_name": "", "c_nationkey": "long", "c_acctbal": "double", "c_mktsegment": ""},
+    "events": {"event_id": "long", "ts": "", "user_id": "long", "event_type": "", "value": "double", "props": ""},
+    "lineitem": {"l_orderkey": "long", "l_partkey": "long", "l_suppkey": "long", "l_linenumber": "long", "l_quantity": "double",
+                 "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "", "l_linestatus": "",
+                 "l_shipdate": ""},
+    "orders": {"o_orderkey": "long", "o_custkey": "long", "o_orderstatus": "", "o_totalprice": "double", "o_orderdate": "",
+               "o_orderpriority": ""},
+    "part": {"p_partkey": "long", "p_name": "", "p_brand": "", "p_type": "", "p_size": "long", "p_retailprice": "double"},
+}
+
+
+def _statistics_sql(table: str, column: str, kind: str) -> str:
+    # zero has no sign in a bound: DuckDB too reads -0.0 from a footer
+    bounds = ", ".join(f"{f'CAST(CASE WHEN {fn}({column}) = 0 THEN 0 ELSE {fn}({column}) END AS {sql})' if kind == k else f'CAST(NULL AS {sql})'} AS {end}_{k}"
+                       for k, sql in (("long", "BIGINT"), ("double", "DOUBLE"), ("date", "DATE"))
+                       for end, fn in (("low", "min"), ("high", "max")))
+    return (f"""SELECT '{table}' AS file, '{column}' AS "column", count(*) AS n_rows, count(*) - count({column}) AS n_nulls, """
+            f"{bounds} FROM {table}")
+
+
+@query("catalog_statistics", " UNION ALL ".join(
+    _statistics_sql(table, column, kind) for table, columns in STATISTICS.items() for column, kind in columns.items()))
+def catalog_statistics(spark, sf):
+    """Rows, nulls and bounds of every column, from the footers."""
+    return column_statistics(spark, {name: f"{sf.rstrip('/')}/{name}.parquet" for name in STATISTICS})
+
+
 # ----------------------------------------------------------- L5 -----------
 @query("snapshot_commit", """
 SELECT c_custkey, c_name, c_nationkey,
