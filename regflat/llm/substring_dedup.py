@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .words import hash_words, rolling, slide, texts
@@ -303,7 +303,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lead = known.where("leads is null or leads").select("u", "id", "text")
 
     anchors = lead.mapInArrow(_anchor_rows(window, gram), "h long, u long, places array<int>")
-    counted = anchors.withColumn("c", F.sum(F.size("places")).over(Window.partitionBy("h"))).where("c > 1")
+    # suffixes of a prefix are counted where they arise; what is joined back is one row a prefix, so a prefix that
+    # much of the corpus holds is no window of one task
+    shared = anchors.groupBy("h").agg(F.sum(F.size("places")).alias("c")).where("c > 1")
+    counted = anchors.join(shared, "h")
 
     def with_places(part: DataFrame) -> DataFrame:
         per_text = part.groupBy("u").agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("places"))
