@@ -92,11 +92,13 @@ FROM lineitem GROUP BY 1, 2
 """)
 def us_event_statements(spark, sf):
     """The largest US table is landed and merged like any other."""
-    l = t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(
-        F.sort_array(F.collect_list("l_linenumber")), lambda n: _element("case-file-event-statement", _value("number", n))), "")
-        .alias("events"))
+    # a case goes on in further records, each with the statements of at most 2^17 neighbouring rows
+    block = F.shiftright(F.monotonically_increasing_id(), 17)
+    cases = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", block.alias("block")).groupBy("l_orderkey", "block").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list("l_linenumber")), lambda n: _element(
+            "case-file-event-statement", _value("number", n))), "").alias("events"))
     landing, root = work_dir(spark, "events-land"), work_dir(spark, "events-store")
-    feed = _feed(l, _case(q("l_orderkey"), F.lit("20010101"), _element("case-file-event-statements", q("events"))), "events")
+    feed = _feed(cases, _case(q("l_orderkey"), F.lit("20010101"), _element("case-file-event-statements", q("events"))), "events")
     run_office(spark, US, [("v1", 1, feed)], landing, root)
     found = SnapshotStore(spark, root, "us", keys=US.keys).current("case-file-event-statements")
     number = next(c for c in found.columns if c.endswith("number") and c != "serial-number")
@@ -238,13 +240,17 @@ def manifest_tables(spark, sf):
     def row(a: F.Column, b: F.Column) -> F.Column:
         return F.concat(F.lit("<tr>\n <td><a href='x'>"), a, F.lit("</a></td><td>"), b.cast("string"), F.lit("</td></tr>\n"))
 
-    weekly = t(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("page")).agg(F.array_join(F.collect_list(
+    # a nation's listing goes on over pages of bounded length
+    def pages_of(table: str, key: str) -> DataFrame:
+        return t(spark, sf, table).withColumn("sheet", F.floor(F.col(key) / 1000))
+
+    weekly = pages_of("supplier", "s_suppkey").groupBy(F.col("s_nationkey").alias("page"), "sheet").agg(F.array_join(F.collect_list(
         row(F.concat(F.lit("WEEKLY_"), F.col("s_suppkey").cast("string"), F.lit(".zip")), F.col("s_suppkey"))), "").alias("w"))
     number = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
-    old = t(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("page")).agg(F.array_join(F.collect_list(
+    old = pages_of("customer", "c_custkey").groupBy(F.col("c_nationkey").alias("page"), "sheet").agg(F.array_join(F.collect_list(
         row(F.concat(F.lit("HIST_"), number, F.lit(".zip")), F.lit("2019 &amp; before"))), "").alias("h"))
     other = row(F.lit("Schema_1.zip"), F.lit("")), row(F.lit("index.zip"), F.lit(""))
-    pages = weekly.join(old, "page", "full").select("page", F.concat(
+    pages = weekly.join(old, ["page", "sheet"], "full").select("page", F.concat(
         table(F.coalesce("w", F.lit("")), "File", "Volume"),
         table(F.concat(F.coalesce("h", F.lit("")), *other), "File", "Date and volume")).alias("html"))
     return sort_manifest(file_list(pages, keep=("page",), corrections={"WEEKLY_1.zip": "WEEKLY_1_fixed.zip"}))
