@@ -147,6 +147,10 @@ def record_strings(spark: SparkSession, paths: str | Sequence[str], row_tag: str
     A record cut off by the end of the file gets its end tag and fails to parse if anything in it is not whole.  Files
     are read in the encoding that they declare (or the given one); compressed ones and UTF-16 are one range.
     Elements of the row tag do not nest.
+
+    The only figures that Spark measures below the records are
+    those of the ranges, a few bytes for each, so it would take any join of records for a small one and broadcast it:
+    a hint keeps such joins sort-merge joins (a broadcast hint on the other side goes before it).
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "false") \
         .load(paths if isinstance(paths, str) else list(paths)).select("path", F.col("length").alias("size")).where("size > 0")
@@ -165,7 +169,7 @@ def record_strings(spark: SparkSession, paths: str | Sequence[str], row_tag: str
     else:
         ranges = ranges.withColumn("state", F.lit(None).cast("int"))
     ranges = ranges.select("path", "size", "lo", "hi", F.coalesce("state", F.lit(xml_lexer.OUT)).alias("state"))
-    return ranges.repartition(tasks).mapInArrow(_range_records(row_tag, encoding), "record string")
+    return ranges.repartition(tasks).mapInArrow(_range_records(row_tag, encoding), "record string").hint("merge")
 
 
 def parse_strings(records: DataFrame, schema: T.StructType, column: str = "record", on_bad: str = "raise",
