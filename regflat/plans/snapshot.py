@@ -38,9 +38,10 @@ from regflat.plans import claims
 from regflat.plans.ledger import append_ledger, read_ledger
 from regflat.plans.publish import TARGET_FILE_BYTES, remove_folder, save_table, session_conf, stored_bytes
 
-# Runtime (AQE) broadcast limit for merge writes: a key set of this size is
-# ~10M keys, small enough to ship to every executor.
-MERGE_BROADCAST_BYTES = 256 * 1024 * 1024
+# Runtime (AQE) broadcast limit for merge writes: about half a million keys.
+# A broadcast is gathered, hashed and cut up on the driver, where it takes
+# several times its size, so it must not grow with the table.
+MERGE_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 class SnapshotStore:
