@@ -55,13 +55,15 @@ def _step(tag: str, buf: bytes, at: int, state: int) -> tuple[int, int, str | No
     return (m.end(), OPEN, BEGINS, m.start()) if state == OUT else (m.end(), OUT, ENDS, m.end())
 
 
-def lex(tag: str, piece: bytes, state: int) -> tuple[int, list[tuple[str, int]]]:
-    """State after a piece, and where records begin and end in it."""
+def lex(tag: str, piece: bytes, state: int, one_end: bool = False) -> tuple[int, list[tuple[str, int]]]:
+    """State after a piece, and where records begin and end in it; with ``one_end`` no further than the first end."""
     at, events = 0, []
     while (found := _step(tag, piece, at, state)) is not None:
         at, state, what, where = found
         if what:
             events.append((what, where))
+            if one_end and what is ENDS:
+                break
     return state, events
 
 
@@ -104,7 +106,7 @@ class Records:
     def feed(self, piece: bytes, only_open: bool = False) -> Iterator[bytes]:
         """Records that end in the piece; with ``only_open`` no further than the open one."""
         at = 0
-        self.state, events = lex(self.tag, piece, self.state)
+        self.state, events = lex(self.tag, piece, self.state, only_open)
         for what, where in events:
             if what == BEGINS:
                 self.parts, at = [], where

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -46,29 +47,37 @@ class BadRecords(ValueError):
 
 
 PIECE = 1 << 20  # bytes lexed at once
+LEAST = 1 << 12  # bytes of the first read where a little may do
 MOST = 64 << 20  # bytes of a range, at most
+PACKED = (".gz", ".bz2", ".zst", ".lz4", ".snappy")
+UNPACKED = 16    # bytes of text that a compressed byte is counted as when work is dealt
 
-def _pieces(file, size: int, lo: int, hi: int):
-    """Bytes ``lo`` .. ``hi`` of a file, both moved on to the next ``<``, as pieces cut before a ``<``; (place, piece)."""
+
+def _pieces(file, size: int, lo: int, hi: int, first: int = PIECE):
+    """Bytes ``lo`` .. ``hi`` of a file, both moved on to the next ``<``, as pieces cut before a ``<``; (place, piece).
+
+    Pieces begin with ``first`` bytes and double up to ``PIECE``: who needs the end of one record reads little more."""
     def aligned(at: int) -> int:
+        step = LEAST
         while 0 < at < size:
-            data = file.read_at(min(1 << 16, size - at), at)
+            data = file.read_at(min(step, size - at), at)
             i = data.find(b"<")
             if i >= 0:
                 return at + i
             at += len(data)
+            step = min(2 * step, 1 << 16)
         return min(at, size)
 
-    at, end = aligned(lo), aligned(hi)
+    at, end, step = aligned(lo), aligned(hi), first
     while at < end:
-        stop = min(end, aligned(min(end, at + PIECE)))
+        stop = min(end, aligned(min(end, at + step)))
         yield at, file.read_at(stop - at, at)
-        at = stop
+        at, step = stop, min(2 * step, PIECE)
 
 
 def _encoding(path: str, given: str | None) -> str | None:
     """The file's encoding, None where its bytes cannot be lexed in ranges."""
-    if path.endswith((".gz", ".bz2", ".zst", ".lz4", ".snappy")):
+    if path.endswith(PACKED):
         return None
     with open_file(path) as file:
         name = given or declared_encoding(file.read(512))
@@ -78,11 +87,12 @@ def _encoding(path: str, given: str | None) -> str | None:
 def _range_maps(tag: str, given: str | None):
     """First pass: what each range does to every state that it may begin in."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding_of = lru_cache(maxsize=64)(_encoding)  # a task may hold many ranges of a file
         for batch in batches:
             out = []
             for r in batch.to_pylist():
                 now = list(xml_lexer.STATES)
-                if _encoding(r["path"], given) is not None:
+                if encoding_of(r["path"], given) is not None:
                     with open_file(r["path"]) as file:
                         for _, piece in _pieces(file, r["size"], r["lo"], r["hi"]):
                             does = xml_lexer.piece_map(tag, piece)
@@ -107,7 +117,7 @@ def _range_records(tag: str, given: str | None):
             for _, piece in _pieces(file, r["size"], r["lo"], r["hi"]):
                 yield from (x.decode(encoding) for x in records.feed(piece))
             if records.parts is not None:
-                for _, piece in _pieces(file, r["size"], r["hi"], r["size"]):
+                for _, piece in _pieces(file, r["size"], r["hi"], r["size"], LEAST):
                     yield from (x.decode(encoding) for x in records.feed(piece, only_open=True))
                     if records.parts is None:
                         return
@@ -115,9 +125,10 @@ def _range_records(tag: str, given: str | None):
                 yield b"".join(records.parts).decode(encoding, "replace") + f"</{tag}>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding_of = lru_cache(maxsize=64)(_encoding)
         for batch in batches:
             for r in batch.to_pylist():
-                encoding = _encoding(r["path"], given)
+                encoding = encoding_of(r["path"], given)
                 if encoding is not None:
                     found = of_range(r, encoding)
                 elif r["lo"] == 0:  # one stream
@@ -137,7 +148,7 @@ def _range_records(tag: str, given: str | None):
 
 
 def record_strings(spark: SparkSession, paths: str | Sequence[str], row_tag: str, encoding: str | None = None,
-                   range_bytes: int | None = None) -> DataFrame:
+                   range_bytes: int | None = None, ranges: DataFrame | None = None) -> DataFrame:
     """One row ``(record)`` per ``row_tag`` element, as text, from byte ranges of any file.
 
     Ranges (``spark.sql.files.maxPartitionBytes`` unless given) begin anywhere, inside a comment, a CDATA section or a
@@ -148,19 +159,31 @@ def record_strings(spark: SparkSession, paths: str | Sequence[str], row_tag: str
     are read in the encoding that they declare (or the given one); compressed ones and UTF-16 are one range.
     Elements of the row tag do not nest.
 
-    The only figures that Spark measures below the records are
+    Tasks are dealt by bytes, however short the ranges are.  The only figures that Spark measures below the records are
     those of the ranges, a few bytes for each, so it would take any join of records for a small one and broadcast it:
     a hint keeps such joins sort-merge joins (a broadcast hint on the other side goes before it).
+
+    Who reads the records more than once passes ``ranges``, those of :func:`record_ranges`, kept.
     """
+    if ranges is None:
+        ranges = record_ranges(spark, paths, row_tag, encoding, range_bytes)
+    return ranges.mapInArrow(_range_records(row_tag, encoding), "record string").hint("merge")
+
+
+def record_ranges(spark: SparkSession, paths: str | Sequence[str], row_tag: str, encoding: str | None = None,
+                  range_bytes: int | None = None) -> DataFrame:
+    """The byte ranges of files and the state before each, dealt to tasks: a few bytes a range."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "false") \
         .load(paths if isinstance(paths, str) else list(paths)).select("path", F.col("length").alias("size")).where("size > 0")
-    told = files.agg(F.sum("size"), F.max("size")).first()
-    if range_bytes is None:
-        said = spark.conf.get("spark.sql.files.maxPartitionBytes")
-        range_bytes = min(MOST, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said))
+    packed = F.col("path").rlike(f"({'|'.join(map(re.escape, PACKED))})$")
+    told = files.agg(F.sum(F.col("size") * F.when(packed, UNPACKED).otherwise(1)), F.max("size"), F.count(F.lit(1))).first()
+    said = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    task_bytes = min(MOST, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said))
+    range_bytes = range_bytes or task_bytes
     ranges = files.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long")))) \
         .withColumn("hi", F.least(F.col("lo") + range_bytes, F.col("size")))
-    tasks = max(1, -(-(told[0] or 0) // range_bytes))
+    # at least as many as can run at once, where there are as many files
+    tasks = max(1, -(-(told[0] or 0) // max(range_bytes, task_bytes)), min(told[2], spark.sparkContext.defaultParallelism))
     if (told[1] or 0) > range_bytes:
         several = ranges.where(F.col("size") > range_bytes).repartition(tasks)
         state = several.mapInArrow(_range_maps(row_tag, encoding), "path string, lo long, does binary") \
@@ -169,7 +192,7 @@ def record_strings(spark: SparkSession, paths: str | Sequence[str], row_tag: str
     else:
         ranges = ranges.withColumn("state", F.lit(None).cast("int"))
     ranges = ranges.select("path", "size", "lo", "hi", F.coalesce("state", F.lit(xml_lexer.OUT)).alias("state"))
-    return ranges.repartition(tasks).mapInArrow(_range_records(row_tag, encoding), "record string").hint("merge")
+    return ranges.repartition(tasks)
 
 
 def parse_strings(records: DataFrame, schema: T.StructType, column: str = "record", on_bad: str = "raise",
@@ -195,13 +218,13 @@ def parse_strings(records: DataFrame, schema: T.StructType, column: str = "recor
 
 
 def read_records(spark: SparkSession, paths: str | Sequence[str], row_tag: str, schema: T.StructType | None = None,
-                 on_bad: str = "raise", quarantine: str | None = None) -> DataFrame:
+                 on_bad: str = "raise", quarantine: str | None = None, ranges: DataFrame | None = None) -> DataFrame:
     """S1 as the pipeline does it: splittable record strings, parsed with the stored (or inferred) schema."""
     if schema is None:
-        schema = record_schema(spark, paths, row_tag)
+        schema = record_schema(spark, paths, row_tag, ranges)
     if not schema.fields:
         return spark.createDataFrame([], T.StructType([]))
-    return parse_strings(record_strings(spark, paths, row_tag), schema, on_bad=on_bad, quarantine=quarantine)
+    return parse_strings(record_strings(spark, paths, row_tag, ranges=ranges), schema, on_bad=on_bad, quarantine=quarantine)
 
 
 def write_xml(df: DataFrame, path: str, row_tag: str, root_tag: str, mode: str = "error") -> None:
@@ -218,12 +241,12 @@ def parse_records(df: DataFrame, column: str, schema: T.StructType,
     return df.select(*keep, parsed).select(*keep, "_rec.*")
 
 
-def record_schema(spark: SparkSession, landed_path: str | Sequence[str], row_tag: str) -> T.StructType:
+def record_schema(spark: SparkSession, landed_path: str | Sequence[str], row_tag: str, ranges: DataFrame | None = None) -> T.StructType:
     """Infer the nesting of one landed version (strings at the leaves) from its record strings.
 
     A full, split pass over the input: do it once, store the result beside the
     ledger and pass it to :func:`read_records` from then on."""
-    strings = record_strings(spark, landed_path, row_tag)
+    strings = record_strings(spark, landed_path, row_tag, ranges=ranges)
     reader = spark.read.options(**XML_OPTIONS).option("rowTag", row_tag)._jreader
     encoder = spark._jvm.org.apache.spark.sql.Encoders.STRING()
     found = DataFrame(reader.xml(getattr(strings._jdf, "as")(encoder)), spark).schema
