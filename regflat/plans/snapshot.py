@@ -25,7 +25,6 @@ moved on meanwhile.  Folders of a repeated attempt have names of their own
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
@@ -36,7 +35,7 @@ from regflat.operators.merge import (VERSION_COL, align_union, bulk_merge, key_s
                                      update_table)
 from regflat.plans import claims
 from regflat.plans.ledger import append_ledger, read_ledger
-from regflat.plans.publish import TARGET_FILE_BYTES, remove_folder, save_table, session_conf, stored_bytes
+from regflat.plans.publish import TARGET_FILE_BYTES, remove_folder, save_table, session_conf
 
 # Runtime (AQE) broadcast limit for merge writes: about half a million keys.
 # A broadcast is gathered, hashed and cut up on the driver, where it takes
@@ -203,11 +202,8 @@ class SnapshotStore:
         path = self.snapshot_path(table, rank)
         with session_conf(self.spark, {"spark.sql.adaptive.autoBroadcastJoinThreshold":
                                        str(MERGE_BROADCAST_BYTES)}):
-            # files near the target without a shuffle: as many write tasks as the
-            # table's last snapshot has target sizes (the first one as it comes)
-            last = self.committed().get(table)
-            if last is not None:
-                df = df.coalesce(max(1, math.ceil(stored_bytes(self.spark, last) / target_bytes)))
+            # files as the tasks come: ``coalesce`` here would run the partitions of the join one after another in a
+            # few tasks.  Small files do not add up, as a scan packs them into splits; publishing sizes them
             save_table(df, path, target_bytes, mode="overwrite", rebalance=False)
         return path
 
