@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+OPEN_FILES = 4  # folders that a task writes at once; with more it sorts its rows
 
 
 @contextlib.contextmanager
@@ -43,6 +44,9 @@ def _sized_write(df: DataFrame, path: str, target_bytes: int, mode: str, int96:
     }
     if int96:
         conf["spark.sql.parquet.outputTimestampType"] = "INT96"
+    if partition_by:
+        # a task holds few folders: it keeps a file open for each instead of sorting its rows by folder
+        conf["spark.sql.maxConcurrentOutputFileWriters"] = str(OPEN_FILES)
     with session_conf(df.sparkSession, conf):
         # rebalance by the partition columns keeps one writer per folder
         # (sized by AQE), instead of every task writing into every folder
@@ -177,7 +181,7 @@ def save_family(tables: Mapping[str, DataFrame], folder: str) -> dict[str, Saved
     while len(rows) > 1:  # pairwise, so that the plan is not as deep as the family is long
         rows = [rows[i].union(rows[i + 1]) if i + 1 < len(rows) else rows[i] for i in range(0, len(rows), 2)]
     spark = rows[0].sparkSession
-    with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
+    with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}):
         # static: the whole folder is replaced, tables that are not written again go too
         rows[0].write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("table").parquet(folder)
     return {name: SavedTable(f"{folder}/table={name}", payload[name], types[name].json()) for name in names}

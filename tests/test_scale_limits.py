@@ -74,3 +74,19 @@ def test_a_merged_snapshot_is_written_by_the_tasks_of_the_merge(spark):
     store.apply_version("b", 2, {"t": df.where("k < 10").withColumn("v", F.lit(1))}, ["k"])
     assert rows(store.current("t")) == sorted([(str(i), int(i < 10)) for i in range(100)], key=repr)
     assert len(glob.glob(f"{store.committed()['t'].removeprefix('file://')}/*.parquet")) > 1
+
+
+def test_writing_by_folder_does_not_sort(spark, monkeypatch):
+    seen = {}
+    plain = publish.session_conf
+    monkeypatch.setattr(publish, "session_conf", lambda s, conf: seen.update(conf) or plain(s, conf))
+    path = work_dir(spark, "folders")
+    publish.compact_table(spark.range(20).select("id", (F.col("id") % 3).alias("p")), path, partition_by=("p",))
+    assert spark.read.parquet(path).count() == 20
+    assert int(seen["spark.sql.maxConcurrentOutputFileWriters"]) >= 4
+
+
+def test_conf_is_put_back(spark):
+    with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
+        pass
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
