@@ -342,12 +342,21 @@ def _land_xml(spark, df: DataFrame, row_tag: str, purpose: str) -> tuple[str, T.
 
     Records are rendered by ``to_xml`` and read by the pipeline's own reader."""
     path = work_dir(spark, purpose)
-    xml = F.to_xml(F.struct(*[q(c) for c in df.columns]),
-                   {"rowTag": row_tag, "attributePrefix": "@", "valueTag": "#text", "indent": "  "})
-    df.select(xml.alias("record")).write.text(path)
+    _write_records(df, F.to_xml(F.struct(*[q(c) for c in df.columns]),
+                                {"rowTag": row_tag, "attributePrefix": "@", "valueTag": "#text", "indent": ""}), path)
     return path, as_text_schema(df.schema)
 
 
+LANDED_RECORDS = 50_000  # of a landed file: compressed files are read whole, each by one task
+
+
+def _write_records(df: DataFrame, xml: F.Column, path: str) -> None:
+    """Land record texts as an office packs them: compressed files of bounded length (plain, indented text is tens of
+    times the tables that it comes from)."""
+    df.select(xml.alias("record")).write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED") \
+        .option("maxRecordsPerFile", LANDED_RECORDS).text(path)
+
+
 def _prefixed(dtype: T.DataType) -> T.DataType:
     """Schema with ``ns__name`` placeholders turned back into ``ns:name``."""
     if isinstance(dtype, T.StructType):
@@ -364,11 +373,11 @@ def _read_landed_prefixed(spark, df: DataFrame, row_tag: str, purpose: str, sf:
     placeholders by ``to_xml`` and the prefixes restored by a regex."""
     path = work_dir(spark, purpose)
     xml = F.to_xml(F.struct(*[q(c) for c in df.columns]),
-                   {"rowTag": row_tag.replace(":", "__"), "attributePrefix": "@", "valueTag": "#text",
-                    "indent": "  "})
-    xml = F.regexp_replace(xml, r"(</?)(tmk|com|cacom|catmk)__", "$1$2:")           # element names
-    xml = F.regexp_replace(xml, r"(\s)(tmk|com|cacom|catmk)__([A-Za-z0-9]+=)", "$1$2:$3")  # attributes
-    df.select(xml.alias("record")).write.text(path)
+                   {"rowTag": row_tag.replace(":", "__"), "attributePrefix": "@", "valueTag": "#text", "indent": ""})
+    # element names, and names before an equals sign (attributes); the search is for the two signs, so it is one quick pass
+    name = "(?:tmk|com|cacom|catmk)__"
+    xml = F.regexp_replace(xml, rf"__(?:(?<=<{name})|(?<=</{name})|(?<=\s{name})(?=[A-Za-z0-9]+=))", ":")
+    _write_records(df, xml, path)
     return read_records(spark, path, row_tag, _prefixed(as_text_schema(df.schema)))
 
 

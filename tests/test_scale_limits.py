@@ -86,6 +86,17 @@ def test_writing_by_folder_does_not_sort(spark, monkeypatch):
     assert int(seen["spark.sql.maxConcurrentOutputFileWriters"]) >= 4
 
 
+def test_landed_records_are_packed_and_bounded(spark, monkeypatch):
+    monkeypatch.setattr(standins, "LANDED_RECORDS", 10)
+    df = spark.range(35).coalesce(1).select(F.col("id").alias("key"), F.struct(F.lit("a <tmk__b> & c").alias("tmk__T")).alias("com__S"))
+    path, schema = standins._land_xml(spark, df, "rec", "packed")
+    files = glob.glob(f"{path.removeprefix('file://')}/part-*")
+    assert len(files) == 4 and all(f.endswith(".gz") for f in files)
+    assert xml_records.read_records(spark, path, "rec", schema).select(F.col("key").cast("int")).distinct().count() == 35
+    got = standins._read_landed_prefixed(spark, df, "rec", "packed-2", "").select("key", "`com:S`.`tmk:T`")
+    assert rows(got) == sorted([(str(i), "a <tmk__b> & c") for i in range(35)], key=repr)
+
+
 def test_conf_is_put_back(spark):
     with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
         pass
