@@ -8,6 +8,7 @@ file-system or stream arrival order.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -15,12 +16,14 @@ from regflat.functions.types import bad_value_flags, flagged, split_flags
 from regflat.operators.flatten import q
 from regflat.operators.merge import VERSION_COL, align_union, bulk_merge
 from regflat.plans.offices import OfficeSpec, normalise, prepare_new_rows
-from regflat.plans.publish import SavedTable, TARGET_FILE_BYTES, compact_files, save_family
+from regflat.plans.publish import SavedTable, TARGET_FILE_BYTES, compact_files, save_family, session_conf
 from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives, write_records_as_xml
 from regflat.sources.landing import area, complete_versions, mark_complete, table_folder
-from regflat.sources.xml_records import load_schema, read_records, record_schema, store_schema
+from regflat.sources.xml_records import load_schema, read_records, record_ranges, record_schema, store_schema
+
+PUBLISHED_AT_ONCE = 4  # tables
 
 
 def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing: str,
@@ -37,25 +40,34 @@ def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing:
     schema_path = f"{landing.rstrip('/')}/_schemas/{where}/version={version}"
     if schema is None:
         schema = load_schema(spark, schema_path)
-    if schema is None:
-        schema = record_schema(spark, xml_path, spec.row_tag)
-        store_schema(spark, schema_path, schema)
     written: dict[str, SavedTable] = {}
-    if schema.fields:  # an empty version lands no table; applying it still advances the ledger
-        records = read_records(spark, xml_path, spec.row_tag, schema).persist()
-        try:
-            with bad_value_flags():
-                tables, counts = observe_quality(normalise(spec, records))
-            written = save_family(tables, table_folder(landing, spec.office, version, schema=spec.schemas[0]))
-            if spec.type_rules:
-                write_quality(spark, counts, quality_path(landing, spec.office, version, spec.schemas[0]))
-        finally:
-            records.unpersist()
+    ranges = record_ranges(spark, xml_path, spec.row_tag).persist()  # found once, read for the schema and for the rows
+    try:
+        if schema is None:
+            schema = record_schema(spark, xml_path, spec.row_tag, ranges)
+            store_schema(spark, schema_path, schema)
+        if schema.fields:  # an empty version lands no table; applying it still advances the ledger
+            written = _land_records(spark, spec, read_records(spark, xml_path, spec.row_tag, schema, ranges=ranges), landing, version)
+    finally:
+        ranges.unpersist()
     mark_complete(spark, landing, spec.office, version, spec.schemas[0],
                   {name: (saved.payload, saved.schema) for name, saved in written.items()})
     return {name: saved.path for name, saved in written.items()}
 
 
+def _land_records(spark: SparkSession, spec: OfficeSpec, records: DataFrame, landing: str, version: str) -> dict[str, SavedTable]:
+    records = records.persist()
+    try:
+        with bad_value_flags():
+            tables, counts = observe_quality(normalise(spec, records))
+        written = save_family(tables, table_folder(landing, spec.office, version, schema=spec.schemas[0]))
+        if spec.type_rules:
+            write_quality(spark, counts, quality_path(landing, spec.office, version, spec.schemas[0]))
+    finally:
+        records.unpersist()
+    return written
+
+
 def quality_path(landing: str, office: str, version: str, schema: str = "default") -> str:
     return f"{landing.rstrip('/')}/_quality/{area(office, schema)}/version={version}"
 
@@ -218,10 +230,12 @@ def publish_if_updated(store: SnapshotStore, updated: bool, folder: str,
         for t in store.tables():
             store.compact(t, target_bytes)
     # full snapshots on disk: publish them by a shuffle-free coalesce copy
-    out = {}
-    for t, snap in store.committed().items():
-        out[t] = f"{folder}/{t}.parquet"
-        compact_files(spark, snap, out[t], target_bytes, int96=True)
+    # side by side: a table below the target is one task
+    snapshots = store.committed()
+    out = {t: f"{folder}/{t}.parquet" for t in snapshots}
+    # set around the threads too, as each of them puts back what it found
+    with session_conf(spark, {"spark.sql.parquet.outputTimestampType": "INT96"}), ThreadPoolExecutor(PUBLISHED_AT_ONCE) as pool:
+        list(pool.map(lambda t: compact_files(spark, snapshots[t], out[t], target_bytes, int96=True), out))
     return out
 
 

@@ -97,6 +97,20 @@ def test_landed_records_are_packed_and_bounded(spark, monkeypatch):
     assert rows(got) == sorted([(str(i), "a <tmk__b> & c") for i in range(35)], key=repr)
 
 
+def test_a_landing_finds_its_ranges_once(spark, monkeypatch):
+    calls = []
+    plain = xml_records.record_ranges
+    counted = lambda *a, **k: calls.append(a) or plain(*a, **k)
+    monkeypatch.setattr(xml_records, "record_ranges", counted)
+    monkeypatch.setattr(updates, "record_ranges", counted)
+    body = "<r>" + "".join(f"<case-file><serial-number>{i}</serial-number><case-file-header><filing-date>20010101</filing-date>"
+                           "</case-file-header></case-file>" for i in range(9)) + "</r>"
+    landing = work_dir(spark, "once")
+    updates.land_version(spark, US, _land(spark, "once-xml", body), landing, "v1")
+    family = updates.read_family(spark, updates.landed_families(spark, landing, "us")["v1"])
+    assert family["case-file-header"].count() == 9 and len(calls) == 1
+
+
 def test_conf_is_put_back(spark):
     with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
         pass
