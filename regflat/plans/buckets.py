@@ -38,7 +38,7 @@ from regflat.plans.publish import stored_bytes
 
 KEY = "_regflat_key"
 MIN_HOT = 10_000  # rows of one key that any task can take
-BUCKET_BYTES = 128 * 1024 * 1024
+BUCKET_BYTES = 32 * 1024 * 1024  # of Parquet; the rows of a bucket are several times that in a shuffle
 MIN_BUCKETS = 8
 _NO_KEYS = (T.FloatType, T.DoubleType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 

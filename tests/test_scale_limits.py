@@ -111,6 +111,11 @@ def test_a_landing_finds_its_ranges_once(spark, monkeypatch):
     assert family["case-file-header"].count() == 9 and len(calls) == 1
 
 
+def test_buckets_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(buckets, "stored_bytes", lambda *_: 640 << 20)
+    assert buckets.bucket_count(spark, "x") >= 20
+
+
 def test_conf_is_put_back(spark):
     with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
         pass
