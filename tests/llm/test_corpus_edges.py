@@ -414,3 +414,12 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.decontamination(spark, leak, sf).count() == 0
     last = corpus_pipeline.run(spark, sf)
     assert last.where("lossless").count() == last.count() > 0
+
+
+def test_units_share_the_ids_of_their_letters():
+    """Letters are learned once, whatever signs stand behind them; line feeds inside a unit stay in its group."""
+    enc = token_files.Encoder(queries.tokenizer_file("byte_bpe_50k.json"))
+    texts = ["a wordy, wordy. wordy! (wordy) wordy", "x wordy.\nWordy wordy's, 12,5 ä.ö ... é,,", "q end.\n\nnext wordy;", "w a\nb\nc d"]
+    for t, got in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(got, enc.dtype).tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids
+    assert {",", ".", "!", ";"} <= set(enc.tails)
