@@ -201,7 +201,7 @@ def repeated_windows(group: np.ndarray, before: np.ndarray, counts: np.ndarray,
     return mask
 
 
-def _subtree_rows(window: int, gram: int, at_once: int = 50_000):
+def _subtree_rows(window: int, gram: int, at_once: int = 16_000):
     """Groups of a partition sorted by prefix, a bounded number of suffixes at a time."""
     def solve(table: pa.Table) -> pa.RecordBatch:
         words = table.column("words").combine_chunks()

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20  # bytes of text worked on at once (a longer text is a chunk of its own)
+CHUNK = 1 << 18  # bytes of text worked on at once (a longer text is a chunk of its own), with arrays many times its size
 
 _rng = np.random.default_rng(20240229)
 _TABLE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

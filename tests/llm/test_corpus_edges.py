@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -423,3 +424,41 @@ def test_units_share_the_ids_of_their_letters():
     for t, got in zip(texts, enc.encode(texts)):
         assert np.frombuffer(got, enc.dtype).tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids
     assert {",", ".", "!", ";"} <= set(enc.tails)
+
+
+def test_pipeline_stages_hand_over_texts_in_small_batches(spark):
+    """Batches of 10,000 whole texts took an executor and its workers over their memory."""
+    spark.conf.unset(corpus_pipeline.BATCH_BYTES)
+    try:
+        rows = spark.createDataFrame([(i, "x" * 9_000, 9_000) for i in range(1_500)], "doc_id long, text string, n_chars long")
+        corpus_pipeline.passage_dedup(spark, rows, "")
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.record_batch({"n": pa.array([b.nbytes], pa.int64())})
+
+        held = [r.n for r in rows.coalesce(1).mapInArrow(sizes, "n long").collect()]
+        assert len(held) > 1 and max(held) < 5 << 20
+        spark.conf.set(corpus_pipeline.BATCH_BYTES, "1m")  # a setting of the caller stays
+        corpus_pipeline.passage_dedup(spark, rows, "")
+        assert spark.conf.get(corpus_pipeline.BATCH_BYTES) == "1m"
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH_BYTES)
+
+
+def test_subtrees_and_chunks_of_text_are_held_a_few_at_a_time(monkeypatch):
+    solved = []
+
+    def windows(group, *rest):
+        solved.append(len(group))
+        return np.zeros(len(group), np.int64)
+
+    monkeypatch.setattr(substring_dedup, "repeated_windows", windows)
+    batches = (pa.record_batch({"h": pa.array([i] * 1_000, pa.int64()), "u": pa.array(range(1_000), pa.int64()),
+                                "place": pa.array([0] * 1_000, pa.int32()), "before": pa.array([0] * 1_000, pa.int32()),
+                                "words": pa.array([b"\0" * 8] * 1_000, pa.binary())}) for i in range(60))
+    list(substring_dedup._subtree_rows(35, 16)(batches))
+    assert sum(solved) == 60_000 and max(solved) <= 16_000
+    slices = list(words.texts(pa.array(["a" * 1_000] * 2_000)))
+    assert slices[0][0] == 0 and slices[-1][1] == 2_000
+    assert max(int(at[-1] - at[0]) for _, _, _, at in slices) <= 1 << 18
