@@ -126,7 +126,8 @@ class Encoder:
                 wanted.update(parts[1:])
         missing = wanted.difference(known)
         if missing and self.older:
-            known.update((u, self.older[u]) for u in missing.intersection(self.older))
+            older = self.older  # looked up: an intersection with a dictionary goes through all of it
+            known.update([(u, older[u]) for u in missing if u in older])
             missing = missing.difference(known)
         if missing:
             self._learn(missing)

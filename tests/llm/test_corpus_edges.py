@@ -462,3 +462,18 @@ def test_subtrees_and_chunks_of_text_are_held_a_few_at_a_time(monkeypatch):
     slices = list(words.texts(pa.array(["a" * 1_000] * 2_000)))
     assert slices[0][0] == 0 and slices[-1][1] == 2_000
     assert max(int(at[-1] - at[0]) for _, _, _, at in slices) <= 1 << 18
+
+
+def test_remembered_units_are_looked_up_not_gone_through():
+    """An intersection of a set with a dictionary goes through the whole dictionary, for every 256 texts."""
+    class Remembered(dict):
+        def __iter__(self):
+            raise AssertionError("gone through")
+
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    enc, plain = token_files.Encoder(path), token_files.Encoder(path)
+    texts = ["one two three four", "five two, six"]
+    plain.encode(texts)
+    enc.older = Remembered(plain.units)
+    assert enc.encode(texts) == plain.encode(texts)
+    assert enc.units["two"] is plain.units["two"]
