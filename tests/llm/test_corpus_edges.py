@@ -477,3 +477,19 @@ def test_remembered_units_are_looked_up_not_gone_through():
     enc.older = Remembered(plain.units)
     assert enc.encode(texts) == plain.encode(texts)
     assert enc.units["two"] is plain.units["two"]
+
+
+def test_lines_of_a_unit_share_the_ids_of_their_letters():
+    """Text is cut by Arrow some MB at a time; units of several lines are learned line by line, letters without a pattern."""
+    enc = token_files.Encoder(queries.tokenizer_file("byte_bpe_50k.json"))
+    texts = ["x wordy.\nÖther, more", None, "x öther.\nwordy\nЖук!! wordy", "", "x more\n12 it's a\tb\n\nc 字かな한 d\u0378,", "x " * 300 + "y"]
+    got = enc.encode(pa.array(texts))
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in got] == [
+        enc.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert {"wordy", "\nwordy", "\nÖther", "öther", "\nЖук", "more"} <= set(enc.units)
+    assert not any(x in u for u in enc.units if not {*u} & {*"12\t\u0378"} for x in ".,!")
+    # a partition's texts are cut some MB at a time, whatever their number
+    column = pa.array(["a" * 5_000] * 2_000 + [None, "b" * (9 << 20), "c"])
+    ranges = list(token_files._chunks(column))
+    assert [lo for lo, _ in ranges] == [0, *(hi for _, hi in ranges[:-1])] and ranges[-1][1] == len(column)
+    assert len(ranges) == 4 and all(hi - lo == 1 or sum(len(x.as_py() or "") for x in column[lo:hi]) <= token_files.CHUNK for lo, hi in ranges)
