@@ -92,6 +92,18 @@ class _Layout:
         return p - (self.span - 1) + own.argmax(1), p - own[:, ::-1].argmax(1), own.any(1)
 
 
+def _by_text(h: np.ndarray, at: np.ndarray, lay: _Layout, ids: np.ndarray) -> pa.RecordBatch:
+    """One row per hash and text with all its places ``at``, so that a text of one word over and over is no hot key."""
+    order = np.lexsort((at, h, lay.doc[at]))
+    h, at = h[order], at[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (h[1:] != h[:-1]) | (lay.doc[at[1:]] != lay.doc[at[:-1]])
+    first = np.flatnonzero(new)
+    places = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)),
+                                      pa.array(lay.place[at].astype(np.int32)))
+    return pa.record_batch({"h": h[first].view(np.int64), "u": ids[lay.doc[at[first]]], "places": places})
+
+
 def _anchor_rows(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,15 +111,7 @@ def _anchor_rows(window: int, gram: int):
             for lo, hi, data, offsets in texts(batch.column("text")):
                 lay = _Layout(data, offsets, window, gram)
                 p = lay.anchors()
-                # one row per prefix and text, so that a text of one word over and over is no hot key
-                p = p[np.lexsort((p, lay.prefix[p], lay.doc[p]))]
-                new = np.ones(len(p), bool)
-                new[1:] = (lay.prefix[p[1:]] != lay.prefix[p[:-1]]) | (lay.doc[p[1:]] != lay.doc[p[:-1]])
-                at = np.flatnonzero(new)
-                places = pa.ListArray.from_arrays(pa.array(np.append(at, len(p)).astype(np.int32)),
-                                                  pa.array(lay.place[p].astype(np.int32)))
-                yield pa.record_batch({"h": lay.prefix[p[at]].view(np.int64), "u": ids[lo:hi][lay.doc[p[at]]],
-                                       "places": places})
+                yield _by_text(lay.prefix[p], p, lay, ids[lo:hi])
     return run
 
 
@@ -118,7 +122,7 @@ def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _suffix_rows(window: int, gram: int, whole_windows: bool):
-    """Suffixes with the words around them; or, one row per window, the hash of all its words."""
+    """Suffixes with the words around them; or, one row per text and hash of all words of a window, the windows' places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("u").to_numpy(zero_copy_only=False)
@@ -132,14 +136,13 @@ def _suffix_rows(window: int, gram: int, whole_windows: bool):
                     continue
                 first, last, any_ = lay.owned(p)
                 p, first, last = p[any_], first[any_], last[any_]
-                u = ids[lo:hi][lay.doc[p]]
                 if whole_windows:
                     n = last - first + 1
                     s = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                    full = rolling(lay.words, window)
-                    yield pa.record_batch({"h": full[s].view(np.int64), "u": np.repeat(u, n),
-                                           "place": lay.place[s].astype(np.int32)})
+                    s = np.unique(s)  # a window that holds two anchors counts once
+                    yield _by_text(rolling(lay.words, window)[s], s, lay, ids[lo:hi])
                     continue
+                u = ids[lo:hi][lay.doc[p]]
                 step = 8192
                 for i in range(0, len(p), step):
                     j = slice(i, i + step)
@@ -316,12 +319,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _suffix_rows(window, gram, False), "h long, u long, place int, before int, words binary")
     marks = suffixes.repartition("h").sortWithinPartitions("h").mapInArrow(
         _subtree_rows(window, gram), "u long, place int, mask long")
-    # prefixes too common for one task: their windows by the prefix of full length, counted before they meet
+    # prefixes too common for one task: their windows by the prefix of full length, counted before they meet; a passage
+    # that goes round within many texts makes one row a text and window, however often it is there
     full = with_places(counted.where(F.col("c") > group)).mapInArrow(
-        _suffix_rows(window, gram, True), "h long, u long, place int").distinct()
-    again = full.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    marks = marks.unionByName(full.join(again, "h").select("u", "place", F.lit(1).cast("long").alias("mask")))
-    per_text = marks.groupBy("u").agg(F.collect_list(F.struct("place", "mask")).alias("marks"))
+        _suffix_rows(window, gram, True), "h long, u long, places array<int>").distinct()
+    again = full.groupBy("h").agg(F.sum(F.size("places")).alias("n")).where("n > 1").select("h")
+    marks = marks.select("u", F.array(F.struct("place", "mask")).alias("marks")).unionByName(full.join(again, "h").select(
+        "u", F.transform("places", lambda p: F.struct(p.alias("place"), F.lit(1).cast("long").alias("mask"))).alias("marks")))
+    per_text = marks.groupBy("u").agg(F.flatten(F.collect_list("marks")).alias("marks"))
     out = known.join(per_text, "u", "left").select(
         "id", "text", F.col("leads").isNotNull().alias("copied"), "marks").mapInArrow(
         _kept_rows(window, not with_text),

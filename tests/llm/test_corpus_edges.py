@@ -493,3 +493,25 @@ def test_lines_of_a_unit_share_the_ids_of_their_letters():
     ranges = list(token_files._chunks(column))
     assert [lo for lo, _ in ranges] == [0, *(hi for _, hi in ranges[:-1])] and ranges[-1][1] == len(column)
     assert len(ranges) == 4 and all(hi - lo == 1 or sum(len(x.as_py() or "") for x in column[lo:hi]) <= token_files.CHUNK for lo, hi in ranges)
+
+
+def test_a_passage_that_goes_round_makes_one_row_a_text_and_window(spark):
+    """Windows of common prefixes met once for each of their anchors and place: their join made rows by the hundred a text."""
+    lines = [f"own{i} " * 20 + "is onhe. " * (40 + i) + f"end{i}" for i in range(4)]
+    batch = pa.record_batch({"u": pa.array(range(4), pa.int64()), "text": lines,
+                             "places": pa.array([list(range(20, 20 + 2 * (40 + i) - 15)) for i in range(4)], pa.list_(pa.int32()))})
+    rows = pa.Table.from_batches(substring_dedup._suffix_rows(35, 16, True)([batch])).to_pylist()
+    assert len({(r["h"], r["u"]) for r in rows}) == len(rows)
+    for i in range(4):  # two windows that go round, the others once, each place once
+        mine = [r["places"] for r in rows if r["u"] == i]
+        places = sorted(x for p in mine for x in p)
+        assert places == sorted(set(places)) and sorted(map(len, mine))[-2:] == [23 + i, 23 + i]
+        assert all(len(p) == 1 for p in sorted(mine, key=len)[:-2])
+    # the same words go whichever way a prefix takes, rows that come twice and null ids too
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)] + [(0, lines[0]), (None, "is onhe. " * 30 + "x"), (9, "is onhe. " * 10)],
+                               "doc_id long, text string")
+    both = [sorted(map(str, substring_dedup.remove_repeats(df, group=g).collect())) for g in (1, 20_000)]
+    assert both[0] == both[1] and len(both[0]) == 7
+    # both copies lose all; elsewhere what stands in no window that is met again stays
+    kept = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(df, group=1).collect()}
+    assert kept[1] == 2 * 41 and kept[0] == 20 + 2 * 40 + 1 and kept[None] == 60 and kept[9] == 0
