@@ -19,6 +19,10 @@ sum(v + 1) > d, differ by at most v in some segment.
   what is left: sum(v + 1) - d.  Empty subsets, which say nothing, count as
   shared without being listed, unless they alone could carry the rest.
 
+A text is cut into words once.  Its keys travel packed, as arrays of the keys
+of many texts by cell (a range of keys), and a cell is sorted in one piece to
+find the keys that more than one set has; only those become rows.
+
 Candidates are never listed as pairs: a bucket of equal keys ties its
 candidates to the least one, components of these ties are the groups, and
 each group is verified on the sets themselves.  A group too large for a task
@@ -55,23 +59,31 @@ BAND_GROWTH = 1.5
 SPARE = 0.25          # segments to spare, as a share of the largest difference of a band
 BLOCK = 2_000_000     # tokens of a block: 16 MB
 RECENT = 200_000      # sets whose copies a task does not index again
+CELL = 250_000        # keys of a cell, about
+FEWEST = 10_000       # keys of a cell where they are dealt to more tasks
+PACK = 400_000        # keys that a task packs at once
+GATHER = 1_000_000    # keys of a cell that are compared at once
 
 
 def _sets(data, offsets, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct tokens of each text of a slice, in order: tokens, their text, where each text begins."""
     h, at = hash_words(data, offsets, fold=True)
     n = np.diff(at)
-    doc = np.repeat(np.arange(len(n)), n)
     grams = rolling(h, shingle)
-    whole = doc[:len(grams)] == doc[shingle - 1:] if len(grams) else np.empty(0, bool)
-    tokens, owner = [grams[whole]], [doc[:len(grams)][whole]]
+    size = np.where(n < shingle, n > 0, n - shingle + 1)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    token = np.empty(begin[-1], np.uint64)
+    owner = np.repeat(np.arange(len(n)), size)
+    if len(grams):
+        doc = np.repeat(np.arange(len(n)), n)
+        token[n[owner] >= shingle] = grams[doc[:len(grams)] == doc[shingle - 1:]]
     for width in range(1, shingle):  # shorter texts: one token of their own kind
         few = np.flatnonzero(n == width)
-        tokens.append(mix(rolling(h, width)[at[few]] + np.uint64(width)) if len(few) else np.empty(0, np.uint64))
-        owner.append(few)
-    token, owner = np.concatenate(tokens), np.concatenate(owner)
-    order = np.lexsort((token, owner))
-    token, owner = token[order], owner[order]
+        if len(few):
+            token[begin[few]] = mix(rolling(h, width)[at[few]] + np.uint64(width))
+    # text by text: sorting values takes a fraction of sorting their places
+    for i in np.flatnonzero(size > 1).tolist():
+        token[begin[i]:begin[i + 1]].sort()
     if len(token):
         new = np.concatenate([[True], (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])])
         token, owner = token[new], owner[new]
@@ -174,24 +186,20 @@ def keys(token: np.ndarray, at: np.ndarray, bands: Bands) -> tuple[np.ndarray, n
     return (np.concatenate([exact[plain], exact[reserve], less]), sets[of], mark[of] | near, need[of].astype(np.int32))
 
 
-def _summary_rows(shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, data, offsets in texts(batch.column("text")):
-                token, owner, _ = _sets(data, offsets, shingle)
-                size, sig = _signatures(token, owner, hi - lo)
-                yield pa.record_batch({"id": batch.column("id").slice(lo, hi - lo), "u": batch.column("u").slice(lo, hi - lo),
-                                       "n_shingles": size.astype(np.int64), "sig": sig.view(np.int64)})
-    return run
-
-
-def _key_rows(shingle: int, num: int, den: int):
+def _index_rows(shingle: int, num: int, den: int, cells: int):
+    """Two kinds of rows: a text's id, ``u``, number of tokens and set; and, packed by cell, the keys of many sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, recent = Bands(num, den), set()
+        bands, recent, held, n = Bands(num, den), set(), [], 0
         for batch in batches:
+            id_type = batch.column("id").type
             for lo, hi, data, offsets in texts(batch.column("text")):
                 token, owner, at = _sets(data, offsets, shingle)
-                _, sig = _signatures(token, owner, hi - lo)
+                size, sig = _signatures(token, owner, hi - lo)
+                u = batch.column("u").slice(lo, hi - lo)
+                cell = np.asarray(u).view(np.uint64) % np.uint64(cells)
+                yield _packed(cell.astype(np.int32), np.full(hi - lo, TEXT, np.int32), {
+                    "id": batch.column("id").slice(lo, hi - lo), "u": u, "n_shingles": size.astype(np.int64),
+                    "set": sig.view(np.int64)}, id_type)
                 # equal sets are indexed once by a task
                 new = []
                 for i, x in enumerate(sig.tolist()):
@@ -206,11 +214,125 @@ def _key_rows(shingle: int, num: int, den: int):
                     continue
                 mine = token[np.repeat(at[new] - (ends - size), size) + np.arange(ends[-1])]
                 key, which, mark, need = keys(mine, np.concatenate([[0], ends]), bands)
-                yield pa.record_batch({"key": key.view(np.int64), "sig": sig.view(np.int64)[new][which], "mark": mark,
-                                       "need": need})
+                held.append((key, sig.view(np.int64)[new][which], mark, need))
+                n += len(key)
+                if n >= PACK:
+                    yield _by_cell(held, cells, id_type)
+                    held, n = [], 0
+        if n:
+            yield _by_cell(held, cells, id_type)
     return run
 
 
+def _by_cell(held: list, cells: int, id_type: pa.DataType) -> pa.RecordBatch:
+    """Keys as one row a cell and part, where there are any: the rows of each are arrays of bytes."""
+    columns = [np.concatenate(x) for x in zip(*held)]
+    key, _, mark, _ = columns
+    cell = ((key >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
+    code = cell * 2 + (mark & HOME == 0)
+    if cells < 1 << 15:
+        code = code.astype(np.uint16)  # sorted by radix
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    ends = np.concatenate([first, [len(code)]])
+    part = code[first].astype(np.int32)
+
+    def packed(x: np.ndarray) -> pa.Array:
+        offsets = (ends * x.itemsize).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(x[order])])
+
+    return _packed(part // 2, part % 2, dict(zip(PACKED, map(packed, columns))), id_type)
+
+
+HOMES, AWAY, TEXT = range(3)  # parts of a cell, in order: keys in the own bands of their sets, other keys, texts
+PACKED = {"key": np.uint64, "sig": np.int64, "mark": np.int32, "need": np.int32}
+
+
+def _packed(cell: np.ndarray, part: np.ndarray, given: dict, id_type: pa.DataType) -> pa.RecordBatch:
+    types = {c: pa.binary() for c in PACKED} | {"id": id_type, "u": pa.int64(), "n_shingles": pa.int64(), "set": pa.int64()}
+    return pa.record_batch({"cell": cell, "part": part} | {
+        c: given[c] if c in given else pa.nulls(len(cell), kind) for c, kind in types.items()})
+
+
+def in_company(rows: list, known: tuple | None, more: bool) -> tuple[tuple, tuple | None]:
+    """Of the rows (key, sig, mark, need) of a cell those whose bucket holds another set, and one in its own band.
+
+    ``known`` is what comes back for the rows before, if these are not all: one
+    row for every key that has a set in its own band, and whether it is out
+    already.  Rows in own bands come before all others, so the rows that have
+    no company yet are never more than the keys.
+    """
+    columns = [np.concatenate([*([known[0][i]] if known else []), *(r[i] for r in rows)]) for i in range(4)]
+    out = np.zeros(len(columns[0]), bool)
+    if known:
+        out[:len(known[1])] = known[1]
+    order = np.argsort(columns[0], kind="stable")
+    key = columns[0][order]
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    if not more:  # a key with one row has no company
+        several = ~first
+        several[:-1] |= ~first[1:]
+        order, first = order[several], first[several]
+    columns, out = [c[order] for c in columns], out[order]
+    start = np.flatnonzero(first)
+    if not len(start):
+        return tuple(columns), None
+    size = np.diff(np.append(start, len(first)))
+    _, sig, mark, _ = columns
+    home = np.logical_or.reduceat(mark & HOME > 0, start)
+    company = home & (np.minimum.reduceat(sig, start) != np.maximum.reduceat(sig, start)) | np.logical_or.reduceat(out, start)
+    sent = np.repeat(company, size) & ~out
+    kept = start[home]  # sorting is stable: a row in its own band, if the key has one
+    return tuple(c[sent] for c in columns), (tuple(c[kept] for c in columns), company[home]) if more else None
+
+
+def _company_rows(gather: int):
+    """The keys in company, as rows, and the texts as they come, from rows in the order of cell and part."""
+    texts_of = ["id", "u", "n_shingles", "set"]
+
+    def row_batch(found: tuple, id_type: pa.DataType) -> pa.RecordBatch:
+        key, sig, mark, need = found
+        n = len(key)
+        return pa.record_batch({"id": pa.nulls(n, id_type), "u": pa.nulls(n, pa.int64()), "n_shingles": pa.nulls(n, pa.int64()),
+                                "sig": sig, "key": key.view(np.int64), "mark": mark, "need": need})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, n, known = None, [], 0, None
+        for batch in batches:
+            cells, parts, id_type = batch.column("cell").to_pylist(), np.asarray(batch.column("part")), batch.column("id").type
+            is_text = parts == TEXT
+            if is_text.any():
+                own = batch.filter(pa.array(is_text))
+                none = pa.nulls(len(own), pa.int32())
+                yield pa.record_batch([*(own.column(c) for c in texts_of), pa.nulls(len(own), pa.int64()), none, none],
+                                      names=["id", "u", "n_shingles", "sig", "key", "mark", "need"])
+            columns = [(batch.column(c), kind) for c, kind in PACKED.items()]
+            for i in np.flatnonzero(~is_text).tolist():
+                if cells[i] != now:
+                    if held:
+                        yield row_batch(in_company(held, known, False)[0], id_type)
+                    now, held, n, known = cells[i], [], 0, None
+                held.append(tuple(np.frombuffer(c[i].as_buffer(), kind) for c, kind in columns))
+                n += len(held[-1][0])
+                if n >= gather:
+                    found, known = in_company(held, known, True)
+                    yield row_batch(found, id_type)
+                    held, n = [], 0
+        if held:
+            yield row_batch(in_company(held, known, False)[0], id_type)
+    return run
+
+
+def _cells(docs: DataFrame, text_col: str, num: int, den: int) -> int:
+    """Into how many cells keys are dealt: as many as hold ``CELL`` keys each, more where more tasks can run."""
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    # a word takes about six bytes, a token has a share of the segments of about one and a half bands
+    count = int(size / 6 * 4 * (den - num) / (den + num))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, count // CELL, min(2 * tasks, count // FEWEST))
+
+
 def linked(token: np.ndarray, at: np.ndarray, side: np.ndarray | None, num: int, den: int) -> np.ndarray:
     """Root (an index) of every set after tying all linked ones; with ``side`` only pairs across the sides are compared."""
     n = len(at) - 1
@@ -278,8 +400,16 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("u", F.xxhash64("id", "text"))
     at = work_dir(spark, "jaccard")
-    rows.mapInArrow(_summary_rows(shingle), f"id {id_type}, u long, n_shingles long, sig long").write.parquet(f"{at}/sets")
-    sets = spark.read.parquet(f"{at}/sets")
+    cells = _cells(docs, text_col, num, den)
+    # texts are cut into words once: what is known of them and their keys leave the tasks together
+    rows.mapInArrow(_index_rows(shingle, num, den, cells),
+                    f"cell int, part int, key binary, sig binary, mark binary, need binary, id {id_type}, u long, n_shingles long, "
+                    "set long").repartition("cell").sortWithinPartitions("cell", "part") \
+        .mapInArrow(_company_rows(GATHER), f"id {id_type}, u long, n_shingles long, sig long, key long, mark int, need int") \
+        .write.parquet(f"{at}/index")
+    stored = spark.read.parquet(f"{at}/index")
+    sets = stored.where("key is null").select("id", "u", "n_shingles", "sig")
+    index = stored.where("key is not null").select("key", "sig", "mark", "need")
 
     bucket = Window.partitionBy("key")
 
@@ -288,9 +418,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return df.withColumn("first", F.min("sig").over(bucket)).withColumn("last", F.max("sig").over(bucket)) \
             .withColumn("homes", F.max(F.col("mark").bitwiseAND(HOME)).over(bucket)).where("first <> last and homes > 0")
 
-    index = rows.select("text").mapInArrow(_key_rows(shingle, num, den), "key long, sig long, mark int, need int")
     # a set has at most as many keys as its band has segments, so its list is bounded by its text
-    candidates = company(index).groupBy("sig", F.shiftright("mark", 1).alias("place")).agg(
+    candidates = index.groupBy("sig", F.shiftright("mark", 1).alias("place")).agg(
         F.max("need").alias("need"), F.collect_set(F.when(F.col("mark").bitwiseAND(NEAR) == 0, F.col("key"))).alias("plain"),
         F.collect_set(F.when(F.col("mark").bitwiseAND(NEAR) != 0, F.col("key"))).alias("near")) \
         .where(F.size("plain") + F.when(F.size("near") > 0, 2).otherwise(0) >= F.col("need")) \

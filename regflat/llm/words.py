@@ -54,7 +54,7 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tup
     offsets = offsets.astype(np.int64) - base
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    is_word = _IS_WORD[data]
+    is_word = _IS_WORD.take(data)
     before = np.empty_like(is_word)
     before[0], before[1:] = False, is_word[:-1]
     after = np.empty_like(is_word)
@@ -66,7 +66,9 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tup
     end = np.flatnonzero(is_word & ~after) + 1
     power, inverse = _power_tables(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_FOLDED if fold else _TABLE)[data] * power[:len(data)], out=total[1:])
+    values = (_FOLDED if fold else _TABLE).take(data)
+    values *= power[:len(data)]
+    np.cumsum(values, out=total[1:])
     h = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
     return h, np.searchsorted(start, offsets)
 

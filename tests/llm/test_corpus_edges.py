@@ -217,6 +217,54 @@ def test_jaccard_keys_meet():
             assert met
 
 
+def test_jaccard_keys_travel_packed():
+    """Keys leave a task as arrays, one row for each part of a cell, beside one row a text; none is lost."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in rng.integers(0, 1000, 300)) for _ in range(200)] + [None, "a"]
+    batch = pa.record_batch({"id": list(range(len(texts))), "text": pa.array(texts, pa.string()),
+                             "u": rng.integers(-2**62, 2**62, len(texts))})
+    out = pa.Table.from_batches(list(jaccard_join._index_rows(3, 80, 100, 16)(iter([batch])))).to_pylist()
+    packed = [r for r in out if r["key"] is not None]
+    assert len(packed) <= 32 and sorted(r["id"] for r in out if r["key"] is None) == list(range(len(texts)))
+    data = "".join(t or "" for t in texts).encode()
+    ends = np.cumsum([0] + [len(t or "") for t in texts])
+    token, _, at = jaccard_join._sets(np.frombuffer(data, np.uint8), ends, 3)
+    key, _, mark, need = jaccard_join.keys(token, at, jaccard_join.Bands(80, 100))
+    assert len(key) > 1000
+    got = [x for r in packed for x in zip(np.frombuffer(r["key"], np.uint64), np.frombuffer(r["mark"], np.int32),
+                                          np.frombuffer(r["need"], np.int32))]
+    assert sorted(got) == sorted(zip(key, mark, need))
+    assert all((m & jaccard_join.HOME > 0) == (r["part"] == jaccard_join.HOMES)
+               for r in packed for m in np.frombuffer(r["mark"], np.int32))
+
+
+@pytest.mark.parametrize("step", [3, 40, 10_000])
+def test_jaccard_company(step):
+    """Rows whose key another set has too, one of them in its own band; what is held on the way is a row a key."""
+    rng = np.random.default_rng(step)
+    n = 2000
+    key = np.where(rng.random(n) < 0.3, 7, rng.integers(0, 1500, n)).astype(np.uint64)  # one very common key
+    sig = rng.integers(0, 300, n)
+    # a set has one own band; its rows elsewhere are away
+    mark = np.where((sig + key.astype(np.int64) // 2) % 3 > 0, jaccard_join.HOME, 0).astype(np.int32)
+    need = rng.integers(0, 9, n).astype(np.int32)
+    order = np.argsort(mark == 0, kind="stable")
+    columns = [x[order] for x in (key, sig, mark, need)]
+    got, known = [], None
+    for lo in range(0, n, step):
+        found, known = jaccard_join.in_company([tuple(x[lo:lo + step] for x in columns)], known, lo + step < n)
+        got += zip(*found)
+        assert known is None or len(known[1]) == len(set(columns[0][:lo + step][columns[2][:lo + step] > 0].tolist()))
+    sets, homes = {}, set()
+    for k, s, m in zip(key, sig, mark):
+        sets.setdefault(k, set()).add(s)
+        if m:
+            homes.add(k)
+    expected = {r for r in zip(key, sig, mark, need) if len(sets[r[0]]) > 1 and r[0] in homes}
+    assert expected and {(k, s, m) for k, s, m, _ in got} == {(k, s, m) for k, s, m, _ in expected}
+    assert len(got) <= len(key)
+
+
 def test_jaccard_edges(spark, docs):
     rows = jaccard_join.similar_groups(docs).collect()
     assert len(rows) == len(TEXTS)
