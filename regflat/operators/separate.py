@@ -3,8 +3,8 @@
 A version is read once into a nested DataFrame; every output table is a
 lazy projection of that parent: select the keys plus one container,
 flatten, clean names, prune, drop all-null rows, coerce types, distinct.
-``land_version`` persists the parent so the XML is parsed once per family;
-read uncached, each table's scan is pruned to its own container instead.
+``land_version`` stores the parent so the XML is parsed once per family, and
+each table's scan is pruned to its own container.
 """
 
 from __future__ import annotations

@@ -11,6 +11,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, functions as F
 
 from regflat.plans.offices import GB, US, em_spec, separate_em
+from regflat.plans import standins
 from regflat.plans.snapshot import SnapshotStore
 from regflat.plans.standins import naive, query, t, ymd
 from regflat.plans.updates import LateVersion, apply_in_order, land_version, landed_families, quality_path, read_family, run_office
@@ -31,10 +32,13 @@ def _value(tag: str, c: F.Column) -> F.Column:
     return F.concat(F.lit(f"  <{tag}>"), c.cast("string"), F.lit(f"</{tag}>\n"))
 
 
-def _feed(df: DataFrame, record: F.Column, purpose: str) -> str:
-    """Write record texts below a fresh folder; returns it."""
+def _feed(df: DataFrame, record: F.Column, purpose: str, packed: bool = False) -> str:
+    """Write record texts below a fresh folder; returns it.  Packed: compressed files of ``LANDED_RECORDS`` records."""
     path = work_dir(df.sparkSession, purpose)
-    df.select(record.alias("value")).write.text(path)
+    writer = df.select(record.alias("value")).write
+    if packed:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", standins.LANDED_RECORDS)
+    writer.text(path)
     return path
 
 
@@ -98,7 +102,7 @@ def us_event_statements(spark, sf):
         F.array_join(F.transform(F.sort_array(F.collect_list("l_linenumber")), lambda n: _element(
             "case-file-event-statement", _value("number", n))), "").alias("events"))
     landing, root = work_dir(spark, "events-land"), work_dir(spark, "events-store")
-    feed = _feed(cases, _case(q("l_orderkey"), F.lit("20010101"), _element("case-file-event-statements", q("events"))), "events")
+    feed = _feed(cases, _case(q("l_orderkey"), F.lit("20010101"), _element("case-file-event-statements", q("events"))), "events", packed=True)
     run_office(spark, US, [("v1", 1, feed)], landing, root)
     found = SnapshotStore(spark, root, "us", keys=US.keys).current("case-file-event-statements")
     number = next(c for c in found.columns if c.endswith("number") and c != "serial-number")

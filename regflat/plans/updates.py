@@ -16,7 +16,7 @@ from regflat.functions.types import bad_value_flags, flagged, split_flags
 from regflat.operators.flatten import q
 from regflat.operators.merge import VERSION_COL, align_union, bulk_merge
 from regflat.plans.offices import OfficeSpec, normalise, prepare_new_rows
-from regflat.plans.publish import SavedTable, TARGET_FILE_BYTES, compact_files, save_family, session_conf
+from regflat.plans.publish import SavedTable, TARGET_FILE_BYTES, compact_files, remove_folder, save_family, session_conf
 from regflat.plans.snapshot import SnapshotStore
 from regflat.session import work_dir
 from regflat.sources.archive import expand_archives, write_records_as_xml
@@ -30,8 +30,9 @@ def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing:
                  version: str, schema=None) -> dict[str, str]:
     """L1: XML records of one version -> its table family as Parquet.
 
-    The nested parent is cached once; every table is a projection of it, and
-    one job writes them all and counts the values that the type rules null.
+    The records are parsed once, into packed files that go afterwards; every
+    table is a projection of them, and one job writes them all and counts the
+    values that the type rules null.
     Without a given schema the version's schema is inferred once (a full
     pass) and stored beside the landing, so a retry skips the inference.
     The completion marker is written last.
@@ -56,15 +57,18 @@ def land_version(spark: SparkSession, spec: OfficeSpec, xml_path: str, landing:
 
 
 def _land_records(spark: SparkSession, spec: OfficeSpec, records: DataFrame, landing: str, version: str) -> dict[str, SavedTable]:
-    records = records.persist()
+    # a cache would hold them many times as large, in the executors' memory and on their disks
+    parsed = work_dir(spark, f"parsed-{spec.office}")
     try:
+        records.write.parquet(parsed)
+        records = spark.read.schema(records.schema).parquet(parsed)
         with bad_value_flags():
             tables, counts = observe_quality(normalise(spec, records))
         written = save_family(tables, table_folder(landing, spec.office, version, schema=spec.schemas[0]))
         if spec.type_rules:
             write_quality(spark, counts, quality_path(landing, spec.office, version, spec.schemas[0]))
     finally:
-        records.unpersist()
+        remove_folder(spark, parsed)
     return written
 
 
