@@ -59,10 +59,11 @@ BAND_GROWTH = 1.5
 SPARE = 0.25          # segments to spare, as a share of the largest difference of a band
 BLOCK = 2_000_000     # tokens of a block: 16 MB
 RECENT = 200_000      # sets whose copies a task does not index again
-CELL = 250_000        # keys of a cell, about
+CELL = 1_000_000      # keys of a cell, about
 FEWEST = 10_000       # keys of a cell where they are dealt to more tasks
-PACK = 400_000        # keys that a task packs at once
-GATHER = 1_000_000    # keys of a cell that are compared at once
+SPREAD = 4            # cells of a task then, so that tasks come out even
+PACK = 1_000_000      # keys that a task packs at once
+GATHER = 2_000_000    # keys of a cell that are compared at once
 
 
 def _sets(data, offsets, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -330,7 +331,7 @@ def _cells(docs: DataFrame, text_col: str, num: int, den: int) -> int:
     # a word takes about six bytes, a token has a share of the segments of about one and a half bands
     count = int(size / 6 * 4 * (den - num) / (den + num))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, count // CELL, min(2 * tasks, count // FEWEST))
+    return max(1, count // CELL, min(SPREAD * tasks, count // FEWEST))
 
 
 def linked(token: np.ndarray, at: np.ndarray, side: np.ndarray | None, num: int, den: int) -> np.ndarray:
